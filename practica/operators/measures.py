@@ -177,8 +177,8 @@ def indirect_cost_unit_month(st: Staged) -> DataFrame:
     """Indirect costs by unit and month (yearmonth yyyyMM -> first day)."""
     month = F.to_date(F.col("yearmonth").cast("string"), "yyyyMM")
     return (st.indirect_cost.groupBy(F.col("business_unit_id").alias("unit_id"), month.alias("month"))
-            .agg(_sum("non_proj_labor_costs", "total_non_proj_labor_costs"),
-                 _sum("other_expense_costs", "total_other_expense_costs")))
+            .agg(F.sum("non_proj_labor_costs").cast(MONEY_OUT).alias("total_non_proj_labor_costs"),
+                 F.sum("other_expense_costs").cast(AMOUNT).alias("total_other_expense_costs")))
 
 
 # ------------------------------------------------------------- per project
@@ -253,7 +253,7 @@ def project_hours_month(st: Staged) -> DataFrame:
 def project_expense_month(st: Staged) -> DataFrame:
     """Expense per project and expense month."""
     return (st.project_expense.groupBy("project_id", month_start("expense_date").alias("month"))
-            .agg(_sum("amount", "project_expenses_per_month")))
+            .agg(F.sum("amount").cast(AMOUNT).alias("project_expenses_per_month")))
 
 
 def consultant_cost_month(st: Staged) -> DataFrame:

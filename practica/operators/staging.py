@@ -9,10 +9,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from practica.sources.tables import Sources, Staged
 
 
+def _date(df: DataFrame, col: str, fmt: str | None = None) -> F.Column:
+    """to_date for text columns; a DATE column passes through unparsed."""
+    c = F.col(f"`{col}`")
+    if isinstance(df.schema[col].dataType, T.DateType):
+        return c
+    return F.to_date(c, fmt) if fmt else F.to_date(c)
+
+
 def _try_cast(col: str, to: str) -> F.Column:
     # lenient parse: bad or empty text -> NULL (the try_to_* family)
     return F.expr(f"try_cast(`{col}` as {to})")
@@ -45,7 +54,7 @@ def stage_time_entry(df: DataFrame) -> DataFrame:
     return df.select(F.col("consultantid").alias("consultant_id"),
                      F.col("deliverableid").alias("deliverable_id"),
                      F.col("recordid").alias("record_id"), F.col("hours"),
-                     F.to_date(F.col("DATE")).alias("work_date"))
+                     _date(df, "DATE").alias("work_date"))
 
 
 def stage_title_assignment(df: DataFrame) -> DataFrame:
@@ -59,7 +68,7 @@ def stage_deliverable(df: DataFrame) -> DataFrame:
     return df.select(F.col("DELIVERABLEID").alias("deliverable_id"),
                      F.col("PROJECTID").alias("project_id"), F.col("NAME").alias("name"),
                      F.col("PRICE").alias("price"),
-                     F.to_date(F.col("DUE_DATE"), "yyyy-MM-dd").alias("due_date"))
+                     _date(df, "DUE_DATE", "yyyy-MM-dd").alias("due_date"))
 
 
 def stage_indirect_cost(df: DataFrame) -> DataFrame:
@@ -108,7 +117,7 @@ def stage_billing_rate(df: DataFrame) -> DataFrame:
 
 def stage_project_expense(df: DataFrame) -> DataFrame:
     return df.select(F.col("recordid").alias("record_id"), F.col("projectid").alias("project_id"),
-                     F.col("amount"), F.to_date(F.col("date")).alias("expense_date"),
+                     F.col("amount"), _date(df, "date").alias("expense_date"),
                      F.col("is_billable"))
 
 
@@ -117,19 +126,20 @@ def stage_title(df: DataFrame) -> DataFrame:
 
 
 def stage_all(src: Sources) -> Staged:
+    """Lazy: each staged relation is planned on first access."""
     return Staged(
-        businessunit=stage_businessunit(src.businessunit),
-        client=stage_client(src.client),
-        client_feedback=stage_client_feedback(src.client_feedback),
-        consultant=stage_consultant(src.consultant),
-        time_entry=stage_time_entry(src.consultant_deliverable),
-        title_assignment=stage_title_assignment(src.consultant_title_history),
-        deliverable=stage_deliverable(src.deliverable),
-        indirect_cost=stage_indirect_cost(src.indirect_cost),
-        non_billable_hours=stage_non_billable_hours(src.non_billable_hours),
-        payroll=stage_payroll(src.payroll),
-        project=stage_project(src.project),
-        billing_rate=stage_billing_rate(src.project_billing_rate),
-        project_expense=stage_project_expense(src.project_expense),
-        title=stage_title(src.title),
+        businessunit=lambda: stage_businessunit(src.businessunit),
+        client=lambda: stage_client(src.client),
+        client_feedback=lambda: stage_client_feedback(src.client_feedback),
+        consultant=lambda: stage_consultant(src.consultant),
+        time_entry=lambda: stage_time_entry(src.consultant_deliverable),
+        title_assignment=lambda: stage_title_assignment(src.consultant_title_history),
+        deliverable=lambda: stage_deliverable(src.deliverable),
+        indirect_cost=lambda: stage_indirect_cost(src.indirect_cost),
+        non_billable_hours=lambda: stage_non_billable_hours(src.non_billable_hours),
+        payroll=lambda: stage_payroll(src.payroll),
+        project=lambda: stage_project(src.project),
+        billing_rate=lambda: stage_billing_rate(src.project_billing_rate),
+        project_expense=lambda: stage_project_expense(src.project_expense),
+        title=lambda: stage_title(src.title),
     )

@@ -82,17 +82,17 @@ FROM orders LEFT JOIN customer ON o_custkey = c_custkey""",
 SELECT {DID} AS DELIVERABLEID, l_orderkey AS PROJECTID,
        'Deliverable ' || CAST({DID} AS VARCHAR) AS NAME,
        CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS PRICE,
-       strftime(CAST(max(l_shipdate) AS DATE), '%Y-%m-%d') AS DUE_DATE
+       CAST(max(l_shipdate) AS DATE) AS DUE_DATE
 FROM lineitem GROUP BY l_orderkey, l_linenumber""",
     "src_consultant_deliverable": f"""
 SELECT l_suppkey AS consultantid, {DID} AS deliverableid, {DID} AS recordid,
-       CAST(l_quantity AS DECIMAL(18,2)) AS hours, {_ts("l_shipdate")} AS "DATE"
+       CAST(l_quantity AS DECIMAL(18,2)) AS hours, CAST(l_shipdate AS DATE) AS "DATE"
 FROM lineitem""",
     "src_project_expense": f"""
 SELECT {DID} AS recordid, l_orderkey AS projectid,
        CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(18,2))
             AS DECIMAL(18,4)) AS amount,
-       {_ts("l_shipdate")} AS "date",
+       CAST(l_shipdate AS DATE) AS "date",
        CAST(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS INTEGER) AS is_billable
 FROM lineitem""",
     "src_payroll": """
@@ -141,7 +141,7 @@ STAGING = {
        TITLEID AS title_id, CAST(START_DATE AS DATE) AS start_date, CAST(LAST_UPDATE AS DATE) AS end_date
        FROM src_consultant_title_history""",
     "stg_deliverable": """SELECT DELIVERABLEID AS deliverable_id, PROJECTID AS project_id, NAME AS name,
-       PRICE AS price, CAST(strptime(DUE_DATE, '%Y-%m-%d') AS DATE) AS due_date FROM src_deliverable""",
+       PRICE AS price, CAST(DUE_DATE AS DATE) AS due_date FROM src_deliverable""",
     "stg_indirect_cost": """SELECT business_unit_id, yearmonth, non_proj_labor_costs, other_expense_costs
        FROM src_indirect_cost""",
     "stg_non_billable_hours": """SELECT consultantid AS consultant_id,

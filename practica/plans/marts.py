@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 from practica.operators import dims
 from practica.operators.scd2 import SNAPSHOTS, scd2_snapshot
 from practica.semantics import Semantics
-from practica.sources.tables import Staged
+from practica.sources.tables import LazyDict, Staged, _Lazy
 
 
 @dataclass
-class Marts:
+class Marts(_Lazy):
     histories: dict[str, DataFrame]
     business_unit: DataFrame  # key column "unitkey"
     client: DataFrame
@@ -32,25 +32,23 @@ class Marts:
 def snapshot_all(st: Staged, run_ts: dt.datetime,
                  histories: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """Take one snapshot of the seven histories (first run when ``histories`` is None)."""
-    staged = {
-        "businessunit": st.businessunit, "client": st.client, "consultant": st.consultant,
-        "title_assignment": st.title_assignment, "deliverable": st.deliverable,
-        "project": st.project, "title": st.title,
-    }
-    return {name: scd2_snapshot(staged[name], SNAPSHOTS[name], run_ts,
-                                None if histories is None else histories[name])
-            for name in SNAPSHOTS}
+    staged = {name: name for name in SNAPSHOTS}
+    def take(name):
+        return lambda: scd2_snapshot(getattr(st, staged[name]), SNAPSHOTS[name], run_ts,
+                                     None if histories is None else histories[name])
+    return LazyDict({name: take(name) for name in SNAPSHOTS})
 
 
 def build_marts(histories: dict[str, DataFrame], sem: Semantics = Semantics()) -> Marts:
+    h = histories
     return Marts(
-        histories=histories,
-        business_unit=dims.business_unit_dim(histories["businessunit"]),
-        client=dims.client_dim(histories["client"]),
-        consultant=dims.consultant_dim(histories["consultant"]),
-        project=dims.project_dim(histories["project"]),
-        deliverable=dims.deliverable_dim(histories["deliverable"], histories["project"], sem),
-        title_history=dims.title_history_dim(histories["title_assignment"], histories["title"], sem),
+        histories=h,
+        business_unit=lambda: dims.business_unit_dim(h["businessunit"]),
+        client=lambda: dims.client_dim(h["client"]),
+        consultant=lambda: dims.consultant_dim(h["consultant"]),
+        project=lambda: dims.project_dim(h["project"]),
+        deliverable=lambda: dims.deliverable_dim(h["deliverable"], h["project"], sem),
+        title_history=lambda: dims.title_history_dim(h["title_assignment"], h["title"], sem),
     )
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,19 +38,32 @@ MERGE_SPLIT_MONTH = dt.date(2000, 1, 1)   # target holds expense before this mon
 PROJECT_SPLIT_TS = dt.datetime(1999, 1, 1)  # target holds projects updated before
 
 
-@dataclass
 class Context:
-    spark: SparkSession
-    sf_dir: str
-    sem: Semantics
-    st: Staged
-    marts: Marts
+    """Sources, staging, histories and dimensions of one driver directory,
+    each built on first use so a query only plans what it reads."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, sem: Semantics = DRIVER_SEMANTICS):
+        self.spark, self.sf_dir, self.sem = spark, sf_dir, sem
+
+    @cached_property
+    def st(self) -> Staged:
+        return stage_all(sources_from_driver(self.spark, self.sf_dir))
+
+    @cached_property
+    def marts(self) -> Marts:
+        return build_marts(snapshot_all(self.st, SNAPSHOT_TS), self.sem)
+
+
+_CONTEXTS: dict[tuple, Context] = {}
 
 
 def context(spark: SparkSession, sf_dir: str, sem: Semantics = DRIVER_SEMANTICS) -> Context:
-    st = stage_all(sources_from_driver(spark, sf_dir))
-    marts = build_marts(snapshot_all(st, SNAPSHOT_TS), sem)
-    return Context(spark, sf_dir, sem, st, marts)
+    """One context per (session, directory, semantics): DataFrames are
+    immutable plans, so queries share the staged relations and their analysis."""
+    key = (spark._jsparkSession.hashCode(), sf_dir.rstrip("/"), sem)
+    if key not in _CONTEXTS:
+        _CONTEXTS[key] = Context(spark, sf_dir, sem)
+    return _CONTEXTS[key]
 
 
 def _q(fn: Callable[[Context], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -158,9 +171,7 @@ def hr_client_bridge(c): return facts.hr_client_bridge(c.st, c.marts, c.sem)
 
 
 def _staged_with(st: Staged, **repl) -> Staged:
-    d = dict(st.items())
-    d.update(repl)
-    return Staged(**d)
+    return st.replace(**repl)
 
 
 def merge_upsert_fact(c: Context) -> DataFrame:

@@ -159,7 +159,7 @@ def deliverable(lineitem: DataFrame) -> DataFrame:
         did.alias("DELIVERABLEID"), F.col("l_orderkey").alias("PROJECTID"),
         F.concat(F.lit("Deliverable "), did.cast("string")).alias("NAME"),
         F.col("price").cast(MONEY).alias("PRICE"),
-        _txt_date(_d(F.col("due"))).alias("DUE_DATE")))
+        _d(F.col("due")).alias("DUE_DATE")))
 
 
 def consultant_deliverable(lineitem: DataFrame) -> DataFrame:
@@ -167,7 +167,7 @@ def consultant_deliverable(lineitem: DataFrame) -> DataFrame:
     return conform("consultant_deliverable", lineitem.select(
         F.col("l_suppkey").alias("consultantid"), did.alias("deliverableid"),
         did.alias("recordid"), F.col("l_quantity").cast(MONEY).alias("hours"),
-        _txt_date(_d(F.col("l_shipdate"))).alias("DATE")))
+        _d(F.col("l_shipdate")).alias("DATE")))
 
 
 def project_expense(lineitem: DataFrame) -> DataFrame:
@@ -175,7 +175,7 @@ def project_expense(lineitem: DataFrame) -> DataFrame:
     amount = (F.col("l_extendedprice").cast(MONEY) * F.col("l_discount").cast(MONEY)).cast(MONEY4)
     return conform("project_expense", lineitem.select(
         did.alias("recordid"), F.col("l_orderkey").alias("projectid"), amount.alias("amount"),
-        _txt_date(_d(F.col("l_shipdate"))).alias("date"),
+        _d(F.col("l_shipdate")).alias("date"),
         F.when(F.col("l_returnflag") == "R", F.lit(1)).otherwise(F.lit(0)).cast("int")
         .alias("is_billable")))
 
@@ -233,20 +233,26 @@ def client_feedback(orders: DataFrame) -> DataFrame:
 
 def sources_from_driver(spark: SparkSession, sf_dir: str) -> Sources:
     """All 14 operational sources derived lazily from the driver tables."""
-    t = {n: read_driver(spark, sf_dir, n) for n in DRIVER_TABLES}
+    cache: dict[str, DataFrame] = {}
+
+    def t(name):
+        # one reader per table: file listing and footer reads happen once
+        if name not in cache:
+            cache[name] = read_driver(spark, sf_dir, name)
+        return cache[name]
     return Sources(
-        businessunit=businessunit(t["nation"]),
-        client=client(t["customer"]),
-        client_feedback=client_feedback(t["orders"]),
-        consultant=consultant(t["supplier"]),
-        consultant_deliverable=consultant_deliverable(t["lineitem"]),
-        consultant_title_history=consultant_title_history(t["supplier"]),
-        deliverable=deliverable(t["lineitem"]),
-        indirect_cost=indirect_cost(t["orders"], t["customer"]),
-        non_billable_hours=non_billable_hours(t["lineitem"]),
-        payroll=payroll(t["supplier"]),
-        project=project(t["orders"], t["customer"]),
-        project_billing_rate=project_billing_rate(t["orders"]),
-        project_expense=project_expense(t["lineitem"]),
-        title=title(t["region"]),
+        businessunit=lambda: businessunit(t("nation")),
+        client=lambda: client(t("customer")),
+        client_feedback=lambda: client_feedback(t("orders")),
+        consultant=lambda: consultant(t("supplier")),
+        consultant_deliverable=lambda: consultant_deliverable(t("lineitem")),
+        consultant_title_history=lambda: consultant_title_history(t("supplier")),
+        deliverable=lambda: deliverable(t("lineitem")),
+        indirect_cost=lambda: indirect_cost(t("orders"), t("customer")),
+        non_billable_hours=lambda: non_billable_hours(t("lineitem")),
+        payroll=lambda: payroll(t("supplier")),
+        project=lambda: project(t("orders"), t("customer")),
+        project_billing_rate=lambda: project_billing_rate(t("orders")),
+        project_expense=lambda: project_expense(t("lineitem")),
+        title=lambda: title(t("region")),
     )

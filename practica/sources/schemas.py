@@ -1,8 +1,11 @@
 """Declared types of the 14 operational source tables.
 
 The source models never declare types; these are this engine's decisions.
-Money and hours are decimals so sums are exact and order-independent; date
-columns arrive as text and are parsed by staging, as in the source models.
+Money and hours are decimals so sums are exact and order-independent. The
+high-volume event dates (time entries, expenses, deliverable due dates) are
+DATE; the project's dates and timestamps arrive as text and are parsed by
+staging (strictly or leniently, as in the source models). Staging parses any
+date column that arrives as text, so either form is accepted.
 """
 
 from __future__ import annotations
@@ -11,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-L, I, S = T.LongType(), T.IntegerType(), T.StringType()
+L, I, S, D = T.LongType(), T.IntegerType(), T.StringType(), T.DateType()
 MONEY = T.DecimalType(18, 2)
 MONEY4 = T.DecimalType(18, 4)
 
@@ -28,11 +31,11 @@ SOURCE_SCHEMAS: dict[str, T.StructType] = {
     "consultant": _schema(("ConsultantID", L), ("BusinessUnitID", L), ("First_Name", S),
                           ("Last_Name", S), ("Contact", S)),
     "consultant_deliverable": _schema(("consultantid", L), ("deliverableid", L), ("recordid", L),
-                                      ("hours", MONEY), ("DATE", S)),
+                                      ("hours", MONEY), ("DATE", D)),
     "consultant_title_history": _schema(("RECORDID", L), ("CONSULTANTID", L), ("TITLEID", L),
                                         ("START_DATE", S), ("LAST_UPDATE", S)),
     "deliverable": _schema(("DELIVERABLEID", L), ("PROJECTID", L), ("NAME", S), ("PRICE", MONEY),
-                           ("DUE_DATE", S)),
+                           ("DUE_DATE", D)),
     "indirect_cost": _schema(("business_unit_id", L), ("yearmonth", I),
                              ("non_proj_labor_costs", MONEY), ("other_expense_costs", MONEY4)),
     "non_billable_hours": _schema(("consultantid", L), ("BILLABLE HOURS", MONEY),
@@ -44,7 +47,7 @@ SOURCE_SCHEMAS: dict[str, T.StructType] = {
                        ("status", S), ("actual_start_date", S), ("actual_end_date", S),
                        ("progress", T.DecimalType(5, 2)), ("last_update", S)),
     "project_billing_rate": _schema(("RATE", MONEY), ("TITLEID", L), ("PROJECTID", L)),
-    "project_expense": _schema(("recordid", L), ("projectid", L), ("amount", MONEY4), ("date", S),
+    "project_expense": _schema(("recordid", L), ("projectid", L), ("amount", MONEY4), ("date", D),
                                ("is_billable", I)),
     "title": _schema(("titleid", L), ("title_name", S)),
 }

@@ -1,4 +1,9 @@
-"""Containers for the source and staged relations passed between builders."""
+"""Containers for the source and staged relations passed between builders.
+
+Fields may be given as DataFrames or as zero-argument callables; a callable
+is invoked on first access and its result kept, so a builder that reads two
+relations never plans the other twelve.
+"""
 
 from __future__ import annotations
 
@@ -7,8 +12,34 @@ from dataclasses import dataclass, fields
 from pyspark.sql import DataFrame
 
 
+class _Lazy:
+    def __getattribute__(self, name):
+        v = object.__getattribute__(self, name)
+        if callable(v) and not isinstance(v, DataFrame) and name in type(self).__dataclass_fields__:
+            v = v()
+            object.__setattr__(self, name, v)
+        return v
+
+    def replace(self, **kw):
+        """Copy with some relations replaced, without planning the others."""
+        d = {f.name: object.__getattribute__(self, f.name) for f in fields(self)}
+        d.update(kw)
+        return type(self)(**d)
+
+
+class LazyDict(dict):
+    """dict whose callable values are invoked (once) on first lookup."""
+
+    def __getitem__(self, key):
+        v = super().__getitem__(key)
+        if callable(v) and not isinstance(v, DataFrame):
+            v = v()
+            super().__setitem__(key, v)
+        return v
+
+
 @dataclass
-class Sources:
+class Sources(_Lazy):
     businessunit: DataFrame
     client: DataFrame
     client_feedback: DataFrame
@@ -29,7 +60,7 @@ class Sources:
 
 
 @dataclass
-class Staged:
+class Staged(_Lazy):
     businessunit: DataFrame
     client: DataFrame
     client_feedback: DataFrame
