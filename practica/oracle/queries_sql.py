@@ -330,7 +330,8 @@ HR_CTES = {
       FROM a14 h JOIN th x ON x.consultant_id = h.consultant_id AND x.startdate IS NOT NULL
        AND x.startdate <= last_day(h.month)""",
     "hr_util": f"""SELECT {sk('h.consultant_id', ts_key('h.month'))} AS HR_record_key,
-        h.consultant_id, cd.consultant_key, c.business_unit_id, bd.unitkey AS business_unit_key,
+        h.consultant_id, h.month AS snapshot_month, cd.consultant_key, c.business_unit_id,
+        bd.unitkey AS business_unit_key,
         d.date, t.titlehistory_key, h.billable_hours, h.non_billable_hours, h.total_hours,
         h.billable_hours_percentage
       FROM a14 h

@@ -201,7 +201,8 @@ def hr_utilization(st: Staged, marts: Marts, sem: Semantics = Semantics(),
                "left"))
     return j.select(
         surrogate_key(F.col("consultant_id"), ts_to_key(F.col("month"))).alias("HR_record_key"),
-        "consultant_id", "consultant_key", "business_unit_id", "business_unit_key",
+        "consultant_id", F.col("month").alias("snapshot_month"), "consultant_key",
+        "business_unit_id", "business_unit_key",
         calendar_date(F.col("month"), sem).alias("date"), "titlehistory_key",
         "billable_hours", "non_billable_hours", "total_hours", "billable_hours_percentage")
 
