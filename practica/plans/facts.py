@@ -212,8 +212,14 @@ def hr_deliverable_bridge(st: Staged, marts: Marts, sem: Semantics = Semantics()
     hours. A consultant with no time entry keeps one row with NULL deliverable."""
     who = st.non_billable_hours.select("consultant_id").distinct()
     worked = st.time_entry.select("consultant_id", "deliverable_id").distinct()
+    # who ⟕ worked, written as a semi join (the big, possibly skewed side is
+    # the probe side, which adaptive execution may split) plus the consultants
+    # with no entry at all (a small anti join).
+    linked = worked.join(who, "consultant_id", "left_semi")
+    idle = (who.join(worked.select("consultant_id").distinct(), "consultant_id", "left_anti")
+            .select("consultant_id", F.lit(None).cast("long").alias("deliverable_id")))
     dd = versions(marts.deliverable, sem).select(F.col("deliverable_id").alias("d_id"), "deliverable_key")
-    return (who.join(worked, "consultant_id", "left")
+    return (linked.unionByName(idle)
             .join(dd, F.col("deliverable_id") == F.col("d_id"), "left")
             .select("consultant_id", "deliverable_id", "deliverable_key"))
 
