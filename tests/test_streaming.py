@@ -1,0 +1,30 @@
+import datetime as dt
+
+from practica.operators import measures as m
+from practica.operators.staging import stage_all
+from practica.sources.schemas import SOURCE_SCHEMAS
+from practica.streaming.feed import land_source, read_landed
+from tests import tiny
+
+
+def test_landed_batches_feed_the_measures(spark, tmp_path):
+    landing, store, ckpt = (str(tmp_path / n) for n in ("landing", "store", "ckpt"))
+    rows = tiny.rows()["project_expense"]
+    schema = SOURCE_SCHEMAS["project_expense"]
+    spark.createDataFrame(rows[:2], schema).write.parquet(f"{landing}/f1")
+    seen = []
+    q = land_source(spark, "project_expense", f"{landing}/*", store, ckpt, on_batch=seen.append)
+    q.awaitTermination(120)
+    assert read_landed(spark, "project_expense", store).count() == 2
+
+    spark.createDataFrame(rows[2:], schema).write.parquet(f"{landing}/f2")
+    q = land_source(spark, "project_expense", f"{landing}/*", store, ckpt, on_batch=seen.append)
+    q.awaitTermination(120)
+    landed = read_landed(spark, "project_expense", store)
+    assert landed.count() == len(rows) and len(seen) == 2      # second run only read the new file
+
+    src = tiny.sources(spark).replace(project_expense=landed)
+    st = stage_all(src)
+    got = {(r.project_id, r.month): r.project_expenses_per_month
+           for r in m.project_expense_month(st).collect()}
+    assert float(got[(100, dt.date(2024, 2, 1))]) == 20.0
