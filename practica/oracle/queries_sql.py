@@ -440,6 +440,55 @@ def oracle_queries() -> dict[str, str]:
       FROM (SELECT DISTINCT unit_id, client_id FROM stg_project WHERE unit_id IS NOT NULL) p
       LEFT JOIN dim_client c ON p.client_id = c.client_id AND c.valid_to IS NULL""")
 
+    for f in ("businessunit", "client", "client_feedback", "consultant", "time_entry",
+              "title_assignment", "deliverable", "indirect_cost", "non_billable_hours", "payroll",
+              "billing_rate", "project_expense", "title"):
+        q[f"staging_{f}"] = _wrap({}, f"SELECT * FROM stg_{f}")
+
+    # Semantics variants
+    literal = {k: v.replace(COMPLETED, "'Completed'") for k, v in measures().items()}
+    q["fixed_revenue_literal_status"] = _wrap(literal, "SELECT * FROM a1")
+    q["tm_incomplete_literal_status"] = _wrap(literal, "SELECT * FROM a6")
+    all_pairs = DIMS["dim_title_history"]
+    all_pairs = all_pairs[:all_pairs.index("AND greatest(a.valid_from")] + ")"
+    q["dim_title_history_all_pairs"] = _wrap({**DIMS, "dim_title_history_all": all_pairs},
+                                             "SELECT * FROM dim_title_history_all")
+    fin = finance_fact_ctes("fin")
+    fin["fin_keys"] = """SELECT DISTINCT unit_id, month FROM (
+        SELECT unit_id, month FROM fin_a7 UNION ALL SELECT unit_id, month FROM fin_a8
+        UNION ALL SELECT unit_id, month FROM fin_a9 UNION ALL SELECT unit_id, month FROM fin_a13)"""
+    fin["fin_any"] = f"""SELECT {sk('k.unit_id', ts_key('k.month'))} AS row_key,
+        fbud.unitkey AS unit_key,
+        CAST(peb.monthly_amount AS DECIMAL(38,4)) AS direct_project_expenses,
+        CAST(dcb.total_billable_consultant_cost AS DECIMAL(38,4)) AS direct_billable_consultant_cost,
+        CAST(peb.monthly_amount + dcb.total_billable_consultant_cost AS DECIMAL(38,4)) AS total_direct_cost,
+        CAST(icb.total_non_proj_labor_costs AS DECIMAL(38,4)) AS indirect_nonbillable_consultant_cost,
+        CAST(icb.total_other_expense_costs AS DECIMAL(38,4)) AS indirect_other_expense_cost,
+        CAST(icb.total_non_proj_labor_costs + icb.total_other_expense_costs AS DECIMAL(38,4))
+          AS total_indirect_costs,
+        CAST(peb.monthly_amount + dcb.total_billable_consultant_cost + icb.total_non_proj_labor_costs
+             + icb.total_other_expense_costs AS DECIMAL(38,4)) AS total_expenses,
+        CAST(tbpr.total_revenue AS DECIMAL(38,4)) AS total_revenue,
+        CAST(tbpr.total_revenue - (peb.monthly_amount + dcb.total_billable_consultant_cost
+             + icb.total_non_proj_labor_costs + icb.total_other_expense_costs) AS DECIMAL(38,4)) AS profit,
+        k.month AS date
+      FROM fin_keys k
+      JOIN cal dd ON dd.date = k.month
+      LEFT JOIN fin_a7 peb ON peb.unit_id IS NOT DISTINCT FROM k.unit_id AND peb.month = k.month
+      LEFT JOIN fin_a8 dcb ON dcb.unit_id IS NOT DISTINCT FROM k.unit_id AND dcb.month = k.month
+      LEFT JOIN fin_a9 icb ON icb.unit_id IS NOT DISTINCT FROM k.unit_id AND icb.month = k.month
+      LEFT JOIN fin_a13 tbpr ON tbpr.unit_id IS NOT DISTINCT FROM k.unit_id AND tbpr.month = k.month
+      LEFT JOIN dim_bu fbud ON k.unit_id = fbud.unitid AND fbud.valid_to IS NULL"""
+    q["fact_finance_any_anchor"] = _wrap({**DIMS, **fin}, "SELECT * FROM fin_any")
+    frac = dict(PROJECT_FACT)
+    frac["pj"] = frac["pj"].replace(
+        f"/ nullif(l.percent_complete, 0)) AS INTEGER)",
+        f"* 100.0 / CAST(nullif(l.percent_complete, 0) AS DOUBLE)) AS INTEGER)")
+    frac["pf"] = frac["pf"].replace("/ CAST(nullif(percent_complete, 0) AS DOUBLE)",
+                                    "/ (CAST(nullif(percent_complete, 0) AS DOUBLE) / 100)")
+    assert frac["pj"] != PROJECT_FACT["pj"] and frac["pf"] != PROJECT_FACT["pf"]
+    q["fact_project_fraction"] = _wrap({**DIMS, **measures(), **frac}, "SELECT * FROM project_fact")
+
     # I1 + I4: target from expenses before the split month, batch with a
     # one-month lookback from its own latest month, merged on row_key
     merge_ctes = {

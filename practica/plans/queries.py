@@ -79,6 +79,19 @@ def staging_project(c: Context) -> DataFrame:
     return c.st.project
 
 
+def _staged(field: str):
+    def q(c: Context) -> DataFrame:
+        return getattr(c.st, field)
+    q.__name__ = f"staging_{field}"
+    q.__doc__ = f"S1-S14: the staged {field} relation."
+    return q
+
+
+STAGED_FIELDS = ("businessunit", "client", "client_feedback", "consultant", "time_entry",
+                 "title_assignment", "deliverable", "indirect_cost", "non_billable_hours", "payroll",
+                 "billing_rate", "project_expense", "title")
+
+
 def calendar(c: Context) -> DataFrame:
     """Calendar spanning whole years around every order and ship date."""
     o = read_driver(c.spark, c.sf_dir, "orders").select(F.to_date("o_orderdate").alias("d"))
@@ -163,6 +176,16 @@ def dim_title_history(c): return c.marts.title_history
 
 # ------------------------------------------------------------------ facts
 def fact_finance(c): return facts.finance_fact(c.st, c.marts, c.sem)
+def fact_finance_any_anchor(c): return facts.finance_fact(c.st, c.marts, c.sem.with_(anchor="any"))
+def fact_project_fraction(c): return facts.project_fact(c.st, c.marts, c.sem.with_(percent_scale="fraction"))
+def fixed_revenue_literal_status(c):
+    return m.fixed_revenue_month(c.st, c.sem.with_(status_match="literal"))
+def tm_incomplete_literal_status(c):
+    return m.tm_incomplete_month(c.st, c.sem.with_(status_match="literal"))
+def dim_title_history_all_pairs(c):
+    from practica.operators.dims import title_history_dim
+    return title_history_dim(c.marts.histories["title_assignment"], c.marts.histories["title"],
+                             c.sem.with_(overlap_only=False))
 def fact_business_dev(c): return facts.business_dev_fact(c.st, c.marts, c.sem)
 def fact_project(c): return facts.project_fact(c.st, c.marts, c.sem)
 def hr_utilization(c): return facts.hr_utilization(c.st, c.marts, c.sem)
@@ -264,6 +287,7 @@ def check_patterns(c: Context) -> DataFrame:
 
 REGISTRY: dict[str, Callable[[Context], DataFrame]] = {
     "staging_project": staging_project,
+    **{f"staging_{f}": _staged(f) for f in STAGED_FIELDS},
     "calendar": calendar,
     "surrogate_keys": surrogate_keys,
     "project_row_key": project_row_keys,
@@ -293,6 +317,11 @@ REGISTRY: dict[str, Callable[[Context], DataFrame]] = {
     "dim_title_history": dim_title_history,
     "fact_project": fact_project,
     "fact_finance": fact_finance,
+    "fact_finance_any_anchor": fact_finance_any_anchor,
+    "fact_project_fraction": fact_project_fraction,
+    "fixed_revenue_literal_status": fixed_revenue_literal_status,
+    "tm_incomplete_literal_status": tm_incomplete_literal_status,
+    "dim_title_history_all_pairs": dim_title_history_all_pairs,
     "fact_business_dev": fact_business_dev,
     "hr_utilization": hr_utilization,
     "hr_deliverable_bridge": hr_deliverable_bridge,
