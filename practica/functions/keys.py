@@ -41,6 +41,14 @@ def project_row_key(project_id, month) -> Column:
         F.coalesce(F.date_format(_c(month), ROW_KEY_DATE_FORMAT), F.lit(""))))
 
 
+def ntz(value) -> Column:
+    """A TIMESTAMP_NTZ literal built from text, so it never depends on the
+    session or process time zone (``F.lit(datetime)`` would)."""
+    if value is None:
+        return F.lit(None).cast("timestamp_ntz")
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def month_start(c) -> Column:
     """date_trunc('month', c)::date"""
     return F.trunc(_c(c), "month")

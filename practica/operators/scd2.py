@@ -25,6 +25,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from practica.functions.keys import ntz
+
 VALID_FROM, VALID_TO = "valid_from", "valid_to"
 OPEN_END = dt.datetime(9999, 12, 31)
 
@@ -60,7 +62,7 @@ class DuplicateKeyError(ValueError):
 
 
 def _ts(value) -> Column:
-    return F.lit(value).cast("timestamp_ntz")
+    return ntz(value)
 
 
 def duplicate_keys(df: DataFrame, key: str | list[str]) -> DataFrame:

@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from practica.functions.keys import month_start, project_row_key, surrogate_key, ts_to_key
+from practica.functions.keys import month_start, ntz, project_row_key, surrogate_key, ts_to_key
 from practica.operators import measures as m
 from practica.operators.dims import versions
 from practica.operators.incremental import last_update_watermark, month_cutoff
@@ -244,7 +244,7 @@ def project_fact(st: Staged, marts: Marts, sem: Semantics = Semantics(),
     """
     src = st.project
     if target is not None:
-        src = src.filter(F.col("last_update") > F.lit(last_update_watermark(target)))
+        src = src.filter(F.col("last_update") > ntz(last_update_watermark(target)))
     l = m.latest_project(src, sem).withColumn("month", month_start("last_update"))
 
     monthly = _merge_measures(["project_id", "month"], [

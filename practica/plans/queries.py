@@ -15,7 +15,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from practica.functions.keys import month_start, project_row_key, surrogate_key, ts_to_key
+from practica.functions.keys import month_start, ntz, project_row_key, surrogate_key, ts_to_key
 from practica.operators import measures as m
 from practica.operators import quality as q
 from practica.operators.calendar import date_dim_between
@@ -60,7 +60,11 @@ _CONTEXTS: dict[tuple, Context] = {}
 def context(spark: SparkSession, sf_dir: str, sem: Semantics = DRIVER_SEMANTICS) -> Context:
     """One context per (session, directory, semantics): DataFrames are
     immutable plans, so queries share the staged relations and their analysis."""
-    key = (spark._jsparkSession.hashCode(), sf_dir.rstrip("/"), sem)
+    try:
+        sid = spark._jsparkSession.hashCode()
+    except Exception:  # sessions without a JVM handle
+        sid = id(spark)
+    key = (sid, sf_dir.rstrip("/"), sem)
     if key not in _CONTEXTS:
         _CONTEXTS[key] = Context(spark, sf_dir, sem)
     return _CONTEXTS[key]
@@ -211,7 +215,7 @@ def cutoff_last_update(c: Context) -> DataFrame:
     """Project fact stored for projects updated before 1999 (or never);
     the incremental run takes projects updated after the stored maximum."""
     old = _staged_with(c.st, project=c.st.project.filter(
-        (F.col("last_update") < F.lit(PROJECT_SPLIT_TS)) | F.col("last_update").isNull()))
+        (F.col("last_update") < ntz(PROJECT_SPLIT_TS)) | F.col("last_update").isNull()))
     target = facts.project_fact(old, c.marts, c.sem)
     updates = facts.project_fact(c.st, c.marts, c.sem, target=target)
     return merge_upsert(target, updates, "row_key", validate=False)
