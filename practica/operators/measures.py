@@ -118,9 +118,13 @@ def satisfaction_month(st: Staged) -> DataFrame:
     """A4: average feedback score by feedback client, project unit, start month."""
     p = st.project.select("project_id", "unit_id",
                           month_start(F.coalesce("actual_start_date", "planned_start_date")).alias("month"))
-    cf = st.client_feedback.select("project_id", "client_id", "overall_satisfaction")
+    # feedback reduced to (project, client) sums and counts before the join;
+    # avg = sum of sums / sum of counts (NULL scores are skipped by both)
+    cf = (st.client_feedback.groupBy("project_id", "client_id")
+          .agg(F.sum("overall_satisfaction").alias("s"), F.count("overall_satisfaction").alias("n")))
     return (p.join(cf, "project_id", "inner").groupBy("client_id", "unit_id", "month")
-            .agg(F.avg("overall_satisfaction").alias("average_satisfaction")))
+            .agg((F.sum("s").cast("double") / F.nullif(F.sum("n"), F.lit(0)))
+                 .alias("average_satisfaction")))
 
 
 def tm_incomplete_month(st: Staged, sem: Semantics = Semantics()) -> DataFrame:

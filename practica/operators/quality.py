@@ -35,11 +35,13 @@ class RowCheck:
 
 @dataclass
 class SetCheck:
-    """A check that needs a grouping or a second relation."""
+    """A check that needs a grouping or a second relation. ``weight`` names a
+    column holding how many rows each failing row stands for (pre-aggregated)."""
     name: str
     relation: str
     column: str
     failing: DataFrame = field(repr=False)
+    weight: str | None = None
 
     def failures(self) -> DataFrame:
         return self.failing
@@ -101,10 +103,15 @@ def unique(rel: str, df: DataFrame, col: str) -> SetCheck:
 
 
 def relationships(rel: str, df: DataFrame, col: str, parent: DataFrame, parent_col: str) -> SetCheck:
-    """Child rows whose non-NULL key has no parent row (anti join)."""
+    """Child rows whose non-NULL key has no parent row.
+
+    Child keys are reduced to (key, rows) first, so the anti join sees one
+    row per distinct key however skewed the child is; failures() returns the
+    orphan keys with their row counts."""
     p = parent.select(F.col(parent_col).alias("_pk")).filter(F.col("_pk").isNotNull()).distinct()
-    bad = df.filter(F.col(col).isNotNull()).join(p, F.col(col) == F.col("_pk"), "left_anti")
-    return SetCheck("relationships", rel, col, bad)
+    keys = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_rows"))
+    bad = keys.join(p, F.col(col) == F.col("_pk"), "left_anti")
+    return SetCheck("relationships", rel, col, bad, weight="_rows")
 
 
 # -------------------------------------------------------------- runner
@@ -131,7 +138,8 @@ def summarize(checks: list) -> DataFrame:
         parts.append(counted.select(F.inline(rows)))
     for ck in checks:
         if isinstance(ck, SetCheck):
-            parts.append(ck.failing.agg(F.count(F.lit(1)).cast("long").alias("failures")).select(
+            n = F.sum(ck.weight) if ck.weight else F.count(F.lit(1))
+            parts.append(ck.failing.agg(F.coalesce(n, F.lit(0)).cast("long").alias("failures")).select(
                 F.lit(ck.name).alias("check"), F.lit(ck.relation).alias("relation"),
                 F.lit(ck.column).alias("column_name"), "failures"))
     return reduce(lambda a, b: a.unionByName(b), parts)
