@@ -19,7 +19,6 @@ from practica.functions.keys import month_start, ntz, project_row_key, surrogate
 from practica.operators import measures as m
 from practica.operators import quality as q
 from practica.operators.calendar import date_dim_between
-from practica.operators.dims import current
 from practica.operators.incremental import merge_upsert
 from practica.operators.scd2 import SNAPSHOTS, scd2_snapshot
 from practica.operators.staging import stage_all
