@@ -364,6 +364,71 @@ def _orphans(rel: str, col: str, parent: str, pcol: str) -> str:
             f"(SELECT 1 FROM {parent} y WHERE y.{pcol} = x.{col})")
 
 
+CATALOG_CTES = {
+    "date_dim": f"""SELECT d AS date, CAST(year(d) AS INTEGER) AS year,
+        CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month,
+        monthname(d) AS month_name, dayname(d) AS day_name,
+        CAST(dayofweek(d) + 1 AS INTEGER) AS day_of_week, CAST(weekofyear(d) AS INTEGER) AS week,
+        CASE WHEN dayofweek(d) + 1 IN (1, 7) THEN 'Weekend' ELSE 'Weekday' END AS is_weekend
+      FROM (SELECT CAST(g AS DATE) AS d FROM generate_series({CAL_START}, {CAL_END}, INTERVAL 1 DAY) AS s(g))""",
+    "bd_bu": "SELECT unitkey AS business_unit_key, unitid, name, valid_from, valid_to FROM dim_bu",
+    "bd_fact": BD_FACT,
+    "hr_db": """SELECT w.consultant_id, te.deliverable_id, dd.deliverable_key
+      FROM (SELECT DISTINCT consultant_id FROM stg_non_billable_hours) w
+      LEFT JOIN (SELECT DISTINCT consultant_id, deliverable_id FROM stg_time_entry) te
+        ON w.consultant_id = te.consultant_id
+      LEFT JOIN dim_deliverable dd ON te.deliverable_id = dd.deliverable_id AND dd.valid_to IS NULL""",
+    "hr_cb": """SELECT p.unit_id AS business_unit_id, p.client_id, c.client_key
+      FROM (SELECT DISTINCT unit_id, client_id FROM stg_project WHERE unit_id IS NOT NULL) p
+      LEFT JOIN dim_client c ON p.client_id = c.client_id AND c.valid_to IS NULL""",
+}
+
+CATALOG_TABLES = {
+    "bd_date_dim": "date_dim", "hr_date_dim": "date_dim", "project_date_dim": "date_dim",
+    "bd_business_unit_dim": "bd_bu", "businessunit_dim": "dim_bu", "client_dim": "dim_client",
+    "consultant_dim": "dim_consultant", "deliverable_dim": "dim_deliverable",
+    "project_dim": "dim_project", "business_dev_fact": "bd_fact", "hr_utilization": "hr_util",
+    "hr_deliverable_bridge": "hr_db", "hr_client_bridge": "hr_cb", "project_fact": "project_fact",
+}
+
+
+def _sql_lit(v) -> str:
+    return f"'{v}'" if isinstance(v, str) else str(v)
+
+
+def catalog_sql() -> str:
+    """The declared-test catalog rendered as failure counts."""
+    from practica.plans.check_catalog import CATALOG
+    names = {"accepted": "accepted_values", "relationship": "relationships"}
+    rows = []
+    for rel, col, test, arg in CATALOG:
+        t = CATALOG_TABLES[rel]
+        if test == "not_null":
+            n = _cnt(t, f"{col} IS NULL")
+        elif test == "unique":
+            n = _dup(t, col)
+        elif test == "accepted":
+            n = _cnt(t, f"{col} IS NOT NULL AND {col} NOT IN ({', '.join(map(_sql_lit, arg))})")
+        elif test == "relationship":
+            n = _orphans(t, col, CATALOG_TABLES[arg[0]], arg[1])
+        elif test == "between_0_and_100":
+            n = _cnt(t, f"{col} < 0 OR {col} > 100")
+        elif test in ("non_negative", "price_non_negative"):
+            n = _cnt(t, f"{col} < 0")
+        elif test == "end_after_start_or_null":
+            n = _cnt(t, f"{col} IS NOT NULL AND {arg} IS NOT NULL AND {col} < {arg}")
+        elif test == "end_strictly_after_start":
+            n = _cnt(t, f"{col} IS NOT NULL AND {col} <= {arg}")
+        elif test == "phone_pattern":
+            n = _cnt(t, f"{col} IS NOT NULL AND NOT regexp_matches({col}, '{PHONE}')")
+        elif test == "email_pattern":
+            n = _cnt(t, f"{col} IS NOT NULL AND NOT regexp_matches({col}, '{EMAIL}')")
+        else:
+            raise ValueError(test)
+        rows.append((names.get(test, test), rel, col, n))
+    return _project_fact_query(_checks_sql(rows), extra={**HR_CTES, **CATALOG_CTES})
+
+
 def oracle_queries() -> dict[str, str]:
     q: dict[str, str] = {}
     q["staging_project"] = _wrap({}, "SELECT * FROM stg_project")
@@ -538,6 +603,7 @@ def oracle_queries() -> dict[str, str]:
            ("planned_duration_days", "actual_duration_days", "hours_spent", "project_expenses_per_month",
             "consultant_hour_costs_per_month", "total_expenses", "forecasted_cost",
             "revenue_received_per_month")]))
+    q["check_catalog"] = catalog_sql()
     q["check_dates"] = _wrap(DIMS, _checks_sql([
         ("end_after_start_or_null", "project_dim", "planned_end_date",
          _cnt(pd_, "planned_end_date IS NOT NULL AND planned_start_date IS NOT NULL "

@@ -288,6 +288,41 @@ def check_patterns(c: Context) -> DataFrame:
                         q.phone_pattern("consultant_dim", co, "contact")])
 
 
+def catalog_relations(c: Context) -> dict[str, DataFrame]:
+    """Every relation the declared data tests name, built from the driver tables."""
+    from practica.operators.calendar import date_dim
+    cal = date_dim(c.spark, c.sem.calendar_start, c.sem.calendar_end)
+    bu = c.marts.business_unit
+    return {
+        "bd_date_dim": cal, "hr_date_dim": cal, "project_date_dim": cal,
+        "bd_business_unit_dim": bu.withColumnRenamed("unitkey", "business_unit_key"),
+        "businessunit_dim": bu,
+        "client_dim": c.marts.client,
+        "consultant_dim": c.marts.consultant,
+        "deliverable_dim": c.marts.deliverable,
+        "project_dim": c.marts.project,
+        "business_dev_fact": facts.business_dev_fact(c.st, c.marts, c.sem),
+        "hr_utilization": facts.hr_utilization(c.st, c.marts, c.sem),
+        "hr_deliverable_bridge": facts.hr_deliverable_bridge(c.st, c.marts, c.sem),
+        "hr_client_bridge": facts.hr_client_bridge(c.st, c.marts, c.sem),
+        "project_fact": facts.project_fact(c.st, c.marts, c.sem),
+    }
+
+
+def check_catalog(c: Context) -> DataFrame:
+    """Q1-Q12: every declared data test of the four marts.
+
+    The facts are checkpointed once (each feeds many checks), as the build
+    checks stored facts."""
+    from practica.plans.check_catalog import run_catalog
+    from practica.session import materialize
+    rels = catalog_relations(c)
+    for name in ("business_dev_fact", "hr_utilization", "hr_deliverable_bridge", "hr_client_bridge",
+                 "project_fact", "deliverable_dim"):
+        rels[name] = materialize(rels[name])
+    return run_catalog(rels)
+
+
 REGISTRY: dict[str, Callable[[Context], DataFrame]] = {
     "staging_project": staging_project,
     **{f"staging_{f}": _staged(f) for f in STAGED_FIELDS},
@@ -338,6 +373,7 @@ REGISTRY: dict[str, Callable[[Context], DataFrame]] = {
     "check_range": check_range,
     "check_dates": check_dates,
     "check_patterns": check_patterns,
+    "check_catalog": check_catalog,
 }
 
 

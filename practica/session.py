@@ -61,3 +61,11 @@ def shared_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="practica-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+def materialize(df):
+    """Reliable checkpoint into the shared folder (``spark.checkpoint.dir``):
+    computes ``df`` once and cuts its lineage, so several consumers read the
+    stored result and a lost executor does not recompute the plan above it."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
