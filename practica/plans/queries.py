@@ -24,6 +24,7 @@ from practica.operators.scd2 import SNAPSHOTS, scd2_snapshot
 from practica.operators.staging import stage_all
 from practica.plans import facts
 from practica.plans.marts import Marts, build_marts, snapshot_all
+from practica.session import materialize
 from practica.semantics import DRIVER_SEMANTICS, SNAPSHOT_TS, Semantics
 from practica.sources.driver_tables import read_driver, sources_from_driver
 from practica.sources.tables import Staged
@@ -312,10 +313,9 @@ def catalog_relations(c: Context) -> dict[str, DataFrame]:
 def check_catalog(c: Context) -> DataFrame:
     """Q1-Q12: every declared data test of the four marts.
 
-    The facts are checkpointed once (each feeds many checks), as the build
-    checks stored facts."""
+    The facts are written once to the shared folder (each feeds many
+    checks), as the build checks stored facts."""
     from practica.plans.check_catalog import run_catalog
-    from practica.session import materialize
     rels = catalog_relations(c)
     for name in ("business_dev_fact", "hr_utilization", "hr_deliverable_bridge", "hr_client_bridge",
                  "project_fact", "deliverable_dim"):

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -63,9 +64,15 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
-def materialize(df):
-    """Reliable checkpoint into the shared folder (``spark.checkpoint.dir``):
-    computes ``df`` once and cuts its lineage, so several consumers read the
-    stored result and a lost executor does not recompute the plan above it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df, name: str = "materialized"):
+    """Write ``df`` once as a parquet table in the shared folder
+    (``spark.checkpoint.dir``) and return the stored table.
+
+    Cuts the lineage: consumers read stored files, and a lost executor does
+    not recompute the plan above it. (A reliable ``checkpoint()`` without a
+    persist computes its input twice; a written table computes it once.)
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/{name}/{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
