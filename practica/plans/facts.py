@@ -185,9 +185,10 @@ def hr_utilization(st: Staged, marts: Marts, sem: Semantics = Semantics(),
     links are the two bridges below, joined on demand.
     """
     h = m.consultant_hours_month(st)
-    if target is not None:  # I3; rows outside the calendar have a NULL date and drop
+    if target is not None:  # I3 on the fact's date: months outside the calendar (NULL date) drop
         cutoff = month_cutoff(target, "date")
-        h = h.filter(F.col("month") >= F.lit(cutoff)) if cutoff else h.filter(F.lit(False))
+        h = (h.filter((F.col("month") >= F.lit(cutoff)) & in_calendar(F.col("month"), sem))
+             if cutoff else h.filter(F.lit(False)))
     cd = versions(marts.consultant, sem).select(F.col("consultant_id").alias("cd_id"), "consultant_key")
     unit = st.consultant.select(F.col("consultant_id").alias("u_id"), F.col("business_unit_id"))
     bu = versions(marts.business_unit, sem).select("unitid", F.col("unitkey").alias("business_unit_key"))
