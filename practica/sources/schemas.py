@@ -88,3 +88,14 @@ def read_source(spark, name: str, path: str, fmt: str = "parquet") -> DataFrame:
     """Read one source with its declared schema (no inference) and conform it."""
     df = spark.read.format(fmt).schema(SOURCE_SCHEMAS[name]).load(path)
     return conform(name, df)
+
+
+def read_sources(spark, root: str, fmt: str = "parquet", paths: dict[str, str] | None = None):
+    """The source registry: all 14 operational tables under ``root/<name>``
+    (or at ``paths[name]``), each read lazily with its declared schema."""
+    from practica.sources.tables import Sources
+
+    def reader(name):
+        path = (paths or {}).get(name, f"{root.rstrip('/')}/{name}")
+        return lambda: read_source(spark, name, path, fmt)
+    return Sources(**{name: reader(name) for name in SOURCE_SCHEMAS})

@@ -86,3 +86,15 @@ def test_entry_contract(spark):
     assert df.count() > 0
     assert "row_key" in df.columns
     assert set(E.queries()) == set(E.oracle_sql())
+
+
+def test_source_registry_round_trip(spark, tmp_path):
+    from practica.operators.staging import stage_all
+    from practica.sources.schemas import read_sources
+    from tests import tiny
+    src = tiny.sources(spark)
+    for name, df in src.items():
+        df.write.parquet(str(tmp_path / name))
+    back = read_sources(spark, str(tmp_path))
+    assert back.project.count() == 4 and back.deliverable.schema == src.deliverable.schema
+    assert stage_all(back).time_entry.count() == 6
