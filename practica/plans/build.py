@@ -13,7 +13,8 @@ Layout::
     <root>/snapshots/<name>/v=<n>     SCD2 histories
     <root>/dims/<name>/v=<n>          mart dimensions
     <root>/facts/<name>/v=<n>         facts (partitioned by month)
-    <root>/checks/v=<n>               check summary
+    <root>/facts/hr_*_bridge/v=<n>    HR bridges (full rebuild)
+    <root>/checks/v=<n>               declared-test summary
 """
 
 from __future__ import annotations
@@ -41,6 +42,10 @@ FACTS = {
     "project": (facts.project_fact, "row_key", None),
     "hr_utilization": (facts.hr_utilization, "HR_record_key", None),
 }
+BRIDGES = {
+    "hr_deliverable_bridge": facts.hr_deliverable_bridge,
+    "hr_client_bridge": facts.hr_client_bridge,
+}
 
 
 @dataclass
@@ -84,19 +89,35 @@ def fact_layer(spark: SparkSession, st: Staged, marts: Marts, root: str,
     return paths
 
 
-def check_layer(spark: SparkSession, marts: Marts, root: str) -> DataFrame:
-    from practica.operators import quality as q
-    pf = read_current(spark, f"{root}/facts/project")
-    checks = [q.not_null("project_fact", pf, c) for c in ("row_key", "project_id", "project_key")]
-    checks += [q.unique("project_fact", pf, "row_key"),
-               q.unique("project_dim", marts.project, "project_key"),
-               q.accepted_values("project_dim", marts.project, "type", ["Fixed", "Time and Material"]),
-               q.between_0_and_100("project_fact", pf, "percent_complete"),
-               q.relationships("project_fact", pf, "project_key", marts.project, "project_key"),
-               q.phone_pattern("client_dim", marts.client, "phone_number"),
-               q.email_pattern("client_dim", marts.client, "email"),
-               q.phone_pattern("consultant_dim", marts.consultant, "contact")]
-    write_version(q.summarize(checks), f"{root}/checks")
+def bridge_layer(spark: SparkSession, st: Staged, marts: Marts, root: str,
+                 sem: Semantics) -> dict[str, str]:
+    """The HR many-to-many links, rebuilt in full each run (no unique key)."""
+    return {name: write_version(fn(st, marts, sem), f"{root}/facts/{name}")
+            for name, fn in BRIDGES.items()}
+
+
+def stored_relations(spark: SparkSession, root: str, sem: Semantics) -> dict[str, DataFrame]:
+    """Current stored versions under the names the declared tests use."""
+    from practica.operators.calendar import date_dim
+    cal = date_dim(spark, sem.calendar_start, sem.calendar_end)
+    dim = {n: read_current(spark, f"{root}/dims/{n}") for n in DIMENSIONS}
+    fact = {n: read_current(spark, f"{root}/facts/{n}") for n in (*FACTS, *BRIDGES)}
+    return {
+        "bd_date_dim": cal, "hr_date_dim": cal, "project_date_dim": cal,
+        "bd_business_unit_dim": dim["business_unit"].withColumnRenamed("unitkey", "business_unit_key"),
+        "businessunit_dim": dim["business_unit"], "client_dim": dim["client"],
+        "consultant_dim": dim["consultant"], "deliverable_dim": dim["deliverable"],
+        "project_dim": dim["project"], "business_dev_fact": fact["business_dev"],
+        "hr_utilization": fact["hr_utilization"], "project_fact": fact["project"],
+        "hr_deliverable_bridge": fact["hr_deliverable_bridge"],
+        "hr_client_bridge": fact["hr_client_bridge"],
+    }
+
+
+def check_layer(spark: SparkSession, root: str, sem: Semantics) -> DataFrame:
+    """Every declared data test over the stored marts; summary stored too."""
+    from practica.plans.check_catalog import run_catalog
+    write_version(run_catalog(stored_relations(spark, root, sem)), f"{root}/checks")
     return read_current(spark, f"{root}/checks")
 
 
@@ -110,4 +131,5 @@ def run_build(spark: SparkSession, sources: Sources, run_ts: dt.datetime,
     marts, dim_paths = dimension_layer(spark, root, sem)
     paths.update({f"dim/{k}": v for k, v in dim_paths.items()})
     paths.update({f"fact/{k}": v for k, v in fact_layer(spark, st, marts, root, sem).items()})
-    return BuildResult(root, paths, check_layer(spark, marts, root))
+    paths.update({f"fact/{k}": v for k, v in bridge_layer(spark, st, marts, root, sem).items()})
+    return BuildResult(root, paths, check_layer(spark, root, sem))
