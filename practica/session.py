@@ -30,6 +30,23 @@ SCALE_CONF = {
 }
 
 
+def cluster_conf(largest_shuffle_bytes: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings for a cluster run, sized from the largest expected shuffle.
+
+    The measures shuffle map-side partial aggregates, so the largest shuffle
+    is far smaller than the raw time entries; start with enough partitions
+    that each is ~``target_partition_bytes`` and let adaptive execution
+    coalesce small ones and split skewed ones.
+    """
+    parts = max(200, -(-largest_shuffle_bytes // target_partition_bytes))
+    return {
+        **SCALE_CONF,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+    }
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "practica", extra: dict | None = None) -> SparkSession:
     builder = (
