@@ -554,6 +554,25 @@ def oracle_queries() -> dict[str, str]:
     assert frac["pj"] != PROJECT_FACT["pj"] and frac["pf"] != PROJECT_FACT["pf"]
     q["fact_project_fraction"] = _wrap({**DIMS, **measures(), **frac}, "SELECT * FROM project_fact")
 
+    # two snapshot runs: every seventh project's price changes at the second
+    two = {k: (v.replace(SNAP_TS, RUN1_TS) if k.startswith("h_") else v) for k, v in DIMS.items()}
+    two["h_project"] = f"""
+        SELECT project_id, client_id, unit_id, project_name, project_type, price,
+               planned_start_date, planned_end_date, {RUN1_TS} AS valid_from,
+               CASE WHEN project_id % 7 = 0 AND price IS NOT NULL THEN {RUN2_TS} END AS valid_to
+        FROM stg_project
+        UNION ALL
+        SELECT project_id, client_id, unit_id, project_name, project_type,
+               CAST(price + 1 AS DECIMAL(18,2)), planned_start_date, planned_end_date,
+               {RUN2_TS}, CAST(NULL AS TIMESTAMP)
+        FROM stg_project WHERE project_id % 7 = 0 AND price IS NOT NULL"""
+    q["dim_deliverable_two_versions"] = _wrap(two, "SELECT * FROM dim_deliverable")
+    every = dict(PROJECT_FACT)
+    every["pj"] = (every["pj"].replace(" AND p.valid_to IS NULL", "")
+                   .replace(" AND c.valid_to IS NULL", "").replace(" AND b.valid_to IS NULL", ""))
+    assert every["pj"] != PROJECT_FACT["pj"]
+    q["fact_project_all_versions"] = _wrap({**two, **measures(), **every}, "SELECT * FROM project_fact")
+
     # I1 + I4: target from expenses before the split month, batch with a
     # one-month lookback from its own latest month, merged on row_key
     merge_ctes = {

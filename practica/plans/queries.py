@@ -170,6 +170,24 @@ def scd2_client_two_runs(c: Context) -> DataFrame:
     return scd2_snapshot(client_second_state(c.st), spec, CLIENT_RUN2_TS, h1)
 
 
+def two_snapshot_marts(c: Context) -> Marts:
+    """Histories from two runs: every seventh project's price changes at the
+    second run, so its history (and the pairs built on it) has two versions."""
+    h1 = snapshot_all(c.st, CLIENT_RUN1_TS)
+    p = c.st.project
+    changed = p.withColumn("price", F.when(F.col("project_id") % 7 == 0, F.col("price") + 1)
+                           .otherwise(F.col("price")).cast("decimal(18,2)"))
+    return build_marts(snapshot_all(c.st.replace(project=changed), CLIENT_RUN2_TS, h1), c.sem)
+
+
+def dim_deliverable_two_versions(c):
+    return two_snapshot_marts(c).deliverable
+
+
+def fact_project_all_versions(c):
+    return facts.project_fact(c.st, two_snapshot_marts(c), c.sem.with_(dim_version="all"))
+
+
 def dim_project(c): return c.marts.project
 def dim_client(c): return c.marts.client
 def dim_business_unit(c): return c.marts.business_unit
@@ -352,6 +370,8 @@ REGISTRY: dict[str, Callable[[Context], DataFrame]] = {
     "dim_business_unit": dim_business_unit,
     "dim_consultant": dim_consultant,
     "dim_deliverable": dim_deliverable,
+    "dim_deliverable_two_versions": dim_deliverable_two_versions,
+    "fact_project_all_versions": fact_project_all_versions,
     "dim_title_history": dim_title_history,
     "fact_project": fact_project,
     "fact_finance": fact_finance,
