@@ -17,7 +17,6 @@ COMPLETED_LITERAL = "Completed"
 COMPLETED_UPPER = "COMPLETED"
 TYPE_FIXED = "Fixed"
 TYPE_TM = "Time and Material"
-OPEN_END_SENTINEL = "9999-12-31 00:00:00"
 DEFAULT_CALENDAR_START = dt.date(2024, 1, 1)
 DEFAULT_CALENDAR_END = dt.date(2025, 12, 31)
 WATERMARK_FLOOR = dt.datetime(1900, 1, 1)

@@ -52,7 +52,6 @@ SOURCE_SCHEMAS: dict[str, T.StructType] = {
     "title": _schema(("titleid", L), ("title_name", S)),
 }
 
-SOURCE_NAMES = tuple(SOURCE_SCHEMAS)
 
 
 class SchemaMismatch(ValueError):
