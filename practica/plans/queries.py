@@ -53,6 +53,15 @@ class Context:
     def marts(self) -> Marts:
         return build_marts(snapshot_all(self.st, SNAPSHOT_TS), self.sem)
 
+    def fact(self, builder, sem: Semantics | None = None) -> DataFrame:
+        """A full-refresh fact plan, built once per (builder, semantics)."""
+        sem = sem or self.sem
+        memo = self.__dict__.setdefault("_facts", {})
+        key = (builder.__name__, sem)
+        if key not in memo:
+            memo[key] = builder(self.st, self.marts, sem)
+        return memo[key]
+
 
 _CONTEXTS: dict[tuple, Context] = {}
 
@@ -197,7 +206,7 @@ def dim_title_history(c): return c.marts.title_history
 
 
 # ------------------------------------------------------------------ facts
-def fact_finance(c): return facts.finance_fact(c.st, c.marts, c.sem)
+def fact_finance(c): return c.fact(facts.finance_fact)
 def fact_finance_any_anchor(c): return facts.finance_fact(c.st, c.marts, c.sem.with_(anchor="any"))
 def fact_project_fraction(c): return facts.project_fact(c.st, c.marts, c.sem.with_(percent_scale="fraction"))
 def fixed_revenue_literal_status(c):
@@ -208,11 +217,11 @@ def dim_title_history_all_pairs(c):
     from practica.operators.dims import title_history_dim
     return title_history_dim(c.marts.histories["title_assignment"], c.marts.histories["title"],
                              c.sem.with_(overlap_only=False))
-def fact_business_dev(c): return facts.business_dev_fact(c.st, c.marts, c.sem)
-def fact_project(c): return facts.project_fact(c.st, c.marts, c.sem)
-def hr_utilization(c): return facts.hr_utilization(c.st, c.marts, c.sem)
-def hr_deliverable_bridge(c): return facts.hr_deliverable_bridge(c.st, c.marts, c.sem)
-def hr_client_bridge(c): return facts.hr_client_bridge(c.st, c.marts, c.sem)
+def fact_business_dev(c): return c.fact(facts.business_dev_fact)
+def fact_project(c): return c.fact(facts.project_fact)
+def hr_utilization(c): return c.fact(facts.hr_utilization)
+def hr_deliverable_bridge(c): return c.fact(facts.hr_deliverable_bridge)
+def hr_client_bridge(c): return c.fact(facts.hr_client_bridge)
 
 
 def _staged_with(st: Staged, **repl) -> Staged:
@@ -225,7 +234,7 @@ def merge_upsert_fact(c: Context) -> DataFrame:
     early = _staged_with(c.st, project_expense=c.st.project_expense.filter(
         F.col("expense_date") < F.lit(MERGE_SPLIT_MONTH)))
     target = facts.finance_fact(early, c.marts, c.sem)
-    updates = facts.finance_fact(c.st, c.marts, c.sem, target=target)
+    updates = facts.finance_fact(c.st, c.marts, c.sem, target=target)  # batch: not memoized
     return merge_upsert(target, updates, "row_key", validate=False)
 
 
@@ -241,7 +250,7 @@ def cutoff_last_update(c: Context) -> DataFrame:
 
 # ------------------------------------------------------------------ checks
 def _pm_checks(c: Context) -> tuple[DataFrame, DataFrame]:
-    return facts.project_fact(c.st, c.marts, c.sem), c.marts.project
+    return c.fact(facts.project_fact), c.marts.project
 
 
 def check_not_null(c: Context) -> DataFrame:
@@ -320,11 +329,11 @@ def catalog_relations(c: Context) -> dict[str, DataFrame]:
         "consultant_dim": c.marts.consultant,
         "deliverable_dim": c.marts.deliverable,
         "project_dim": c.marts.project,
-        "business_dev_fact": facts.business_dev_fact(c.st, c.marts, c.sem),
-        "hr_utilization": facts.hr_utilization(c.st, c.marts, c.sem),
-        "hr_deliverable_bridge": facts.hr_deliverable_bridge(c.st, c.marts, c.sem),
-        "hr_client_bridge": facts.hr_client_bridge(c.st, c.marts, c.sem),
-        "project_fact": facts.project_fact(c.st, c.marts, c.sem),
+        "business_dev_fact": c.fact(facts.business_dev_fact),
+        "hr_utilization": c.fact(facts.hr_utilization),
+        "hr_deliverable_bridge": c.fact(facts.hr_deliverable_bridge),
+        "hr_client_bridge": c.fact(facts.hr_client_bridge),
+        "project_fact": c.fact(facts.project_fact),
     }
 
 
