@@ -49,12 +49,22 @@ def hours_by_deliverable_month(st: Staged, *extra: str) -> DataFrame:
             .agg(_sum("hours", "hours")))
 
 
-def hours_by_project_month(st: Staged, *extra: str) -> DataFrame:
+def hours_by_project_month(st: Staged, *extra: str, only: DataFrame | None = None) -> DataFrame:
     """Time entries -> (deliverable's project, month); NULL project when the
-    deliverable is unknown (left join, as the source)."""
+    deliverable is unknown (left join, as the source).
+
+    ``only`` (project_id, month) restricts the result to those keys: the
+    deliverables are narrowed to the keyed projects first and the entries
+    join them on (deliverable, month), so entries of other months never
+    reach the aggregation.
+    """
     d = st.deliverable.select("deliverable_id", "project_id")
-    return (hours_by_deliverable_month(st, *extra).join(d, "deliverable_id", "left")
-            .groupBy("project_id", *extra, "month").agg(_sum("hours", "hours")))
+    te = hours_by_deliverable_month(st, *extra)
+    if only is None:
+        j = te.join(d, "deliverable_id", "left")
+    else:
+        j = te.join(d.join(only, "project_id", "inner"), ["deliverable_id", "month"], "inner")
+    return j.groupBy("project_id", *extra, "month").agg(_sum("hours", "hours"))
 
 
 def rate_by_project(st: Staged) -> DataFrame:
@@ -249,20 +259,24 @@ def consultant_hours_month(st: Staged) -> DataFrame:
                     (b / F.nullif(b + nb, F.lit(0.0))).alias("billable_hours_percentage"))
 
 
-def project_hours_month(st: Staged) -> DataFrame:
+def project_hours_month(st: Staged, only: DataFrame | None = None) -> DataFrame:
     """Hours per deliverable's project and work month."""
-    return hours_by_project_month(st).withColumnRenamed("hours", "hours_spent")
+    return hours_by_project_month(st, only=only).withColumnRenamed("hours", "hours_spent")
 
 
-def project_expense_month(st: Staged) -> DataFrame:
-    """Expense per project and expense month."""
-    return (st.project_expense.groupBy("project_id", month_start("expense_date").alias("month"))
+def project_expense_month(st: Staged, only: DataFrame | None = None) -> DataFrame:
+    """Expense per project and expense month (``only``: keep those
+    (project_id, month) keys, filtered before the aggregation)."""
+    pe = st.project_expense.withColumn("month", month_start("expense_date"))
+    if only is not None:
+        pe = pe.join(only, ["project_id", "month"], "left_semi")
+    return (pe.groupBy("project_id", "month")
             .agg(F.sum("amount").cast(AMOUNT).alias("project_expenses_per_month")))
 
 
-def consultant_cost_month(st: Staged) -> DataFrame:
+def consultant_cost_month(st: Staged, only: DataFrame | None = None) -> DataFrame:
     """Hours x every payroll amount of the consultant, per project and month."""
-    hp = hours_by_project_month(st, "consultant_id")
+    hp = hours_by_project_month(st, "consultant_id", only=only)
     return (hp.join(payroll_by_consultant(st), "consultant_id", "left")
             .groupBy("project_id", "month")
             .agg(F.sum(F.col("hours") * F.col("amount_sum")).alias("consultant_hour_costs_per_month")))

@@ -248,10 +248,13 @@ def project_fact(st: Staged, marts: Marts, sem: Semantics = Semantics(),
         src = src.filter(F.col("last_update") > ntz(last_update_watermark(target)))
     l = m.latest_project(src, sem).withColumn("month", month_start("last_update"))
 
+    # monthly measures are needed only at each project's latest month: the
+    # inputs are narrowed to those keys before they are aggregated
+    only = l.select("project_id", "month").filter(F.col("month").isNotNull())
     monthly = _merge_measures(["project_id", "month"], [
-        (m.project_hours_month(st), ["hours_spent"]),
-        (m.project_expense_month(st), ["project_expenses_per_month"]),
-        (m.consultant_cost_month(st), ["consultant_hour_costs_per_month"]),
+        (m.project_hours_month(st, only), ["hours_spent"]),
+        (m.project_expense_month(st, only), ["project_expenses_per_month"]),
+        (m.consultant_cost_month(st, only), ["consultant_hour_costs_per_month"]),
     ]).withColumnRenamed("project_id", "pm_id").withColumnRenamed("month", "pm_month")
     revenue = _merge_measures(["project_id"], [
         (m.fixed_revenue_by_project(st, sem), ["total_fp_revenue"]),
