@@ -68,14 +68,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for written tables and checkpoints.
 
-    Reads ``spark.checkpoint.dir`` (or the context checkpoint dir). Only when
-    neither is set -- local tests -- a fresh scratch folder is created and
-    registered, so later calls agree.
+    Reads ``spark.checkpoint.dir`` (or the context checkpoint dir). When
+    neither is set, a cluster run fails (a machine-local folder would not be
+    shared); only a local-mode session -- tests -- gets a fresh scratch folder,
+    registered so later calls agree.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
         return configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     path = tempfile.mkdtemp(prefix="practica-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
