@@ -586,6 +586,20 @@ def oracle_queries() -> dict[str, str]:
     q["merge_upsert_fact"] = _wrap(merge_ctes, """
         SELECT * FROM tgt_fact t WHERE NOT EXISTS (SELECT 1 FROM upd_rows u WHERE u.row_key = t.row_key)
         UNION ALL SELECT * FROM upd_rows""")
+    # I1 + I3: HR target from hours before the split month, one-month lookback
+    assert "FROM a14 h JOIN th x" in HR_CTES["t_asof"] and "FROM a14 h\n" in HR_CTES["hr_util"]
+    hr_early = {
+        "nbh_early": f"SELECT * FROM stg_non_billable_hours WHERE month_start_date < {MERGE_SPLIT}",
+        "a14_early": measures()["a14"].replace("stg_non_billable_hours", "nbh_early"),
+        "t_asof_early": HR_CTES["t_asof"].replace("FROM a14 h", "FROM a14_early h"),
+        "hr_tgt": HR_CTES["hr_util"].replace("FROM a14 h", "FROM a14_early h")
+                                    .replace("LEFT JOIN t_asof t", "LEFT JOIN t_asof_early t"),
+        "hr_upd": """SELECT * FROM hr_util
+            WHERE date >= (SELECT CAST(max(date) - INTERVAL 1 MONTH AS DATE) FROM hr_tgt)""",
+    }
+    q["merge_hr_utilization"] = _wrap({**DIMS, **measures(), **HR_CTES, **hr_early}, """
+        SELECT * FROM hr_tgt t WHERE NOT EXISTS (SELECT 1 FROM hr_upd u WHERE u.HR_record_key = t.HR_record_key)
+        UNION ALL SELECT * FROM hr_upd""")
     # Merged result equals a full refresh (every later update is past the watermark)
     q["cutoff_last_update"] = _project_fact_query()
 

@@ -238,6 +238,16 @@ def merge_upsert_fact(c: Context) -> DataFrame:
     return merge_upsert(target, updates, "row_key", validate=False)
 
 
+def merge_hr_utilization(c: Context) -> DataFrame:
+    """I1 + I3: HR utilization stored from hours before 2000-01; the
+    incremental run reloads from one month before the stored maximum date."""
+    early = _staged_with(c.st, non_billable_hours=c.st.non_billable_hours.filter(
+        F.col("month_start_date") < F.lit(MERGE_SPLIT_MONTH)))
+    target = facts.hr_utilization(early, c.marts, c.sem)
+    updates = facts.hr_utilization(c.st, c.marts, c.sem, target=target)
+    return merge_upsert(target, updates, "HR_record_key", validate=False)
+
+
 def cutoff_last_update(c: Context) -> DataFrame:
     """Project fact stored for projects updated before 1999 (or never);
     the incremental run takes projects updated after the stored maximum."""
@@ -395,6 +405,7 @@ REGISTRY: dict[str, Callable[[Context], DataFrame]] = {
     "hr_client_bridge": hr_client_bridge,
     "merge_upsert_fact": merge_upsert_fact,
     "cutoff_last_update": cutoff_last_update,
+    "merge_hr_utilization": merge_hr_utilization,
     "check_not_null": check_not_null,
     "check_unique": check_unique,
     "check_accepted": check_accepted,
