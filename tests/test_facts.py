@@ -119,3 +119,28 @@ def test_hr_title_as_of_month(world):
     assert u[(500, dt.date(2024, 1, 1))].titlehistory_key == th[1]   # before the February change
     assert u[(500, dt.date(2024, 2, 1))].titlehistory_key == th[2]
     assert (502, None) in u and u[(502, None)].titlehistory_key is None  # month outside calendar
+
+
+@pytest.mark.parametrize("builder,key", [
+    (facts.finance_fact, "row_key"), (facts.business_dev_fact, "client_feedback_key"),
+    (facts.hr_utilization, "HR_record_key"), (facts.project_fact, "row_key"),
+])
+def test_incremental_equals_full_refresh_within_lookback(spark, builder, key):
+    """Changes that land in the lookback window: merge(target, batch) equals
+    a full refresh on the changed inputs."""
+    from practica.operators.incremental import merge_upsert
+    rows = tiny.rows()
+    before = stage_all(tiny.sources(spark))
+    marts = build_marts(snapshot_all(before, SNAP), SEM)
+    target = builder(before, marts, SEM)
+    # February (the latest month) gains an expense, hours and a later project update
+    rows["project_expense"] = rows["project_expense"] + [(9, 100, tiny.D("4.0000"), dt.date(2024, 2, 20), 1)]
+    rows["consultant_deliverable"] = rows["consultant_deliverable"] + [
+        (500, 1001, 7, tiny.D("2.00"), dt.date(2024, 2, 21))]
+    rows["non_billable_hours"] = [(500, tiny.D("60.00"), tiny.D("60.00"), 202402) if r[3] == 202402 and r[0] == 500
+                                  else r for r in rows["non_billable_hours"]]
+    rows["project"] = [r[:15] + ("2024-02-20 08:00:00",) if r[0] == 100 else r for r in rows["project"]]
+    after = stage_all(tiny.sources(spark, rows))
+    full = builder(after, marts, SEM)
+    merged = merge_upsert(target, builder(after, marts, SEM, target=target), key)
+    assert rows_of(merged.select(*full.columns).collect()) == rows_of(full.collect())
