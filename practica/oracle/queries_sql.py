@@ -600,6 +600,21 @@ def oracle_queries() -> dict[str, str]:
     q["merge_hr_utilization"] = _wrap({**DIMS, **measures(), **HR_CTES, **hr_early}, """
         SELECT * FROM hr_tgt t WHERE NOT EXISTS (SELECT 1 FROM hr_upd u WHERE u.HR_record_key = t.HR_record_key)
         UNION ALL SELECT * FROM hr_upd""")
+    # I1 + I3 on the business-development fact (target from early expenses)
+    bd_tgt = BD_FACT
+    for name in ("spine", "a1", "a2", "a3", "a4", "a5", "a6"):
+        assert f"JOIN {name} " in bd_tgt
+        bd_tgt = bd_tgt.replace(f"JOIN {name} ", f"JOIN tgt_{name} ")
+    q["merge_business_dev"] = _wrap({
+        **DIMS, **measures(),
+        "pe_early": f"SELECT * FROM stg_project_expense WHERE expense_date < {MERGE_SPLIT}",
+        **measures(pe="pe_early", prefix="tgt_"),
+        "bd_tgt": bd_tgt, "bd_full": BD_FACT,
+        "bd_upd": """SELECT * FROM bd_full
+            WHERE date >= (SELECT CAST(max(date) - INTERVAL 1 MONTH AS DATE) FROM bd_tgt)""",
+    }, """SELECT * FROM bd_tgt t
+          WHERE NOT EXISTS (SELECT 1 FROM bd_upd u WHERE u.client_feedback_key = t.client_feedback_key)
+          UNION ALL SELECT * FROM bd_upd""")
     # Merged result equals a full refresh (every later update is past the watermark)
     q["cutoff_last_update"] = _project_fact_query()
 

@@ -248,6 +248,17 @@ def merge_hr_utilization(c: Context) -> DataFrame:
     return merge_upsert(target, updates, "HR_record_key", validate=False)
 
 
+def merge_business_dev(c: Context) -> DataFrame:
+    """I1 + I3 on the business-development fact: stored from expenses before
+    2000-01; the batch reloads from one month before the stored maximum date,
+    so older late rows stay as stored (the rule's documented limit)."""
+    early = _staged_with(c.st, project_expense=c.st.project_expense.filter(
+        F.col("expense_date") < F.lit(MERGE_SPLIT_MONTH)))
+    target = facts.business_dev_fact(early, c.marts, c.sem)
+    updates = facts.business_dev_fact(c.st, c.marts, c.sem, target=target)
+    return merge_upsert(target, updates, "client_feedback_key", validate=False)
+
+
 def cutoff_last_update(c: Context) -> DataFrame:
     """Project fact stored for projects updated before 1999 (or never);
     the incremental run takes projects updated after the stored maximum."""
@@ -406,6 +417,7 @@ REGISTRY: dict[str, Callable[[Context], DataFrame]] = {
     "merge_upsert_fact": merge_upsert_fact,
     "cutoff_last_update": cutoff_last_update,
     "merge_hr_utilization": merge_hr_utilization,
+    "merge_business_dev": merge_business_dev,
     "check_not_null": check_not_null,
     "check_unique": check_unique,
     "check_accepted": check_accepted,
