@@ -11,6 +11,7 @@ write version n+1).
 Layout::
 
     <root>/snapshots/<name>/v=<n>     SCD2 histories
+    <root>/reduced/<name>/v=<n>       monthly time entries and expenses (shared by facts)
     <root>/dims/<name>/v=<n>          mart dimensions
     <root>/facts/<name>/v=<n>         facts (partitioned by month)
     <root>/facts/hr_*_bridge/v=<n>    HR bridges (full rebuild)
@@ -59,6 +60,34 @@ def default_root(spark: SparkSession) -> str:
     return f"{shared_dir(spark).rstrip('/')}/practica"
 
 
+def reduce_events(spark: SparkSession, st: Staged, root: str) -> Staged:
+    """Shared measure inputs, written once per run (SURVEY §4 'common work').
+
+    Every measure over time entries and expenses is a sum by month, so the two
+    largest tables are reduced once -- time entries to (consultant,
+    deliverable, month, sum hours), expenses to (project, billable, month,
+    sum amount) -- with map-side partial aggregation, written to the shared
+    folder and read back. Each fact then scans these instead of the raw
+    events. Exact: sums of sums, NULL only where every input is NULL; the
+    month stands in for the date, which the measures only ever truncate.
+    """
+    from pyspark.sql import functions as F
+    from practica.functions.keys import month_start
+    te = (st.time_entry.groupBy("consultant_id", "deliverable_id",
+                                month_start("work_date").alias("work_date"))
+          .agg(F.sum("hours").cast("decimal(18,2)").alias("hours"))
+          .select("consultant_id", "deliverable_id", F.lit(None).cast("long").alias("record_id"),
+                  "hours", "work_date"))
+    pe = (st.project_expense.groupBy("project_id", "is_billable",
+                                     month_start("expense_date").alias("expense_date"))
+          .agg(F.sum("amount").alias("amount"))
+          .select(F.lit(None).cast("long").alias("record_id"), "project_id", "amount", "expense_date",
+                  "is_billable"))
+    te_path = write_version(te, f"{root}/reduced/time_entry")
+    pe_path = write_version(pe, f"{root}/reduced/project_expense")
+    return st.replace(time_entry=spark.read.parquet(te_path), project_expense=spark.read.parquet(pe_path))
+
+
 def snapshot_layer(spark: SparkSession, st: Staged, root: str, run_ts: dt.datetime) -> dict[str, str]:
     paths = {}
     for name, spec in SNAPSHOTS.items():
@@ -130,6 +159,7 @@ def run_build(spark: SparkSession, sources: Sources, run_ts: dt.datetime,
     paths = {f"snapshot/{k}": v for k, v in snapshot_layer(spark, st, root, run_ts).items()}
     marts, dim_paths = dimension_layer(spark, root, sem)
     paths.update({f"dim/{k}": v for k, v in dim_paths.items()})
-    paths.update({f"fact/{k}": v for k, v in fact_layer(spark, st, marts, root, sem).items()})
-    paths.update({f"fact/{k}": v for k, v in bridge_layer(spark, st, marts, root, sem).items()})
+    reduced = reduce_events(spark, st, root)
+    paths.update({f"fact/{k}": v for k, v in fact_layer(spark, reduced, marts, root, sem).items()})
+    paths.update({f"fact/{k}": v for k, v in bridge_layer(spark, reduced, marts, root, sem).items()})
     return BuildResult(root, paths, check_layer(spark, root, sem))
