@@ -75,7 +75,7 @@ def reduce_events(spark: SparkSession, st: Staged, root: str) -> Staged:
     from practica.functions.keys import month_start
     te = (st.time_entry.groupBy("consultant_id", "deliverable_id",
                                 month_start("work_date").alias("work_date"))
-          .agg(F.sum("hours").cast("decimal(18,2)").alias("hours"))
+          .agg(F.sum("hours").alias("hours"))
           .select("consultant_id", "deliverable_id", F.lit(None).cast("long").alias("record_id"),
                   "hours", "work_date"))
     pe = (st.project_expense.groupBy("project_id", "is_billable",
