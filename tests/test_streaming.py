@@ -28,3 +28,23 @@ def test_landed_batches_feed_the_measures(spark, tmp_path):
     got = {(r.project_id, r.month): r.project_expenses_per_month
            for r in m.project_expense_month(st).collect()}
     assert float(got[(100, dt.date(2024, 2, 1))]) == 20.0
+
+
+def test_each_batch_triggers_a_build(spark, tmp_path):
+    """foreachBatch lands the files, then runs the scheduled build over
+    sources that read the landed table."""
+    from practica.operators.incremental import read_current
+    from practica.plans.build import run_build
+    from practica.semantics import Semantics
+    landing, store, ckpt, root = (str(tmp_path / n) for n in ("landing", "store", "ckpt", "marts"))
+    rows = tiny.rows()["project_expense"]
+    spark.createDataFrame(rows, SOURCE_SCHEMAS["project_expense"]).write.parquet(f"{landing}/f1")
+    sem = Semantics(as_of=dt.date(2024, 6, 30))
+
+    def build(epoch_id):
+        src = tiny.sources(spark).replace(project_expense=read_landed(spark, "project_expense", store))
+        run_build(spark, src, dt.datetime(2024, 3, 1 + epoch_id), sem, root)
+
+    land_source(spark, "project_expense", f"{landing}/*", store, ckpt, on_batch=build).awaitTermination(300)
+    fin = read_current(spark, f"{root}/facts/finance")
+    assert fin is not None and fin.count() == 3      # units 1 (Jan, Feb) and the orphan NULL unit (Jan)
