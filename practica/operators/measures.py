@@ -83,19 +83,24 @@ def _deliverable_price_by_project_month(st: Staged) -> DataFrame:
 
 
 # ---------------------------------------------------- client/unit/month (BD)
+def _fixed_price_deliverables(st: Staged) -> DataFrame:
+    """Deliverable prices by (project, month) joined to fixed-price projects,
+    status kept. A1 and A5 split this one relation by status, so within a
+    plan both read the same exchanges (Spark reuses identical subtrees)."""
+    p = (st.project.filter(F.col("project_type") == TYPE_FIXED)
+         .select("project_id", "client_id", "unit_id", "status"))
+    return _deliverable_price_by_project_month(st).join(p, "project_id", "inner")
+
+
 def fixed_revenue_month(st: Staged, sem: Semantics = Semantics()) -> DataFrame:
     """A1: price of deliverables of completed fixed-price projects, by due month."""
-    p = (st.project.filter(sem.completed(F.col("status")) & (F.col("project_type") == TYPE_FIXED))
-         .select("project_id", "client_id", "unit_id"))
-    return (_deliverable_price_by_project_month(st).join(p, "project_id", "inner")
+    return (_fixed_price_deliverables(st).filter(sem.completed(F.col("status")))
             .groupBy("client_id", "unit_id", "month").agg(_sum("price", "total_fp_revenue")))
 
 
 def fixed_incomplete_month(st: Staged, sem: Semantics = Semantics()) -> DataFrame:
     """A5: price of deliverables of fixed-price projects not completed."""
-    p = (st.project.filter(sem.not_completed(F.col("status")) & (F.col("project_type") == TYPE_FIXED))
-         .select("project_id", "client_id", "unit_id"))
-    return (_deliverable_price_by_project_month(st).join(p, "project_id", "inner")
+    return (_fixed_price_deliverables(st).filter(sem.not_completed(F.col("status")))
             .groupBy("client_id", "unit_id", "month").agg(_sum("price", "incomplete_fp_revenue")))
 
 
