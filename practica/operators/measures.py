@@ -85,8 +85,8 @@ def _deliverable_price_by_project_month(st: Staged) -> DataFrame:
 # ---------------------------------------------------- client/unit/month (BD)
 def _fixed_price_deliverables(st: Staged) -> DataFrame:
     """Deliverable prices by (project, month) joined to fixed-price projects,
-    status kept. A1 and A5 split this one relation by status, so within a
-    plan both read the same exchanges (Spark reuses identical subtrees)."""
+    status kept; A1 and A5 split it by status (Catalyst pushes each status
+    filter below the join, so each join reads only its own projects)."""
     p = (st.project.filter(F.col("project_type") == TYPE_FIXED)
          .select("project_id", "client_id", "unit_id", "status"))
     return _deliverable_price_by_project_month(st).join(p, "project_id", "inner")
