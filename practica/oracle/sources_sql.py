@@ -1,7 +1,7 @@
 """DuckDB twin of ``practica.sources.driver_tables`` and ``operators.staging``.
 
 CTE text over the driver views (region nation customer supplier orders
-lineitem). ``prelude()`` returns ``WITH <sources>, <staging>`` ready for a
+lineitem). ``ctes()`` returns ``WITH <sources>, <staging>`` ready for a
 query's own CTEs; DuckDB inlines the CTEs a query does not use away.
 """
 
