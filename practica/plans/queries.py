@@ -30,6 +30,7 @@ from practica.sources.driver_tables import read_driver, sources_from_driver
 from practica.sources.tables import Staged
 
 # Fixed parameters of the derived test scenarios (shared with the oracle SQL).
+# the two snapshot runs of the client and two-snapshot scenarios
 CLIENT_RUN1_TS = dt.datetime(2001, 6, 30, 0, 0, 0)
 CLIENT_RUN2_TS = dt.datetime(2001, 12, 31, 0, 0, 0)
 LATEST_COPY_EVERY = 5        # projects with id % 5 = 0 get a later copy
