@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Word characters of every word-based operator: all but space and U+0009..U+000D.
@@ -50,3 +50,24 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | p
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The texts of a batch, null as the empty text."""
     return [t or "" for t in batch.column(name).to_pylist()]
+
+
+def offsets(df: DataFrame, keys: list[str], within: list[str], value: Column, name: str) -> DataFrame:
+    """Sum of ``value`` over the smaller buckets, for each bucket (``keys``) of
+    a group (``within``). One row for each bucket is all that the window sees."""
+    totals = df.groupBy(*keys).agg(value.alias("_total"))
+    bucket = [k for k in keys if k not in within]
+    w = Window.partitionBy(*within) if within else Window.partitionBy(F.lit(0))
+    w = w.orderBy(*bucket).rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select(*keys, F.coalesce(F.sum("_total").over(w), F.lit(0)).alias(name))
+
+
+def gapless_slots(rows: DataFrame, group: str, order: list[str], buckets: int) -> DataFrame:
+    """Add ``slot``: 0, 1, 2, ... within each ``group``, by hash bucket and then
+    ``order``. Numbering inside a bucket needs only that bucket's rows."""
+    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
+    base = offsets(rows, [group, "_bucket"], [group], F.count("*"), "_base")
+    inside = F.row_number().over(Window.partitionBy(group, "_bucket").orderBy(*order)) - 1
+    return (rows.withColumn("_inside", inside).join(base, [group, "_bucket"])
+            .withColumn("slot", (F.col("_base") + F.col("_inside")).cast("long"))
+            .drop("_bucket", "_base", "_inside"))

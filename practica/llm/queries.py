@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from practica.llm import mixing, quality_llr, secret_ledger, sharding, url_filter
+from practica.llm import mixing, packing, quality_llr, secret_ledger, sharding, url_filter
 from practica.llm.common import read_table
 from practica.session import shared_dir
 
@@ -25,6 +25,10 @@ def op4_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_ledger.report(*secret_ledger.scan_new(read_table(spark, sf_dir, "documents"), ledger))
 
 
+def op5_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op6_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trusted target: documents labelled of good quality."""
     trusted = read_table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")

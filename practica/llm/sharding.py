@@ -23,10 +23,10 @@ from __future__ import annotations
 import bisect
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from practica.llm.common import buckets_for
+from practica.llm.common import buckets_for, gapless_slots, offsets
 from practica.session import materialize
 
 BLOCKS = 4096
@@ -187,27 +187,6 @@ def minimax_cuts(ends: EndPositions, shards: int, largest: int) -> tuple[int, li
         ends.refine(ends.touched)
 
 
-def _offsets(df: DataFrame, keys: list[str], within: list[str], value: Column, name: str) -> DataFrame:
-    """Sum of ``value`` over the smaller buckets, for each bucket (``keys``) of
-    a group (``within``). One row for each bucket is all that the window sees."""
-    totals = df.groupBy(*keys).agg(value.alias("_total"))
-    bucket = [k for k in keys if k not in within]
-    w = Window.partitionBy(*within) if within else Window.partitionBy(F.lit(0))
-    w = w.orderBy(*bucket).rowsBetween(Window.unboundedPreceding, -1)
-    return totals.select(*keys, F.coalesce(F.sum("_total").over(w), F.lit(0)).alias(name))
-
-
-def gapless_slots(rows: DataFrame, group: str, order: list[str], buckets: int) -> DataFrame:
-    """Add ``slot``: 0, 1, 2, ... within each ``group``, by hash bucket and then
-    ``order``. Numbering inside a bucket needs only that bucket's rows."""
-    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
-    base = _offsets(rows, [group, "_bucket"], [group], F.count("*"), "_base")
-    inside = F.row_number().over(Window.partitionBy(group, "_bucket").orderBy(*order)) - 1
-    return (rows.withColumn("_inside", inside).join(base, [group, "_bucket"])
-            .withColumn("slot", (F.col("_base") + F.col("_inside")).cast("long"))
-            .drop("_bucket", "_base", "_inside"))
-
-
 def shard_documents(docs: DataFrame, shards: int = 16, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """Every row with its size, CRC, shard and slot; see the module docstring."""
@@ -219,7 +198,7 @@ def shard_documents(docs: DataFrame, shards: int = 16, id_col: str = "doc_id",
     buckets = buckets_for(rows.count())
     groups = (rows.groupBy("digest").agg(F.sum("size").alias("bytes"))
               .withColumn("bucket", F.pmod(F.xxhash64("digest"), F.lit(buckets))))
-    base = _offsets(groups, ["bucket"], [], F.sum("bytes"), "before")
+    base = offsets(groups, ["bucket"], [], F.sum("bytes"), "before")
     within = Window.partitionBy("bucket").orderBy("digest").rowsBetween(Window.unboundedPreceding, 0)
     ends = materialize(groups.withColumn("_sum", F.sum("bytes").over(within)).join(base, "bucket")
                        .select("digest", "bytes", (F.col("_sum") + F.col("before")).alias("end")),
