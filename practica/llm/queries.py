@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from practica.llm import mixing, packing, quality_llr, secret_ledger, sharding, url_filter
+from practica.llm import mixing, packing, quality_llr, secret_ledger, sharding, toxicity, url_filter
 from practica.llm.common import read_table
 from practica.session import shared_dir
 
@@ -35,6 +35,11 @@ def op6_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_llr.judge_quality(read_table(spark, sf_dir, "documents"), trusted)
 
 
+def op7_compression_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op8_url_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listed: the URLs of all pages on hosts of ``LISTED_NAMES``."""
     pages = read_table(spark, sf_dir, "pages")
