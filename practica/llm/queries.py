@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from practica.llm import ann_tree, mixing, packing, quality_llr, secret_ledger, sharding, toxicity, url_filter
+from practica.llm import ann_tree, lm_scoring, mixing, packing, quality_llr, secret_ledger, sharding, toxicity, url_filter
 from practica.llm.common import read_table
 from practica.session import shared_dir
 
@@ -15,6 +15,12 @@ from practica.session import shared_dir
 LISTED_NAMES = ("casino-win", "ads-track", "free-bets", "spam-farm", "cheap-pills", "adult-x")
 
 
+def op1_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: documents labelled of good quality."""
+    trusted = read_table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    return lm_scoring.score_documents(read_table(spark, sf_dir, "documents"), trusted)
+
+
 def op2_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"))
 
