@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -71,3 +72,46 @@ def gapless_slots(rows: DataFrame, group: str, order: list[str], buckets: int) -
     return (rows.withColumn("_inside", inside).join(base, [group, "_bucket"])
             .withColumn("slot", (F.col("_base") + F.col("_inside")).cast("long"))
             .drop("_bucket", "_base", "_inside"))
+
+
+def map_sorted_groups(df: DataFrame, keys: list[str], fn: Callable[[pa.Table, list[int]], dict | pa.Table],
+                      schema: str) -> DataFrame:
+    """Bring rows together by ``keys`` and call ``fn(rows, starts)`` on runs of
+    whole groups; ``starts`` holds each group's first row and the number of
+    rows. Groups of a few rows cost no call of their own."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def edges(table: pa.Table) -> list[int]:
+            change = None
+            for k in keys:
+                c = table.column(k).combine_chunks()
+                differs = pc.not_equal(c.slice(1), c.slice(0, len(c) - 1))
+                change = differs if change is None else pc.or_(change, differs)
+            return [0, *[i + 1 for i in pc.indices_nonzero(change).to_pylist()]]
+
+        def done(table: pa.Table, starts: list[int]) -> Iterator[pa.RecordBatch]:
+            out = fn(table, [*starts, table.num_rows])
+            yield from out.to_batches() if isinstance(out, pa.Table) else [pa.RecordBatch.from_pydict(out)]
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            table = pa.Table.from_batches(held)
+            starts = edges(table)
+            if len(starts) > 1:
+                yield from done(table.slice(0, starts[-1]), starts[:-1])
+                held = table.slice(starts[-1]).to_batches()
+        if held:
+            table = pa.Table.from_batches(held)
+            yield from done(table, edges(table))
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
+def without_rows(df: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``df`` whose keys are not in the stored table ``gone``. Texts stay
+    where they are while ``gone`` is small enough to broadcast."""
+    side = small_side(gone.alias("gone"), gone.count())
+    same = [F.col(f"here.{k}").eqNullSafe(F.col(f"gone.{k}")) for k in keys]
+    return df.alias("here").join(side, same, "left_anti")

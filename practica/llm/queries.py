@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from practica.llm import ann_tree, lm_scoring, mixing, packing, quality_llr, secret_ledger, sharding, toxicity, url_filter
+from practica.llm import ann_tree, jaccard_join, lm_scoring, mixing, packing, quality_llr, secret_ledger, sharding, toxicity, url_filter
 from practica.llm.common import read_table
 from practica.session import shared_dir
 
@@ -25,6 +25,10 @@ def op2_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op3_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_documents(read_table(spark, sf_dir, "documents")).drop("digest")
+
+
 def op4_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A first run: an empty ledger of its own."""
     import uuid

@@ -9,7 +9,7 @@ version scans every blob once more.
 
 The scan reads the texts where they lie: rows that need no scan (further copies
 of a blob, or blobs in the ledger) are removed by their row id. That list is
-broadcast while it has at most ``BROADCAST_ROWS`` rows and joined by shuffle
+broadcast while it has at most ``common.BROADCAST_ROWS`` rows and joined by shuffle
 beyond, so texts move only in the second case.
 
 Findings and ledger of a run are written under a run id of their own and count
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from practica.llm.common import BROADCAST_ROWS, map_batches, texts_of
+from practica.llm.common import map_batches, texts_of, without_rows
 from practica.session import materialize
 
 RULE_VERSION = "1"
@@ -108,11 +108,10 @@ def scan_new(docs: DataFrame, ledger: str, rule_version: str = RULE_VERSION, id_
                          .join(seen.select("blob").distinct(), "blob", "left_anti"), "blob_unseen")
 
     # All rows but one for each unseen blob; usually few, so texts stay in place.
+    key = ["blob", "doc_id"]
     same = [F.col("a.blob") == F.col("b.blob"), F.col("a.doc_id").eqNullSafe(F.col("b.doc_id"))]
     settled = materialize(paths.alias("a").join(unseen.alias("b"), same, "left_anti").distinct(), "blob_settled")
-    side = settled if settled.count() > BROADCAST_ROWS else F.broadcast(settled)
-    pending = (texts.alias("a").join(side.alias("b"), same, "left_anti")
-               .select("blob", "text"))
+    pending = without_rows(texts, settled, key).select("blob", "text")
     run = uuid.uuid4().hex
     found = map_batches(pending, _scan, FINDINGS)
     found.withColumn("rule_version", F.lit(rule_version)).write.parquet(f"{ledger}/findings/run={run}")
