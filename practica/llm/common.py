@@ -8,6 +8,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Word characters of every word-based operator: all but space and U+0009..U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -36,7 +37,7 @@ def buckets_for(rows: int, per_bucket: int = 50_000, least: int = 64) -> int:
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table | dict | None],
-                schema: str) -> DataFrame:
+                schema: str | StructType) -> DataFrame:
     """Apply ``fn`` to each Arrow batch; a dict result becomes a batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -115,3 +116,12 @@ def without_rows(df: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
     side = small_side(gone.alias("gone"), gone.count())
     same = [F.col(f"here.{k}").eqNullSafe(F.col(f"gone.{k}")) for k in keys]
     return df.alias("here").join(side, same, "left_anti")
+
+
+def replaced(batch: pa.RecordBatch, columns: dict[str, list]) -> pa.RecordBatch:
+    """``batch`` with these columns, where it has them, holding new values."""
+    for name, values in columns.items():
+        at = batch.schema.get_field_index(name)
+        if at >= 0:
+            batch = batch.set_column(at, batch.schema.field(at), pa.array(values, batch.schema.field(at).type))
+    return batch

@@ -22,6 +22,7 @@ gives an empty result.
 
 from __future__ import annotations
 
+import re
 from fractions import Fraction
 
 import numpy as np
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from practica.llm.common import map_batches, word_count
+from practica.llm.common import WORD, map_batches, replaced, texts_of, word_count
 from practica.session import materialize
 
 WEIGHTS = (3, 1, 2)
@@ -192,3 +193,57 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 "source_size": pa.array(total), "target": pa.array(target), "taken": pa.array(taken)}
 
     return map_batches(placed, run, "doc_id long, size long, source_size long, target double, taken long")
+
+
+def _copies(text: str, start: int, size: int, plan: Plan) -> list[str]:
+    """The texts that the mix takes of a document whose words are ``start`` to
+    ``start + size`` of its source: one for each time that some block is taken,
+    whole or with the words of the blocks taken that often."""
+    first = start // plan.block
+    times = plan.times(np.arange(first, (start + size - 1) // plan.block + 1))
+    out, spans = [], None
+    for c in range(1, int(times.max()) + 1):
+        taken = times >= c
+        if taken.all():
+            out.append(text)
+            continue
+        if spans is None:
+            spans = [m.span() for m in re.finditer(WORD, text)]
+        edges = np.diff(np.concatenate([[0], taken.astype(np.int8), [0]]))
+        runs = zip(np.nonzero(edges == 1)[0] + first, np.nonzero(edges == -1)[0] + first)
+        words = [(max(0, a * plan.block - start), min(size, b * plan.block - start)) for a, b in runs]
+        out.append("\n".join(text[spans[a][0]:spans[b - 1][1]] for a, b in words))
+    return out
+
+
+def mixed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                source_col: str = "source") -> DataFrame:
+    """The mix itself, in the columns of ``docs``: a row for each time that a
+    document, or some of its blocks, is taken; ``n_chars`` follows the text."""
+    placed, plan = place_words(docs, id_col, text_col, source_col)
+    mine = {"_id": F.col(id_col), "_source": F.col(source_col).cast("string"),
+            "_key": F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))}
+    rows = docs.withColumns(mine)
+    where = placed.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "_key",
+                          F.col("shard").alias("_shard"), F.col("size").alias("_size"), "_from")
+    keys = ["_id", "_source", "_key"]
+    if not where.groupBy(*keys).count().filter("count > 1").isEmpty():
+        # Repeated rows: number them on both sides.
+        rows = rows.withColumn("_nth", F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0))))
+        where = where.withColumn("_nth", F.row_number().over(Window.partitionBy(*keys).orderBy("_shard", "_from")))
+        keys = [*keys, "_nth"]
+    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+    joined = (rows.alias("a").join(where.filter("_size > 0").alias("b"), same)
+              .select(*[F.col(f"a.{c}") for c in docs.columns], "a._source", "b._shard", "b._size", "b._from"))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        at, texts = [], []
+        mine = [batch.column(c).to_pylist() for c in ("_source", "_shard", "_size", "_from")]
+        for i, (text, source, shard, size, start) in enumerate(zip(texts_of(batch, text_col), *mine)):
+            _, _, begins, p = plan[source]
+            found = _copies(text, begins[shard] + start, size, p)
+            at += [i] * len(found)
+            texts += found
+        batch = batch.drop_columns(["_source", "_shard", "_size", "_from"]).take(pa.array(at, pa.int64()))
+        return replaced(batch, {text_col: texts, "n_chars": [len(t) for t in texts]})
+    return map_batches(joined, run, docs.schema)

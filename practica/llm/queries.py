@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +32,6 @@ def op3_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A first run: an empty ledger of its own."""
-    import uuid
     ledger = f"{shared_dir(spark).rstrip('/')}/secret_ledger/{uuid.uuid4().hex}"
     return secret_ledger.report(*secret_ledger.scan_new(read_table(spark, sf_dir, "documents"), ledger))
 
@@ -70,7 +70,3 @@ def op10_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
-
-
-def llm_oracle_sql() -> dict[str, str]:
-    return {}

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from practica.llm.common import map_batches, texts_of, without_rows
+from practica.llm.common import map_batches, replaced, small_side, texts_of, without_rows
 from practica.session import materialize
 
 RULE_VERSION = "1"
@@ -132,11 +132,32 @@ def report(paths: DataFrame, findings: DataFrame) -> DataFrame:
                     F.coalesce("spans", F.lit("")).alias("spans"), "blob"))
 
 
-def redact(text: str, mark: str = "[secret]") -> str:
-    """``text`` with every found span replaced; overlapping spans as one."""
+def redact(text: str, spans: str, mark: str = "[secret]") -> str:
+    """``text`` with each of the written spans replaced; overlapping ones as one."""
     out, at = [], 0
-    for start, end, _ in find_spans(text):
+    for start, end in (map(int, s.split(":")[1:]) for s in spans.split(",")):
         if start >= at:
             out += [text[at:start], mark]
         at = max(at, end)
-    return "".join(out) + text[at:] if at else text
+    return "".join(out) + text[at:]
+
+
+def redact_documents(docs: DataFrame, ledger: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with found secrets replaced by a mark, all columns and rows;
+    ``n_chars`` follows the text. Texts stay in place while the rows with
+    findings are few enough to broadcast."""
+    _, findings = scan_new(docs, ledger, id_col=id_col, text_col=text_col)
+    found = materialize(findings.select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans")), "blob_spans")
+    keyed = docs.withColumn("_blob", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
+    joined = keyed.join(small_side(found, found.count()), "_blob", "left").select(*docs.columns, "_spans")
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        spans = batch.column("_spans").to_pylist()
+        batch = batch.drop_columns(["_spans"])
+        if not any(spans):
+            return batch
+        texts = [redact(t, s) if s else t for t, s in zip(batch.column(text_col).to_pylist(), spans)]
+        sizes = batch.column("n_chars").to_pylist() if "n_chars" in batch.schema.names else []
+        return replaced(batch, {text_col: texts, "n_chars": [len(t) if s else n
+                                                             for t, s, n in zip(texts, spans, sizes)]})
+    return map_batches(joined, run, docs.schema)

@@ -207,3 +207,11 @@ def score_text(text: str, model: tuple | None) -> float:
     found, weights, intercept = model
     at = float(distance(found).shares(text) @ weights) + intercept
     return 1 / (1 + math.exp(-max(-30.0, min(30.0, at))))
+
+
+def drop_toxic(docs: DataFrame, model: tuple | None, text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows predicted toxic, all columns; texts stay in
+    place."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return batch.filter(pa.array([score_text(t, model) < 0.5 for t in texts_of(batch, text_col)]))
+    return map_batches(docs, run, docs.schema)
