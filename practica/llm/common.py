@@ -15,6 +15,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 # Rows up to which a keyed side may be broadcast; beyond it the same join shuffles.
 BROADCAST_ROWS = 2_000_000
+# Rows that a Python function holds at a time.
+SLICE_ROWS = 2048
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,14 +40,13 @@ def buckets_for(rows: int, per_bucket: int = 50_000, least: int = 64) -> int:
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table | dict | None],
                 schema: str | StructType) -> DataFrame:
-    """Apply ``fn`` to each Arrow batch; a dict result becomes a batch."""
+    """Apply ``fn`` to slices of the Arrow batches; a dict result becomes a batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            out = fn(batch)
-            if out is not None:
-                yield out if isinstance(out, pa.RecordBatch) else pa.RecordBatch.from_pydict(out)
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                out = fn(batch.slice(at, SLICE_ROWS))
+                if out is not None:
+                    yield out if isinstance(out, pa.RecordBatch) else pa.RecordBatch.from_pydict(out)
     return df.mapInArrow(run, schema)
 
 
