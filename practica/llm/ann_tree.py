@@ -8,7 +8,9 @@ queue, best expected product first, and visits leaves in that order. How many
 it visits is calibrated: for ``CALIBRATION`` queries the exact neighbours among
 all rows are found, and visits widen until their recall reaches ``RECALL``.
 
-Rows and queries meet by leaf. A large leaf is split into chunks of its rows
+Rows and queries meet by leaf, in two steps: the first ``FIRST_VISITS`` leaves
+give each query a floor, its ``k``-th best score so far; from the other leaves
+only rows that reach the floor come back. A large leaf is split into chunks of its rows
 and of its queries, so no task depends on the size of a leaf; each chunk gives
 its best ``k`` for each query and a window keeps the best of those. Scores are
 products of the original vectors in double precision, summed in one fixed order.
@@ -39,7 +41,8 @@ BRANCH = 16
 LEAF_ROWS = 256
 MAX_LEAVES = 4096
 CALIBRATION = 96
-RECALL = 0.97
+RECALL = 0.95
+FIRST_VISITS = 2
 CHUNK_ROWS, CHUNK_QUERIES = 2048, 2048
 SEED = 11
 
@@ -62,7 +65,7 @@ def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
         if isinstance(column, pa.ChunkedArray):
             column = pa.concat_arrays(column.chunks)
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), -1)
+    return flat.reshape(len(column), len(flat) // max(1, len(column)))
 
 
 def k_means(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) -> tuple[np.ndarray, np.ndarray]:
@@ -138,8 +141,9 @@ class Tree:
 
 
 def best_pairs(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids: np.ndarray,
-               k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, row, score) of each query's best k rows. A matrix product finds
+               k: int, floor: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, row, score) of each query's best k rows, without those below its
+    floor. A matrix product finds
     them up to rounding; the products that matter are summed again, in one order
     for every pair, so equal vectors have equal scores."""
     rough = queries @ rows.T
@@ -148,12 +152,13 @@ def best_pairs(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row
     slack = 1e-9 * (np.abs(rough[np.isfinite(rough)]).max(initial=0.0) + 1.0)
     for q in range(len(queries)):
         line = rough[q]
-        if len(line) > k:
-            near = np.nonzero(line >= np.partition(line, -k)[-k] - slack)[0]
-        else:
-            near = np.arange(len(line))
-        near = near[np.isfinite(line[near])]
+        least = np.partition(line, -k)[-k] if len(line) > k else -np.inf
+        if floor is not None:
+            least = max(least, floor[q])
+        near = np.nonzero(np.isfinite(line) & (line >= least - slack))[0]
         score = (rows[near] * queries[q]).sum(axis=1)
+        if floor is not None:
+            near, score = near[score >= floor[q]], score[score >= floor[q]]
         keep = np.lexsort((row_ids[near], -score))[:k]
         found.append((np.full(len(keep), q), near[keep], score[keep]))
     if not found:
@@ -206,9 +211,9 @@ def nearest(df: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector
     ``is_query``: which ids are queries (a condition on ``vec_id``)."""
     rows = materialize(usable(df, id_col, vector_col), "ann_rows")
     n_rows = rows.count()
-    out = "query_id long, vec_id long, score double"
+    ranked = "query_id long, rank int, vec_id long, score double"
     if not n_rows:
-        return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+        return df.sparkSession.createDataFrame([], ranked)
     tree = build_tree(rows, n_rows)
 
     def put(batch: pa.RecordBatch) -> dict:
@@ -219,16 +224,35 @@ def nearest(df: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector
     placed = materialize(map_batches(rows, put, f"vec_id long, vec {kind}, leaf int"), "ann_leaves")
     queries = materialize(placed.filter(is_query).groupBy(F.col("vec_id").alias("query_id"))
                           .agg(F.min("vec").alias("vec")), "ann_queries")
+    if queries.isEmpty():
+        return df.sparkSession.createDataFrame([], ranked)
     visits = calibrate(placed, queries, tree, k, recall)
 
     def walk(batch: pa.RecordBatch) -> dict:
         seen = tree.visit(matrix(batch.column("vec")), visits)
         at = pa.array([i for i, v in enumerate(seen) for _ in v], pa.int64())
         return {"query_id": batch.column("query_id").take(at),
-                "leaf": pa.array([leaf for v in seen for leaf in v], pa.int32())}
+                "leaf": pa.array([leaf for v in seen for leaf in v], pa.int32()),
+                "nth": pa.array([n for v in seen for n in range(len(v))], pa.int32())}
 
-    walks = materialize(map_batches(queries, walk, "query_id long, leaf int"), "ann_walks")
+    walks = materialize(map_batches(queries, walk, "query_id long, leaf int, nth int"), "ann_walks")
+    first, later = F.col("nth") < FIRST_VISITS, F.col("nth") >= FIRST_VISITS
+    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+
+    def best(pairs: DataFrame) -> DataFrame:
+        return pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+    none = F.lit(float("-inf"))
+    found = materialize(best(meetings(placed, walks.filter(first), queries.withColumn("floor", none), k)), "ann_first")
+    floors = found.filter(F.col("rank") == k).select("query_id", F.col("score").alias("floor"))
+    floored = queries.join(floors, "query_id", "left").withColumn("floor", F.coalesce("floor", none))
+    pairs = found.drop("rank").unionByName(meetings(placed, walks.filter(later), floored, k))
+    return best(pairs).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
+
+def meetings(placed: DataFrame, walks: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """(query_id, vec_id, score): from each chunk of a visited leaf the best k
+    rows that reach the query's floor."""
     # Chunks of a leaf's rows and queries: at most one row for each leaf.
     def parts(sizes: DataFrame, per: int, name: str) -> DataFrame:
         return sizes.groupBy("leaf").agg(F.ceil(F.count("*") / per).cast("int").alias(name))
@@ -241,20 +265,18 @@ def nearest(df: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector
     right = (walks.join(chunks, "leaf").join(queries, "query_id")
              .withColumn("query_chunk", F.pmod(F.xxhash64("query_id"), "query_chunks").cast("int"))
              .withColumn("row_chunk", F.explode(F.sequence(F.lit(0), F.col("row_chunks") - 1)))
-             .select("leaf", "row_chunk", "query_chunk", "query_id", "vec"))
+             .select("leaf", "row_chunk", "query_chunk", "query_id", "vec", "floor"))
 
     def meet(a: pa.Table, b: pa.Table) -> pa.Table:
         if not a.num_rows or not b.num_rows:
             return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()),
                              "score": pa.array([], pa.float64())})
         row_ids, x = _once(a.column("vec_id").to_numpy(), matrix(a.column("vec")))
-        query_ids = b.column("query_id").to_numpy()
-        q, r, score = best_pairs(matrix(b.column("vec")), query_ids, x, row_ids, k)
+        query_ids, floor = b.column("query_id").to_numpy(), b.column("floor").to_numpy()
+        q, r, score = best_pairs(matrix(b.column("vec")), query_ids, x, row_ids, k, floor)
         return pa.table({"query_id": pa.array(query_ids[q]), "vec_id": pa.array(row_ids[r]),
                          "score": pa.array(score)})
 
     keys = ["leaf", "row_chunk", "query_chunk"]
-    pairs = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, out)
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-            .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
+    return (left.groupBy(*keys).cogroup(right.groupBy(*keys))
+            .applyInArrow(meet, "query_id long, vec_id long, score double"))

@@ -11,8 +11,8 @@ blocks of the byte axis. Where a greedy step cannot be decided from the bounds,
 only the blocks it touches are looked at again, finer. The answer is exact and
 the driver never holds more than ``EXACT_POINTS`` positions, whatever the input.
 
-Defined results: a null text has size 1 (no bytes, plus 1), CRC 0, and all null
-texts form one group; empty texts likewise form one group. Repeated rows are
+Defined results: a null text has size 1 (no bytes, plus 1) and CRC 0, like the
+empty text, and is in its group. Repeated rows are
 rows of their text's group and each gets a slot. A null doc_id is kept. An empty
 table gives an empty result. If one group exceeds the mean shard, the capacity
 is that group's size and some shards may stay empty.
@@ -194,7 +194,7 @@ def shard_documents(docs: DataFrame, shards: int = 16, id_col: str = "doc_id",
         F.col(id_col).cast("long").alias("doc_id"),
         (F.coalesce(F.octet_length(text_col), F.lit(0)) + 1).cast("long").alias("size"),
         F.coalesce(F.crc32(text_col), F.lit(0)).cast("long").alias("text_crc32"),
-        F.coalesce(F.sha2(text_col, 256), F.lit("")).alias("digest")), "sharding_rows")
+        F.sha2(F.coalesce(text_col, F.lit("")), 256).alias("digest")), "sharding_rows")
     buckets = buckets_for(rows.count())
     groups = (rows.groupBy("digest").agg(F.sum("size").alias("bytes"))
               .withColumn("bucket", F.pmod(F.xxhash64("digest"), F.lit(buckets))))
