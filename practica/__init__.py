@@ -7,7 +7,6 @@ Layers (each a plain function from DataFrames to a DataFrame):
                 incremental merge, data-quality checks
 * ``functions`` Column-level helpers (surrogate keys, month arithmetic)
 * ``plans``     the four fact builders and the end-to-end build order
-* ``streaming`` micro-batch driver for the incremental facts
 * ``oracle``    DuckDB SQL twins used by the correctness gate
 """
 

@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 
 # Fixed formats of the key text.
 KEY_SEPARATOR = "|"
-TS_KEY_FORMAT = "yyyy-MM-dd'T'HH:mm:ssSSS"
-ROW_KEY_DATE_FORMAT = "yyyyMMdd"
 
 
 def _c(c) -> Column:
@@ -22,7 +20,11 @@ def _c(c) -> Column:
 
 
 def ts_to_key(c) -> Column:
-    return F.date_format(_c(c), TS_KEY_FORMAT)
+    """yyyy-MM-ddTHH:mm:ssSSS of a date or a zoneless timestamp, cut from its
+    text: ``date_format`` would go through the session time zone."""
+    text = _c(c).cast("timestamp_ntz").cast("string")
+    return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8),
+                    F.rpad(F.substring(text, 21, 3), 3, "0"))
 
 
 def surrogate_key(*cols) -> Column:
@@ -38,7 +40,7 @@ def project_row_key(project_id, month) -> Column:
     return F.md5(F.concat_ws(
         KEY_SEPARATOR,
         F.coalesce(_c(project_id).cast("string"), F.lit("")),
-        F.coalesce(F.date_format(_c(month), ROW_KEY_DATE_FORMAT), F.lit(""))))
+        F.coalesce(F.replace(_c(month).cast("date").cast("string"), F.lit("-"), F.lit("")), F.lit(""))))
 
 
 def ntz(value) -> Column:

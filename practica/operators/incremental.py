@@ -16,14 +16,15 @@ from pyspark.sql import functions as F
 
 from practica.operators.scd2 import assert_unique
 from practica.semantics import WATERMARK_FLOOR
+from practica.session import materialize
 
 
 # ------------------------------------------------------------------ cutoffs
 def month_cutoff(df: DataFrame, date_col: str = "date") -> dt.date | None:
     """add_months(max(date), -1): the one-month lookback of the monthly facts.
 
-    A single scalar aggregate. An empty relation gives None, and the caller
-    then loads nothing (a comparison with NULL is never true).
+    A single scalar aggregate. An empty relation gives None; what the caller
+    then loads is ``Semantics.empty_target``.
     """
     return df.agg(F.add_months(F.max(date_col), -1).alias("c")).first()["c"]
 
@@ -51,7 +52,7 @@ def merge_upsert(target: DataFrame | None, updates: DataFrame, key: str,
 
     Plan: the stored table anti-joins the update keys (adaptive execution
     broadcasts the key set when the batch is small), then the batch is
-    appended -- no full-table sort or rewrite of unchanged rows' values.
+    appended. Writing the result as a version copies the kept rows.
     """
     if validate:
         assert_unique(updates, key, "merge updates")
@@ -98,6 +99,8 @@ def write_version(df: DataFrame, root: str, partition_by: list[str] | None = Non
         nums = [int(x[2:]) for x in names if x.startswith("v=") and x[2:].isdigit()]
         n = max(nums, default=0)
     out = f"{root}/v={n + 1}"
+    if partition_by:    # a partition's rows together: few files for each
+        df = df.repartition(*partition_by)
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -110,5 +113,6 @@ def incremental_refresh(spark: SparkSession, root: str, build, key: str,
     """Read the current version, build the batch against it, merge, write the
     next version. ``build(target_or_None)`` returns the rows to merge."""
     target = read_current(spark, root)
-    updates = build(target)
+    # the batch is checked, joined and appended: written once, read three times
+    updates = materialize(build(target), "batches")
     return write_version(merge_upsert(target, updates, key), root, partition_by)

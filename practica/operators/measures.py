@@ -22,6 +22,7 @@ and ``month`` (first day of month, DATE) as grouping keys, plus the measure.
 
 from __future__ import annotations
 
+import datetime as dt
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, Window
@@ -31,6 +32,8 @@ from practica.functions.keys import month_start
 from practica.semantics import TYPE_FIXED, TYPE_TM, Semantics
 from practica.sources.tables import Staged
 
+Bounds = tuple[dt.date, dt.date]
+
 AMOUNT = "decimal(38,4)"
 MONEY_OUT = "decimal(38,2)"
 
@@ -43,13 +46,23 @@ def _projects(st: Staged, *cols: str) -> DataFrame:
     return st.project.select("project_id", *cols)
 
 
+def _within(df: DataFrame, date_col, bounds: Bounds | None) -> DataFrame:
+    """Rows whose date is in ``bounds`` (first and last day of whole months):
+    a test on the raw date, so it reaches the scan."""
+    if bounds is None:
+        return df
+    date = F.col(date_col) if isinstance(date_col, str) else date_col
+    return df.filter(date.between(*map(F.lit, bounds)))
+
+
 # ---------------------------------------------------------------- reductions
-def hours_by_deliverable_month(st: Staged, *extra: str) -> DataFrame:
-    return (st.time_entry.groupBy("deliverable_id", *extra, month_start("work_date").alias("month"))
+def hours_by_deliverable_month(st: Staged, *extra: str, bounds: Bounds | None = None) -> DataFrame:
+    return (_within(st.time_entry, "work_date", bounds).groupBy("deliverable_id", *extra, month_start("work_date").alias("month"))
             .agg(_sum("hours", "hours")))
 
 
-def hours_by_project_month(st: Staged, *extra: str, only: DataFrame | None = None) -> DataFrame:
+def hours_by_project_month(st: Staged, *extra: str, only: DataFrame | None = None,
+                           bounds: Bounds | None = None) -> DataFrame:
     """Time entries -> (deliverable's project, month); NULL project when the
     deliverable is unknown (left join, as the source).
 
@@ -59,7 +72,7 @@ def hours_by_project_month(st: Staged, *extra: str, only: DataFrame | None = Non
     reach the aggregation.
     """
     d = st.deliverable.select("deliverable_id", "project_id")
-    te = hours_by_deliverable_month(st, *extra)
+    te = hours_by_deliverable_month(st, *extra, bounds=bounds)
     if only is None:
         j = te.join(d, "deliverable_id", "left")
     else:
@@ -77,19 +90,27 @@ def payroll_by_consultant(st: Staged) -> DataFrame:
             .groupBy("consultant_id").agg(_sum("amount", "amount_sum")))
 
 
-def _deliverable_price_by_project_month(st: Staged) -> DataFrame:
-    return (st.deliverable.groupBy("project_id", month_start("due_date").alias("month"))
+def _deliverable_price_by_project_month(st: Staged, bounds: Bounds | None = None) -> DataFrame:
+    return (_within(st.deliverable, "due_date", bounds).groupBy("project_id", month_start("due_date").alias("month"))
             .agg(_sum("price", "price")))
 
 
 # ---------------------------------------------------- client/unit/month (BD)
-def _fixed_price_deliverables(st: Staged) -> DataFrame:
+def _fixed_price_deliverables(st: Staged, bounds: Bounds | None = None) -> DataFrame:
     """Deliverable prices by (project, month) joined to fixed-price projects,
-    status kept; A1 and A5 split it by status (Catalyst pushes each status
-    filter below the join, so each join reads only its own projects)."""
+    status kept."""
     p = (st.project.filter(F.col("project_type") == TYPE_FIXED)
          .select("project_id", "client_id", "unit_id", "status"))
-    return _deliverable_price_by_project_month(st).join(p, "project_id", "inner")
+    return _deliverable_price_by_project_month(st, bounds).join(p, "project_id", "inner")
+
+
+def fixed_price_month(st: Staged, sem: Semantics = Semantics(), bounds: Bounds | None = None) -> DataFrame:
+    """A1 and A5 side by side: one join, one group-by, two conditional sums."""
+    done, open_ = sem.completed(F.col("status")), sem.not_completed(F.col("status"))
+    return (_fixed_price_deliverables(st, bounds).filter(done | open_)
+            .groupBy("client_id", "unit_id", "month")
+            .agg(F.sum(F.when(done, F.col("price"))).alias("total_fp_revenue"),
+                 F.sum(F.when(open_, F.col("price"))).alias("incomplete_fp_revenue")))
 
 
 def fixed_revenue_month(st: Staged, sem: Semantics = Semantics()) -> DataFrame:
@@ -104,23 +125,23 @@ def fixed_incomplete_month(st: Staged, sem: Semantics = Semantics()) -> DataFram
             .groupBy("client_id", "unit_id", "month").agg(_sum("price", "incomplete_fp_revenue")))
 
 
-def expense_revenue_month(st: Staged) -> DataFrame:
+def expense_revenue_month(st: Staged, bounds: Bounds | None = None) -> DataFrame:
     """A2: billable project expense by client, unit, expense month."""
-    pe = (st.project_expense.filter(F.col("is_billable") == 1)
+    pe = (_within(st.project_expense, "expense_date", bounds).filter(F.col("is_billable") == 1)
           .groupBy("project_id", month_start("expense_date").alias("month"))
           .agg(_sum("amount", "amount")))
     return (pe.join(_projects(st, "client_id", "unit_id"), "project_id", "left")
             .groupBy("client_id", "unit_id", "month").agg(_sum("amount", "total_tm_expense_revenue")))
 
 
-def consultant_revenue_month(st: Staged) -> DataFrame:
+def consultant_revenue_month(st: Staged, bounds: Bounds | None = None) -> DataFrame:
     """A3: hours x billing rate by client, unit, work month.
 
     The project is taken through the *rate's* project id (the source joins
     ``USING(project_id)`` after the rate), so hours without a rate fall into
     the NULL client/unit group with a NULL value.
     """
-    hp = hours_by_project_month(st)
+    hp = hours_by_project_month(st, bounds=bounds)
     r = rate_by_project(st).withColumnRenamed("project_id", "rate_project_id")
     p = _projects(st, "client_id", "unit_id").withColumnRenamed("project_id", "p_project_id")
     return (hp.join(r, hp.project_id == r.rate_project_id, "left")
@@ -129,9 +150,9 @@ def consultant_revenue_month(st: Staged) -> DataFrame:
             .agg(F.sum(F.col("hours") * F.col("rate_sum")).alias("total_tm_consultant_revenue")))
 
 
-def satisfaction_month(st: Staged) -> DataFrame:
+def satisfaction_month(st: Staged, bounds: Bounds | None = None) -> DataFrame:
     """A4: average feedback score by feedback client, project unit, start month."""
-    p = st.project.select("project_id", "unit_id",
+    p = _within(st.project, F.coalesce("actual_start_date", "planned_start_date"), bounds).select("project_id", "unit_id",
                           month_start(F.coalesce("actual_start_date", "planned_start_date")).alias("month"))
     # feedback reduced to (project, client) sums and counts before the join;
     # avg = sum of sums / sum of counts (NULL scores are skipped by both)
@@ -142,13 +163,14 @@ def satisfaction_month(st: Staged) -> DataFrame:
                  .alias("average_satisfaction")))
 
 
-def tm_incomplete_month(st: Staged, sem: Semantics = Semantics()) -> DataFrame:
+def tm_incomplete_month(st: Staged, sem: Semantics = Semantics(), bounds: Bounds | None = None) -> DataFrame:
     """Remaining value of open time-and-material projects.
 
     round(sum(coalesce(price, 0) * (1 - pct/100)), 2), written with a
     decimal 0.01 factor so it stays exact.
     """
-    p = st.project.filter(sem.not_completed(F.col("status")) & (F.col("project_type") == TYPE_TM))
+    p = _within(st.project, F.coalesce("actual_start_date", "planned_start_date"), bounds)
+    p = p.filter(sem.not_completed(F.col("status")) & (F.col("project_type") == TYPE_TM))
     remaining = (F.coalesce(F.col("price"), F.lit(0)) * (F.lit(100) - F.col("percent_complete"))
                  * F.lit(Decimal("0.01")))
     return (p.groupBy("client_id", "unit_id",
@@ -162,8 +184,8 @@ def activity_spine(st: Staged, sem: Semantics = Semantics()) -> DataFrame:
     Catalyst merges the unions and the distinct into one two-phase aggregate.
     """
     keys = ["client_id", "unit_id", "month"]
-    parts = [fixed_revenue_month(st, sem), expense_revenue_month(st), consultant_revenue_month(st),
-             satisfaction_month(st), fixed_incomplete_month(st, sem), tm_incomplete_month(st, sem)]
+    parts = [fixed_price_month(st, sem), expense_revenue_month(st), consultant_revenue_month(st),
+             satisfaction_month(st), tm_incomplete_month(st, sem)]
     spine = parts[0].select(*keys)
     for part in parts[1:]:
         spine = spine.unionByName(part.select(*keys))
@@ -171,19 +193,19 @@ def activity_spine(st: Staged, sem: Semantics = Semantics()) -> DataFrame:
 
 
 # ---------------------------------------------------------- unit/month (FIN)
-def expense_unit_month(st: Staged) -> DataFrame:
+def expense_unit_month(st: Staged, bounds: Bounds | None = None) -> DataFrame:
     """Project expense by the project's unit and expense month."""
-    pe = (st.project_expense.groupBy("project_id", month_start("expense_date").alias("month"))
+    pe = (_within(st.project_expense, "expense_date", bounds).groupBy("project_id", month_start("expense_date").alias("month"))
           .agg(_sum("amount", "amount")))
     return (pe.join(_projects(st, "unit_id"), "project_id", "left")
             .groupBy("unit_id", "month").agg(_sum("amount", "monthly_amount")))
 
 
-def direct_cost_unit_month(st: Staged) -> DataFrame:
+def direct_cost_unit_month(st: Staged, bounds: Bounds | None = None) -> DataFrame:
     """Hours x payroll amount by the consultant's unit and work month.
 
     Payroll joins by consultant only (every record of the consultant)."""
-    te = (st.time_entry.groupBy("consultant_id", month_start("work_date").alias("month"))
+    te = (_within(st.time_entry, "work_date", bounds).groupBy("consultant_id", month_start("work_date").alias("month"))
           .agg(_sum("hours", "hours")))
     c = st.consultant.select("consultant_id", F.col("business_unit_id").alias("unit_id"))
     return (te.join(payroll_by_consultant(st), "consultant_id", "left")
@@ -192,10 +214,13 @@ def direct_cost_unit_month(st: Staged) -> DataFrame:
             .agg(F.sum(F.col("hours") * F.col("amount_sum")).alias("total_billable_consultant_cost")))
 
 
-def indirect_cost_unit_month(st: Staged) -> DataFrame:
+def indirect_cost_unit_month(st: Staged, bounds: Bounds | None = None) -> DataFrame:
     """Indirect costs by unit and month (yearmonth yyyyMM -> first day)."""
     month = F.to_date(F.col("yearmonth").cast("string"), "yyyyMM")
-    return (st.indirect_cost.groupBy(F.col("business_unit_id").alias("unit_id"), month.alias("month"))
+    costs = st.indirect_cost
+    if bounds:
+        costs = costs.filter(F.col("yearmonth").between(*[d.year * 100 + d.month for d in bounds]))
+    return (costs.groupBy(F.col("business_unit_id").alias("unit_id"), month.alias("month"))
             .agg(F.sum("non_proj_labor_costs").cast(MONEY_OUT).alias("total_non_proj_labor_costs"),
                  F.sum("other_expense_costs").cast(AMOUNT).alias("total_other_expense_costs")))
 
@@ -287,6 +312,40 @@ def consultant_cost_month(st: Staged, only: DataFrame | None = None) -> DataFram
             .agg(F.sum(F.col("hours") * F.col("amount_sum")).alias("consultant_hour_costs_per_month")))
 
 
+def project_history(st: Staged, latest: DataFrame, sem: Semantics = Semantics()) -> DataFrame:
+    """A10-A12 and A15-A17 of the projects in ``latest`` (project_id, month),
+    one row for each project.
+
+    Time entries are scanned and joined to deliverables once, expenses and
+    deliverable prices once each: every input is reduced to (project, month)
+    and then, beside the project's latest month, to all-time sums and sums of
+    that month. Inputs of other projects are removed before they are reduced.
+    """
+    at = latest.select("project_id", F.col("month").alias("_at"))
+    ids = at.select("project_id")
+    now = F.col("month") == F.col("_at")
+    part_of = st.deliverable.select("deliverable_id", "project_id").join(ids, "project_id", "left_semi")
+    worked = (hours_by_deliverable_month(st, "consultant_id").join(part_of, "deliverable_id")
+              .groupBy("project_id", "consultant_id", "month").agg(_sum("hours", "hours"))
+              .join(payroll_by_consultant(st), "consultant_id", "left").join(at, "project_id")
+              .groupBy("project_id")
+              .agg(_sum("hours", "_hours"), F.sum(F.when(now, F.col("hours"))).alias("hours_spent"),
+                   F.sum(F.when(now, F.col("hours") * F.col("amount_sum")))
+                   .alias("consultant_hour_costs_per_month")))
+    billed = F.col("is_billable") == 1
+    spent = (st.project_expense.join(ids, "project_id", "left_semi")
+             .groupBy("project_id", month_start("expense_date").alias("month"))
+             .agg(_sum("amount", "_all"), F.sum(F.when(billed, F.col("amount"))).alias("_billed"))
+             .join(at, "project_id").groupBy("project_id")
+             .agg(F.sum("_billed").alias("total_tm_expense_revenue"),
+                  F.sum(F.when(now, F.col("_all"))).cast(AMOUNT).alias("project_expenses_per_month")))
+    priced = fixed_revenue_by_project(st.replace(deliverable=st.deliverable.join(ids, "project_id", "left_semi")), sem)
+    return (ids.join(worked, "project_id", "left").join(spent, "project_id", "left")
+            .join(priced, "project_id", "left").join(rate_by_project(st), "project_id", "left")
+            .withColumn("total_tm_consultant_revenue", F.col("_hours") * F.col("rate_sum"))
+            .drop("_hours", "rate_sum"))
+
+
 def latest_project(projects: DataFrame, sem: Semantics = Semantics()) -> DataFrame:
     """The latest row per project by last_update.
 

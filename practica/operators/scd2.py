@@ -78,14 +78,32 @@ def assert_unique(df: DataFrame, key: str | list[str], what: str = "input") -> N
         raise DuplicateKeyError(f"{what}: duplicate key {bad[0].asDict()}")
 
 
+def one_row_per_key(incoming: DataFrame, spec: SnapshotSpec, cols: list[str]) -> DataFrame:
+    """The incoming rows, grouped by their key; a NULL or duplicate key fails
+    the run. The join that follows is by the same key and shuffles no more."""
+    rest = [c for c in cols if c != spec.key]
+    key = F.col(spec.key)
+    grouped = incoming.groupBy(spec.key).agg(F.count("*").alias("_n"), F.first(F.struct(*rest)).alias("_r"))
+    refused = F.when(key.isNull(), F.raise_error(F.lit(f"snapshot: NULL key {spec.key}"))).when(
+        F.col("_n") > 1, F.raise_error(F.concat(F.lit(f"snapshot: duplicate key {spec.key} = "),
+                                                key.cast("string"))))
+    checked = F.coalesce(refused.cast(incoming.schema[spec.key].dataType), key)
+    return grouped.select(*[checked.alias(c) if c == spec.key else F.col(f"_r.{c}").alias(c) for c in cols])
+
+
 def scd2_snapshot(incoming: DataFrame, spec: SnapshotSpec, run_ts: dt.datetime,
                   history: DataFrame | None = None) -> DataFrame:
+    """The next history. Running it fails on a NULL or duplicate incoming key,
+    and where ``run_ts`` is not later than every validity in the history."""
     cols = list(spec.columns or incoming.columns)
-    incoming = incoming.select(*cols)
+    incoming = one_row_per_key(incoming, spec, cols)
     ts = _ts(run_ts)
     if history is None:
         return incoming.select(*cols, ts.alias(VALID_FROM), _ts(None).alias(VALID_TO))
 
+    late = F.when(F.greatest(VALID_FROM, VALID_TO) >= ts, F.raise_error(F.lit(
+        f"snapshot: run at {run_ts} is not later than the history"))).cast("timestamp_ntz")
+    history = history.withColumn(VALID_FROM, F.coalesce(late, F.col(VALID_FROM)))
     closed = history.filter(F.col(VALID_TO).isNotNull()).select(*cols, VALID_FROM, VALID_TO)
     opened = history.filter(F.col(VALID_TO).isNull()).select(*cols, VALID_FROM, VALID_TO)
 

@@ -1,10 +1,9 @@
 """DuckDB oracle SQL, one statement per registered query.
 
-Written in the source models' own shape -- joins before aggregation, the
-OR-join and left joins to the calendar, fan-out joins to rates and payroll --
-so agreement with the Spark plans also checks every rewrite those plans make.
-Parameters are the driver-table ones (calendar 1995-2001, as-of and snapshot
-2001-12-31).
+Measures are grouped sums stated once each by ``grouped`` (input, keys, value)
+over a few enriched inputs; the facts put their measures side by side and share
+one projection for every variant. Parameters are the driver-table ones
+(calendar 1995-2001, as-of and snapshot 2001-12-31).
 """
 
 from __future__ import annotations
@@ -91,95 +90,90 @@ DIMS = {
 }
 
 
+def grouped(source: str, keys: dict[str, str], value: str, name: str, where: str = "") -> str:
+    """``value`` AS ``name`` for each combination of ``keys`` (alias -> expression)."""
+    listed = ", ".join(f"{e} AS {k}" for k, e in keys.items())
+    return f"SELECT {listed}, {value} AS {name} FROM {source}{' WHERE ' + where if where else ''} GROUP BY ALL"
+
+
+STARTED = month("coalesce(actual_start_date, planned_start_date)")
+CUM = ["client_id", "unit_id", "month"]
+
+
+def same(*names: str) -> dict[str, str]:
+    return {n: n for n in names}
+
+
 def measures(pe: str = "stg_project_expense", proj: str = "stg_project",
-             prefix: str = "") -> dict[str, str]:
+             prefix: str = "", completed: str = COMPLETED) -> dict[str, str]:
     """Measure CTEs; ``pe``/``proj`` name the expense and project relations,
     ``prefix`` namespaces the CTE names so two variants can coexist."""
     P = prefix
+    total = "CAST(sum({}) AS DECIMAL(18,2))".format
     body = {
-        "a1": f"""SELECT p.client_id, p.unit_id, {month('de.due_date')} AS month,
-            sum(de.price) AS total_fp_revenue
-          FROM stg_deliverable de LEFT JOIN {proj} p ON de.project_id = p.project_id
-          WHERE p.status = {COMPLETED} AND p.project_type = 'Fixed' GROUP BY 1, 2, 3""",
-        "a2": f"""SELECT p.client_id, p.unit_id, {month('pe.expense_date')} AS month,
-            sum(pe.amount) AS total_tm_expense_revenue
-          FROM {pe} pe LEFT JOIN {proj} p USING (project_id)
-          WHERE pe.is_billable = 1 GROUP BY 1, 2, 3""",
-        "a3": f"""SELECT p.client_id, p.unit_id, {month('cd.work_date')} AS month,
-            sum(cd.hours * pbr.rate) AS total_tm_consultant_revenue
-          FROM stg_time_entry cd
-          LEFT JOIN stg_deliverable de ON cd.deliverable_id = de.deliverable_id
-          LEFT JOIN stg_billing_rate pbr ON de.project_id = pbr.project_id
-          LEFT JOIN {proj} p ON pbr.project_id = p.project_id
-          GROUP BY 1, 2, 3""",
-        "a4": f"""SELECT cf.client_id, p.unit_id,
-            {month('coalesce(p.actual_start_date, p.planned_start_date)')} AS month,
-            avg(cf.overall_satisfaction) AS average_satisfaction
-          FROM {proj} p JOIN stg_client_feedback cf ON p.project_id = cf.project_id
-          GROUP BY 1, 2, 3""",
-        "a5": f"""SELECT p.client_id, p.unit_id, {month('de.due_date')} AS month,
-            sum(de.price) AS incomplete_fp_revenue
-          FROM stg_deliverable de LEFT JOIN {proj} p ON de.project_id = p.project_id
-          WHERE p.status <> {COMPLETED} AND p.project_type = 'Fixed' GROUP BY 1, 2, 3""",
-        "a6": f"""SELECT client_id, unit_id,
-            {month('coalesce(actual_start_date, planned_start_date)')} AS month,
-            CAST(round(sum(coalesce(price, 0) * (100 - percent_complete)
-                           * CAST(0.01 AS DECIMAL(3,2))), 2) AS DECIMAL(38,2)) AS incomplete_tm_revenue
-          FROM {proj} WHERE status <> {COMPLETED} AND project_type = 'Time and Material'
-          GROUP BY 1, 2, 3""",
-        "a7": f"""SELECT p.unit_id, {month('pe.expense_date')} AS month, sum(pe.amount) AS monthly_amount
-          FROM {pe} pe LEFT JOIN {proj} p ON pe.project_id = p.project_id GROUP BY 1, 2""",
-        "a8": f"""SELECT c.business_unit_id AS unit_id, {month('cd.work_date')} AS month,
-            sum(cd.hours * pr.amount) AS total_billable_consultant_cost
-          FROM stg_time_entry cd
-          LEFT JOIN stg_payroll pr ON cd.consultant_id = pr.consultant_id
-          LEFT JOIN stg_consultant c ON c.consultant_id = cd.consultant_id GROUP BY 1, 2""",
-        "a9": """SELECT business_unit_id AS unit_id,
-            CAST(strptime(CAST(yearmonth AS VARCHAR), '%Y%m') AS DATE) AS month,
+        # enriched inputs
+        "owner": f"SELECT project_id, client_id, unit_id, status, project_type FROM {proj}",
+        "due": f"""SELECT project_id, client_id, unit_id, status, price, {month('due_date')} AS month
+            FROM {P}owner INNER JOIN stg_deliverable USING (project_id) WHERE project_type = 'Fixed'""",
+        "spent": f"""SELECT project_id, client_id, unit_id, is_billable, amount, {month('expense_date')} AS month
+            FROM {pe} LEFT JOIN {P}owner USING (project_id)""",
+        "worked": f"""SELECT consultant_id, project_id, hours, {month('work_date')} AS month
+            FROM stg_time_entry LEFT JOIN (SELECT deliverable_id, project_id FROM stg_deliverable)
+            USING (deliverable_id)""",
+        "rates": grouped("stg_billing_rate", same("project_id"), total("rate"), "rate", "project_id IS NOT NULL"),
+        "pays": grouped("stg_payroll", same("consultant_id"), total("amount"), "pay", "consultant_id IS NOT NULL"),
+        # by client, unit and month; a rate decides whose hours they are
+        "rated": f"""SELECT month, project_id, hours * rate AS worth,
+            CASE WHEN rate IS NOT NULL THEN project_id END AS owner_id
+            FROM {P}worked LEFT JOIN {P}rates USING (project_id)""",
+        "a1": grouped(f"{P}due", same(*CUM), "sum(price)", "total_fp_revenue", f"status = {completed}"),
+        "a2": grouped(f"{P}spent", same(*CUM), "sum(amount)", "total_tm_expense_revenue", "is_billable = 1"),
+        "a3": grouped(f"{P}rated r LEFT JOIN {P}owner o ON o.project_id = r.owner_id", same(*CUM), "sum(worth)",
+                      "total_tm_consultant_revenue"),
+        "a4": grouped(f"stg_client_feedback f INNER JOIN {proj} j USING (project_id)",
+                      {"client_id": "f.client_id", "unit_id": "j.unit_id", "month": STARTED},
+                      "avg(overall_satisfaction)", "average_satisfaction"),
+        "a5": grouped(f"{P}due", same(*CUM), "sum(price)", "incomplete_fp_revenue", f"status <> {completed}"),
+        "a6": grouped(proj, {**same("client_id", "unit_id"), "month": STARTED},
+                      "CAST(round(sum(coalesce(price, 0) * (100 - percent_complete) * 0.01::DECIMAL(3,2)), 2) "
+                      "AS DECIMAL(38,2))", "incomplete_tm_revenue",
+                      f"project_type = 'Time and Material' AND status <> {completed}"),
+        # by unit and month
+        "a7": grouped(f"{P}spent", same("unit_id", "month"), "sum(amount)", "monthly_amount"),
+        "a8": grouped(f"{P}worked w LEFT JOIN {P}pays USING (consultant_id) "
+                      "LEFT JOIN stg_consultant USING (consultant_id)",
+                      {"unit_id": "business_unit_id", "month": "month"}, "sum(hours * pay)",
+                      "total_billable_consultant_cost"),
+        "a9": """SELECT business_unit_id AS unit_id, make_date(yearmonth // 100, yearmonth % 100, 1) AS month,
             sum(non_proj_labor_costs) AS total_non_proj_labor_costs,
-            sum(other_expense_costs) AS total_other_expense_costs
-          FROM stg_indirect_cost GROUP BY 1, 2""",
-        "a10": f"""SELECT d.project_id, sum(d.price) AS total_fp_revenue
-          FROM stg_deliverable d JOIN {proj} p ON d.project_id = p.project_id
-          WHERE p.status = {COMPLETED} AND p.project_type = 'Fixed' GROUP BY 1""",
-        "a11": f"""SELECT project_id, sum(amount) AS total_tm_expense_revenue
-          FROM {pe} WHERE is_billable = 1 GROUP BY 1""",
-        "a12": """SELECT d.project_id, sum(cd.hours * pbr.rate) AS total_tm_consultant_revenue
-          FROM stg_time_entry cd
-          LEFT JOIN stg_deliverable d ON cd.deliverable_id = d.deliverable_id
-          LEFT JOIN stg_billing_rate pbr ON d.project_id = pbr.project_id GROUP BY 1""",
-        "m5": f"""SELECT p.project_id, p.unit_id, {month('p.planned_start_date')} AS month,
-            CAST(CASE WHEN p.project_type = 'Fixed' THEN coalesce(fp.total_fp_revenue, 0)
-                      WHEN p.project_type = 'Time and Material'
-                        THEN coalesce(tx.total_tm_expense_revenue, 0)
-                             + coalesce(tc.total_tm_consultant_revenue, 0)
-                      ELSE 0 END AS DECIMAL(38,4)) AS total_project_revenue
-          FROM {proj} p LEFT JOIN {P}a10 fp ON p.project_id = fp.project_id
-          LEFT JOIN {P}a11 tx ON p.project_id = tx.project_id
-          LEFT JOIN {P}a12 tc ON p.project_id = tc.project_id""",
-        "a13": f"""SELECT unit_id, month, sum(total_project_revenue) AS total_revenue
-          FROM {P}m5 GROUP BY 1, 2""",
-        "a14": """SELECT consultant_id, month, b AS billable_hours, nb AS non_billable_hours,
-            b + nb AS total_hours, b / nullif(b + nb, 0) AS billable_hours_percentage
-          FROM (SELECT consultant_id, month_start_date AS month,
-                       CAST(sum(billable_minutes) AS DOUBLE) / 60 AS b,
-                       CAST(sum(non_billable_minutes) AS DOUBLE) / 60 AS nb
-                FROM stg_non_billable_hours GROUP BY 1, 2)""",
-        "a15": f"""SELECT d.project_id, {month('cd.work_date')} AS month, sum(cd.hours) AS hours_spent
-          FROM stg_time_entry cd LEFT JOIN stg_deliverable d ON cd.deliverable_id = d.deliverable_id
-          GROUP BY 1, 2""",
-        "a16": f"""SELECT project_id, {month('expense_date')} AS month,
-            sum(amount) AS project_expenses_per_month FROM {pe} GROUP BY 1, 2""",
-        "a17": f"""SELECT d.project_id, {month('cd.work_date')} AS month,
-            sum(cd.hours * pr.amount) AS consultant_hour_costs_per_month
-          FROM stg_time_entry cd
-          LEFT JOIN stg_deliverable d ON cd.deliverable_id = d.deliverable_id
-          LEFT JOIN stg_payroll pr ON cd.consultant_id = pr.consultant_id GROUP BY 1, 2""",
-        "spine": f"""SELECT DISTINCT client_id, unit_id, month FROM (
-            SELECT client_id, unit_id, month FROM {P}a1 UNION SELECT client_id, unit_id, month FROM {P}a2
-            UNION SELECT client_id, unit_id, month FROM {P}a3 UNION SELECT client_id, unit_id, month FROM {P}a4
-            UNION SELECT client_id, unit_id, month FROM {P}a5 UNION SELECT client_id, unit_id, month FROM {P}a6)
-          WHERE client_id IS NOT NULL""",
+            sum(other_expense_costs) AS total_other_expense_costs FROM stg_indirect_cost GROUP BY ALL""",
+        # by project
+        "a10": grouped(f"{P}due", same("project_id"), "sum(price)", "total_fp_revenue", f"status = {completed}"),
+        "a11": grouped(pe, same("project_id"), "sum(amount)", "total_tm_expense_revenue", "is_billable = 1"),
+        "a12": grouped(f"{P}rated", same("project_id"), "sum(worth)", "total_tm_consultant_revenue"),
+        "earned": f"""SELECT project_id, CAST(CASE project_type
+                WHEN 'Fixed' THEN coalesce(total_fp_revenue, 0)
+                WHEN 'Time and Material'
+                THEN coalesce(total_tm_expense_revenue, 0) + coalesce(total_tm_consultant_revenue, 0)
+                ELSE 0 END AS DECIMAL(38,4)) AS revenue
+            FROM {P}owner LEFT JOIN {P}a10 USING (project_id) LEFT JOIN {P}a11 USING (project_id)
+            LEFT JOIN {P}a12 USING (project_id)""",
+        "m5": f"""SELECT project_id, unit_id, {month('planned_start_date')} AS month,
+            revenue AS total_project_revenue FROM {proj} INNER JOIN {P}earned USING (project_id)""",
+        "a13": grouped(f"{P}m5", same("unit_id", "month"), "sum(total_project_revenue)", "total_revenue"),
+        "a14": """SELECT consultant_id, month_start_date AS month,
+            sum(billable_minutes)::DOUBLE / 60 AS billable_hours,
+            sum(non_billable_minutes)::DOUBLE / 60 AS non_billable_hours,
+            billable_hours + non_billable_hours AS total_hours,
+            billable_hours / nullif(billable_hours + non_billable_hours, 0) AS billable_hours_percentage
+            FROM stg_non_billable_hours GROUP BY ALL""",
+        "a15": grouped(f"{P}worked", same("project_id", "month"), "sum(hours)", "hours_spent"),
+        "a16": grouped(pe, {"project_id": "project_id", "month": month("expense_date")}, "sum(amount)",
+                       "project_expenses_per_month"),
+        "a17": grouped(f"{P}worked LEFT JOIN {P}pays USING (consultant_id)", same("project_id", "month"),
+                       "sum(hours * pay)", "consultant_hour_costs_per_month"),
+        "activity": " UNION ALL BY NAME ".join(f"SELECT * FROM {P}a{i}" for i in range(1, 7)),
+        "spine": f"SELECT DISTINCT {', '.join(CUM)} FROM {P}activity WHERE client_id IS NOT NULL",
     }
     return {f"{P}{k}": v for k, v in body.items()}
 
@@ -193,134 +187,116 @@ def _measure_query(name: str, final: str | None = None) -> str:
 
 
 # ------------------------------------------------------------------- facts
-def finance_fact_ctes(prefix: str, pe: str = "stg_project_expense") -> dict[str, str]:
-    p = prefix
-    ms = {k: v for k, v in measures(pe, prefix=f"{p}_").items()
-          if k[len(p) + 1:] in ("a7", "a8", "a9", "a10", "a11", "a12", "m5", "a13")}
-    ms[f"{p}_fact"] = f"""SELECT {sk('peb.unit_id', ts_key('peb.month'))} AS row_key,
-        fbud.unitkey AS unit_key,
-        CAST(peb.monthly_amount AS DECIMAL(38,4)) AS direct_project_expenses,
-        CAST(dcb.total_billable_consultant_cost AS DECIMAL(38,4)) AS direct_billable_consultant_cost,
-        CAST(peb.monthly_amount + dcb.total_billable_consultant_cost AS DECIMAL(38,4)) AS total_direct_cost,
-        CAST(icb.total_non_proj_labor_costs AS DECIMAL(38,4)) AS indirect_nonbillable_consultant_cost,
-        CAST(icb.total_other_expense_costs AS DECIMAL(38,4)) AS indirect_other_expense_cost,
-        CAST(icb.total_non_proj_labor_costs + icb.total_other_expense_costs AS DECIMAL(38,4))
-          AS total_indirect_costs,
-        CAST(peb.monthly_amount + dcb.total_billable_consultant_cost + icb.total_non_proj_labor_costs
-             + icb.total_other_expense_costs AS DECIMAL(38,4)) AS total_expenses,
-        CAST(tbpr.total_revenue AS DECIMAL(38,4)) AS total_revenue,
-        CAST(tbpr.total_revenue - (peb.monthly_amount + dcb.total_billable_consultant_cost
-             + icb.total_non_proj_labor_costs + icb.total_other_expense_costs) AS DECIMAL(38,4)) AS profit,
-        dd.date
-      FROM {p}_a7 peb
-      LEFT JOIN {p}_a8 dcb ON dcb.unit_id = peb.unit_id AND dcb.month = peb.month
-      LEFT JOIN {p}_a9 icb ON icb.unit_id = peb.unit_id AND icb.month = peb.month
-      LEFT JOIN dim_bu fbud ON peb.unit_id = fbud.unitid AND fbud.valid_to IS NULL
-      LEFT JOIN {p}_a13 tbpr ON tbpr.unit_id = peb.unit_id AND tbpr.month = peb.month
-      JOIN cal dd ON dd.date = peb.month OR dd.date = dcb.month OR dd.date = icb.month
-                  OR dd.date = tbpr.month"""
+def finance_fact_ctes(prefix: str, pe: str = "stg_project_expense", anchor: str = "expense") -> dict[str, str]:
+    """The finance fact as ``<prefix>_fact``: rows are the unit-months with
+    expense, whose other measures need a known unit; or, for ``any``, all
+    unit-months of any measure."""
+    p, parts = prefix, ("a7", "a8", "a9", "a13")
+    ms = measures(pe, prefix=f"{p}_")
+    kept = "a7" if anchor == "expense" else None
+    ms[f"{p}_side"] = " UNION ALL BY NAME ".join(
+        f"SELECT *, {int(x == 'a7')} AS anchored FROM {p}_{x}" for x in parts)
+    blank = "CASE WHEN unit_id IS NOT NULL THEN {} END".format if kept else "{}".format
+    ms[f"{p}_row"] = f"""SELECT unit_id, month, max(anchored) AS anchored, sum(monthly_amount) AS expense,
+        {blank('sum(total_billable_consultant_cost)')} AS staff,
+        {blank('sum(total_non_proj_labor_costs)')} AS labor,
+        {blank('sum(total_other_expense_costs)')} AS other, {blank('sum(total_revenue)')} AS revenue,
+        expense + staff + labor + other AS outlay
+        FROM {p}_side WHERE month BETWEEN {CAL_START} AND {CAL_END} GROUP BY unit_id, month"""
+    money = {
+        "direct_project_expenses": "expense", "direct_billable_consultant_cost": "staff",
+        "total_direct_cost": "expense + staff", "indirect_nonbillable_consultant_cost": "labor",
+        "indirect_other_expense_cost": "other", "total_indirect_costs": "labor + other",
+        "total_expenses": "outlay", "total_revenue": "revenue", "profit": "revenue - outlay",
+    }
+    ms[f"{p}_fact"] = f"""SELECT {sk('unit_id', ts_key('month'))} AS row_key, unitkey AS unit_key,
+        {', '.join(f'CAST({e} AS DECIMAL(38,4)) AS {n}' for n, e in money.items())}, month AS date
+        FROM {p}_row LEFT JOIN (SELECT unitid, unitkey FROM dim_bu WHERE valid_to IS NULL) ON unitid = unit_id
+        {'WHERE anchored = 1' if kept else ''}"""
     return ms
 
 
-def _latest(src: str = "stg_project") -> str:
-    return f"""SELECT * EXCLUDE (rn) FROM (
-        SELECT *, row_number() OVER (PARTITION BY project_id ORDER BY last_update DESC NULLS FIRST,
-          created_at DESC NULLS LAST, status DESC NULLS LAST, percent_complete DESC NULLS LAST,
-          actual_end_date DESC NULLS LAST, actual_start_date DESC NULLS LAST) AS rn
-        FROM {src}) WHERE rn = 1"""
-
-
-PROJECT_FACT = {
-    "pl": _latest(),
-    "rb": """SELECT l.project_id,
-        CASE WHEN l.project_type = 'Fixed' THEN coalesce(fp.total_fp_revenue, 0)
-             WHEN l.project_type = 'Time and Material'
-               THEN coalesce(tx.total_tm_expense_revenue, 0) + coalesce(tc.total_tm_consultant_revenue, 0)
-             ELSE 0 END AS revenue_received_to_date
-      FROM pl l LEFT JOIN a10 fp ON l.project_id = fp.project_id
-      LEFT JOIN a11 tx ON l.project_id = tx.project_id
-      LEFT JOIN a12 tc ON l.project_id = tc.project_id""",
-    "pj": f"""SELECT l.*, p.project_key, c.client_key, b.unitkey AS business_unit_key,
-        {month('l.last_update')} AS snapshot_month,
-        das.date AS actual_start_date_key, dae.date AS actual_end_date_key,
-        CASE WHEN l.actual_start_date IS NOT NULL AND l.planned_start_date IS NOT NULL
-              AND l.actual_start_date > l.planned_start_date THEN 1 ELSE 0 END AS if_late_start_flag,
-        CAST(date_diff('day', l.planned_start_date, l.planned_end_date) AS INTEGER) AS planned_duration_days,
-        CASE WHEN l.actual_start_date IS NOT NULL AND l.actual_end_date IS NOT NULL
-             THEN CAST(date_diff('day', l.actual_start_date, l.actual_end_date) AS INTEGER) END
-          AS actual_duration_days,
-        CASE WHEN l.actual_start_date IS NOT NULL AND l.percent_complete IS NOT NULL
-              AND l.percent_complete > 0
-             THEN l.actual_start_date + CAST(round(date_diff('day', l.actual_start_date, {AS_OF})
-                                                   / nullif(l.percent_complete, 0)) AS INTEGER) END
-          AS expected_end_date,
-        hb.hours_spent, peb.project_expenses_per_month, ccb.consultant_hour_costs_per_month,
-        rb.revenue_received_to_date
-      FROM pl l
-      LEFT JOIN dim_project p ON p.project_id = l.project_id AND p.valid_to IS NULL
-      LEFT JOIN dim_client c ON c.client_id = l.client_id AND c.valid_to IS NULL
-      LEFT JOIN dim_bu b ON b.unitid = l.unit_id AND b.valid_to IS NULL
-      LEFT JOIN cal das ON das.date = l.actual_start_date
-      LEFT JOIN cal dae ON dae.date = l.actual_end_date
-      LEFT JOIN a15 hb ON hb.project_id = l.project_id AND hb.month = {month('l.last_update')}
-      LEFT JOIN a16 peb ON peb.project_id = l.project_id AND peb.month = {month('l.last_update')}
-      LEFT JOIN a17 ccb ON ccb.project_id = l.project_id AND ccb.month = {month('l.last_update')}
-      LEFT JOIN rb ON rb.project_id = l.project_id""",
-    "pf": """SELECT *, project_expenses_per_month + consultant_hour_costs_per_month AS total_exp,
-        CASE WHEN percent_complete IS NOT NULL AND percent_complete > 0
-             THEN CAST(project_expenses_per_month + consultant_hour_costs_per_month AS DOUBLE)
-                  / CAST(nullif(percent_complete, 0) AS DOUBLE) END AS forecasted_cost
-      FROM pj""",
-    "project_fact": """SELECT
-        md5(concat_ws('|', coalesce(CAST(project_id AS VARCHAR), ''),
-                           coalesce(strftime(snapshot_month, '%Y%m%d'), ''))) AS row_key,
-        project_id, project_key, client_key, business_unit_key, snapshot_month AS date,
-        actual_start_date_key, actual_end_date_key, percent_complete, status, if_late_start_flag,
-        planned_duration_days, actual_duration_days, expected_end_date,
-        CAST(hours_spent AS DECIMAL(38,4)) AS hours_spent,
-        CAST(project_expenses_per_month AS DECIMAL(38,4)) AS project_expenses_per_month,
-        CAST(consultant_hour_costs_per_month AS DECIMAL(38,4)) AS consultant_hour_costs_per_month,
-        CAST(total_exp AS DECIMAL(38,4)) AS total_expenses, forecasted_cost,
-        CAST(revenue_received_to_date AS DECIMAL(38,4)) AS revenue_received_per_month,
-        CASE WHEN (planned_end_date IS NOT NULL AND expected_end_date IS NOT NULL
-                   AND planned_end_date < expected_end_date)
-               OR (project_type = 'Fixed' AND forecasted_cost IS NOT NULL AND price IS NOT NULL
-                   AND forecasted_cost > CAST(price AS DOUBLE))
-               OR (project_type = 'Time and Material' AND forecasted_cost IS NOT NULL
-                   AND estimated_budget IS NOT NULL AND forecasted_cost > estimated_budget)
-             THEN 1 ELSE 0 END AS potential_problem_project,
-        last_update
-      FROM pf""",
-}
+def _latest(src: str = "stg_project", where: str = "") -> str:
+    order = ["last_update DESC NULLS FIRST", *[f"{c} DESC NULLS LAST" for c in (
+        "created_at", "status", "percent_complete", "actual_end_date", "actual_start_date")]]
+    return (f"SELECT * FROM {src} {'WHERE ' + where if where else ''} "
+            f"QUALIFY row_number() OVER (PARTITION BY project_id ORDER BY {', '.join(order)}) = 1")
+
+
+def project_ctes(prefix: str = "", src: str = "stg_project", batch: str = "", fraction: bool = False,
+                 open_only: bool = True) -> dict[str, str]:
+    """The project fact as ``<prefix>project_fact``, of the projects in ``src``
+    that satisfy ``batch``."""
+    P, only = prefix, "WHERE valid_to IS NULL" if open_only else ""
+    known = lambda day: f"CASE WHEN {day} BETWEEN {CAL_START} AND {CAL_END} THEN {day} END"
+    pct = "nullif(percent_complete, 0)"
+    days = f"date_diff('day', actual_start_date, {AS_OF})"
+    rounded = f"round({days} * 100.0 / {pct}::DOUBLE)" if fraction else f"round({days} / {pct})"
+    share = f"({pct}::DOUBLE / 100)" if fraction else f"{pct}::DOUBLE"
+    money = {"hours_spent": "hours_spent", "project_expenses_per_month": "project_expenses_per_month",
+             "consultant_hour_costs_per_month": "consultant_hour_costs_per_month", "total_expenses": "outlay"}
+    return {
+        f"{P}now": f"SELECT *, {month('last_update')} AS month FROM ({_latest(src, batch)})",
+        f"{P}priced": grouped(f"{src} INNER JOIN stg_deliverable d USING (project_id)", same("project_id"),
+                              "sum(d.price)", "total_fp_revenue",
+                              f"project_type = 'Fixed' AND status = {COMPLETED}"),
+        f"{P}past": f"""SELECT project_id, CAST(CASE project_type
+                WHEN 'Fixed' THEN coalesce(price_sum, 0)
+                WHEN 'Time and Material' THEN coalesce(billed, 0) + coalesce(worth, 0)
+                ELSE 0 END AS DECIMAL(38,4)) AS revenue
+            FROM {P}now
+            LEFT JOIN (SELECT project_id, total_fp_revenue AS price_sum FROM {P}priced) USING (project_id)
+            LEFT JOIN (SELECT project_id, total_tm_expense_revenue AS billed FROM a11) USING (project_id)
+            LEFT JOIN (SELECT project_id, total_tm_consultant_revenue AS worth FROM a12) USING (project_id)""",
+        f"{P}seen": f"""SELECT *,
+            project_expenses_per_month + consultant_hour_costs_per_month AS outlay,
+            CASE WHEN percent_complete > 0 THEN outlay::DOUBLE / {share} END AS forecasted_cost,
+            CASE WHEN percent_complete > 0 THEN actual_start_date + CAST({rounded} AS INTEGER) END
+              AS expected_end_date
+            FROM {P}now LEFT JOIN {P}past USING (project_id)
+            LEFT JOIN a15 USING (project_id, month) LEFT JOIN a16 USING (project_id, month)
+            LEFT JOIN a17 USING (project_id, month)
+            LEFT JOIN (SELECT project_id, project_key FROM dim_project {only}) USING (project_id)
+            LEFT JOIN (SELECT client_id, client_key FROM dim_client {only}) USING (client_id)
+            LEFT JOIN (SELECT unitid AS unit_id, unitkey AS business_unit_key FROM dim_bu {only}) USING (unit_id)""",
+        f"{P}project_fact": f"""SELECT
+            md5(concat_ws('|', coalesce(project_id::VARCHAR, ''), coalesce(strftime(month, '%Y%m%d'), '')))
+              AS row_key,
+            project_id, project_key, client_key, business_unit_key, month AS date,
+            {known('actual_start_date')} AS actual_start_date_key, {known('actual_end_date')} AS actual_end_date_key,
+            percent_complete, status, coalesce(actual_start_date > planned_start_date, false)::INTEGER
+              AS if_late_start_flag,
+            date_diff('day', planned_start_date, planned_end_date)::INTEGER AS planned_duration_days,
+            date_diff('day', actual_start_date, actual_end_date)::INTEGER AS actual_duration_days,
+            expected_end_date, {', '.join(f'CAST({e} AS DECIMAL(38,4)) AS {n}' for n, e in money.items())},
+            forecasted_cost, CAST(revenue AS DECIMAL(38,4)) AS revenue_received_per_month,
+            (coalesce(planned_end_date < expected_end_date, false) OR coalesce(CASE project_type
+                WHEN 'Fixed' THEN forecasted_cost > price::DOUBLE
+                WHEN 'Time and Material' THEN forecasted_cost > estimated_budget END, false))::INTEGER
+              AS potential_problem_project,
+            last_update
+            FROM {P}seen""",
+    }
+
 
+def _project_fact_query(final: str = "SELECT * FROM project_fact", extra: dict | None = None, **kind) -> str:
+    return _wrap({**DIMS, **measures(), **project_ctes(**kind), **(extra or {})}, final)
+
+
+def bd_fact(prefix: str = "") -> str:
+    """The business-development fact: the six measures side by side."""
+    value = lambda *names: " + ".join(f"coalesce(sum({n}), 0)" for n in names)
+    return f"""SELECT {sk('client_id', 'unit_id', ts_key('month'))} AS client_feedback_key, client_key,
+        unitkey AS business_unit_key, month AS date, CAST(received AS DECIMAL(38,4)) AS revenue_received,
+        average_satisfaction, CAST(forecast AS DECIMAL(38,4)) AS forecasted_future_revenue
+      FROM (SELECT {', '.join(CUM)},
+              {value('total_fp_revenue', 'total_tm_expense_revenue', 'total_tm_consultant_revenue')} AS received,
+              sum(average_satisfaction) AS average_satisfaction,
+              {value('incomplete_fp_revenue', 'incomplete_tm_revenue')} AS forecast
+            FROM {prefix}activity WHERE month BETWEEN {CAL_START} AND {CAL_END} GROUP BY ALL)
+      INNER JOIN (SELECT client_id, client_key FROM dim_client WHERE valid_to IS NULL) USING (client_id)
+      LEFT JOIN (SELECT unitid, unitkey FROM dim_bu WHERE valid_to IS NULL) ON unitid = unit_id"""
 
-def _project_fact_query(final: str = "SELECT * FROM project_fact", extra: dict | None = None) -> str:
-    return _wrap({**DIMS, **measures(), **PROJECT_FACT, **(extra or {})}, final)
-
-
-BD_FACT = f"""SELECT {sk('acm.client_id', 'acm.unit_id', ts_key('acm.month'))} AS client_feedback_key,
-    c.client_key, bd.unitkey AS business_unit_key, dd.date,
-    CAST(coalesce(fp.total_fp_revenue, 0) + coalesce(tx.total_tm_expense_revenue, 0)
-         + coalesce(tc.total_tm_consultant_revenue, 0) AS DECIMAL(38,4)) AS revenue_received,
-    s.average_satisfaction,
-    CAST(coalesce(fpi.incomplete_fp_revenue, 0) + coalesce(tpi.incomplete_tm_revenue, 0)
-         AS DECIMAL(38,4)) AS forecasted_future_revenue
-  FROM dim_client c
-  JOIN spine acm ON c.client_id = acm.client_id AND c.valid_to IS NULL
-  JOIN cal dd ON dd.date = acm.month
-  LEFT JOIN dim_bu bd ON acm.unit_id = bd.unitid AND bd.valid_to IS NULL
-  LEFT JOIN a1 fp ON fp.client_id = acm.client_id AND fp.unit_id IS NOT DISTINCT FROM acm.unit_id
-       AND fp.month = acm.month
-  LEFT JOIN a2 tx ON tx.client_id = acm.client_id AND tx.unit_id IS NOT DISTINCT FROM acm.unit_id
-       AND tx.month = acm.month
-  LEFT JOIN a3 tc ON tc.client_id = acm.client_id AND tc.unit_id IS NOT DISTINCT FROM acm.unit_id
-       AND tc.month = acm.month
-  LEFT JOIN a4 s ON s.client_id = acm.client_id AND s.unit_id IS NOT DISTINCT FROM acm.unit_id
-       AND s.month = acm.month
-  LEFT JOIN a5 fpi ON fpi.client_id = acm.client_id AND fpi.unit_id IS NOT DISTINCT FROM acm.unit_id
-       AND fpi.month = acm.month
-  LEFT JOIN a6 tpi ON tpi.client_id = acm.client_id AND tpi.unit_id IS NOT DISTINCT FROM acm.unit_id
-       AND tpi.month = acm.month"""
 
 HR_CTES = {
     "th": "SELECT * FROM dim_title_history WHERE valid_to IS NULL",
@@ -372,7 +348,7 @@ CATALOG_CTES = {
         CASE WHEN dayofweek(d) + 1 IN (1, 7) THEN 'Weekend' ELSE 'Weekday' END AS is_weekend
       FROM (SELECT CAST(g AS DATE) AS d FROM generate_series({CAL_START}, {CAL_END}, INTERVAL 1 DAY) AS s(g))""",
     "bd_bu": "SELECT unitkey AS business_unit_key, unitid, name, valid_from, valid_to FROM dim_bu",
-    "bd_fact": BD_FACT,
+    "bd_fact": bd_fact(),
     "hr_db": """SELECT w.consultant_id, te.deliverable_id, dd.deliverable_key
       FROM (SELECT DISTINCT consultant_id FROM stg_non_billable_hours) w
       LEFT JOIN (SELECT DISTINCT consultant_id, deliverable_id FROM stg_time_entry) te
@@ -386,7 +362,7 @@ CATALOG_CTES = {
 CATALOG_TABLES = {
     "bd_date_dim": "date_dim", "hr_date_dim": "date_dim", "project_date_dim": "date_dim",
     "bd_business_unit_dim": "bd_bu", "businessunit_dim": "dim_bu", "client_dim": "dim_client",
-    "consultant_dim": "dim_consultant", "deliverable_dim": "dim_deliverable",
+    "consultant_dim": "dim_consultant", "title_history_dim": "dim_title_history", "deliverable_dim": "dim_deliverable",
     "project_dim": "dim_project", "business_dev_fact": "bd_fact", "hr_utilization": "hr_util",
     "hr_deliverable_bridge": "hr_db", "hr_client_bridge": "hr_cb", "project_fact": "project_fact",
 }
@@ -493,7 +469,7 @@ def oracle_queries() -> dict[str, str]:
         q[name] = _wrap(DIMS, f"SELECT * FROM {cte}")
 
     q["fact_finance"] = _wrap({**DIMS, **finance_fact_ctes("fin")}, "SELECT * FROM fin_fact")
-    q["fact_business_dev"] = _wrap({**DIMS, **measures()}, BD_FACT)
+    q["fact_business_dev"] = _wrap({**DIMS, **measures()}, bd_fact())
     q["fact_project"] = _project_fact_query()
     q["hr_utilization"] = _wrap({**DIMS, **measures(), **HR_CTES}, "SELECT * FROM hr_util")
     q["hr_deliverable_bridge"] = _wrap(DIMS, """SELECT w.consultant_id, te.deliverable_id, dd.deliverable_key
@@ -511,48 +487,10 @@ def oracle_queries() -> dict[str, str]:
         q[f"staging_{f}"] = _wrap({}, f"SELECT * FROM stg_{f}")
 
     # Semantics variants
-    literal = {k: v.replace(COMPLETED, "'Completed'") for k, v in measures().items()}
-    q["fixed_revenue_literal_status"] = _wrap(literal, "SELECT * FROM a1")
-    q["tm_incomplete_literal_status"] = _wrap(literal, "SELECT * FROM a6")
-    all_pairs = DIMS["dim_title_history"]
-    all_pairs = all_pairs[:all_pairs.index("AND greatest(a.valid_from")] + ")"
-    q["dim_title_history_all_pairs"] = _wrap({**DIMS, "dim_title_history_all": all_pairs},
-                                             "SELECT * FROM dim_title_history_all")
-    fin = finance_fact_ctes("fin")
-    fin["fin_keys"] = """SELECT DISTINCT unit_id, month FROM (
-        SELECT unit_id, month FROM fin_a7 UNION ALL SELECT unit_id, month FROM fin_a8
-        UNION ALL SELECT unit_id, month FROM fin_a9 UNION ALL SELECT unit_id, month FROM fin_a13)"""
-    fin["fin_any"] = f"""SELECT {sk('k.unit_id', ts_key('k.month'))} AS row_key,
-        fbud.unitkey AS unit_key,
-        CAST(peb.monthly_amount AS DECIMAL(38,4)) AS direct_project_expenses,
-        CAST(dcb.total_billable_consultant_cost AS DECIMAL(38,4)) AS direct_billable_consultant_cost,
-        CAST(peb.monthly_amount + dcb.total_billable_consultant_cost AS DECIMAL(38,4)) AS total_direct_cost,
-        CAST(icb.total_non_proj_labor_costs AS DECIMAL(38,4)) AS indirect_nonbillable_consultant_cost,
-        CAST(icb.total_other_expense_costs AS DECIMAL(38,4)) AS indirect_other_expense_cost,
-        CAST(icb.total_non_proj_labor_costs + icb.total_other_expense_costs AS DECIMAL(38,4))
-          AS total_indirect_costs,
-        CAST(peb.monthly_amount + dcb.total_billable_consultant_cost + icb.total_non_proj_labor_costs
-             + icb.total_other_expense_costs AS DECIMAL(38,4)) AS total_expenses,
-        CAST(tbpr.total_revenue AS DECIMAL(38,4)) AS total_revenue,
-        CAST(tbpr.total_revenue - (peb.monthly_amount + dcb.total_billable_consultant_cost
-             + icb.total_non_proj_labor_costs + icb.total_other_expense_costs) AS DECIMAL(38,4)) AS profit,
-        k.month AS date
-      FROM fin_keys k
-      JOIN cal dd ON dd.date = k.month
-      LEFT JOIN fin_a7 peb ON peb.unit_id IS NOT DISTINCT FROM k.unit_id AND peb.month = k.month
-      LEFT JOIN fin_a8 dcb ON dcb.unit_id IS NOT DISTINCT FROM k.unit_id AND dcb.month = k.month
-      LEFT JOIN fin_a9 icb ON icb.unit_id IS NOT DISTINCT FROM k.unit_id AND icb.month = k.month
-      LEFT JOIN fin_a13 tbpr ON tbpr.unit_id IS NOT DISTINCT FROM k.unit_id AND tbpr.month = k.month
-      LEFT JOIN dim_bu fbud ON k.unit_id = fbud.unitid AND fbud.valid_to IS NULL"""
-    q["fact_finance_any_anchor"] = _wrap({**DIMS, **fin}, "SELECT * FROM fin_any")
-    frac = dict(PROJECT_FACT)
-    frac["pj"] = frac["pj"].replace(
-        f"/ nullif(l.percent_complete, 0)) AS INTEGER)",
-        f"* 100.0 / CAST(nullif(l.percent_complete, 0) AS DOUBLE)) AS INTEGER)")
-    frac["pf"] = frac["pf"].replace("/ CAST(nullif(percent_complete, 0) AS DOUBLE)",
-                                    "/ (CAST(nullif(percent_complete, 0) AS DOUBLE) / 100)")
-    assert frac["pj"] != PROJECT_FACT["pj"] and frac["pf"] != PROJECT_FACT["pf"]
-    q["fact_project_fraction"] = _wrap({**DIMS, **measures(), **frac}, "SELECT * FROM project_fact")
+    q["tm_incomplete_literal_status"] = _wrap(measures(completed="'Completed'"), "SELECT * FROM a6")
+    q["fact_finance_any_anchor"] = _wrap({**DIMS, **finance_fact_ctes("fin", anchor="any")},
+                                         "SELECT * FROM fin_fact")
+    q["fact_project_fraction"] = _project_fact_query(fraction=True)
 
     # two snapshot runs: every seventh project's price changes at the second
     two = {k: (v.replace(SNAP_TS, RUN1_TS) if k.startswith("h_") else v) for k, v in DIMS.items()}
@@ -567,11 +505,8 @@ def oracle_queries() -> dict[str, str]:
                {RUN2_TS}, CAST(NULL AS TIMESTAMP)
         FROM stg_project WHERE project_id % 7 = 0 AND price IS NOT NULL"""
     q["dim_deliverable_two_versions"] = _wrap(two, "SELECT * FROM dim_deliverable")
-    every = dict(PROJECT_FACT)
-    every["pj"] = (every["pj"].replace(" AND p.valid_to IS NULL", "")
-                   .replace(" AND c.valid_to IS NULL", "").replace(" AND b.valid_to IS NULL", ""))
-    assert every["pj"] != PROJECT_FACT["pj"]
-    q["fact_project_all_versions"] = _wrap({**two, **measures(), **every}, "SELECT * FROM project_fact")
+    q["fact_project_all_versions"] = _wrap({**two, **measures(), **project_ctes(open_only=False)},
+                                           "SELECT * FROM project_fact")
 
     # I1 + I4: target from expenses before the split month, batch with a
     # one-month lookback from its own latest month, merged on row_key
@@ -600,23 +535,52 @@ def oracle_queries() -> dict[str, str]:
     q["merge_hr_utilization"] = _wrap({**DIMS, **measures(), **HR_CTES, **hr_early}, """
         SELECT * FROM hr_tgt t WHERE NOT EXISTS (SELECT 1 FROM hr_upd u WHERE u.HR_record_key = t.HR_record_key)
         UNION ALL SELECT * FROM hr_upd""")
+    # The stored fact lacks a column that the batch has
+    q["merge_schema_change"] = _wrap({**DIMS, **measures(), **HR_CTES, **hr_early}, """
+        SELECT * REPLACE (NULL::DOUBLE AS billable_hours_percentage) FROM hr_tgt
+        WHERE HR_record_key NOT IN (SELECT HR_record_key FROM hr_upd) UNION ALL SELECT * FROM hr_upd""")
     # I1 + I3 on the business-development fact (target from early expenses)
-    bd_tgt = BD_FACT
-    for name in ("spine", "a1", "a2", "a3", "a4", "a5", "a6"):
-        assert f"JOIN {name} " in bd_tgt
-        bd_tgt = bd_tgt.replace(f"JOIN {name} ", f"JOIN tgt_{name} ")
     q["merge_business_dev"] = _wrap({
         **DIMS, **measures(),
         "pe_early": f"SELECT * FROM stg_project_expense WHERE expense_date < {MERGE_SPLIT}",
         **measures(pe="pe_early", prefix="tgt_"),
-        "bd_tgt": bd_tgt, "bd_full": BD_FACT,
+        "bd_tgt": bd_fact("tgt_"), "bd_full": bd_fact(),
         "bd_upd": """SELECT * FROM bd_full
             WHERE date >= (SELECT CAST(max(date) - INTERVAL 1 MONTH AS DATE) FROM bd_tgt)""",
-    }, """SELECT * FROM bd_tgt t
-          WHERE NOT EXISTS (SELECT 1 FROM bd_upd u WHERE u.client_feedback_key = t.client_feedback_key)
+    }, """SELECT * FROM bd_tgt
+          WHERE client_feedback_key NOT IN (SELECT client_feedback_key FROM bd_upd)
           UNION ALL SELECT * FROM bd_upd""")
-    # Merged result equals a full refresh (every later update is past the watermark)
-    q["cutoff_last_update"] = _project_fact_query()
+    # The watermark is written out; late changes before it are not loaded
+    q["cutoff_last_update"] = _project_fact_query(
+        """SELECT * FROM old_project_fact WHERE row_key NOT IN (SELECT row_key FROM new_project_fact)
+           UNION ALL SELECT * FROM new_project_fact""",
+        extra={
+            "before": f"""SELECT * REPLACE (CASE WHEN project_id % 10 = 0 THEN 50::DECIMAL(5,2)
+                                            ELSE percent_complete END AS percent_complete)
+                FROM stg_project WHERE last_update < {PROJECT_SPLIT} OR last_update IS NULL
+                UNION ALL
+                SELECT * REPLACE ({PROJECT_SPLIT} AS last_update) FROM stg_project
+                WHERE project_id % 2 = 0 AND last_update >= {PROJECT_SPLIT}
+                  AND last_update < TIMESTAMP '1999-02-01 00:00:00'""",
+            **project_ctes("old_", src="before"),
+            **project_ctes("new_", batch=f"last_update > {PROJECT_SPLIT}"),
+        })
+    # What two runs leave of each history, stated by key
+    keys = {"businessunit": "business_unit_id", "client": "client_id", "consultant": "consultant_id",
+            "title_assignment": "record_id", "deliverable": "deliverable_id", "project": "project_id",
+            "title": "title_id"}
+    q["scd2_all_two_runs"] = _wrap({"every": " UNION ALL ".join(
+        f"SELECT '{n}' AS history, CAST({k} AS BIGINT) AS key_id FROM stg_{n}" for n, k in keys.items())}, f"""
+        SELECT history, key_id, {RUN1_TS} AS valid_from,
+               CASE WHEN key_id % 3 = 0 AND key_id % 11 <> 0 THEN {RUN2_TS} END AS valid_to
+        FROM every WHERE key_id % 13 <> 0
+        UNION ALL
+        SELECT history, key_id, {RUN2_TS}, NULL FROM every
+        WHERE key_id % 11 <> 0 AND (key_id % 13 = 0 OR key_id % 3 = 0)""")
+    q["staging_text_dates"] = _wrap({}, """
+        SELECT 'time_entry' AS source, record_id AS key_id, work_date AS date FROM stg_time_entry
+        UNION ALL SELECT 'deliverable', deliverable_id, due_date FROM stg_deliverable
+        UNION ALL SELECT 'project_expense', record_id, expense_date FROM stg_project_expense""")
 
     pf, pd_ = "project_fact", "dim_project"
     q["check_not_null"] = _project_fact_query(_checks_sql(

@@ -24,9 +24,11 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from practica.functions.keys import month_start
 from practica.operators.incremental import incremental_refresh, read_current, write_version
-from practica.operators.scd2 import SNAPSHOTS, assert_unique, scd2_snapshot
+from practica.operators.scd2 import SNAPSHOTS, scd2_snapshot
 from practica.operators.staging import stage_all
 from practica.plans import facts
 from practica.plans.marts import Marts, build_marts
@@ -71,8 +73,6 @@ def reduce_events(spark: SparkSession, st: Staged, root: str) -> Staged:
     events. Exact: sums of sums, NULL only where every input is NULL; the
     month stands in for the date, which the measures only ever truncate.
     """
-    from pyspark.sql import functions as F
-    from practica.functions.keys import month_start
     te = (st.time_entry.groupBy("consultant_id", "deliverable_id",
                                 month_start("work_date").alias("work_date"))
           .agg(F.sum("hours").alias("hours"))
@@ -88,14 +88,53 @@ def reduce_events(spark: SparkSession, st: Staged, root: str) -> Staged:
     return st.replace(time_entry=spark.read.parquet(te_path), project_expense=spark.read.parquet(pe_path))
 
 
+# Staged dates that a fact's rows are dated by.
+FACT_DATES = (("time_entry", "work_date"), ("project_expense", "expense_date"), ("deliverable", "due_date"),
+              ("non_billable_hours", "month_start_date"), ("project", "last_update"),
+              ("project", "planned_start_date"), ("project", "actual_start_date"),
+              ("project", "actual_end_date"))
+
+
+def _whole_years(bounds: list, as_of: dt.date) -> tuple[dt.date, dt.date]:
+    days = [d for d in bounds if d] + [as_of]
+    return dt.date(min(days).year, 1, 1), dt.date(max(days).year, 12, 31)
+
+
+def calendar_of(st: Staged, as_of: dt.date) -> tuple[dt.date, dt.date]:
+    """Whole years around ``as_of`` and every date in ``FACT_DATES``."""
+    found = []
+    for name, col in FACT_DATES:
+        day = F.to_date(col)
+        found += getattr(st, name).agg(F.min(day), F.max(day)).first()
+    return _whole_years(found, as_of)
+
+
+def stored_calendar(spark: SparkSession, root: str, as_of: dt.date) -> tuple[dt.date, dt.date]:
+    """Whole years around ``as_of`` and the dates of the stored facts."""
+    found = []
+    for name in FACTS:
+        stored = read_current(spark, f"{root}/facts/{name}")
+        found += stored.agg(F.min("date"), F.max("date")).first() if stored is not None else []
+    return _whole_years(found, as_of)
+
+
+def outside_calendar(st: Staged, sem: Semantics) -> dict[str, int]:
+    """How many dates of each column in ``FACT_DATES`` the calendar leaves out."""
+    out = {}
+    for name, col in FACT_DATES:
+        day = F.to_date(col)
+        n = getattr(st, name).agg(F.count_if(~day.between(F.lit(sem.calendar_start), F.lit(sem.calendar_end)))).first()[0]
+        if n:
+            out[f"{name}.{col}"] = n
+    return out
+
+
 def snapshot_layer(spark: SparkSession, st: Staged, root: str, run_ts: dt.datetime) -> dict[str, str]:
     paths = {}
     for name, spec in SNAPSHOTS.items():
         table = f"{root}/snapshots/{name}"
-        incoming = getattr(st, name)
-        assert_unique(incoming, spec.key, f"snapshot {name}")
         paths[name] = write_version(
-            scd2_snapshot(incoming, spec, run_ts, read_current(spark, table)), table)
+            scd2_snapshot(getattr(st, name), spec, run_ts, read_current(spark, table)), table)
     return paths
 
 
@@ -135,7 +174,7 @@ def stored_relations(spark: SparkSession, root: str, sem: Semantics) -> dict[str
         "bd_date_dim": cal, "hr_date_dim": cal, "project_date_dim": cal,
         "bd_business_unit_dim": dim["business_unit"].withColumnRenamed("unitkey", "business_unit_key"),
         "businessunit_dim": dim["business_unit"], "client_dim": dim["client"],
-        "consultant_dim": dim["consultant"], "deliverable_dim": dim["deliverable"],
+        "consultant_dim": dim["consultant"], "title_history_dim": dim["title_history"], "deliverable_dim": dim["deliverable"],
         "project_dim": dim["project"], "business_dev_fact": fact["business_dev"],
         "hr_utilization": fact["hr_utilization"], "project_fact": fact["project"],
         "hr_deliverable_bridge": fact["hr_deliverable_bridge"],

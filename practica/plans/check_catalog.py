@@ -31,6 +31,7 @@ def _nn(rel, *cols):
     return [(rel, c, "not_null", None) for c in cols]
 
 
+# The declared tests, in the marts' order.
 CATALOG: list[tuple[str, str, str, object]] = [
     # business development mart: dimensions
     *_nn("bd_date_dim", "date", *DATE_ATTRS), ("bd_date_dim", "date", "unique", None),
@@ -63,6 +64,7 @@ CATALOG: list[tuple[str, str, str, object]] = [
     ("hr_utilization", "consultant_key", "relationship", ("consultant_dim", "consultant_key")),
     ("hr_utilization", "business_unit_key", "relationship", ("businessunit_dim", "unitkey")),
     ("hr_utilization", "date", "relationship", ("hr_date_dim", "date")),
+    ("hr_utilization", "titlehistory_key", "relationship", ("title_history_dim", "titlehistory_key")),
     *_nn("hr_deliverable_bridge", "deliverable_key"),
     ("hr_deliverable_bridge", "deliverable_key", "relationship", ("deliverable_dim", "deliverable_key")),
     *_nn("hr_client_bridge", "client_key"),

@@ -55,11 +55,26 @@ def _merge_measures(keys: list[str], parts: list[tuple[DataFrame, list[str]]],
     return u.groupBy(*keys).agg(*aggs)
 
 
+def _cut(df: DataFrame, cutoff, month: str, sem: Semantics) -> DataFrame:
+    """Rows from ``cutoff`` on. Without one (an empty stored fact) all rows, or
+    none where ``sem.empty_target`` is "nothing"."""
+    if cutoff is not None:
+        return df.filter(F.col(month) >= F.lit(cutoff))
+    return df.filter(F.lit(False)) if sem.empty_target == "nothing" else df
+
+
 def _z(c: str) -> Column:
     return F.coalesce(F.col(c), F.lit(0))
 
 
 # ------------------------------------------------------------------ finance
+def latest_expense_cutoff(st: Staged, sem: Semantics):
+    """A month before the latest month with project expense in the calendar."""
+    first, last = sem.month_bounds()
+    day = F.when(F.col("expense_date").between(F.lit(first), F.lit(last)), F.col("expense_date"))
+    return st.project_expense.agg(F.add_months(F.trunc(F.max(day), "month"), -1).alias("c")).first()["c"]
+
+
 def finance_fact(st: Staged, marts: Marts, sem: Semantics = Semantics(),
                  target: DataFrame | None = None) -> DataFrame:
     """M4-M6: monthly unit profit and loss.
@@ -70,11 +85,19 @@ def finance_fact(st: Staged, marts: Marts, sem: Semantics = Semantics(),
     (every other branch equals it or is NULL under the USING joins).
     """
     keys = ["unit_id", "month"]
+    bounds, cutoff = sem.month_bounds(), None
+    if target is not None and sem.anchor == "expense":
+        # I4: one-month lookback from this batch's latest month, which is the
+        # latest month with expense in the calendar: one pruned column
+        cutoff = latest_expense_cutoff(st, sem)
+        bounds = sem.month_bounds(cutoff)
+    # revenue is dated by planned start but sums a project's whole past
+    revenue = m.unit_revenue_month(st, sem).filter(F.col("month").between(*map(F.lit, bounds)))
     merged = _merge_measures(keys, [
-        (m.expense_unit_month(st).withColumn("_anchor", F.lit(1)), ["monthly_amount", "_anchor"]),
-        (m.direct_cost_unit_month(st), ["total_billable_consultant_cost"]),
-        (m.indirect_cost_unit_month(st), ["total_non_proj_labor_costs", "total_other_expense_costs"]),
-        (m.unit_revenue_month(st, sem), ["total_revenue"]),
+        (m.expense_unit_month(st, bounds).withColumn("_anchor", F.lit(1)), ["monthly_amount", "_anchor"]),
+        (m.direct_cost_unit_month(st, bounds), ["total_billable_consultant_cost"]),
+        (m.indirect_cost_unit_month(st, bounds), ["total_non_proj_labor_costs", "total_other_expense_costs"]),
+        (revenue, ["total_revenue"]),
     ], how={"_anchor": "max"})
     if sem.anchor == "expense":
         # USING joins never match a NULL unit: the other measures are blank there
@@ -86,9 +109,8 @@ def finance_fact(st: Staged, marts: Marts, sem: Semantics = Semantics(),
                "total_other_expense_costs", "total_revenue")])
     rows = merged.filter(in_calendar(F.col("month"), sem))
 
-    if target is not None:  # I4: one-month lookback from this batch's latest month
-        cutoff = month_cutoff(rows, "month")
-        rows = rows.filter(F.col("month") >= F.lit(cutoff)) if cutoff else rows.filter(F.lit(False))
+    if target is not None:
+        rows = _cut(rows, month_cutoff(rows, "month") if sem.anchor != "expense" else cutoff, "month", sem)
 
     bu = versions(marts.business_unit, sem).select("unitid", F.col("unitkey").alias("unit_key"))
     j = rows.join(bu, rows.unit_id == bu.unitid, "left")
@@ -123,18 +145,19 @@ def business_dev_fact(st: Staged, marts: Marts, sem: Semantics = Semantics(),
     month only, repeating them across units and client projects).
     """
     keys = ["client_id", "unit_id", "month"]
+    # One-month lookback from the stored fact; each measure reads from there
+    cutoff = month_cutoff(target, "date") if target is not None else None
+    bounds = sem.month_bounds(cutoff)
     g = _merge_measures(keys, [
-        (m.fixed_revenue_month(st, sem), ["total_fp_revenue"]),
-        (m.expense_revenue_month(st), ["total_tm_expense_revenue"]),
-        (m.consultant_revenue_month(st), ["total_tm_consultant_revenue"]),
-        (m.satisfaction_month(st), ["average_satisfaction"]),
-        (m.fixed_incomplete_month(st, sem), ["incomplete_fp_revenue"]),
-        (m.tm_incomplete_month(st, sem), ["incomplete_tm_revenue"]),
+        (m.fixed_price_month(st, sem, bounds), ["total_fp_revenue", "incomplete_fp_revenue"]),
+        (m.expense_revenue_month(st, bounds), ["total_tm_expense_revenue"]),
+        (m.consultant_revenue_month(st, bounds), ["total_tm_consultant_revenue"]),
+        (m.satisfaction_month(st, bounds), ["average_satisfaction"]),
+        (m.tm_incomplete_month(st, sem, bounds), ["incomplete_tm_revenue"]),
     ])
     g = g.filter(F.col("client_id").isNotNull() & in_calendar(F.col("month"), sem))
-    if target is not None:  # I3: one-month lookback from the stored fact
-        cutoff = month_cutoff(target, "date")
-        g = g.filter(F.col("month") >= F.lit(cutoff)) if cutoff else g.filter(F.lit(False))
+    if target is not None:
+        g = _cut(g, cutoff, "month", sem)
 
     c = versions(marts.client, sem).select(F.col("client_id").alias("c_client_id"), "client_key")
     bu = versions(marts.business_unit, sem).select(
@@ -187,8 +210,7 @@ def hr_utilization(st: Staged, marts: Marts, sem: Semantics = Semantics(),
     h = m.consultant_hours_month(st)
     if target is not None:  # I3 on the fact's date: months outside the calendar (NULL date) drop
         cutoff = month_cutoff(target, "date")
-        h = (h.filter((F.col("month") >= F.lit(cutoff)) & in_calendar(F.col("month"), sem))
-             if cutoff else h.filter(F.lit(False)))
+        h = _cut(h, cutoff, "month", sem).filter(in_calendar(F.col("month"), sem))
     cd = versions(marts.consultant, sem).select(F.col("consultant_id").alias("cd_id"), "consultant_key")
     unit = st.consultant.select(F.col("consultant_id").alias("u_id"), F.col("business_unit_id"))
     bu = versions(marts.business_unit, sem).select("unitid", F.col("unitkey").alias("business_unit_key"))
@@ -248,19 +270,8 @@ def project_fact(st: Staged, marts: Marts, sem: Semantics = Semantics(),
         src = src.filter(F.col("last_update") > ntz(last_update_watermark(target)))
     l = m.latest_project(src, sem).withColumn("month", month_start("last_update"))
 
-    # monthly measures are needed only at each project's latest month: the
-    # inputs are narrowed to those keys before they are aggregated
-    only = l.select("project_id", "month").filter(F.col("month").isNotNull())
-    monthly = _merge_measures(["project_id", "month"], [
-        (m.project_hours_month(st, only), ["hours_spent"]),
-        (m.project_expense_month(st, only), ["project_expenses_per_month"]),
-        (m.consultant_cost_month(st, only), ["consultant_hour_costs_per_month"]),
-    ]).withColumnRenamed("project_id", "pm_id").withColumnRenamed("month", "pm_month")
-    revenue = _merge_measures(["project_id"], [
-        (m.fixed_revenue_by_project(st, sem), ["total_fp_revenue"]),
-        (m.expense_revenue_by_project(st), ["total_tm_expense_revenue"]),
-        (m.consultant_revenue_by_project(st), ["total_tm_consultant_revenue"]),
-    ]).withColumnRenamed("project_id", "r_id")
+    # the measures read only these projects' entries, expenses and prices
+    past = m.project_history(st, l, sem).withColumnRenamed("project_id", "r_id")
 
     pd_ = versions(marts.project, sem).select(F.col("project_id").alias("pd_id"), "project_key")
     cd = versions(marts.client, sem).select(F.col("client_id").alias("cd_id"), "client_key")
@@ -269,9 +280,7 @@ def project_fact(st: Staged, marts: Marts, sem: Semantics = Semantics(),
     j = (l.join(pd_, l.project_id == pd_.pd_id, "left")
          .join(cd, F.col("client_id") == F.col("cd_id"), "left")
          .join(bu, F.col("unit_id") == F.col("unitid"), "left")
-         .join(monthly, (F.col("project_id") == F.col("pm_id")) & (F.col("month") == F.col("pm_month")),
-               "left")
-         .join(revenue, F.col("project_id") == F.col("r_id"), "left"))
+         .join(past, F.col("project_id") == F.col("r_id"), "left"))
 
     pct = F.col("percent_complete")
     div = sem.percent_divisor(pct)

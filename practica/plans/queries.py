@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +21,8 @@ from practica.operators import quality as q
 from practica.operators.calendar import date_dim_between
 from practica.operators.incremental import merge_upsert
 from practica.operators.scd2 import SNAPSHOTS, scd2_snapshot
-from practica.operators.staging import stage_all
+from practica.operators.staging import (stage_all, stage_deliverable, stage_project_expense,
+                                        stage_time_entry)
 from practica.plans import facts
 from practica.plans.marts import Marts, build_marts, snapshot_all
 from practica.session import materialize
@@ -36,7 +37,8 @@ CLIENT_RUN2_TS = dt.datetime(2001, 12, 31, 0, 0, 0)
 LATEST_COPY_EVERY = 5        # projects with id % 5 = 0 get a later copy
 LATEST_COPY_SHIFT_DAYS = 30
 MERGE_SPLIT_MONTH = dt.date(2000, 1, 1)   # target holds expense before this month
-PROJECT_SPLIT_TS = dt.datetime(1999, 1, 1)  # target holds projects updated before
+PROJECT_SPLIT_TS = dt.datetime(1999, 1, 1)  # the stored project fact's watermark
+PROJECT_SPLIT_END = dt.datetime(1999, 2, 1)
 
 
 class Context:
@@ -64,25 +66,9 @@ class Context:
         return memo[key]
 
 
-_CONTEXTS: dict[tuple, Context] = {}
-
-
-def context(spark: SparkSession, sf_dir: str, sem: Semantics = DRIVER_SEMANTICS) -> Context:
-    """One context per (session, directory, semantics): DataFrames are
-    immutable plans, so queries share the staged relations and their analysis."""
-    try:
-        sid = spark._jsparkSession.hashCode()
-    except Exception:  # sessions without a JVM handle
-        sid = id(spark)
-    key = (sid, sf_dir.rstrip("/"), sem)
-    if key not in _CONTEXTS:
-        _CONTEXTS[key] = Context(spark, sf_dir, sem)
-    return _CONTEXTS[key]
-
-
 def _q(fn: Callable[[Context], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(context(spark, sf_dir))
+        return fn(Context(spark, sf_dir))
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
     return run
@@ -180,6 +166,45 @@ def scd2_client_two_runs(c: Context) -> DataFrame:
     return scd2_snapshot(client_second_state(c.st), spec, CLIENT_RUN2_TS, h1)
 
 
+# The column that a second run changes in every third row of each history.
+CHANGED = {
+    "businessunit": "business_unit_name", "client": "phone_number", "consultant": "contact",
+    "title_assignment": "title_id", "deliverable": "name", "project": "project_name", "title": "title_name",
+}
+
+
+def scd2_all_two_runs(c: Context) -> DataFrame:
+    """H4-H11 over all seven histories: keys with key % 13 = 0 are new in the
+    second run, keys with key % 11 = 0 are missing from it, and every third
+    key's row has changed."""
+    parts = []
+    for name, spec in SNAPSHOTS.items():
+        rows, key, col = getattr(c.st, name), F.col(spec.key), F.col(CHANGED[name])
+        new = (F.coalesce(col, F.lit(0)) + 1 if name == "title_assignment"
+               else F.concat(F.coalesce(col, F.lit("")), F.lit(" x9")))
+        second = rows.filter(key % 11 != 0).withColumn(CHANGED[name], F.when(key % 3 == 0, new).otherwise(col))
+        history = scd2_snapshot(rows.filter(key % 13 != 0), spec, CLIENT_RUN1_TS)
+        parts.append(scd2_snapshot(second, spec, CLIENT_RUN2_TS, history).select(
+            F.lit(name).alias("history"), key.cast("long").alias("key_id"), "valid_from", "valid_to"))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def staging_text_dates(c: Context) -> DataFrame:
+    """S5, S7 and S13 where the source stores its date as text."""
+    def as_text(df, col):
+        return df.withColumn(col, F.col(col).cast("string"))
+    src = sources_from_driver(c.spark, c.sf_dir)
+    parts = [
+        ("time_entry", stage_time_entry(as_text(src.consultant_deliverable, "DATE")), "record_id", "work_date"),
+        ("deliverable", stage_deliverable(as_text(src.deliverable, "DUE_DATE")), "deliverable_id", "due_date"),
+        ("project_expense", stage_project_expense(as_text(src.project_expense, "date")), "record_id",
+         "expense_date"),
+    ]
+    return reduce(lambda a, b: a.unionByName(b), [
+        df.select(F.lit(name).alias("source"), F.col(key).alias("key_id"), F.col(date).alias("date"))
+        for name, df, key, date in parts])
+
+
 def two_snapshot_marts(c: Context) -> Marts:
     """Histories from two runs: every seventh project's price changes at the
     second run, so its history (and the pairs built on it) has two versions."""
@@ -210,14 +235,8 @@ def dim_title_history(c): return c.marts.title_history
 def fact_finance(c): return c.fact(facts.finance_fact)
 def fact_finance_any_anchor(c): return facts.finance_fact(c.st, c.marts, c.sem.with_(anchor="any"))
 def fact_project_fraction(c): return facts.project_fact(c.st, c.marts, c.sem.with_(percent_scale="fraction"))
-def fixed_revenue_literal_status(c):
-    return m.fixed_revenue_month(c.st, c.sem.with_(status_match="literal"))
 def tm_incomplete_literal_status(c):
     return m.tm_incomplete_month(c.st, c.sem.with_(status_match="literal"))
-def dim_title_history_all_pairs(c):
-    from practica.operators.dims import title_history_dim
-    return title_history_dim(c.marts.histories["title_assignment"], c.marts.histories["title"],
-                             c.sem.with_(overlap_only=False))
 def fact_business_dev(c): return c.fact(facts.business_dev_fact)
 def fact_project(c): return c.fact(facts.project_fact)
 def hr_utilization(c): return c.fact(facts.hr_utilization)
@@ -229,14 +248,22 @@ def _staged_with(st: Staged, **repl) -> Staged:
     return st.replace(**repl)
 
 
+def _merged(c: Context, builder, before: Staged, now: Staged, key: str) -> DataFrame:
+    """The fact of ``before``, stored, after an incremental run over ``now``;
+    the batch is stored too, as the build stores both."""
+    target = materialize(builder(before, c.marts, c.sem), "targets")
+    batch = materialize(builder(now, c.marts, c.sem, target=target), "batches")
+    return merge_upsert(target, batch, key, validate=False)
+
+
 def merge_upsert_fact(c: Context) -> DataFrame:
     """I1 + I4: the finance fact built from expenses before 2000-01 is the
-    stored target; an incremental run over all data merges on row_key."""
+    stored target; an incremental run over all data merges on row_key. I4 looks
+    back one month from the batch's own latest month, so older months that the
+    target lacks stay missing, as in the source."""
     early = _staged_with(c.st, project_expense=c.st.project_expense.filter(
         F.col("expense_date") < F.lit(MERGE_SPLIT_MONTH)))
-    target = facts.finance_fact(early, c.marts, c.sem)
-    updates = facts.finance_fact(c.st, c.marts, c.sem, target=target)  # batch: not memoized
-    return merge_upsert(target, updates, "row_key", validate=False)
+    return _merged(c, facts.finance_fact, early, c.st, "row_key")
 
 
 def merge_hr_utilization(c: Context) -> DataFrame:
@@ -244,9 +271,18 @@ def merge_hr_utilization(c: Context) -> DataFrame:
     incremental run reloads from one month before the stored maximum date."""
     early = _staged_with(c.st, non_billable_hours=c.st.non_billable_hours.filter(
         F.col("month_start_date") < F.lit(MERGE_SPLIT_MONTH)))
-    target = facts.hr_utilization(early, c.marts, c.sem)
-    updates = facts.hr_utilization(c.st, c.marts, c.sem, target=target)
-    return merge_upsert(target, updates, "HR_record_key", validate=False)
+    return _merged(c, facts.hr_utilization, early, c.st, "HR_record_key")
+
+
+def merge_schema_change(c: Context) -> DataFrame:
+    """The stored HR fact has a column that the batch dropped and lacks one
+    that it adds; stored rows lose the first and have NULL in the second."""
+    early = _staged_with(c.st, non_billable_hours=c.st.non_billable_hours.filter(
+        F.col("month_start_date") < F.lit(MERGE_SPLIT_MONTH)))
+    stored = facts.hr_utilization(early, c.marts, c.sem)
+    target = materialize(stored.drop("billable_hours_percentage").withColumn("legacy_note", F.lit("x")), "targets")
+    batch = materialize(facts.hr_utilization(c.st, c.marts, c.sem, target=target), "batches")
+    return merge_upsert(target, batch, "HR_record_key", validate=False)
 
 
 def merge_business_dev(c: Context) -> DataFrame:
@@ -255,19 +291,22 @@ def merge_business_dev(c: Context) -> DataFrame:
     so older late rows stay as stored (the rule's documented limit)."""
     early = _staged_with(c.st, project_expense=c.st.project_expense.filter(
         F.col("expense_date") < F.lit(MERGE_SPLIT_MONTH)))
-    target = facts.business_dev_fact(early, c.marts, c.sem)
-    updates = facts.business_dev_fact(c.st, c.marts, c.sem, target=target)
-    return merge_upsert(target, updates, "client_feedback_key", validate=False)
+    return _merged(c, facts.business_dev_fact, early, c.st, "client_feedback_key")
 
 
 def cutoff_last_update(c: Context) -> DataFrame:
-    """Project fact stored for projects updated before 1999 (or never);
-    the incremental run takes projects updated after the stored maximum."""
-    old = _staged_with(c.st, project=c.st.project.filter(
-        (F.col("last_update") < ntz(PROJECT_SPLIT_TS)) | F.col("last_update").isNull()))
-    target = facts.project_fact(old, c.marts, c.sem)
-    updates = facts.project_fact(c.st, c.marts, c.sem, target=target)
-    return merge_upsert(target, updates, "row_key", validate=False)
+    """The stored fact is of the projects as they were. Projects updated
+    before 1999 (or never): every tenth has since changed without a later
+    last_update, so its stored row stays. Every second project updated in
+    January 1999 was stored as of the first of that month: the batch, everything
+    updated after the stored maximum, replaces its row."""
+    p, at = c.st.project, F.col("last_update")
+    before = p.filter((at < ntz(PROJECT_SPLIT_TS)) | at.isNull()).withColumn(
+        "percent_complete", F.when(F.col("project_id") % 10 == 0, F.lit(50).cast("decimal(5,2)"))
+        .otherwise(F.col("percent_complete")))
+    january = p.filter((at >= ntz(PROJECT_SPLIT_TS)) & (at < ntz(PROJECT_SPLIT_END))
+                       & (F.col("project_id") % 2 == 0)).withColumn("last_update", ntz(PROJECT_SPLIT_TS))
+    return _merged(c, facts.project_fact, c.st.replace(project=before.unionByName(january)), c.st, "row_key")
 
 
 # ------------------------------------------------------------------ checks
@@ -349,6 +388,7 @@ def catalog_relations(c: Context) -> dict[str, DataFrame]:
         "businessunit_dim": bu,
         "client_dim": c.marts.client,
         "consultant_dim": c.marts.consultant,
+        "title_history_dim": c.marts.title_history,
         "deliverable_dim": c.marts.deliverable,
         "project_dim": c.marts.project,
         "business_dev_fact": c.fact(facts.business_dev_fact),
@@ -396,6 +436,8 @@ REGISTRY: dict[str, Callable[[Context], DataFrame]] = {
     "latest_project": latest_project,
     "activity_spine": activity_spine,
     "scd2_client_two_runs": scd2_client_two_runs,
+    "scd2_all_two_runs": scd2_all_two_runs,
+    "staging_text_dates": staging_text_dates,
     "dim_project": dim_project,
     "dim_client": dim_client,
     "dim_business_unit": dim_business_unit,
@@ -408,9 +450,7 @@ REGISTRY: dict[str, Callable[[Context], DataFrame]] = {
     "fact_finance": fact_finance,
     "fact_finance_any_anchor": fact_finance_any_anchor,
     "fact_project_fraction": fact_project_fraction,
-    "fixed_revenue_literal_status": fixed_revenue_literal_status,
     "tm_incomplete_literal_status": tm_incomplete_literal_status,
-    "dim_title_history_all_pairs": dim_title_history_all_pairs,
     "fact_business_dev": fact_business_dev,
     "hr_utilization": hr_utilization,
     "hr_deliverable_bridge": hr_deliverable_bridge,
@@ -418,6 +458,7 @@ REGISTRY: dict[str, Callable[[Context], DataFrame]] = {
     "merge_upsert_fact": merge_upsert_fact,
     "cutoff_last_update": cutoff_last_update,
     "merge_hr_utilization": merge_hr_utilization,
+    "merge_schema_change": merge_schema_change,
     "merge_business_dev": merge_business_dev,
     "check_not_null": check_not_null,
     "check_unique": check_unique,

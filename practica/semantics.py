@@ -40,6 +40,9 @@ class Semantics:
     # NULL last_update ordering in the latest-row window; the source dialect
     # sorts NULLs first under DESC.
     latest_nulls: str = "first"
+    # A stored fact without any dated row: "full" loads everything; "nothing"
+    # loads nothing, as a comparison with a NULL cutoff does in the source.
+    empty_target: str = "full"
     calendar_start: dt.date = DEFAULT_CALENDAR_START
     calendar_end: dt.date = DEFAULT_CALENDAR_END
     # stands in for CURRENT_DATE; builders never read the clock.
@@ -48,6 +51,14 @@ class Semantics:
     def with_(self, **kw) -> "Semantics":
         return replace(self, **kw)
 
+    def month_bounds(self, since: dt.date | None = None) -> tuple[dt.date, dt.date]:
+        """First and last day whose month start is in the calendar (and not
+        before ``since``): the same test on the raw date, which scans push down."""
+        start, end = self.calendar_start, self.calendar_end
+        first = start if start.day == 1 else (start.replace(day=1) + dt.timedelta(days=32)).replace(day=1)
+        last = (end.replace(day=1) + dt.timedelta(days=32)).replace(day=1) - dt.timedelta(days=1)
+        return (max(first, since) if since else first), last
+
     # --- predicates shared by the measures -------------------------------
     def completed(self, status: Column) -> Column:
         target = COMPLETED_UPPER if self.status_match == "intent" else COMPLETED_LITERAL

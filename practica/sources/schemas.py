@@ -54,6 +54,11 @@ SOURCE_SCHEMAS: dict[str, T.StructType] = {
 
 
 
+# Date columns may be stored as text; staging parses it.
+def _accepted(declared: T.DataType, stored: T.DataType) -> bool:
+    return stored == declared or (isinstance(declared, T.DateType) and isinstance(stored, T.StringType))
+
+
 class SchemaMismatch(ValueError):
     pass
 
@@ -62,7 +67,8 @@ def conform(name: str, df: DataFrame, strict: bool = True) -> DataFrame:
     """Select the declared columns of source ``name`` in declared order and types.
 
     Missing columns fail early. With ``strict`` a column whose type differs
-    also fails; otherwise it is cast. Extra columns are dropped (pruned from
+    also fails (a date stored as text does not: it stays text); otherwise it is
+    cast. Extra columns are dropped (pruned from
     the scan by Catalyst).
     """
     schema = SOURCE_SCHEMAS[name]
@@ -73,7 +79,7 @@ def conform(name: str, df: DataFrame, strict: bool = True) -> DataFrame:
         if got is None:
             raise SchemaMismatch(f"{name}: missing column {field.name!r}")
         col = F.col(f"`{got.name}`")
-        if got.dataType != field.dataType:
+        if not _accepted(field.dataType, got.dataType):
             if strict:
                 raise SchemaMismatch(
                     f"{name}.{field.name}: {got.dataType.simpleString()} != "
@@ -84,9 +90,14 @@ def conform(name: str, df: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def read_source(spark, name: str, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read one source with its declared schema (no inference) and conform it."""
-    df = spark.read.format(fmt).schema(SOURCE_SCHEMAS[name]).load(path)
-    return conform(name, df)
+    """Read one source and conform it. Formats that store their types are read
+    with them; others with the declared schema, dates as text."""
+    reader = spark.read.format(fmt)
+    if fmt not in ("parquet", "orc"):
+        reader = reader.schema(T.StructType([
+            T.StructField(f.name, S if isinstance(f.dataType, T.DateType) else f.dataType)
+            for f in SOURCE_SCHEMAS[name].fields]))
+    return conform(name, reader.load(path))
 
 
 def read_sources(spark, root: str, fmt: str = "parquet", paths: dict[str, str] | None = None):

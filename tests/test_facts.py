@@ -8,7 +8,7 @@ from practica.plans import facts
 from practica.plans.marts import build_marts, snapshot_all
 from practica.semantics import Semantics
 from tests import tiny
-from tests.literal import duck_over, rows_of
+from tests.literal import rows_of
 
 SNAP = dt.datetime(2024, 6, 30)
 SEM = Semantics(as_of=dt.date(2024, 6, 30))
@@ -71,34 +71,32 @@ def test_business_dev_fact_grain(world):
         1500.0 + 10.0 + (2.0 + 3.0 + 1.5) * 150)
 
 
-HR_LITERAL = """
-WITH b_hours AS (
-  SELECT consultant_id, month_start_date AS snapshot_month,
-         CAST(sum(billable_minutes) AS DOUBLE) / 60 AS billable_hours,
-         CAST(sum(non_billable_minutes) AS DOUBLE) / 60 AS non_billable_hours
-  FROM stg_non_billable_hours GROUP BY 1, 2),
-join_keys AS (
-  SELECT bh.consultant_id, cd.deliverable_id, c.business_unit_id, p.client_id
-  FROM b_hours bh
-  LEFT JOIN stg_time_entry cd ON bh.consultant_id = cd.consultant_id
-  LEFT JOIN stg_consultant c ON bh.consultant_id = c.consultant_id
-  LEFT JOIN stg_project p ON c.business_unit_id = p.unit_id)
-SELECT DISTINCT bh.consultant_id, bh.snapshot_month, dd.deliverable_key, bd.unitkey, cid.client_key,
-       bh.billable_hours, bh.non_billable_hours
-FROM b_hours bh
-LEFT JOIN join_keys jk ON bh.consultant_id = jk.consultant_id
-LEFT JOIN dd ON jk.deliverable_id = dd.deliverable_id
-LEFT JOIN bu bd ON jk.business_unit_id = bd.unitid
-LEFT JOIN cl cid ON jk.client_id = cid.client_id
-"""
-
-
 def test_hr_rewrite_equals_literal_fan_out(world):
-    """The literal HR fact (months x deliverables x clients per consultant),
-    as a set, is utilization joined to the two bridges."""
+    """Each consultant-month with each deliverable worked on and each client
+    of the unit's projects, as a set, is utilization joined to the two bridges."""
     st, marts = world
-    con = duck_over(st, {"dd": marts.deliverable, "bu": marts.business_unit, "cl": marts.client})
-    want = rows_of(con.sql(HR_LITERAL).fetchall())
+
+    def keyed(df, key, value):
+        return {r[key]: r[value] for r in df.collect()}
+    deliverable = keyed(marts.deliverable, "deliverable_id", "deliverable_key")
+    client, unit_key = keyed(marts.client, "client_id", "client_key"), keyed(marts.business_unit, "unitid", "unitkey")
+    unit_of = keyed(st.consultant, "consultant_id", "business_unit_id")
+    minutes = {}
+    for r in st.non_billable_hours.collect():
+        total = minutes.setdefault((r.consultant_id, r.month_start_date), [0, 0])
+        total[0] += r.billable_minutes
+        total[1] += r.non_billable_minutes
+    worked, clients = {}, {}
+    for r in st.time_entry.collect():
+        worked.setdefault(r.consultant_id, set()).add(r.deliverable_id)
+    for r in st.project.collect():
+        clients.setdefault(r.unit_id, set()).add(r.client_id)
+    want = rows_of({
+        (who, month, deliverable.get(d), unit_key.get(unit_of.get(who)), client.get(c),
+         float(spent[0]) / 60, float(spent[1]) / 60)
+        for (who, month), spent in minutes.items()
+        for d in worked.get(who, {None})
+        for c in (clients.get(unit_of.get(who), {None}) if unit_of.get(who) is not None else {None})})
 
     u = facts.hr_utilization(st, marts, SEM).alias("u")
     db = facts.hr_deliverable_bridge(st, marts, SEM).alias("db")
