@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -16,7 +17,7 @@ SPACE_CHARS = " \t\n\x0b\x0c\r"
 # Rows up to which a keyed side may be broadcast; beyond it the same join shuffles.
 BROADCAST_ROWS = 2_000_000
 # Rows that a Python function holds at a time.
-SLICE_ROWS = 2048
+SLICE_ROWS = 512
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +39,16 @@ def buckets_for(rows: int, per_bucket: int = 50_000, least: int = 64) -> int:
     return max(least, -(-rows // per_bucket))
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: workers live on between tasks, and
+    an executor's memory limit counts what they keep."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):   # another C library
+        return
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table | dict | None],
                 schema: str | StructType) -> DataFrame:
     """Apply ``fn`` to slices of the Arrow batches; a dict result becomes a batch."""
@@ -47,6 +58,8 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | p
                 out = fn(batch.slice(at, SLICE_ROWS))
                 if out is not None:
                     yield out if isinstance(out, pa.RecordBatch) else pa.RecordBatch.from_pydict(out)
+            del batch
+            release_memory()
     return df.mapInArrow(run, schema)
 
 
@@ -108,6 +121,8 @@ def map_sorted_groups(df: DataFrame, keys: list[str], fn: Callable[[pa.Table, li
         if held:
             table = pa.Table.from_batches(held)
             yield from done(table, edges(table))
+        table, held = None, []
+        release_memory()
     return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
 
 

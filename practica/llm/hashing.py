@@ -15,7 +15,7 @@ _MIX_A, _MIX_B = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 # White space of words: space and U+0009..U+000D.
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 1 << 18
 
 
 def mix(h: np.ndarray) -> np.ndarray:
