@@ -1,5 +1,6 @@
 import hashlib
 import re
+import uuid
 
 from practica.llm import secret_ledger as ledger
 from practica.llm.oracle import llm_oracle_sql  # noqa: F401
@@ -33,11 +34,11 @@ def scan(docs, where, version="1"):
     return ledger.report(*ledger.scan_new(docs, where, version))
 
 
-def test_base_spans(spark, odd_docs, tmp_path):
+def test_base_spans(spark, odd_docs):
     for n, docs in enumerate((spark.createDataFrame(rows(TEXTS), SCHEMA), odd_docs)):
         text = {(r.doc_id, hashlib.sha256((r.text or "").encode()).hexdigest()): r.text
                 for r in docs.select("doc_id", "text").collect()}
-        got = scan(docs, f"{shared_dir(spark)}/{tmp_path.name}/{n}").collect()
+        got = scan(docs, f"{shared_dir(spark)}/{uuid.uuid4().hex}/{n}").collect()
         assert len(got) == docs.count()
         for r in got:
             counts, digest, listed = want(text[r.doc_id, r.blob])
@@ -45,8 +46,8 @@ def test_base_spans(spark, odd_docs, tmp_path):
             assert listed <= set(r.spans.split(",")) or not listed
 
 
-def test_a_second_run_scans_only_what_is_new(spark, tmp_path, monkeypatch):
-    where = f"{shared_dir(spark)}/{tmp_path.name}/ledger"
+def test_a_second_run_scans_only_what_is_new(spark):
+    where = f"{shared_dir(spark)}/{uuid.uuid4().hex}/ledger"
     first = spark.createDataFrame(rows(TEXTS), SCHEMA)
     more = spark.createDataFrame(rows([*TEXTS, "token=brandnew1", "token=brandnew1"]), SCHEMA)
     a = scan(first, where)
@@ -60,15 +61,15 @@ def test_a_second_run_scans_only_what_is_new(spark, tmp_path, monkeypatch):
     assert ledger._stored(spark, f"{where}/pairs", ledger.LEDGER).count() == 2 * (before + 1)
 
 
-def test_redaction_keeps_rows_and_columns(spark, odd_docs, tmp_path):
+def test_redaction_keeps_rows_and_columns(spark, odd_docs):
     docs = spark.createDataFrame(rows(TEXTS), SCHEMA)
-    out = ledger.redact_documents(docs, f"{shared_dir(spark)}/{tmp_path.name}/redact")
+    out = ledger.redact_documents(docs, f"{shared_dir(spark)}/{uuid.uuid4().hex}/redact")
     assert out.columns == docs.columns
     got = {r.doc_id: r for r in out.collect()}
     assert len(got) == len(TEXTS) and got[2].text == TEXTS[2] and got[0].text is None
     assert "hunter22" not in got[10].text and got[10].n_chars == len(got[10].text)
-    assert ledger.redact_documents(odd_docs, f"{shared_dir(spark)}/{tmp_path.name}/odd").count() == odd_docs.count()
+    assert ledger.redact_documents(odd_docs, f"{shared_dir(spark)}/{uuid.uuid4().hex}/odd").count() == odd_docs.count()
 
 
-def test_empty(spark, no_docs, tmp_path):
-    assert scan(no_docs, f"{shared_dir(spark)}/{tmp_path.name}/empty").count() == 0
+def test_empty(spark, no_docs):
+    assert scan(no_docs, f"{shared_dir(spark)}/{uuid.uuid4().hex}/empty").count() == 0
