@@ -8,9 +8,9 @@ queue, best expected product first, and visits leaves in that order. How many
 it visits is calibrated: for ``CALIBRATION`` queries the exact neighbours among
 all rows are found, and visits widen until their recall reaches ``RECALL``.
 
-Rows and queries meet by leaf, in two steps: the first ``FIRST_VISITS`` leaves
-give each query a floor, its ``k``-th best score so far; from the other leaves
-only rows that reach the floor come back. A large leaf is split into chunks of its rows
+Rows and queries meet by leaf, in steps: the first leaves that a query visits
+give it a floor, its ``k``-th best score so far, and from the leaves of the next
+step only rows that reach the floor come back. A large leaf is split into chunks of its rows
 and of its queries, so no task depends on the size of a leaf; each chunk gives
 its best ``k`` for each query and a window keeps the best of those. Scores are
 products of the original vectors in double precision, summed in one fixed order.
@@ -42,7 +42,7 @@ LEAF_ROWS = 256
 MAX_LEAVES = 4096
 CALIBRATION = 96
 RECALL = 0.95
-FIRST_VISITS = 2
+STEPS = (2, 16)             # visits at which the floors rise
 CHUNK_ROWS, CHUNK_QUERIES = 2048, 2048
 SEED = 11
 
@@ -236,18 +236,18 @@ def nearest(df: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector
                 "nth": pa.array([n for v in seen for n in range(len(v))], pa.int32())}
 
     walks = materialize(map_batches(queries, walk, "query_id long, leaf int, nth int"), "ann_walks")
-    first, later = F.col("nth") < FIRST_VISITS, F.col("nth") >= FIRST_VISITS
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-
-    def best(pairs: DataFrame) -> DataFrame:
-        return pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-
-    none = F.lit(float("-inf"))
-    found = materialize(best(meetings(placed, walks.filter(first), queries.withColumn("floor", none), k)), "ann_first")
-    floors = found.filter(F.col("rank") == k).select("query_id", F.col("score").alias("floor"))
-    floored = queries.join(floors, "query_id", "left").withColumn("floor", F.coalesce("floor", none))
-    pairs = found.drop("rank").unionByName(meetings(placed, walks.filter(later), floored, k))
-    return best(pairs).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    best = df.sparkSession.createDataFrame([], ranked).select("query_id", "vec_id", "score", "rank")
+    edges = [0, *[s for s in STEPS if s < visits], visits]
+    for a, b in zip(edges, edges[1:]):
+        floors = best.filter(F.col("rank") == k).select("query_id", F.col("score").alias("floor"))
+        floored = queries.join(floors, "query_id", "left").withColumn(
+            "floor", F.coalesce("floor", F.lit(float("-inf"))))
+        step = walks.filter((F.col("nth") >= a) & (F.col("nth") < b))
+        pairs = best.drop("rank").unionByName(meetings(placed, step, floored, k))
+        best = materialize(pairs.withColumn("rank", F.row_number().over(w).cast("int"))
+                           .filter(F.col("rank") <= k), "ann_best")
+    return best.select("query_id", "rank", "vec_id", "score")
 
 
 def meetings(placed: DataFrame, walks: DataFrame, queries: DataFrame, k: int) -> DataFrame:
