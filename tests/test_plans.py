@@ -1,4 +1,4 @@
-"""Plan-shape guards for every registered query (planning only, sf0.001).
+"""Plan-shape guards for every query of the marts (planning only, sf0.001).
 
 At 100 TB the things that hurt are pair-generating joins, row-at-a-time
 Python and unpruned scans; these assertions keep them out of every plan.
@@ -16,10 +16,10 @@ WIDE_TABLES = {"lineitem": 11, "orders": 6}
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    import __spark_entry__ as E
+    from practica.plans.queries import spark_queries
     mode = spark.sparkContext._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     out = {}
-    for name, fn in E.queries().items():
+    for name, fn in spark_queries().items():
         df = fn(spark, SF)
         out[name] = df._jdf.queryExecution().explainString(mode)
     return out
