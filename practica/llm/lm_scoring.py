@@ -1,8 +1,7 @@
 """Cross-entropy difference of two n-gram language models.
 
 A target and a background model are matched: both are bigram models over one
-shared vocabulary (the ``VOCABULARY`` most frequent words of all documents, the
-rest one unknown word), with the same interpolation
+shared vocabulary (every word of all documents), with the same interpolation
 
     P(w | v) = (c(v, w) + ``PRIOR`` * P(w)) / (c(v) + ``PRIOR``),
     P(w) = (c(w) + 1) / (N + size of the vocabulary),
@@ -11,10 +10,14 @@ one counted over the trusted target documents, the other over all documents. A
 document's score is the mean over its tokens of target loss minus background
 loss in nats: below 0 it is closer to the target.
 
-Counts cover all documents and the bigram table grows with them. Its most
-frequent ``HEAD`` entries go to every task; the tokens of rarer bigrams, if
-there are any, are summed by (document, bigram) and joined with the rest of the
-table by shuffle. A document's first word follows a fixed start context.
+Counts cover all documents; the vocabulary and the bigram table grow with them.
+Words are 64-bit hashes, so no list of words is held anywhere, and a bigram is
+counted by its two hashes. Its context's and its word's sums come from a
+broadcast of the at most ``FEW`` most frequent words, for rarer words by shuffle.
+At most ``HEAD`` of the most frequent bigrams go to every task; the tokens of
+rarer bigrams, if there are any, are summed by (document, bigram) and joined
+with the rest of the table by shuffle, on a 64-bit hash of the two. A document's
+first word follows a fixed start context.
 
 Defined results: a null or empty text has no tokens and score 0. Without target
 documents every score is 0. Repeated rows are counted and scored each. A null
@@ -25,18 +28,19 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from practica.llm.common import map_batches, small_side, texts_of
 from practica.llm.hashing import word_hasher
 from practica.session import materialize
 
-VOCABULARY = 8_000
 HEAD = 1_000_000
+FEW = 200_000
 PRIOR = 4.0
-UNKNOWN, START = 0, 1       # ids; vocabulary words follow
+UNKNOWN, START = 0, 1       # in the place of a word's hash
 FIRST = 2
+TURN = 23                   # bits
 
 
 def with_trust(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -48,124 +52,168 @@ def with_trust(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str)
             .select("doc_id", "text", F.coalesce("_t", F.lit(0)).alias("trusted")))
 
 
-def _tally(keys: np.ndarray, trusted: np.ndarray) -> dict:
-    """Distinct keys with their number, and how many of it are trusted."""
+def pair_key(v: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """One hash for each bigram; hashes of words are mixed already."""
+    w = w.view(np.uint64)
+    return v ^ ((w << np.uint64(TURN)) | (w >> np.uint64(64 - TURN))).view(np.int64)
+
+
+def _pair_key() -> Column:
+    return F.col("v").bitwiseXOR(F.shiftleft("w", TURN).bitwiseOR(F.shiftrightunsigned("w", 64 - TURN)))
+
+
+def _tally(keys: np.ndarray, trusted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of distinct keys: a place of each, their number, and how many of it are trusted."""
     order = np.argsort(keys, kind="stable")
     keys, trusted = keys[order], trusted[order]
-    first = np.nonzero(np.diff(keys, prepend=keys[:1] - 1) != 0)[0] if len(keys) else np.zeros(0, int)
+    first = np.nonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))[0] if len(keys) else np.zeros(0, int)
     n = np.diff(np.append(first, len(keys)))
     t = np.add.reduceat(trusted, first) if len(first) else np.zeros(0)
-    return {"key": pa.array(keys[first]), "n": pa.array(n.astype(np.int64)), "t": pa.array(t.astype(np.int64))}
-
-
-def _summed(rows: DataFrame, keys_of) -> DataFrame:
-    """(key, n, t): occurrences of each key in all and in trusted rows;
-    ``keys_of(hashes, counts)`` gives a group's keys and the row of each."""
-    def run(batch: pa.RecordBatch) -> dict:
-        trusted = batch.column("trusted").to_numpy().astype(np.int64)
-        keys, marks = [], []
-        for first, hashes, counts in word_hasher().groups(texts_of(batch)):
-            found, row = keys_of(hashes, counts)
-            keys.append(found)
-            marks.append(trusted[first + row])
-        return _tally(np.concatenate(keys), np.concatenate(marks))
-
-    parts = map_batches(rows.select("text", "trusted"), run, "key long, n long, t long")
-    return parts.groupBy("key").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+    return order[first], n.astype(np.int64), t.astype(np.int64)
 
 
 class Vocabulary:
-    """Ids of word hashes: ``FIRST`` on for known words, else ``UNKNOWN``."""
+    """Words as they are counted: their hashes, or ``UNKNOWN`` for those that
+    are not in ``hashes`` if a list is given."""
 
-    def __init__(self, hashes: list[int]):
-        self.hashes = np.sort(np.array(hashes, np.int64))
+    def __init__(self, hashes: list[int] | None = None):
+        self.hashes = None if hashes is None else np.sort(np.array(hashes, np.int64))
 
     @property
-    def size(self) -> int:
-        return len(self.hashes) + FIRST
+    def size(self) -> int | None:
+        return None if self.hashes is None else len(self.hashes) + FIRST
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         h = hashes.view(np.int64)
+        if self.hashes is None:
+            return h
         if not len(self.hashes):
             return np.zeros(len(h), np.int64)
         at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == h, at + FIRST, UNKNOWN)
+        return np.where(self.hashes[at] == h, h, UNKNOWN)
 
-    def bigrams(self, hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(context id * size + word id, row) of every token."""
+    def bigrams(self, hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(context, word, row) of every token."""
         row = np.repeat(np.arange(len(counts)), counts)
         word = self.ids(hashes)
-        context = np.concatenate([[START], word[:-1]]) if len(word) else word
+        context = np.concatenate([[START], word[:-1]]) if len(word) else word.copy()
         starts = np.concatenate([[0], np.cumsum(counts)])[:-1][counts > 0]
         context[starts] = START
-        return context * self.size + word, row
-
-
-def shared_vocabulary(rows: DataFrame, limit: int = VOCABULARY) -> Vocabulary:
-    def all_words(hashes: np.ndarray, counts: np.ndarray):
-        return hashes.view(np.int64), np.repeat(np.arange(len(counts)), counts)
-    top = _summed(rows, all_words).orderBy(F.desc("n"), "key").limit(limit).select("key")
-    return Vocabulary([r["key"] for r in top.collect()])
+        return context, word, row
 
 
-def difference_table(bigrams: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+def count_bigrams(rows: DataFrame, words: Vocabulary) -> DataFrame:
+    """(v, w, n, t): occurrences of each bigram in all and in trusted rows."""
+    def run(batch: pa.RecordBatch) -> dict:
+        trusted = batch.column("trusted").to_numpy().astype(np.int64)
+        parts: list[tuple] = []
+        for first, hashes, counts in word_hasher().groups(texts_of(batch)):
+            v, w, row = words.bigrams(hashes, counts)
+            parts.append((v, w, trusted[first + row]))
+        v, w, marks = (np.concatenate(c) for c in zip(*parts))
+        at, n, t = _tally(pair_key(v, w), marks)
+        return {"v": pa.array(v[at]), "w": pa.array(w[at]), "n": pa.array(n), "t": pa.array(t)}
+
+    parts = map_batches(rows.select("text", "trusted"), run, "v long, w long, n long, t long")
+    return parts.groupBy("v", "w").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+
+
+def shared_vocabulary(rows: DataFrame, limit: int | None = None) -> Vocabulary:
+    """All words, or with a limit that many of the most frequent ones."""
+    if limit is None:
+        return Vocabulary()
+    words = count_bigrams(rows, Vocabulary()).groupBy("w").agg(F.sum("n").alias("n"))
+    return Vocabulary([r["w"] for r in words.orderBy(F.desc("n"), "w").limit(limit).collect()])
+
+
+def least_count(table: DataFrame, limit: int, n: str = "n") -> int:
+    """The least count such that at most ``limit`` rows of the table reach it.
+    Counts go by steps of a sixteenth of their power of two."""
+    step = F.when(F.col(n) < 32, F.col(n)).otherwise(
+        F.floor(F.col(n) / F.pow(F.lit(2), F.floor(F.log2(n)) - 4)) * F.pow(F.lit(2), F.floor(F.log2(n)) - 4))
+    rows, least = 0, None
+    for r in sorted(table.groupBy(step.cast("long").alias("n")).agg(F.count("*").alias("rows")).collect(),
+                    key=lambda r: -r["n"]):
+        rows += r["rows"]
+        if rows > limit:
+            break
+        least = r["n"]
+    return (1 << 62) if least is None else least
+
+
+def _with_sums(table: DataFrame, sums: DataFrame, key: str, n: str) -> DataFrame:
+    """``table`` with the sums of its ``key``: frequent ones by broadcast."""
+    least = least_count(sums, FEW, n)
+    often, rare = F.broadcast(sums.filter(F.col(n) >= least)), sums.filter(F.col(n) < least)
+    if rare.isEmpty():
+        return table.join(often, key)
+    return table.join(often, key).unionByName(table.join(often.select(key), key, "left_anti").join(rare, key))
+
+
+def difference_table(bigrams: DataFrame, size: int | None) -> DataFrame:
     """(key, n, loss_t, loss_b) of every bigram, from its counts and the sums
-    of its context and its word; those are at most one row for each word."""
-    size = vocabulary.size
-    parts = bigrams.withColumns({"v": F.floor(F.col("key") / size), "w": F.col("key") % size})
-    words = parts.groupBy("w").agg(F.sum("n").alias("w_n"), F.sum("t").alias("w_t"))
-    contexts = parts.groupBy("v").agg(F.sum("n").alias("v_n"), F.sum("t").alias("v_t"))
-    total = bigrams.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("t"), F.lit(0)).alias("t")).first()
+    of its context and its word; those are one row for each word."""
+    words = materialize(bigrams.groupBy("w").agg(F.sum("n").alias("w_n"), F.sum("t").alias("w_t")), "lm_words")
+    contexts = materialize(bigrams.groupBy("v").agg(F.sum("n").alias("v_n"), F.sum("t").alias("v_t")), "lm_contexts")
+    total = words.agg(F.coalesce(F.sum("w_n"), F.lit(0)).alias("n"), F.coalesce(F.sum("w_t"), F.lit(0)).alias("t"),
+                      F.count("*").alias("size")).first()
+    size = total["size"] + FIRST if size is None else size
 
     def loss(c: str, n_all: int):
         p = (F.col(f"w_{c}") + 1) / F.lit(float(n_all + size))
         return -F.log((F.col(c) + PRIOR * p) / (F.col(f"v_{c}") + PRIOR))
-    return (parts.join(F.broadcast(words), "w").join(F.broadcast(contexts), "v")
-            .select("key", "n", loss("t", total["t"]).alias("loss_t"), loss("n", total["n"]).alias("loss_b")))
+    return (_with_sums(_with_sums(bigrams, words, "w", "w_n"), contexts, "v", "v_n")
+            .select(_pair_key().alias("key"), "n", loss("t", total["t"]).alias("loss_t"),
+                    loss("n", total["n"]).alias("loss_b")))
 
 
 def score_documents(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    vocabulary_size: int = VOCABULARY, head_size: int = HEAD) -> DataFrame:
+                    vocabulary_size: int | None = None, head_size: int = HEAD) -> DataFrame:
     """doc_id, n_tokens, loss_target, loss_background (means a token), score."""
     rows = with_trust(docs, trusted, id_col, text_col)
     words = shared_vocabulary(rows, vocabulary_size)
-    counts = materialize(_summed(rows, words.bigrams), "lm_bigrams")
-    table = materialize(difference_table(counts, words), "lm_losses")
-    head = table.orderBy(F.desc("n"), "key").limit(head_size).select("key", "loss_t", "loss_b").toArrow()
+    counts = materialize(count_bigrams(rows, words), "lm_bigrams")
+    table = materialize(difference_table(counts, words.size), "lm_losses")
+    least = least_count(table, head_size)
+    head = table.filter(F.col("n") >= least).select("key", "loss_t", "loss_b").toArrow()
     order = np.argsort(head.column("key").to_numpy())
     keys = head.column("key").to_numpy()[order]
     losses = [head.column(c).to_numpy()[order].astype(np.float32) for c in ("loss_t", "loss_b")]
-    whole = table.count() <= head_size
+    tail = table.filter(F.col("n") < least).select("key", "loss_t", "loss_b")
+    whole = tail.isEmpty()
     known = docs.sparkSession.sparkContext.broadcast((keys, *losses))
 
     def run(batch: pa.RecordBatch) -> dict:
         head_keys, loss_t, loss_b = known.value
         n = batch.num_rows
-        tokens, sums, rest = np.zeros(n, np.int64), np.zeros((2, n)), [[] for _ in range(n)]
+        tokens, sums, rest, times = np.zeros(n, np.int64), np.zeros((2, n)), [[]] * n, [[]] * n
         for first, hashes, counts in word_hasher().groups(texts_of(batch)):
-            found, row = words.bigrams(hashes, counts)
+            v, w, row = words.bigrams(hashes, counts)
             tokens[first:first + len(counts)] = counts
-            if not len(found):
+            if not len(row):
                 continue
-            at = np.minimum(np.searchsorted(head_keys, found), len(head_keys) - 1)
-            hit = head_keys[at] == found
+            found = pair_key(v, w)
+            at = np.minimum(np.searchsorted(head_keys, found), max(0, len(head_keys) - 1))
+            hit = head_keys[at] == found if len(head_keys) else np.zeros(len(found), bool)
             for side, loss in enumerate((loss_t, loss_b)):
                 sums[side, first:first + len(counts)] = np.bincount(row[hit], loss[at[hit]], len(counts))
             if not hit.all():
                 missed, edge = found[~hit], np.searchsorted(row[~hit], np.arange(len(counts) + 1))
                 for r in np.nonzero(np.diff(edge))[0]:
-                    rest[first + r] = missed[edge[r]:edge[r + 1]].tolist()
+                    rest[first + r], times[first + r] = np.unique(missed[edge[r]:edge[r + 1]], return_counts=True)
         return {"doc_id": batch.column("doc_id"), "n_tokens": pa.array(tokens), "head_t": pa.array(sums[0]),
-                "head_b": pa.array(sums[1]), "rest": pa.array(rest, pa.list_(pa.int64()))}
+                "head_b": pa.array(sums[1]), "rest": pa.array(rest, pa.list_(pa.int64())),
+                "times": pa.array(times, pa.list_(pa.int64()))}
 
     scored = map_batches(rows.select("doc_id", "text"), run,
-                         "doc_id long, n_tokens long, head_t double, head_b double, rest array<long>")
+                         "doc_id long, n_tokens long, head_t double, head_b double, rest array<long>, times array<long>")
     if whole:
         summed = scored.withColumns({"rest_t": F.lit(0.0), "rest_b": F.lit(0.0)})
     else:
         scored = materialize(scored.withColumn("_row", F.monotonically_increasing_id()), "lm_head")
-        tail = (scored.select("_row", F.explode("rest").alias("key")).groupBy("_row", "key").agg(F.count("*").alias("c"))
-                .join(table.select("key", "loss_t", "loss_b"), "key").groupBy("_row")
+        tail = (scored.select("_row", F.explode(F.arrays_zip("rest", "times")).alias("x"))
+                .select("_row", F.col("x.rest").alias("key"), F.col("x.times").alias("c"))
+                .join(tail, "key").groupBy("_row")
                 .agg(F.sum(F.col("c") * F.col("loss_t")).alias("rest_t"),
                      F.sum(F.col("c") * F.col("loss_b")).alias("rest_b")))
         summed = scored.join(tail, "_row", "left").na.fill(0.0, ["rest_t", "rest_b"])

@@ -48,6 +48,18 @@ def test_a_small_vocabulary_is_the_most_frequent_words(spark, odd_docs):
     assert lm.shared_vocabulary(rows, 5).size == 5 + lm.FIRST
 
 
+def test_every_word_counts_however_many_there_are(spark, monkeypatch):
+    monkeypatch.setattr(lm, "FEW", 100)
+    data = [(i, " ".join(f"w{i}x{k}" for k in range(40)) + f" common w{i // 2}") for i in range(300)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    target = {i for i in range(300) if i % 3 == 0}
+    vocabulary = {w for _, t in data for w in t.split()}
+    assert len(vocabulary) > 12_000
+    got = lm.score_documents(docs, docs.filter("doc_id % 3 = 0").select("doc_id"), head_size=1000).orderBy("doc_id")
+    for r, a, b in zip(got.collect(), *brute(data, target, vocabulary)):
+        assert r.loss_target == pytest.approx(a, abs=1e-4) and r.loss_background == pytest.approx(b, abs=1e-4)
+
+
 def test_no_target_and_empty(odd_docs, no_docs):
     assert lm.score_documents(odd_docs, no_docs.select("doc_id")).filter("score <> 0").count() == 0
     assert lm.score_documents(no_docs, no_docs.select("doc_id")).count() == 0
