@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from practica.llm.common import map_batches, replaced, small_side, texts_of, without_rows
 from practica.session import materialize
 
-RULE_VERSION = "1"
+RULE_VERSION = "2"
 # Base kinds in their order, then the kinds added here.
 KINDS = ("assign", "access", "hex", "key_block", "url_login")
 BASE_KINDS = KINDS[:3]
@@ -41,8 +41,10 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 # Runs below the least length can never hold a longer one, so it is in the pattern.
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
-KEY_BLOCK = re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----")
-URL_LOGIN = re.compile(r"[a-z][a-z0-9+.-]{1,20}://[^\s/:@]{1,64}:[^\s/:@]{1,64}@")
+# The whole key: header, body and END line; without one, to the end of the text.
+KEY_BLOCK = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
+                       r".*?(?:-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----|\Z)", re.DOTALL)
+URL_LOGIN = re.compile(r"[a-z][a-z0-9+.-]{1,20}://[^\s/:@]+:[^\s/:@]+@")
 ASSIGN_HINTS = ("passw", "secret", "token", "api")
 
 FINDINGS = ("blob string, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
@@ -58,7 +60,7 @@ def find_spans(text: str) -> list[tuple[int, int, str]]:
     if "AKIA" in text:
         spans += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text)]
     spans += [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
-    if "PRIVATE KEY-----" in text:
+    if "PRIVATE KEY" in text:
         spans += [(m.start(), m.end(), "key_block") for m in KEY_BLOCK.finditer(text)]
     if "://" in text and "@" in text:
         spans += [(m.start(), m.end(), "url_login") for m in URL_LOGIN.finditer(text)]
