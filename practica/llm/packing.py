@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from practica.llm.common import buckets_for, gapless_slots, map_batches, texts_of
-from practica.llm.tokens import END_ID, encoder, vocabulary_path
+from practica.llm.tokens import END_ID, added_tokens, encoder, vocabulary_path
 from practica.session import materialize
 
 SIZE = 1024
@@ -50,10 +50,11 @@ def token_pieces(docs: DataFrame, path: str | None = None, size: int = SIZE, id_
     """(doc_id, piece, start, length, ids_crc32) of every document."""
     path = path or vocabulary_path()
     end = END_ID.to_bytes(4, "little")
+    added = added_tokens()
 
     def run(batch: pa.RecordBatch) -> dict:
         row, piece, start, length, crc = [], [], [], [], []
-        encode = encoder(path)
+        encode = encoder(path, added)
         for i, text in enumerate(texts_of(batch)):
             ids = memoryview(encode(text) + end)
             for k, (s, n) in enumerate(cut(len(ids) // 4, size)):

@@ -54,6 +54,20 @@ def test_ids_equal_the_tokenizers_library():
         assert np.frombuffer(ids(text), "<u4").tolist() == known.ids
 
 
+def test_added_tokens_have_the_ids_of_the_json_form(spark):
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(6)
+    parts = [" ", "  ", "\n", "a", "Word", "'s", "é", "12", "<|endoftext|>", "<|endoftext", "|>", "日本", "　"]
+    texts = ["a <|endoftext|> b", *("".join(rng.choices(parts, k=rng.randrange(12))) for _ in range(2000))]
+    want = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+    assert want[0] == [64, 220, 50256, 275]
+    ids = tokens.encoder(tokens.vocabulary_path(), tokens.added_tokens())
+    assert [np.frombuffer(ids(t), "<u4").tolist() for t in texts] == want
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.length, r.ids_crc32) for r in packing.token_pieces(docs).collect()}
+    assert got == {i: (len(w) + 1, zlib.crc32(np.array([*w, 2], "<u4").tobytes())) for i, w in enumerate(want)}
+
+
 def test_every_piece_has_its_place(odd_docs):
     got = packing.pack_documents(odd_docs).collect()
     ids = tokens.encoder(tokens.vocabulary_path())
