@@ -4,10 +4,10 @@ Documents are tokenized whole; longer ones are cut into full pieces, the first
 of which may be shorter. Pieces of equal length are interchangeable, so the
 packing problem is a table of at most ``SIZE`` (length, count) rows, which is
 all that the driver sees. It is solved there by branch and bound: the largest
-remaining length is completed by undominated fillings, least waste first, each
-applied to as many sequences as the counts allow; a branch is cut once its
+remaining length is completed by undominated fillings of any number of pieces,
+least waste first, each applied to as many sequences as the counts allow; a branch is cut once its
 waste cannot beat the incumbent. The incumbent starts as best-fit decreasing.
-The search ends at the lower bound or after ``NODES`` nodes with the best
+The search ends at the lower bound or after ``NODES`` fillings with the best
 packing found, always a whole one.
 
 The solution, a table of fillings, goes back to the pieces: the r-th piece of a
@@ -21,6 +21,8 @@ Repeated rows are packed each. An empty table gives an empty result.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +35,6 @@ from practica.session import materialize
 
 SIZE = 1024
 NODES = 3_000
-BRANCHES = 6
 
 Filling = tuple[int, ...]
 
@@ -112,48 +113,56 @@ def best_fit_decreasing(counts: np.ndarray, size: int) -> list[tuple[Filling, in
     return [(f, n) for group in room.values() for f, n in group.items()]
 
 
-def fillings(counts: np.ndarray, largest: int, size: int, limit: int = BRANCHES) -> list[Filling]:
-    """Undominated fillings of the room beside ``largest``, least waste first.
+def fillings(counts: np.ndarray, largest: int, size: int) -> Iterator[tuple[int, Filling | None]]:
+    """(waste, filling) of the room beside ``largest``, fillings of any number of
+    pieces, least waste first and then longer pieces first; None in the place of
+    a dominated one.
 
-    A single length that fills the room dominates every other filling. Else:
-    the largest single; pairs and triples whose sum exceeds it (a filling whose
-    sum fits in the single is dominated by it), for each first length the best
-    rest."""
+    A filling is dominated if one remaining piece fits in the place of some of
+    its pieces (or of none) and is longer than they are together, or as long as
+    two or more of them. The first filling never is."""
     room = size - largest
-    have = np.nonzero(counts[:min(room, largest) + 1])[0]
-    if not len(have):
-        return [()]
-    single = int(have[-1])
-    if single == room:
-        return [(single,)]
-    found: dict[Filling, int] = {(single,): room - single}
-
-    def best_below(limit_to: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(have, limit_to, side="right") - 1
-        return np.where(at >= 0, have[np.maximum(at, 0)], 0)
-
-    def add(items: tuple[int, ...]) -> None:
-        items = tuple(sorted((i for i in items if i), reverse=True))
-        if sum(items) > single and all(counts[i] >= items.count(i) for i in set(items)):
-            found[items] = room - sum(items)
-
-    a = have[::-1]
-    b = np.minimum(best_below(room - a), a)
-    pair = a + b
-    for k in np.argsort(room - pair, kind="stable")[:2 * limit]:
-        add((int(a[k]), int(b[k])))
-    if not any(w == 0 for w in found.values()):
-        for first in a[:48]:
-            rest = room - int(first)
-            second = a[a <= min(rest, first)]
-            if len(second):
-                third = np.minimum(best_below(rest - second), second)
-                waste = rest - second - third
-                k = int(np.argmin(waste))
-                add((int(first), int(second[k]), int(third[k])))
-                if waste[k] == 0:
-                    break
-    return sorted(found, key=lambda f: (found[f], len(f), tuple(-i for i in f)))[:limit]
+    have = [int(i) for i in np.nonzero(counts[:min(room, largest) + 1])[0]]
+    most = {i: min(int(counts[i]), room // i) for i in have}
+    # sums[k]: bits of the sums that the k shortest lengths can make.
+    sums, every = [1], (1 << room + 1) - 1
+    for i in have:
+        made, left, step = sums[-1], most[i], 1
+        while left:
+            step = min(step, left)
+            made |= made << i * step & every
+            left, step = left - step, 2 * step
+        sums.append(made)
+
+    def exactly(k: int, total: int) -> Iterator[Filling]:
+        if not total:
+            yield ()
+            return
+        for j in range(bisect_right(have, total, 0, k) - 1, -1, -1):
+            i = have[j]
+            if not sums[j + 1] >> total & 1:
+                return
+            for n in range(min(most[i], total // i), 0, -1):
+                if sums[j] >> total - n * i & 1:
+                    for rest in exactly(j, total - n * i):
+                        yield (i,) * n + rest
+
+    def dominated(filling: Filling, waste: int) -> bool:
+        free = 0
+        for i in have:
+            if counts[i] > filling.count(i):
+                free |= 1 << i
+        one, more = 0, 0
+        for i in filling:
+            more |= more << i | one << i
+            one |= 1 << i
+        some = 1 | one | more
+        return bool(more & free) or any(some << w & free for w in range(1, waste + 1))
+
+    for waste in range(room + 1):
+        if sums[-1] >> room - waste & 1:
+            for filling in exactly(len(have), room - waste):
+                yield waste, None if dominated(filling, waste) else filling
 
 
 def _apply(counts: np.ndarray, filling: Filling) -> tuple[np.ndarray, int]:
@@ -173,28 +182,41 @@ def pack_counts(counts: np.ndarray, size: int = SIZE, nodes: int = NODES) -> lis
     used = sum(n for _, n in best)
     bound = lower_bound(counts, size)
     total = int((counts * np.arange(size + 1)).sum())
-    # A branch: counts left, waste so far, sequences so far, fillings as a chain.
-    stack = [(counts, 0, 0, None)]
-    while stack and used > bound and nodes > 0:
-        left, waste, bins, chain = stack.pop()
-        # Beating the incumbent leaves at most this much waste in all.
-        if waste > (used - 1) * size - total or bins + lower_bound(left, size) >= used:
-            continue
-        nodes -= 1
+    # A branch: its fillings to come, counts left, waste and sequences so far, fillings as a chain.
+    stack: list = []
+
+    def enter(left: np.ndarray, waste: int, bins: int, chain) -> None:
+        nonlocal used, best
         some = np.nonzero(left)[0]
-        if not len(some):
+        if len(some):
+            largest = int(some[-1])
+            rest = left.copy()
+            rest[largest] -= 1
+            stack.append((fillings(rest, largest, size), largest, left, waste, bins, chain))
+        elif bins < used:
             used, best = bins, []
             while chain:
                 best.append(chain[0])
                 chain = chain[1]
+
+    if used > bound:
+        enter(counts, 0, 0, None)
+    while stack and used > bound and nodes > 0:
+        coming, largest, left, waste, bins, chain = stack[-1]
+        more, filling = next(coming, (None, None))
+        # Beating the incumbent leaves at most this much waste in all.
+        most = (used - 1) * size - total
+        if more is None or waste + more > most:
+            stack.pop()
+            continue
+        nodes -= 1
+        if filling is None:
             continue
-        largest = int(some[-1])
-        rest = left.copy()
-        rest[largest] -= 1
-        for f in reversed(fillings(rest, largest, size)):
-            whole = (largest, *f)
-            after, times = _apply(left, whole)
-            stack.append((after, waste + times * (size - sum(whole)), bins + times, ((whole, times), chain)))
+        whole = (largest, *filling)
+        after, times = _apply(left, whole)
+        waste, bins = waste + times * more, bins + times
+        if waste <= most and bins + lower_bound(after, size) < used:
+            enter(after, waste, bins, ((whole, times), chain))
     return best
 
 

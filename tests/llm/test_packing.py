@@ -42,6 +42,30 @@ def test_bin_completion_is_optimal_on_small_cases():
         assert packing.lower_bound(counts, size) <= sum(n for _, n in packed) == fewest(items, size)
 
 
+def test_fillings_are_all_undominated_ones():
+    rng = random.Random(9)
+    for _ in range(60):
+        size = rng.randrange(8, 30)
+        items = [rng.randrange(1, size // 2 + 1) for _ in range(rng.randrange(1, 8))]
+        largest, rest = max(items), sorted(items)[:-1]
+        counts = np.bincount(rest, minlength=size + 1)
+        every = {tuple(sorted((v for k, v in enumerate(rest) if m >> k & 1), reverse=True)) for m in range(1 << len(rest))}
+        every = {f for f in every if sum(f) <= size - largest}
+        got = list(packing.fillings(counts, largest, size))
+        assert len(got) == len(every) and {f for _, f in got if f is not None} <= every
+        assert all(w == size - largest - sum(f) for w, f in got if f is not None) and got[0][1] is not None
+        assert [w for w, _ in got] == sorted(w for w, _ in got)
+
+
+def test_short_pieces_fill_sequences_of_five_and_more():
+    rng = np.random.default_rng(3)
+    for low, high, over in ((200, 255, 1.096), (150, 250, 1.025), (100, 255, 1.005), (60, 200, 1.001)):
+        counts = np.bincount(rng.integers(low, high + 1, 200_000), minlength=1025)
+        used = sum(n for _, n in packing.pack_counts(counts))
+        assert used <= over * packing.lower_bound(counts, 1024)
+        assert used < sum(n for _, n in packing.best_fit_decreasing(counts, 1024))
+
+
 def test_ids_equal_the_tokenizers_library():
     plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     plain.encode_special_tokens = True
