@@ -11,8 +11,10 @@ separates the classes.
 Learning uses at most ``TOXIC_SAMPLE`` + ``ORDINARY_SAMPLE`` labelled rows, the
 first by a hash of their id; equal texts count once. Toxic training text is
 those words of the toxic sample that are over-represented there (a
-two-proportion test), ordinary text the other words; words are counted in Spark
-and at most ``VOCABULARY`` of each kind reach the driver. A quarter of the
+two-proportion test at one level of significance for every size of sample),
+ordinary text the other words; words are counted in Spark and at most
+``VOCABULARY`` of each kind reach the driver. The toxic dictionary is as long as
+it takes to hold every toxic word, the ordinary one as long as the toxic one. A quarter of the
 sample, apart from the words, fits the calibration; only its window shares reach
 the driver. All documents are scored whole, without a shuffle.
 
@@ -44,8 +46,8 @@ FOLDS = 5                   # rows whose CRC leaves 0 are held out
 WINDOW, OVERLAP = 128, 12   # bytes
 TOXIC_BYTES, BASE_BYTES = 1024, 16384
 LEVEL = 12
-# Least z-score, in absolute terms and for each root of a toxic row, and ratio.
-LEAST_Z, LEAST_EFFECT, LEAST_RATIO = 4.0, 0.25, 4.0
+# Least z-score and ratio of a toxic word.
+LEAST_Z, LEAST_RATIO = 4.0, 4.0
 LEAST, MOST = -6, 12        # differences beyond are counted at the ends
 SEED = 7
 
@@ -132,6 +134,13 @@ def train_dictionary(words: list[tuple[str, int]], size: int, seed: int = SEED)
         return b"".join(samples)[-size:]
 
 
+def with_all(words: list[str], dictionary: bytes) -> bytes:
+    """``dictionary`` behind those of the words that it does not hold."""
+    text = dictionary.decode("utf-8", "ignore")
+    missed = [w for w in words if f" {w} " not in text]
+    return (" " + " ".join(missed) + " ").encode() + dictionary if missed else dictionary
+
+
 def dictionaries(sample: DataFrame) -> tuple[bytes, bytes] | None:
     learn = sample.filter(~F.col("fit"))
     n_ordinary, n_toxic = (learn.filter(F.col("toxic") == k).count() for k in (0, 1))
@@ -141,14 +150,14 @@ def dictionaries(sample: DataFrame) -> tuple[bytes, bytes] | None:
     a, b = F.col("n_toxic") / n_toxic, F.col("n_ordinary") / n_ordinary
     p = (F.col("n_toxic") + F.col("n_ordinary")) / (n_toxic + n_ordinary)
     z = (a - b) / F.sqrt(p * (1 - p) * (1 / n_toxic + 1 / n_ordinary) + 1e-12)
-    least = max(LEAST_Z, LEAST_EFFECT * math.sqrt(n_toxic))
-    counts = counts.withColumn("z", z).withColumn("over", (F.col("z") > least) & (a > LEAST_RATIO * b))
+    counts = counts.withColumn("z", z).withColumn("over", (F.col("z") > LEAST_Z) & (a > LEAST_RATIO * b))
     over = counts.filter("over").orderBy(F.desc("z"), "word").limit(VOCABULARY).collect()
     rest = counts.filter(~F.col("over")).orderBy(F.desc("n_ordinary"), "word").limit(VOCABULARY).collect()
     plain = [(r["word"], r["n_ordinary"]) for r in rest if r["n_ordinary"]]
     base = train_dictionary(plain, BASE_BYTES, SEED + 1)
-    return (train_dictionary(plain, TOXIC_BYTES) + base,
-            train_dictionary([(r["word"], r["n_toxic"]) for r in over], TOXIC_BYTES) + base)
+    toxic = with_all([r["word"] for r in over],
+                     train_dictionary([(r["word"], r["n_toxic"]) for r in over], TOXIC_BYTES))
+    return train_dictionary(plain, max(TOXIC_BYTES, len(toxic))) + base, toxic + base
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[np.ndarray, float]:

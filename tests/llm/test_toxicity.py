@@ -33,6 +33,17 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
 
 
+def test_a_large_sample_keeps_the_toxic_words_of_few_texts(spark):
+    rng = random.Random(8)
+    rare = [f"boco{c}{d}" for c in "abcdefgh" for d in "abcdefghijklmnop"]
+    texts = [(words(rng, 20, 300) + " " + rng.choice(BAD), 1, False) for _ in range(2250)]
+    texts = [(t + " " + rare[i // 10 % len(rare)] if i < 1280 else t, 1, False) for i, (t, _, _) in enumerate(texts)]
+    texts += [(words(rng, 20, 300), 0, False) for _ in range(6750)]
+    ordinary, toxic = toxicity.dictionaries(spark.createDataFrame(texts, "text string, toxic int, fit boolean"))
+    assert all(f" {w} ".encode() in toxic for w in [*BAD, *rare])
+    assert not any(w.encode() in ordinary for w in [*BAD, *rare])
+
+
 def test_held_out_labels_teach_nothing(spark):
     docs, labels = corpus(spark, 300)
     from pyspark.sql import functions as F
