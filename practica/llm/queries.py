@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from practica.llm import ann_tree, jaccard_join, lm_scoring, mixing, packing, quality_llr, secret_ledger, sharding, toxicity, url_filter
+from practica.llm import ann_tree, jaccard_join, lm_scoring, mixing, packing, piece_table, quality_llr, secret_ledger, sharding, toxicity, url_filter
 from practica.llm.common import read_table
 from practica.session import shared_dir
 
@@ -67,6 +67,10 @@ def op10_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_tree.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_piece_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_table.encode_documents(read_table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
