@@ -7,16 +7,17 @@ piece crosses from one chunk into the next and each distinct chunk needs to be
 segmented once, wherever it stands. (Line feeds divide chunks too if no piece
 holds one.) ``Chunks`` refuses a model for which that can't be shown.
 
-The distinct chunks of all documents are counted, each is encoded and decoded
-once by the library, and the results are joined back by position: chunks of the
-most frequent ``HEAD_BYTES`` of the table are known to every task; of a document
-that holds others, those are joined with the rest of the table by shuffle as
-(document, position, chunk), and meet their document by its key. Documents
-without such chunks don't move. Documents and the answers of a key are read as
-they come; a key is one document (and rows that equal it in text and id).
+The distinct chunks of all documents are counted. The table of the most frequent
+ones, as many as fit in ``HEAD_BYTES``, is segmented by the library once and goes
+to every task, which joins its ids to the texts by position; texts don't move. A
+chunk beyond it is rarer than all in the table (most stand once in all texts)
+and is segmented where it stands, once for each ``HELD`` of them in a task:
+sending such chunks to the rest of the table and their ids back to the documents
+by position needs several times the input in shuffles.
 
 Result: one row per document with ``n_tokens``, and SHA-256 of the decimal ids
-joined by commas and of the decoded text. ``encode_documents`` gives the ids.
+joined by commas and of the decoded text (``digest_documents``), or the ids and
+the text themselves (``encode_documents``).
 
 Defined results: a null text is the empty text, which has no ids and decodes to
 itself. Long texts and long chunks are encoded whole. Repeated rows are encoded
@@ -32,17 +33,17 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from practica.llm.common import SLICE_ROWS, map_sorted_groups, release_memory, texts_of
+from practica.llm.common import SLICE_ROWS, map_batches, release_memory, texts_of
 from practica.llm.tokens import vocabulary_path, worker_cache
 from practica.session import materialize
 
 MODEL = "piece_bpe_32k.model"
 MARKER = "▁"
-HEAD_BYTES = 8_000_000      # of chunks and ids as text; about 15 times that in a task
-HELD = 200_000              # distinct chunks that a counting task holds at a time
+HEAD_BYTES = 3_000_000      # of chunks; with ids, as objects, about 30 times that in a task
+HELD = 60_000               # distinct chunks that a task holds at a time, beside the table
 
 
 class Chunks:
@@ -98,11 +99,12 @@ def count_chunks(texts: DataFrame, path: str) -> DataFrame:
             return pa.RecordBatch.from_pydict({"chunk": pa.array(list(seen), pa.string()),
                                                "n": pa.array(list(seen.values()), pa.int64())})
         for batch in batches:
-            for text in texts_of(batch):
-                seen.update(chunks_of(path).of(text))
-                if len(seen) >= HELD:
-                    yield out()
-                    seen.clear()
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                for text in texts_of(batch.slice(at, SLICE_ROWS)):
+                    seen.update(chunks_of(path).of(text))
+                    if len(seen) >= HELD:
+                        yield out()
+                        seen.clear()
             del batch
         yield out()
         release_memory()
@@ -110,32 +112,32 @@ def count_chunks(texts: DataFrame, path: str) -> DataFrame:
     return texts.select("text").mapInArrow(run, "chunk string, n long").groupBy("chunk").agg(F.sum("n").alias("n"))
 
 
-def segment_chunks(counts: DataFrame, path: str) -> DataFrame:
-    """(chunk, n, ids, decoded): ids as decimal numbers joined by commas;
+def segment_chunks(chunks: DataFrame, path: str) -> DataFrame:
+    """(chunk, ids, decoded): ids as decimal numbers joined by commas;
     ``decoded`` null where it is the chunk."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made, ids, decoded = chunks_of(path), [], []
-            for chunk in batch.column("chunk").to_pylist():
-                found = made.ids(chunk)
-                text = made.text(found, chunk)
-                ids.append(",".join(map(str, found)))
-                decoded.append(None if text == chunk else text)
-            yield pa.RecordBatch.from_pydict({"chunk": batch.column("chunk"), "n": batch.column("n"),
-                                              "ids": pa.array(ids, pa.string()),
-                                              "decoded": pa.array(decoded, pa.string())})
-    return counts.mapInArrow(run, "chunk string, n long, ids string, decoded string")
-
-
-def head_least(table: DataFrame, limit: int = HEAD_BYTES) -> int:
+            found = [segmented(chunks_of(path), c) for c in batch.column("chunk").to_pylist()]
+            yield pa.RecordBatch.from_pydict({"chunk": batch.column("chunk"),
+                                              "ids": pa.array([f[0] for f in found], pa.string()),
+                                              "decoded": pa.array([f[1] for f in found], pa.string())})
+    return chunks.select("chunk").mapInArrow(run, "chunk string, ids string, decoded string")
+
+
+def segmented(model: Chunks, chunk: str) -> tuple[str, str | None]:
+    ids = model.ids(chunk)
+    text = model.text(ids, chunk)
+    return ",".join(map(str, ids)), None if text == chunk else text
+
+
+def head_least(counts: DataFrame, limit: int = HEAD_BYTES) -> int:
     """The least count such that the chunks which reach it fit in ``limit``
     bytes. Counts go by powers of two and their quarters: few rows."""
     power = F.floor(F.log2("n"))
     step = F.floor(F.col("n") / F.pow(F.lit(2.0), power - 2)) * F.pow(F.lit(2.0), power - 2)
-    size = F.octet_length("chunk") + F.octet_length("ids") + F.coalesce(F.octet_length("decoded"), F.lit(0))
     held, least = 0, 1 << 62
-    for r in sorted(table.groupBy(F.ceil(step).cast("long").alias("n")).agg(F.sum(size).alias("size")).collect(),
-                    key=lambda r: -r["n"]):
+    for r in sorted(counts.groupBy(F.ceil(step).cast("long").alias("n"))
+                    .agg(F.sum(F.octet_length("chunk")).alias("size")).collect(), key=lambda r: -r["n"]):
         held += r["size"]
         if held > limit:
             break
@@ -144,19 +146,36 @@ def head_least(table: DataFrame, limit: int = HEAD_BYTES) -> int:
 
 
 class Known:
-    """The most frequent chunks in a task, from a table sent to it."""
+    """The table in a task."""
 
     def __init__(self, table: pa.Table):
         chunks = table.column("chunk").to_pylist()
         self.ids = dict(zip(chunks, table.column("ids").to_pylist()))
         self.decoded = {c: d for c, d in zip(chunks, table.column("decoded").to_pylist()) if d is not None}
-
-    def digests(self, chunks: list[str], ids: list[str]) -> tuple[int, str, str]:
-        """(number of ids, their hash, hash of the decoded text)."""
-        joined = ",".join(ids)
-        text = "".join([self.decoded.get(c, c) for c in chunks] if self.decoded else chunks)[1:]
-        return (joined.count(",") + 1 if joined else 0, hashlib.sha256(joined.encode()).hexdigest(),
-                hashlib.sha256(text.encode()).hexdigest())
+        self.rare: dict[str, tuple[str, str | None]] = {}
+
+    def segment(self, model: Chunks, chunk: str) -> tuple[str, str | None]:
+        """A chunk that the table doesn't hold."""
+        found = self.rare.get(chunk)
+        if found is None:
+            if len(self.rare) >= HELD:
+                self.rare.clear()
+            found = self.rare[chunk] = segmented(model, chunk)
+        return found
+
+    def of(self, text: str, model: Chunks) -> tuple[str, str]:
+        """(ids, decoded text) of a whole text."""
+        chunks = model.of(text)
+        ids = list(map(self.ids.get, chunks))
+        if self.decoded:
+            chunks = [self.decoded.get(c, c) for c in chunks]
+        if None in ids:
+            for i, known in enumerate(ids):
+                if known is None:
+                    ids[i], other = self.segment(model, chunks[i])
+                    if other is not None:
+                        chunks[i] = other
+        return ",".join(ids), "".join(chunks)[1:]
 
 
 def known_chunks(head) -> Known:
@@ -168,112 +187,42 @@ def known_chunks(head) -> Known:
     return cache["known"]
 
 
-RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+def chunk_table(texts: DataFrame, path: str, head_bytes: int = HEAD_BYTES):
+    """The broadcast (name, table) of the most frequent chunks of ``text``."""
+    counts = materialize(count_chunks(texts, path), "piece_counts")
+    often = counts.filter(F.col("n") >= head_least(counts, head_bytes))
+    return texts.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, segment_chunks(often, path).toArrow()))
 
 
-def _key(id_col: Column, text: Column) -> Column:
-    return F.concat_ws(":", F.xxhash64(text), F.xxhash64(id_col, text), F.length(text))
-
-
-def missing_chunks(rows: DataFrame, head, path: str) -> DataFrame:
-    """(key, pos, chunk) of all chunks that the head doesn't hold."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            known = known_chunks(head).ids
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(at, SLICE_ROWS)
-                key, pos, chunk = [], [], []
-                for k, text in zip(part.column("key").to_pylist(), texts_of(part)):
-                    found = [(i, c) for i, c in enumerate(chunks_of(path).of(text)) if c not in known]
-                    key += [k] * len(found)
-                    pos += [i for i, _ in found]
-                    chunk += [c for _, c in found]
-                yield pa.RecordBatch.from_pydict({"key": pa.array(key, pa.string()), "pos": pa.array(pos, pa.int64()),
-                                                  "chunk": pa.array(chunk, pa.string())})
-            del batch
-            release_memory()
-    return rows.mapInArrow(run, "key string, pos long, chunk string")
-
+def encode_documents(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text",
+                     head_bytes: int = HEAD_BYTES) -> DataFrame:
+    """doc_id, ids (array) and decoded text of every row."""
+    path = path or vocabulary_path(MODEL)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    head = chunk_table(rows, path, head_bytes)
 
-def settled(rows: DataFrame, head, path: str) -> DataFrame:
-    """Results of the documents that the head covers; of all others the text,
-    compressed, in ``packed``."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-        pack = zstandard.ZstdCompressor(level=3).compress
-        for batch in batches:
-            known = known_chunks(head)
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(at, SLICE_ROWS)
-                out, packed = [], []
-                for text in texts_of(part):
-                    chunks = chunks_of(path).of(text)
-                    ids = list(map(known.ids.get, chunks))
-                    whole = None not in ids
-                    out.append(known.digests(chunks, ids) if whole else (None, None, None))
-                    packed.append(None if whole else pack(text.encode()))
-                yield pa.RecordBatch.from_pydict({
-                    "key": part.column("key"), "doc_id": part.column("doc_id"),
-                    "n_tokens": pa.array([o[0] for o in out], pa.int64()),
-                    "ids_sha256": pa.array([o[1] for o in out], pa.string()),
-                    "decoded_sha256": pa.array([o[2] for o in out], pa.string()),
-                    "packed": pa.array(packed, pa.binary())})
-            del batch
-            release_memory()
-    return rows.mapInArrow(run, f"key string, {RESULT}, packed binary")
-
-
-def joined_back(found: DataFrame, answers: DataFrame, head, path: str) -> DataFrame:
-    """``found`` with the results of the rows that are packed, from the answers
-    of their key; an answer's position is its chunk's place in the text."""
-    def run(table: pa.Table, starts: list[int]) -> dict:
-        import zstandard
-        known, unpack = known_chunks(head), zstandard.ZstdDecompressor().decompress
-        names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-        columns = [table.column(c) for c in (*names, "packed", "pos", "ids", "decoded")]
-        out: list[tuple] = []
-        for a, b in zip(starts, starts[1:]):
-            ids_at, text_at, waiting, text = {}, {}, [], None
-            for *row, packed, pos, ids, decoded in zip(*(c.slice(a, b - a).to_pylist() for c in columns)):
-                if pos is not None:
-                    ids_at[pos] = ids
-                    if decoded is not None:
-                        text_at[pos] = decoded
-                elif packed is not None:            # equal rows have one key and one text
-                    waiting.append(row[0])
-                    text = packed
-                else:
-                    out.append(tuple(row))
-            if text is None:
-                continue
-            chunks = chunks_of(path).of(unpack(text).decode())
-            ids = [ids_at[i] if x is None else x for i, x in enumerate(map(known.ids.get, chunks))]
-            for i, decoded in text_at.items():
-                chunks[i] = decoded
-            result = known.digests(chunks, ids)
-            out += [(doc_id, *result) for doc_id in waiting]
-        kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
-        return {n: pa.array([o[i] for o in out], kinds[i]) for i, n in enumerate(names)}
-
-    both = found.unionByName(answers, allowMissingColumns=True)
-    return map_sorted_groups(both, ["key"], run, RESULT)
+    def run(batch: pa.RecordBatch) -> dict:
+        found = [known_chunks(head).of(t, chunks_of(path)) for t in texts_of(batch)]
+        return {"doc_id": batch.column("doc_id"),
+                "ids": pa.array([list(map(int, f[0].split(","))) if f[0] else [] for f in found], pa.list_(pa.int32())),
+                "decoded": pa.array([f[1] for f in found], pa.string())}
+    return map_batches(rows, run, "doc_id long, ids array<int>, decoded string")
 
 
-def encode_documents(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text",
+def digest_documents(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text",
                      head_bytes: int = HEAD_BYTES) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row."""
     path = path or vocabulary_path(MODEL)
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    table = materialize(segment_chunks(count_chunks(rows, path), path), "piece_table")
-    least = head_least(table, head_bytes)
-    spark = docs.sparkSession
-    known = table.filter(F.col("n") >= least).select("chunk", "ids", "decoded").toArrow()
-    head = spark.sparkContext.broadcast((uuid.uuid4().hex, known))
-    tail = table.filter(F.col("n") < least)
-    rows = rows.select(_key(F.col("doc_id"), F.col("text")).alias("key"), "doc_id", "text")
-    found = settled(rows, head, path)
-    if tail.isEmpty():
-        return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
-    answers = missing_chunks(rows, head, path).join(tail, "chunk").select("key", "pos", "ids", "decoded")
-    return joined_back(found, answers, head, path)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    head = chunk_table(rows, path, head_bytes)
+
+    def run(batch: pa.RecordBatch) -> dict:
+        n, digests = [], []
+        for text in texts_of(batch):
+            ids, decoded = known_chunks(head).of(text, chunks_of(path))
+            n.append(ids.count(",") + 1 if ids else 0)
+            digests.append([hashlib.sha256(x.encode()).hexdigest() for x in (ids, decoded)])
+        return {"doc_id": batch.column("doc_id"), "n_tokens": pa.array(n, pa.int64()),
+                "ids_sha256": pa.array([d[0] for d in digests], pa.string()),
+                "decoded_sha256": pa.array([d[1] for d in digests], pa.string())}
+    return map_batches(rows, run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

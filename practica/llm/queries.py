@@ -68,7 +68,7 @@ def op10_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_piece_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return piece_table.encode_documents(read_table(spark, sf_dir, "documents"))
+    return piece_table.digest_documents(read_table(spark, sf_dir, "documents"))
 
 
 def op12_phrase_parse(spark: SparkSession, sf_dir: str) -> DataFrame:

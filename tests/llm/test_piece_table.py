@@ -29,7 +29,7 @@ def test_equals_the_library_on_whole_texts(spark, odd_docs, head_bytes):
     texts = ODD + ["".join(rng.choice(alphabet) for _ in range(rng.randrange(60))) for _ in range(200)]
     texts += ["Thtion they tionoues ereh\n " + words(rng, 40, 90) for _ in range(40)] + texts[:20]
     docs = spark.createDataFrame(rows(texts, 1000), SCHEMA).unionByName(odd_docs)
-    got = sorted(map(tuple, piece_table.encode_documents(docs, head_bytes=head_bytes).collect()), key=str)
+    got = sorted(map(tuple, piece_table.digest_documents(docs, head_bytes=head_bytes).collect()), key=str)
     assert got == sorted([(r.doc_id, *whole(r.text)) for r in docs.collect()], key=str)
 
 
@@ -38,15 +38,21 @@ def test_each_distinct_chunk_is_segmented_once(spark):
     docs = spark.createDataFrame(rows(["a b a", "b  a\nb", None] * 30), SCHEMA)
     counts = {r["chunk"]: r["n"] for r in piece_table.count_chunks(docs, path).collect()}
     assert counts == {" a": 60, " b": 60, "  a": 30, "\nb": 30}
-    table = piece_table.segment_chunks(piece_table.count_chunks(docs, path), path).collect()
+    counts = piece_table.count_chunks(docs, path)
+    table = piece_table.segment_chunks(counts, path).collect()
     assert len(table) == 4 and all(r["decoded"] is None for r in table)
-    table = spark.createDataFrame(table, "chunk string, n long, ids string, decoded string")
-    assert piece_table.head_least(table, 1000) <= 30 < piece_table.head_least(table, 15) <= 60
-    assert piece_table.head_least(table, 0) > 60
+    assert piece_table.head_least(counts, 1000) <= 30 < piece_table.head_least(counts, 5) <= 60
+    assert piece_table.head_least(counts, 0) > 60
+
+
+def test_ids_and_texts(spark):
+    docs = spark.createDataFrame(rows(["a b\n c", "", "x▁ y"]), SCHEMA)
+    got = {r.doc_id: (r.ids, r.decoded) for r in piece_table.encode_documents(docs, head_bytes=4).collect()}
+    assert [got[i][1] for i in range(3)] == ["a b\n c", "", "x  y"] and got[1][0] == [] and len(got[0][0]) == 4
 
 
 def test_empty_table(spark, no_docs):
-    assert piece_table.encode_documents(no_docs).count() == 0
+    assert piece_table.digest_documents(no_docs).count() == 0
 
 
 def test_a_model_whose_pieces_cross_markers_is_refused(tmp_path):
