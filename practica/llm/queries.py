@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from practica.llm import ann_tree, jaccard_join, lm_scoring, mixing, packing, phrases, piece_table, quality_llr, secret_ledger, sharding, toxicity, url_filter
+from practica.llm import ann_tree, conversations, jaccard_join, lm_scoring, mixing, packing, phrases, piece_table, quality_llr, secret_ledger, sharding, toxicity, url_filter
 from practica.llm.common import read_table
 from practica.session import shared_dir
 
@@ -75,6 +75,10 @@ def op12_phrase_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(read_table(spark, sf_dir, "documents"))
 
 
+def op13_audit_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_conversations(read_table(spark, sf_dir, "conversations"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
