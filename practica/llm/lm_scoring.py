@@ -11,12 +11,18 @@ document's score is the mean over its tokens of target loss minus background
 loss in nats: below 0 it is closer to the target.
 
 Counts cover all documents; the vocabulary and the bigram table grow with them.
-Words are 64-bit hashes, so no list of words is held anywhere, and a bigram is
-counted by its two hashes. Its context's and its word's sums come from a
-broadcast of the at most ``FEW`` most frequent words, for rarer words by shuffle.
-At most ``HEAD`` of the most frequent bigrams go to every task; the tokens of
-rarer bigrams, if there are any, are summed by (document, bigram) and joined
-with the rest of the table by shuffle, on a 64-bit hash of the two. A document's
+Words are 64-bit hashes, so no list of words is held anywhere; bigrams, contexts
+and words are counted under one 61-bit hash each, with their kind. Tasks count
+``BLOCK`` tokens at a time and send the sorted keys and counts of each range of
+keys (bucket) as packed arrays, which a bucket's task merges. What stands once in
+all documents is not kept: a key found nowhere has the count 1, in the target if
+its document is trusted.
+
+At most ``HEAD`` of the most frequent keys go to every task, with ``MARK_BITS``
+bits that mark the others of two or more. Tokens whose keys are in the head or
+not marked are scored at once. For the others, a block of documents asks the
+buckets for its distinct marked keys and scores them when the counts are back;
+only keys, counts and the state of those tokens move, never texts. A document's
 first word follows a fixed start context.
 
 Defined results: a null or empty text has no tokens and score 0. Without target
@@ -26,21 +32,29 @@ id is scored and never trusted. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from practica.llm.common import map_batches, small_side, texts_of
-from practica.llm.hashing import word_hasher
+from practica.llm.common import SLICE_ROWS, map_batches, release_memory, small_side, texts_of
+from practica.llm.hashing import mix, word_hasher
+from practica.llm.tokens import worker_cache
 from practica.session import materialize
 
-HEAD = 1_000_000
-FEW = 200_000
+HEAD = 4_000_000            # keys, 16 bytes each in a task
+MARK_BITS = 27              # 16 MB in a task
+BLOCK = 1_000_000           # tokens
+BUCKET_BYTES = 4 << 20      # of text for each bucket of keys
+STEPS = 4                   # classes of counts for each power of two
 PRIOR = 4.0
 UNKNOWN, START = 0, 1       # in the place of a word's hash
 FIRST = 2
 TURN = 23                   # bits
+PAIR, WORD, CONTEXT = range(3)
 
 
 def with_trust(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -58,18 +72,53 @@ def pair_key(v: np.ndarray, w: np.ndarray) -> np.ndarray:
     return v ^ ((w << np.uint64(TURN)) | (w >> np.uint64(64 - TURN))).view(np.int64)
 
 
-def _pair_key() -> Column:
-    return F.col("v").bitwiseXOR(F.shiftleft("w", TURN).bitwiseOR(F.shiftrightunsigned("w", 64 - TURN)))
+def keys_of(v: np.ndarray, w: np.ndarray) -> list[np.ndarray]:
+    """Keys of each token's bigram, word and context; the lowest bit is free."""
+    found = (pair_key(v, w).view(np.uint64), mix(w.view(np.uint64)), mix(v.view(np.uint64)))
+    return [(h & ~np.uint64(7)) | np.uint64(kind << 1) for kind, h in enumerate(found)]
+
+
+def kind_of(keys: np.ndarray) -> np.ndarray:
+    return (keys >> np.uint64(1)) & np.uint64(3)
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Whole numbers as planes of bytes, most significant first: sorted keys and
+    small counts then compress well."""
+    values = np.asarray(values, np.uint64)
+    width = max(1, -(-int(values.max()).bit_length() // 8)) if len(values) else 1
+    planes = values.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - width:]
+    return bytes([width]) + np.ascontiguousarray(planes.T).tobytes()
+
+
+def unpack(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(data[0], -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, 8 - data[0]:] = planes.T
+    return out.view(">u8").ravel().astype(np.uint64)
 
 
-def _tally(keys: np.ndarray, trusted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of distinct keys: a place of each, their number, and how many of it are trusted."""
-    order = np.argsort(keys, kind="stable")
-    keys, trusted = keys[order], trusted[order]
-    first = np.nonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))[0] if len(keys) else np.zeros(0, int)
-    n = np.diff(np.append(first, len(keys)))
-    t = np.add.reduceat(trusted, first) if len(first) else np.zeros(0)
-    return order[first], n.astype(np.int64), t.astype(np.int64)
+def merged(keys: np.ndarray, n: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys in order and their sums."""
+    if not len(keys):
+        return keys, n, t
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.nonzero(np.append(True, keys[1:] != keys[:-1]))[0]
+    return keys[first], np.add.reduceat(n[order], first), np.add.reduceat(t[order], first)
+
+
+def bucket_bits(rows: DataFrame, text_col: str = "text") -> int:
+    """Buckets as a power of two, for about ``BUCKET_BYTES`` of text each."""
+    size = rows.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    return max(4, (-(-size // BUCKET_BYTES)).bit_length())
+
+
+def cut_by_bucket(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, edges) of sorted keys."""
+    bucket = (keys >> np.uint64(64 - bits)).astype(np.int64)
+    first = np.nonzero(np.append(True, bucket[1:] != bucket[:-1]))[0] if len(keys) else np.zeros(0, np.int64)
+    return bucket[first], np.append(first, len(keys))
 
 
 class Vocabulary:
@@ -102,69 +151,276 @@ class Vocabulary:
         return context, word, row
 
 
-def count_bigrams(rows: DataFrame, words: Vocabulary) -> DataFrame:
-    """(v, w, n, t): occurrences of each bigram in all and in trusted rows."""
-    def run(batch: pa.RecordBatch) -> dict:
-        trusted = batch.column("trusted").to_numpy().astype(np.int64)
-        parts: list[tuple] = []
-        for first, hashes, counts in word_hasher().groups(texts_of(batch)):
-            v, w, row = words.bigrams(hashes, counts)
-            parts.append((v, w, trusted[first + row]))
-        v, w, marks = (np.concatenate(c) for c in zip(*parts))
-        at, n, t = _tally(pair_key(v, w), marks)
-        return {"v": pa.array(v[at]), "w": pa.array(w[at]), "n": pa.array(n), "t": pa.array(t)}
-
-    parts = map_batches(rows.select("text", "trusted"), run, "v long, w long, n long, t long")
-    return parts.groupBy("v", "w").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+def count_keys(rows: DataFrame, words: Vocabulary, bits: int) -> DataFrame:
+    """(bucket, keys, n, t), packed: one row for each block of tokens and bucket."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def out() -> pa.RecordBatch:
+            raw = np.sort(np.concatenate(held)) if held else np.zeros(0, np.uint64)
+            held.clear()
+            keys = raw & ~np.uint64(1)
+            first = np.nonzero(np.append(True, keys[1:] != keys[:-1]))[0] if len(keys) else np.zeros(0, np.int64)
+            n = np.diff(np.append(first, len(keys)))
+            t = np.add.reduceat(raw & np.uint64(1), first) if len(first) else np.zeros(0)
+            keys = keys[first]
+            bucket, edge = cut_by_bucket(keys, bits)
+            parts = list(zip(edge[:-1], edge[1:]))
+            return pa.RecordBatch.from_pydict({
+                "bucket": pa.array(bucket), **{name: pa.array([pack(x[a:b]) for a, b in parts], pa.binary())
+                                               for name, x in (("keys", keys), ("n", n), ("t", t))}})
+        tokens = 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(at, SLICE_ROWS)
+                trusted = part.column("trusted").to_numpy().astype(np.uint64)
+                for first, hashes, counts in word_hasher().groups(texts_of(part)):
+                    v, w, row = words.bigrams(hashes, counts)
+                    held += [k | trusted[first + row] for k in keys_of(v, w)]
+                    tokens += len(row)
+                    if tokens >= BLOCK:
+                        yield out()
+                        tokens = 0
+            del batch
+            release_memory()
+        yield out()
+        release_memory()
+    return rows.select("text", "trusted").mapInArrow(run, "bucket long, keys binary, n binary, t binary")
+
+
+def classes(n: np.ndarray) -> np.ndarray:
+    """Class of each count: ``STEPS`` for each power of two."""
+    power = np.floor(np.log2(np.maximum(n, 1).astype(np.float64))).astype(np.int64)
+    return power * STEPS + (n.astype(np.float64) / 2.0 ** power * STEPS).astype(np.int64) - STEPS
+
+
+def key_table(counts: DataFrame) -> DataFrame:
+    """(bucket, keys, n, t, words, total_n, total_t, histogram): what stands twice
+    or more; distinct words and tokens of the bucket, keys in each class."""
+    def merge(rows: pa.Table) -> pa.Table:
+        parts = [np.concatenate([unpack(x) for x in rows.column(c).to_pylist()]) for c in ("keys", "n", "t")]
+        keys, n, t = merged(*parts)
+        word = kind_of(keys) == WORD
+        more = n > 1
+        return pa.table({
+            "bucket": rows.column("bucket").slice(0, 1), "keys": pa.array([pack(keys[more])]),
+            "n": pa.array([pack(n[more])]), "t": pa.array([pack(t[more])]),
+            "words": pa.array([int(word.sum())]), "total_n": pa.array([int(n[word].sum())]),
+            "total_t": pa.array([int(t[word].sum())]),
+            "histogram": pa.array([np.bincount(classes(n[more])).tolist()], pa.list_(pa.int64()))})
+    return counts.groupBy("bucket").applyInArrow(
+        merge, "bucket long, keys binary, n binary, t binary, words long, total_n long, total_t long, histogram array<long>")
 
 
 def shared_vocabulary(rows: DataFrame, limit: int | None = None) -> Vocabulary:
     """All words, or with a limit that many of the most frequent ones."""
     if limit is None:
         return Vocabulary()
-    words = count_bigrams(rows, Vocabulary()).groupBy("w").agg(F.sum("n").alias("n"))
+    def run(batch: pa.RecordBatch) -> dict:
+        found = [h.view(np.int64) for _, h, _ in word_hasher().groups(texts_of(batch))]
+        w, n = np.unique(np.concatenate(found), return_counts=True)
+        return {"w": pa.array(w), "n": pa.array(n)}
+
+    words = map_batches(rows.select("text"), run, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
     return Vocabulary([r["w"] for r in words.orderBy(F.desc("n"), "w").limit(limit).collect()])
 
 
-def least_count(table: DataFrame, limit: int, n: str = "n") -> int:
-    """The least count such that at most ``limit`` rows of the table reach it.
-    Counts go by steps of a sixteenth of their power of two."""
-    step = F.when(F.col(n) < 32, F.col(n)).otherwise(
-        F.floor(F.col(n) / F.pow(F.lit(2), F.floor(F.log2(n)) - 4)) * F.pow(F.lit(2), F.floor(F.log2(n)) - 4))
-    rows, least = 0, None
-    for r in sorted(table.groupBy(step.cast("long").alias("n")).agg(F.count("*").alias("rows")).collect(),
-                    key=lambda r: -r["n"]):
-        rows += r["rows"]
+def least_class(table: DataFrame, limit: int) -> int:
+    """The least class such that at most ``limit`` keys are in it and above."""
+    found = (table.select(F.posexplode("histogram").alias("class", "keys")).groupBy("class")
+             .agg(F.sum("keys").alias("keys")).collect())
+    rows, least = 0, 1 << 20
+    for r in sorted(found, key=lambda r: -r["class"]):
+        rows += r["keys"]
         if rows > limit:
             break
-        least = r["n"]
-    return (1 << 62) if least is None else least
-
-
-def _with_sums(table: DataFrame, sums: DataFrame, key: str, n: str) -> DataFrame:
-    """``table`` with the sums of its ``key``: frequent ones by broadcast."""
-    least = least_count(sums, FEW, n)
-    often, rare = F.broadcast(sums.filter(F.col(n) >= least)), sums.filter(F.col(n) < least)
-    if rare.isEmpty():
-        return table.join(often, key)
-    return table.join(often, key).unionByName(table.join(often.select(key), key, "left_anti").join(rare, key))
+        least = r["class"]
+    return least
+
+
+class Head:
+    """The most frequent keys, and marks of the others that stand more than once."""
+
+    def __init__(self, keys: np.ndarray, n: np.ndarray, t: np.ndarray, marks: np.ndarray, sums: tuple[int, int, int]):
+        self.keys, self.n, self.t, self.marks, self.sums = keys, n, t, marks, sums
+        # Keys are spread evenly: a cell for each first few bits finds them in a step or two.
+        self.shift = np.uint64(64 - max(1, len(keys).bit_length()))
+        cells = np.arange((1 << (64 - int(self.shift))) + 1, dtype=np.uint64)
+        self.start = np.append(np.searchsorted(keys, cells[:-1] << self.shift), len(keys)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Place of each key, -1 where it isn't in the head."""
+        cell = (keys >> self.shift).astype(np.int64)
+        at, stop = self.start[cell], self.start[cell + 1]
+        out = np.full(len(keys), -1)
+        left = np.nonzero(at < stop)[0]
+        while len(left):
+            here = at[left]
+            hit = self.keys[here] == keys[left]
+            out[left[hit]] = here[hit]
+            left = left[~hit]
+            at[left] += 1
+            left = left[at[left] < stop[left]]
+        return out
+
+    def marked(self, keys: np.ndarray) -> np.ndarray:
+        bit = keys >> np.uint64(64 - MARK_BITS)
+        return self.marks[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8) & 1 == 1
+
+    def losses(self, n: list[np.ndarray], t: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(target, background) of tokens from the counts of their three keys."""
+        size, total_n, total_t = self.sums
+        out = []
+        for (pair, word, context), total in ((t, total_t), (n, total_n)):
+            p = (word + 1.0) / (total + size)
+            out.append(-np.log((pair + PRIOR * p) / (context + PRIOR)))
+        return out[0], out[1]
+
+
+def broadcast_head(table: DataFrame, head_size: int, vocabulary: int | None):
+    """Broadcast (name, parts of ``Head``) from the stored table."""
+    least = least_class(table, head_size)
 
-
-def difference_table(bigrams: DataFrame, size: int | None) -> DataFrame:
-    """(key, n, loss_t, loss_b) of every bigram, from its counts and the sums
-    of its context and its word; those are one row for each word."""
-    words = materialize(bigrams.groupBy("w").agg(F.sum("n").alias("w_n"), F.sum("t").alias("w_t")), "lm_words")
-    contexts = materialize(bigrams.groupBy("v").agg(F.sum("n").alias("v_n"), F.sum("t").alias("v_t")), "lm_contexts")
-    total = words.agg(F.coalesce(F.sum("w_n"), F.lit(0)).alias("n"), F.coalesce(F.sum("w_t"), F.lit(0)).alias("t"),
-                      F.count("*").alias("size")).first()
-    size = total["size"] + FIRST if size is None else size
-
-    def loss(c: str, n_all: int):
-        p = (F.col(f"w_{c}") + 1) / F.lit(float(n_all + size))
-        return -F.log((F.col(c) + PRIOR * p) / (F.col(f"v_{c}") + PRIOR))
-    return (_with_sums(_with_sums(bigrams, words, "w", "w_n"), contexts, "v", "v_n")
-            .select(_pair_key().alias("key"), "n", loss("t", total["t"]).alias("loss_t"),
-                    loss("n", total["n"]).alias("loss_b")))
+    def run(batch: pa.RecordBatch) -> dict:
+        out: dict[str, list] = {"keys": [], "n": [], "t": [], "byte": [], "marks": []}
+        for columns in zip(*(batch.column(c).to_pylist() for c in ("keys", "n", "t"))):
+            keys, n, t = map(unpack, columns)
+            often = classes(n) >= least
+            for name, x in (("keys", keys), ("n", n), ("t", t)):
+                out[name].append(pack(x[often]))
+            bit = (keys[~often] >> np.uint64(64 - MARK_BITS)).astype(np.int64)
+            begin = int(bit[0] >> 3) if len(bit) else 0
+            marks = np.zeros((int(bit[-1] >> 3) - begin + 1) * 8 if len(bit) else 0, np.uint8)
+            marks[bit - begin * 8] = 1
+            out["byte"].append(begin)
+            out["marks"].append(np.packbits(marks, bitorder="little").tobytes())
+        return {k: pa.array(v, pa.int64() if k == "byte" else pa.binary()) for k, v in out.items()}
+
+    rows = map_batches(table.select("keys", "n", "t"), run, "keys binary, n binary, t binary, byte long, marks binary").toArrow()
+    parts = [np.concatenate([np.zeros(0, np.uint64), *map(unpack, rows.column(c).to_pylist())]) for c in ("keys", "n", "t")]
+    order = np.argsort(parts[0])
+    keys, n, t = (p[order] for p in parts)
+    marks = np.zeros(1 << MARK_BITS - 3, np.uint8)
+    for begin, some in zip(rows.column("byte").to_pylist(), rows.column("marks").to_pylist()):
+        marks[begin:begin + len(some)] |= np.frombuffer(some, np.uint8)
+    narrow = np.uint32 if not len(n) or n.max() < 1 << 32 else np.uint64
+    total = table.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("words", "total_n", "total_t")]).first()
+    sums = (total[0] + FIRST if vocabulary is None else vocabulary, total[1], total[2])
+    whole = not marks.any()
+    value = (uuid.uuid4().hex, (keys, n.astype(narrow), t.astype(narrow), marks, sums))
+    return table.sparkSession.sparkContext.broadcast(value), whole, total[2]
+
+
+def head_of(sent) -> Head:
+    """The process's form of a broadcast."""
+    cache = worker_cache().__dict__
+    name, parts = sent.value
+    if cache.get("lm_head_for") != name:
+        cache["lm_head"], cache["lm_head_for"] = Head(*parts), name
+    return cache["lm_head"]
+
+
+BLOCKS = ("block string, doc_id array<long>, n_tokens array<long>, trusted array<long>, loss_t array<double>, "
+          "loss_b array<double>, state array<binary>, buckets array<long>, keys array<binary>")
+
+
+def score_blocks(rows: DataFrame, words: Vocabulary, sent, bits: int) -> DataFrame:
+    """One row for each block of documents: sums of the tokens that can be scored
+    (``loss_t``, ``loss_b``), the others' counts so far and the keys to ask for.
+    In ``state``, a count of 0 means the key at the place given for t."""
+    def block(part: pa.RecordBatch) -> dict:
+        head = head_of(sent)
+        size = part.num_rows
+        trusted = part.column("trusted").to_numpy().astype(np.int64)
+        tokens, sums = np.zeros(size, np.int64), np.zeros((2, size))
+        rest: list[list[np.ndarray]] = []
+        for first, hashes, counts in word_hasher().groups(texts_of(part)):
+            v, w, row = words.bigrams(hashes, counts)
+            row = row + first
+            tokens[first:first + len(counts)] = counts
+            keys = keys_of(v, w)
+            n, t, ask = [], [], []
+            for k in keys:
+                at = head.find(k)
+                known = at >= 0
+                n.append(np.ones(len(k), np.uint64))
+                t.append(trusted[row].astype(np.uint64))
+                n[-1][known], t[-1][known] = head.n[at[known]], head.t[at[known]]
+                ask.append(~known & head.marked(k))
+            late = ask[0] | ask[1] | ask[2]
+            done = ~late
+            for side, loss in enumerate(head.losses([x[done] for x in n], [x[done] for x in t])):
+                sums[side] += np.bincount(row[done], loss, size)
+            if late.any():
+                rest.append([row[late], *(x[late] for x in (*n, *t, *ask, *keys))])
+        state, buckets, packed = [], np.zeros(0, np.int64), []
+        if rest:
+            row, *columns = (np.concatenate(c) for c in zip(*rest))
+            n, t, ask, keys = (columns[i:i + 3] for i in (0, 3, 6, 9))
+            asked = np.unique(np.concatenate([k[a] for k, a in zip(keys, ask)]))
+            for k, a, x, y in zip(keys, ask, n, t):
+                x[a], y[a] = 0, np.searchsorted(asked, k[a])
+            state = [pack(x) for x in (row, *n, *t)]
+            buckets, edge = cut_by_bucket(asked, bits)
+            packed = [pack(asked[a:b]) for a, b in zip(edge[:-1], edge[1:])]
+        return {"block": uuid.uuid4().hex, "doc_id": part.column("doc_id").to_pylist(), "n_tokens": tokens.tolist(),
+                "trusted": trusted.tolist(), "loss_t": sums[0].tolist(), "loss_b": sums[1].tolist(), "state": state,
+                "buckets": buckets.tolist(), "keys": packed}
+
+    kinds = pa.schema([("block", pa.string()), ("doc_id", pa.list_(pa.int64())), ("n_tokens", pa.list_(pa.int64())),
+                       ("trusted", pa.list_(pa.int64())), ("loss_t", pa.list_(pa.float64())), ("loss_b", pa.list_(pa.float64())),
+                       ("state", pa.list_(pa.binary())), ("buckets", pa.list_(pa.int64())), ("keys", pa.list_(pa.binary()))])
+    return map_batches(rows, lambda part: pa.RecordBatch.from_pylist([block(part)], kinds), BLOCKS)
+
+
+def answers(blocks: DataFrame, table: DataFrame) -> DataFrame:
+    """(block, bucket, n, t) for all keys that blocks ask for; 0 for those not kept."""
+    asked = (blocks.select("block", F.explode(F.arrays_zip("buckets", "keys")).alias("x"))
+             .select("block", F.col("x.buckets").alias("bucket"), F.col("x.keys").alias("keys")))
+
+    def answer(kept: pa.Table, asks: pa.Table) -> pa.Table:
+        keys, n, t = (np.concatenate([np.zeros(0, np.uint64), *map(unpack, kept.column(c).to_pylist())])
+                      for c in ("keys", "n", "t"))
+        out = []
+        for wanted in map(unpack, asks.column("keys").to_pylist()):
+            at = np.minimum(np.searchsorted(keys, wanted), max(0, len(keys) - 1))
+            hit = keys[at] == wanted if len(keys) else np.zeros(len(wanted), bool)
+            counts = []
+            for x in (n, t):
+                counts.append(np.zeros(len(wanted), np.uint64))
+                counts[-1][hit] = x[at[hit]]
+            out.append(list(map(pack, counts)))
+        return pa.table({"block": asks.column("block"), "bucket": asks.column("bucket"),
+                         "n": pa.array([o[0] for o in out], pa.binary()), "t": pa.array([o[1] for o in out], pa.binary())})
+
+    return (table.select("bucket", "keys", "n", "t").groupBy("bucket").cogroup(asked.groupBy("bucket"))
+            .applyInArrow(answer, "block string, bucket long, n binary, t binary"))
+
+
+SCORES = "doc_id long, n_tokens long, loss_t double, loss_b double"
+
+
+def finished(blocks: DataFrame, replies: DataFrame, sent) -> DataFrame:
+    """Document sums of the blocks that asked, with their replies."""
+    def finish(block: pa.Table, replied: pa.Table) -> pa.Table:
+        replied = replied.sort_by("bucket")
+        counts = [np.concatenate([np.zeros(0, np.uint64), *map(unpack, replied.column(c).to_pylist())]) for c in ("n", "t")]
+        held = block.to_pylist()[0]
+        row, *parts = map(unpack, held["state"])
+        row = row.astype(np.int64)
+        n, t = parts[:3], parts[3:]
+        own = np.array(held["trusted"], np.uint64)[row]
+        for x, y in zip(n, t):
+            late = x == 0
+            found = counts[0][y[late].astype(np.int64)]
+            share = counts[1][y[late].astype(np.int64)]
+            x[late] = np.maximum(found, np.uint64(1))
+            y[late] = np.where(found == 0, own[late], share)
+        losses = head_of(sent).losses(n, t)
+        sums = [np.array(held[c]) + np.bincount(row, loss, len(held["doc_id"])) for c, loss in zip(("loss_t", "loss_b"), losses)]
+        return pa.table({"doc_id": pa.array(held["doc_id"], pa.int64()), "n_tokens": pa.array(held["n_tokens"], pa.int64()),
+                         "loss_t": pa.array(sums[0]), "loss_b": pa.array(sums[1])})
+    return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(finish, SCORES)
 
 
 def score_documents(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -172,54 +428,19 @@ def score_documents(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id",
     """doc_id, n_tokens, loss_target, loss_background (means a token), score."""
     rows = with_trust(docs, trusted, id_col, text_col)
     words = shared_vocabulary(rows, vocabulary_size)
-    counts = materialize(count_bigrams(rows, words), "lm_bigrams")
-    table = materialize(difference_table(counts, words.size), "lm_losses")
-    least = least_count(table, head_size)
-    head = table.filter(F.col("n") >= least).select("key", "loss_t", "loss_b").toArrow()
-    order = np.argsort(head.column("key").to_numpy())
-    keys = head.column("key").to_numpy()[order]
-    losses = [head.column(c).to_numpy()[order].astype(np.float32) for c in ("loss_t", "loss_b")]
-    tail = table.filter(F.col("n") < least).select("key", "loss_t", "loss_b")
-    whole = tail.isEmpty()
-    known = docs.sparkSession.sparkContext.broadcast((keys, *losses))
-
-    def run(batch: pa.RecordBatch) -> dict:
-        head_keys, loss_t, loss_b = known.value
-        n = batch.num_rows
-        tokens, sums, rest, times = np.zeros(n, np.int64), np.zeros((2, n)), [[]] * n, [[]] * n
-        for first, hashes, counts in word_hasher().groups(texts_of(batch)):
-            v, w, row = words.bigrams(hashes, counts)
-            tokens[first:first + len(counts)] = counts
-            if not len(row):
-                continue
-            found = pair_key(v, w)
-            at = np.minimum(np.searchsorted(head_keys, found), max(0, len(head_keys) - 1))
-            hit = head_keys[at] == found if len(head_keys) else np.zeros(len(found), bool)
-            for side, loss in enumerate((loss_t, loss_b)):
-                sums[side, first:first + len(counts)] = np.bincount(row[hit], loss[at[hit]], len(counts))
-            if not hit.all():
-                missed, edge = found[~hit], np.searchsorted(row[~hit], np.arange(len(counts) + 1))
-                for r in np.nonzero(np.diff(edge))[0]:
-                    rest[first + r], times[first + r] = np.unique(missed[edge[r]:edge[r + 1]], return_counts=True)
-        return {"doc_id": batch.column("doc_id"), "n_tokens": pa.array(tokens), "head_t": pa.array(sums[0]),
-                "head_b": pa.array(sums[1]), "rest": pa.array(rest, pa.list_(pa.int64())),
-                "times": pa.array(times, pa.list_(pa.int64()))}
-
-    scored = map_batches(rows.select("doc_id", "text"), run,
-                         "doc_id long, n_tokens long, head_t double, head_b double, rest array<long>, times array<long>")
-    if whole:
-        summed = scored.withColumns({"rest_t": F.lit(0.0), "rest_b": F.lit(0.0)})
-    else:
-        scored = materialize(scored.withColumn("_row", F.monotonically_increasing_id()), "lm_head")
-        tail = (scored.select("_row", F.explode(F.arrays_zip("rest", "times")).alias("x"))
-                .select("_row", F.col("x.rest").alias("key"), F.col("x.times").alias("c"))
-                .join(tail, "key").groupBy("_row")
-                .agg(F.sum(F.col("c") * F.col("loss_t")).alias("rest_t"),
-                     F.sum(F.col("c") * F.col("loss_b")).alias("rest_b")))
-        summed = scored.join(tail, "_row", "left").na.fill(0.0, ["rest_t", "rest_b"])
+    bits = bucket_bits(rows)
+    table = materialize(key_table(count_keys(rows, words, bits)), "lm_keys")
+    sent, whole, target = broadcast_head(table, head_size, words.size)
+    blocks = score_blocks(rows, words, sent, bits)
+    if not whole:
+        blocks = materialize(blocks, "lm_blocks")
+    parts = F.explode(F.arrays_zip("doc_id", "n_tokens", "loss_t", "loss_b")).alias("x")
+    sums = blocks.filter(F.size("buckets") == 0).select(parts).select("x.*")
+    if not whole:
+        asking = blocks.filter(F.size("buckets") > 0)
+        sums = sums.unionByName(finished(asking.drop("buckets", "keys"), answers(asking, table), sent))
     n = F.greatest(F.col("n_tokens"), F.lit(1))
-    out = summed.select("doc_id", "n_tokens", ((F.col("head_t") + F.col("rest_t")) / n).alias("loss_target"),
-                        ((F.col("head_b") + F.col("rest_b")) / n).alias("loss_background"))
-    any_target = counts.agg(F.coalesce(F.sum("t"), F.lit(0))).first()[0]
-    score = F.col("loss_target") - F.col("loss_background") if any_target else F.lit(0.0)
+    out = sums.select("doc_id", "n_tokens", (F.col("loss_t") / n).alias("loss_target"),
+                      (F.col("loss_b") / n).alias("loss_background"))
+    score = F.col("loss_target") - F.col("loss_background") if target else F.lit(0.0)
     return out.withColumn("score", score)

@@ -49,7 +49,7 @@ def test_a_small_vocabulary_is_the_most_frequent_words(spark, odd_docs):
 
 
 def test_every_word_counts_however_many_there_are(spark, monkeypatch):
-    monkeypatch.setattr(lm, "FEW", 100)
+    monkeypatch.setattr(lm, "BUCKET_BYTES", 5000)
     data = [(i, " ".join(f"w{i}x{k}" for k in range(40)) + f" common w{i // 2}") for i in range(300)]
     docs = spark.createDataFrame(data, "doc_id long, text string")
     target = {i for i in range(300) if i % 3 == 0}
@@ -63,3 +63,23 @@ def test_every_word_counts_however_many_there_are(spark, monkeypatch):
 def test_no_target_and_empty(odd_docs, no_docs):
     assert lm.score_documents(odd_docs, no_docs.select("doc_id")).filter("score <> 0").count() == 0
     assert lm.score_documents(no_docs, no_docs.select("doc_id")).count() == 0
+
+
+def test_what_stands_once_is_implied_and_the_rest_is_asked_for(spark, odd_docs):
+    from pyspark.sql import functions as F
+    rows = lm.with_trust(odd_docs, odd_docs.select("doc_id").limit(20), "doc_id", "text")
+    bits = lm.bucket_bits(rows)
+    table = lm.key_table(lm.count_keys(rows, lm.Vocabulary(), bits))
+    assert all((lm.unpack(r["n"]) > 1).all() for r in table.collect())
+    sent, whole, _ = lm.broadcast_head(table, 10, None)
+    blocks = lm.score_blocks(rows, lm.Vocabulary(), sent, bits)
+    assert not whole and blocks.filter(F.size("buckets") > 0).count()
+    assert "text" not in blocks.columns
+
+
+def test_packed_numbers():
+    import numpy as np
+    for values in ([], [0], [1, 255], [256, 3], [2**64 - 1, 0, 7]):
+        assert lm.unpack(lm.pack(np.array(values, np.uint64))).tolist() == values
+    n = np.array([1, 2, 3, 4, 7, 8, 9, 31, 32, 1000, 2**40], np.uint64)
+    assert (np.diff(lm.classes(n)) >= 0).all() and lm.classes(np.array([1], np.uint64))[0] == 0
