@@ -42,6 +42,8 @@ from pyspark.sql import functions as F
 
 from practica.llm.common import SLICE_ROWS, map_batches, release_memory, small_side, texts_of
 from practica.llm.hashing import mix, word_hasher
+from practica.llm.packed import (bucket_bits, bucket_rows, cut_by_bucket, joined_marks, mark_range, marked, merged, pack,
+                                 unpack, unpacked)
 from practica.llm.tokens import worker_cache
 from practica.session import materialize
 
@@ -82,45 +84,6 @@ def kind_of(keys: np.ndarray) -> np.ndarray:
     return (keys >> np.uint64(1)) & np.uint64(3)
 
 
-def pack(values: np.ndarray) -> bytes:
-    """Whole numbers as planes of bytes, most significant first: sorted keys and
-    small counts then compress well."""
-    values = np.asarray(values, np.uint64)
-    width = max(1, -(-int(values.max()).bit_length() // 8)) if len(values) else 1
-    planes = values.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - width:]
-    return bytes([width]) + np.ascontiguousarray(planes.T).tobytes()
-
-
-def unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8, offset=1).reshape(data[0], -1)
-    out = np.zeros((planes.shape[1], 8), np.uint8)
-    out[:, 8 - data[0]:] = planes.T
-    return out.view(">u8").ravel().astype(np.uint64)
-
-
-def merged(keys: np.ndarray, n: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys in order and their sums."""
-    if not len(keys):
-        return keys, n, t
-    order = np.argsort(keys)
-    keys = keys[order]
-    first = np.nonzero(np.append(True, keys[1:] != keys[:-1]))[0]
-    return keys[first], np.add.reduceat(n[order], first), np.add.reduceat(t[order], first)
-
-
-def bucket_bits(rows: DataFrame, text_col: str = "text") -> int:
-    """Buckets as a power of two, for about ``BUCKET_BYTES`` of text each."""
-    size = rows.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    return max(4, (-(-size // BUCKET_BYTES)).bit_length())
-
-
-def cut_by_bucket(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """(buckets, edges) of sorted keys."""
-    bucket = (keys >> np.uint64(64 - bits)).astype(np.int64)
-    first = np.nonzero(np.append(True, bucket[1:] != bucket[:-1]))[0] if len(keys) else np.zeros(0, np.int64)
-    return bucket[first], np.append(first, len(keys))
-
-
 class Vocabulary:
     """Words as they are counted: their hashes, or ``UNKNOWN`` for those that
     are not in ``hashes`` if a list is given."""
@@ -163,12 +126,7 @@ def count_keys(rows: DataFrame, words: Vocabulary, bits: int) -> DataFrame:
             first = np.nonzero(np.append(True, keys[1:] != keys[:-1]))[0] if len(keys) else np.zeros(0, np.int64)
             n = np.diff(np.append(first, len(keys)))
             t = np.add.reduceat(raw & np.uint64(1), first) if len(first) else np.zeros(0)
-            keys = keys[first]
-            bucket, edge = cut_by_bucket(keys, bits)
-            parts = list(zip(edge[:-1], edge[1:]))
-            return pa.RecordBatch.from_pydict({
-                "bucket": pa.array(bucket), **{name: pa.array([pack(x[a:b]) for a, b in parts], pa.binary())
-                                               for name, x in (("keys", keys), ("n", n), ("t", t))}})
+            return bucket_rows(keys[first], bits, n=n, t=t)
         tokens = 0
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS):
@@ -198,8 +156,7 @@ def key_table(counts: DataFrame) -> DataFrame:
     """(bucket, keys, n, t, words, total_n, total_t, histogram): what stands twice
     or more; distinct words and tokens of the bucket, keys in each class."""
     def merge(rows: pa.Table) -> pa.Table:
-        parts = [np.concatenate([unpack(x) for x in rows.column(c).to_pylist()]) for c in ("keys", "n", "t")]
-        keys, n, t = merged(*parts)
+        keys, n, t = merged(*(unpacked(rows.column(c)) for c in ("keys", "n", "t")))
         word = kind_of(keys) == WORD
         more = n > 1
         return pa.table({
@@ -263,10 +220,6 @@ class Head:
             left = left[at[left] < stop[left]]
         return out
 
-    def marked(self, keys: np.ndarray) -> np.ndarray:
-        bit = keys >> np.uint64(64 - MARK_BITS)
-        return self.marks[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8) & 1 == 1
-
     def losses(self, n: list[np.ndarray], t: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """(target, background) of tokens from the counts of their three keys."""
         size, total_n, total_t = self.sums
@@ -288,21 +241,14 @@ def broadcast_head(table: DataFrame, head_size: int, vocabulary: int | None):
             often = classes(n) >= least
             for name, x in (("keys", keys), ("n", n), ("t", t)):
                 out[name].append(pack(x[often]))
-            bit = (keys[~often] >> np.uint64(64 - MARK_BITS)).astype(np.int64)
-            begin = int(bit[0] >> 3) if len(bit) else 0
-            marks = np.zeros((int(bit[-1] >> 3) - begin + 1) * 8 if len(bit) else 0, np.uint8)
-            marks[bit - begin * 8] = 1
+            begin, marks = mark_range(keys[~often], MARK_BITS)
             out["byte"].append(begin)
-            out["marks"].append(np.packbits(marks, bitorder="little").tobytes())
+            out["marks"].append(marks)
         return {k: pa.array(v, pa.int64() if k == "byte" else pa.binary()) for k, v in out.items()}
 
     rows = map_batches(table.select("keys", "n", "t"), run, "keys binary, n binary, t binary, byte long, marks binary").toArrow()
-    parts = [np.concatenate([np.zeros(0, np.uint64), *map(unpack, rows.column(c).to_pylist())]) for c in ("keys", "n", "t")]
-    order = np.argsort(parts[0])
-    keys, n, t = (p[order] for p in parts)
-    marks = np.zeros(1 << MARK_BITS - 3, np.uint8)
-    for begin, some in zip(rows.column("byte").to_pylist(), rows.column("marks").to_pylist()):
-        marks[begin:begin + len(some)] |= np.frombuffer(some, np.uint8)
+    keys, n, t = merged(*(unpacked(rows.column(c)) for c in ("keys", "n", "t")))
+    marks = joined_marks(list(zip(rows.column("byte").to_pylist(), rows.column("marks").to_pylist())), MARK_BITS)
     narrow = np.uint32 if not len(n) or n.max() < 1 << 32 else np.uint64
     total = table.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("words", "total_n", "total_t")]).first()
     sums = (total[0] + FIRST if vocabulary is None else vocabulary, total[1], total[2])
@@ -346,7 +292,7 @@ def score_blocks(rows: DataFrame, words: Vocabulary, sent, bits: int) -> DataFra
                 n.append(np.ones(len(k), np.uint64))
                 t.append(trusted[row].astype(np.uint64))
                 n[-1][known], t[-1][known] = head.n[at[known]], head.t[at[known]]
-                ask.append(~known & head.marked(k))
+                ask.append(~known & marked(k, head.marks))
             late = ask[0] | ask[1] | ask[2]
             done = ~late
             for side, loss in enumerate(head.losses([x[done] for x in n], [x[done] for x in t])):
@@ -379,8 +325,7 @@ def answers(blocks: DataFrame, table: DataFrame) -> DataFrame:
              .select("block", F.col("x.buckets").alias("bucket"), F.col("x.keys").alias("keys")))
 
     def answer(kept: pa.Table, asks: pa.Table) -> pa.Table:
-        keys, n, t = (np.concatenate([np.zeros(0, np.uint64), *map(unpack, kept.column(c).to_pylist())])
-                      for c in ("keys", "n", "t"))
+        keys, n, t = (unpacked(kept.column(c)) for c in ("keys", "n", "t"))
         out = []
         for wanted in map(unpack, asks.column("keys").to_pylist()):
             at = np.minimum(np.searchsorted(keys, wanted), max(0, len(keys) - 1))
@@ -404,7 +349,7 @@ def finished(blocks: DataFrame, replies: DataFrame, sent) -> DataFrame:
     """Document sums of the blocks that asked, with their replies."""
     def finish(block: pa.Table, replied: pa.Table) -> pa.Table:
         replied = replied.sort_by("bucket")
-        counts = [np.concatenate([np.zeros(0, np.uint64), *map(unpack, replied.column(c).to_pylist())]) for c in ("n", "t")]
+        counts = [unpacked(replied.column(c)) for c in ("n", "t")]
         held = block.to_pylist()[0]
         row, *parts = map(unpack, held["state"])
         row = row.astype(np.int64)
@@ -428,7 +373,7 @@ def score_documents(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id",
     """doc_id, n_tokens, loss_target, loss_background (means a token), score."""
     rows = with_trust(docs, trusted, id_col, text_col)
     words = shared_vocabulary(rows, vocabulary_size)
-    bits = bucket_bits(rows)
+    bits = bucket_bits(rows, "text", BUCKET_BYTES)
     table = materialize(key_table(count_keys(rows, words, bits)), "lm_keys")
     sent, whole, target = broadcast_head(table, head_size, words.size)
     blocks = score_blocks(rows, words, sent, bits)

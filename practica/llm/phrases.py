@@ -9,12 +9,14 @@ frequencies then stands for the corpus: the phrases that begin in a chunk's own
 part are counted in it once, times its frequency, so that every occurrence is
 counted exactly once and a passage that stands a million times is read once.
 
-Counting goes by length. A phrase can only reach ``LEAST`` if its words, and of
-three words both pairs, do; those that do are marked in a fixed number of bits
-which every task gets, and other phrases are left out before the shuffle. The
-bits only save work: a phrase that passes by chance is counted exactly and
-dropped by its count. Scores are whole-number arithmetic on decimals of 38
-digits. The best of each language are ranked within parts of it first.
+Counting goes by length. A phrase can only reach ``LEAST`` if its words do, and of
+three words both pairs; a pair only if its hash does. Words are counted first,
+then hashes of the pairs of words that reach it (packed, by bucket), then pairs
+and triples themselves. What passed before is marked in a fixed number of bits
+which every task gets, and other phrases are left out before the shuffle. Marks
+only save work: a phrase that passes by chance is counted exactly and dropped by
+its count. Scores are whole-number arithmetic on decimals of 38 digits. The best
+of each language are ranked within parts of it first.
 
 Result: for each language its first ``TOP`` phrases, with the counts of the
 phrase, of both sides of its lowest-scoring cut and of all words.
@@ -38,15 +40,18 @@ from pyspark.sql import functions as F
 
 from practica.llm.common import SLICE_ROWS, release_memory, texts_of
 from practica.llm.hashing import mix, word_hasher
+from practica.llm.packed import bucket_bits, bucket_rows, joined_marks, mark_range, marked, merged, unpacked
 from practica.session import materialize
 
 MOST_WORDS = 3
 LEAST = 10
 TOP = 2_000
 PERIOD = 12
-FILTER_BITS = 1 << 26       # 8 MB in every task, whatever the input
-HELD = 250_000              # distinct chunks or phrases that a task holds at a time
-BROADCAST_BYTES = 32 << 20
+MARK_BITS = 26              # 8 MB in every task, whatever the input
+HELD = 250_000              # distinct chunks or words that a task holds at a time
+BLOCK = 500_000             # pairs or triples
+BUCKET_BYTES = 8 << 20      # of chunks for each bucket of pair hashes
+BROADCAST_BYTES = 8 << 20
 SALTS = 64
 # Bytes of a text: A-Z in lower case, ends of pieces as line feeds, tabs as spaces.
 ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -143,20 +148,6 @@ def joined_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix(a * np.uint64(0x9E3779B97F4A7C15) + b)
 
 
-class Marks:
-    """A set of hashes as a fixed number of bits; may hold more, never less."""
-
-    def __init__(self, words: np.ndarray):
-        self.words = words
-
-    def __contains__(self, _):
-        raise TypeError("use holds()")
-
-    def holds(self, h: np.ndarray) -> np.ndarray:
-        bit = h & np.uint64(len(self.words) * 64 - 1)
-        return (self.words[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
-
-
 def salt_of(lang: str) -> int:
     return int.from_bytes(blake2b(lang.encode(), digest_size=8).digest(), "little")
 
@@ -164,16 +155,16 @@ def salt_of(lang: str) -> int:
 class Layout:
     """Words of some chunks and where they stand."""
 
-    def __init__(self, chunks: list[str], langs: list[str]):
-        b, self.start, self.end, behind = _words("\n".join(chunks).encode())
+    def __init__(self, chunks: pa.Array, langs: pa.Array):
+        b, self.start, self.end, behind = _words("\n".join(chunks.to_pylist()).encode())
         closes = behind == 10
         self.chunk = np.cumsum(np.append(0, closes[:-1]))
         tabs = np.cumsum(np.append(0, behind[:-1] == 9))
         first = np.nonzero(np.append(True, closes[:-1]))[0]
         self.own = tabs == tabs[first][self.chunk]
-        names, self.code = np.unique(np.array(langs, object), return_inverse=True)
-        self.langs = names.tolist()
-        salts = np.array([salt_of(x) for x in self.langs], np.uint64)
+        names = langs.dictionary_encode()
+        self.langs, self.code = names.dictionary, names.indices.to_numpy()
+        salts = np.array([salt_of(x) for x in self.langs.to_pylist()], np.uint64)
         self.hash = mix(word_hashes(b, self.start, self.end) ^ salts[self.code[self.chunk]])
         self.bytes = np.where(b == 9, 32, b).astype(np.uint8)
 
@@ -191,52 +182,95 @@ class Layout:
                                      [None, pa.py_buffer(offset.astype(np.int64)), pa.py_buffer(data)])
 
 
-def _pair(layout: Layout, at: np.ndarray) -> np.ndarray:
-    return joined_hash(layout.hash[at], layout.hash[at + 1])
+    def pair(self, at: np.ndarray) -> np.ndarray:
+        return joined_hash(self.hash[at], self.hash[at + 1])
+
+    def table(self, at: np.ndarray, length: int, n: np.ndarray) -> pa.Table:
+        """(lang, phrase, n) of these places, ``n`` for each chunk."""
+        code = pa.array(self.code[self.chunk[at]].astype(np.int32))
+        return pa.table({"lang": pa.DictionaryArray.from_arrays(code, self.langs).cast(pa.string()),
+                         "phrase": self.phrases(at, length), "n": pa.array(n[self.chunk[at]])})
+
+
+def count_words(chunks: DataFrame) -> DataFrame:
+    """(lang, phrase, n) of all words in the chunks' own parts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, Counter] = defaultdict(Counter)
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({
+                "lang": pa.array([k for k, c in seen.items() for _ in c], pa.string()),
+                "phrase": pa.array([x for c in seen.values() for x in c], pa.string()),
+                "n": pa.array([n for c in seen.values() for n in c.values()], pa.int64())})
+        for batch in batches:
+            alike = defaultdict(list)
+            for lang, chunk, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "chunk", "n"))):
+                alike[lang, n].append(chunk.partition("\t")[0])
+            for (lang, n), some in alike.items():
+                words = " ".join(some).split(" ")
+                if n == 1:
+                    seen[lang].update(words)
+                else:
+                    seen[lang].update({w: n * times for w, times in Counter(words).items()})
+            if sum(map(len, seen.values())) >= HELD:
+                yield out()
+                seen.clear()
+            del batch, alike
+        yield out()
+        release_memory()
+
+    return (chunks.mapInArrow(run, "lang string, phrase string, n long")
+            .groupBy("lang", "phrase").agg(F.sum("n").alias("n")))
+
 
+def count_pair_hashes(chunks: DataFrame, words, bits: int) -> DataFrame:
+    """(bucket, keys, n), packed, of the pairs of marked words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
-def count_phrases(chunks: DataFrame, length: int, marks=None) -> DataFrame:
-    """(lang, phrase, n) of all phrases of ``length`` words whose parts (words,
-    or pairs of three words) are marked."""
-    def wanted(layout: Layout) -> np.ndarray:
-        at = layout.places(length)
-        if length == 2:
-            known = marks.value.holds(layout.hash)
-            return at[known[at] & known[at + 1]]
-        if length == 3:
-            held = marks.value
-            at = at[held.holds(_pair(layout, at))]
-            return at[held.holds(_pair(layout, at + 1))]
-        return at
+        def out() -> pa.RecordBatch:
+            keys, n = merged(*(np.concatenate(x) for x in zip(*held)))
+            held.clear()
+            return bucket_rows(keys, bits, n=n)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            layout = Layout(batch.column("chunk"), batch.column("lang"))
+            known = marked(layout.hash, words.value)
+            at = layout.places(2)
+            at = at[known[at] & known[at + 1]]
+            held.append((layout.pair(at), batch.column("n").to_numpy().astype(np.uint64)[layout.chunk[at]]))
+            del batch, layout
+            if sum(len(k) for k, _ in held) >= BLOCK:
+                yield out()
+        if held:
+            yield out()
+        release_memory()
+    return chunks.mapInArrow(run, "bucket long, keys binary, n binary")
 
-    def sums(tables: list[pa.Table]) -> pa.Table:
-        table = pa.concat_tables(tables).group_by(["lang", "phrase"]).aggregate([("n", "sum")])
-        return table.rename_columns(["lang", "phrase", "n"])
 
+def count_phrases(chunks: DataFrame, length: int, pairs) -> DataFrame:
+    """(lang, phrase, n) of the phrases of two or three words whose pairs are marked."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
 
-        def out() -> list[pa.RecordBatch]:
-            whole = sums(held)
-            return pa.table({"lang": whole["lang"].cast(pa.string()), "phrase": whole["phrase"].cast(pa.string()),
-                             "n": whole["n"]}).to_batches(max_chunksize=50_000)
+        def out() -> Iterator[pa.RecordBatch]:
+            whole = pa.concat_tables(held).group_by(["lang", "phrase"]).aggregate([("n", "sum")])
+            held.clear()
+            yield from pa.table({"lang": whole["lang"], "phrase": whole["phrase"].cast(pa.string()),
+                                 "n": whole["n_sum"]}).to_batches(max_chunksize=50_000)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            layout = Layout(batch.column("chunk").to_pylist(), batch.column("lang").to_pylist())
-            at = wanted(layout)
-            code = pa.array(layout.code[layout.chunk[at]].astype(np.int32))
-            times = batch.column("n").to_numpy()[layout.chunk[at]]
-            held.append(sums([pa.table({
-                "lang": pa.DictionaryArray.from_arrays(code, pa.array(layout.langs, pa.string())).cast(pa.string()),
-                "phrase": layout.phrases(at, length), "n": pa.array(times)})]))
+            layout = Layout(batch.column("chunk"), batch.column("lang"))
+            at = layout.places(length)
+            for shift in range(length - 1):
+                at = at[marked(layout.pair(at + shift), pairs.value)]
+            held.append(layout.table(at, length, batch.column("n").to_numpy()))
             del batch, layout
-            if sum(t.num_rows for t in held) > HELD:
-                held = [sums(held)]
-                if held[0].num_rows > HELD // 2:
-                    yield from out()
-                    held = []
-                    release_memory()
+            if sum(t.num_rows for t in held) >= BLOCK:
+                yield from out()
+                release_memory()
         if held:
             yield from out()
         release_memory()
@@ -245,21 +279,33 @@ def count_phrases(chunks: DataFrame, length: int, marks=None) -> DataFrame:
             .groupBy("lang", "phrase").agg(F.sum("n").alias("n")))
 
 
-def marked(found: DataFrame, length: int, bits: int = FILTER_BITS):
-    """Broadcast ``Marks`` of the stored words or pairs: at most bits / 64 rows."""
+def _sent(rows: DataFrame, mark_bits: int):
+    """Broadcast marks of (byte, marks) rows."""
+    found = rows.toArrow()
+    marks = joined_marks(list(zip(found.column("byte").to_pylist(), found.column("marks").to_pylist())), mark_bits)
+    return rows.sparkSession.sparkContext.broadcast(marks)
+
+
+def mark_words(words: DataFrame, mark_bits: int):
+    """Broadcast marks of the stored words: at most as many rows as bytes of marks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                layout = Layout(batch.column("phrase").to_pylist(), batch.column("lang").to_pylist())
-                h = layout.hash if length == 1 else _pair(layout, layout.places(2))
-                h &= np.uint64(bits - 1)
-                yield pa.RecordBatch.from_pydict({"word": pa.array((h >> np.uint64(6)).astype(np.int64)),
-                                                  "bit": pa.array((h & np.uint64(63)).astype(np.int32))})
-    rows = (found.select("lang", "phrase").mapInArrow(run, "word long, bit int")
-            .groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("held")).toArrow())
-    words = np.zeros(bits // 64, np.uint64)
-    words[rows.column("word").to_numpy()] = rows.column("held").to_numpy().view(np.uint64)
-    return found.sparkSession.sparkContext.broadcast(Marks(words))
+                h = Layout(batch.column("phrase"), batch.column("lang")).hash >> np.uint64(64 - mark_bits)
+                yield pa.RecordBatch.from_pydict({"byte": pa.array((h >> np.uint64(3)).astype(np.int64)),
+                                                  "bit": pa.array((h & np.uint64(7)).astype(np.int32))})
+    rows = (words.select("lang", "phrase").mapInArrow(run, "byte long, bit int").groupBy("byte")
+            .agg(F.expr("bit_or(shiftleft(1, bit))").alias("marks")))
+    return _sent(rows.select("byte", F.unhex(F.lpad(F.hex("marks"), 2, "0")).alias("marks")), mark_bits)
+
+
+def mark_pairs(hashes: DataFrame, least: int, mark_bits: int):
+    """Broadcast marks of the pair hashes that reach ``least``: one row for each bucket."""
+    def merge(rows: pa.Table) -> pa.Table:
+        keys, n = merged(unpacked(rows.column("keys")), unpacked(rows.column("n")))
+        begin, marks = mark_range(keys[n >= least], mark_bits)
+        return pa.table({"byte": pa.array([begin], pa.int64()), "marks": pa.array([marks], pa.binary())})
+    return _sent(hashes.groupBy("bucket").applyInArrow(merge, "byte long, marks binary"), mark_bits)
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -276,17 +322,18 @@ def score(a: Column, left: Column, right: Column) -> Column:
 
 
 def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least: int = LEAST,
-                 top: int = TOP, period: int = PERIOD, bits: int = FILTER_BITS) -> DataFrame:
+                 top: int = TOP, period: int = PERIOD, mark_bits: int = MARK_BITS) -> DataFrame:
     """lang, rank, phrase, a, l, r, n and score of the best phrases."""
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                        F.col(text_col).cast("string").alias("text"))
     chunks = materialize(chunk_dictionary(rows, period), "phrase_chunks")
-    words = materialize(count_phrases(chunks, 1), "phrase_words")
+    words = materialize(count_words(chunks), "phrase_words")
     total = words.groupBy("lang").agg(F.sum("n").alias("total"))
     often = words.filter(F.col("n") >= least)
-    pairs = materialize(count_phrases(chunks, 2, marked(often, 1, bits)).filter(F.col("n") >= least), "phrase_pairs")
-    triples = materialize(count_phrases(chunks, 3, marked(pairs, 2, bits)).filter(F.col("n") >= least),
-                          "phrase_triples")
+    hashes = count_pair_hashes(chunks, mark_words(often, mark_bits), bucket_bits(chunks, "chunk", BUCKET_BYTES))
+    likely = mark_pairs(hashes, least, mark_bits)
+    pairs, triples = (materialize(count_phrases(chunks, k, likely).filter(F.col("n") >= least), "phrase_counts")
+                      for k in (2, 3))
 
     part = F.split("phrase", " ")
     sides = _small(often), _small(pairs)

@@ -68,7 +68,7 @@ def test_no_target_and_empty(odd_docs, no_docs):
 def test_what_stands_once_is_implied_and_the_rest_is_asked_for(spark, odd_docs):
     from pyspark.sql import functions as F
     rows = lm.with_trust(odd_docs, odd_docs.select("doc_id").limit(20), "doc_id", "text")
-    bits = lm.bucket_bits(rows)
+    bits = lm.bucket_bits(rows, "text", lm.BUCKET_BYTES)
     table = lm.key_table(lm.count_keys(rows, lm.Vocabulary(), bits))
     assert all((lm.unpack(r["n"]) > 1).all() for r in table.collect())
     sent, whole, _ = lm.broadcast_head(table, 10, None)
