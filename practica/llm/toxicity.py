@@ -5,16 +5,19 @@ Each is put before the same common base (a dictionary of ordinary words), so
 that text which neither knows costs the same under both. A document is cut into
 overlapping windows; each window is compressed under both dictionaries and the
 difference of the two lengths is taken. The shares of the document's windows at
-each difference are the inputs of a logistic calibration, whose score at 0.5
-separates the classes.
+each difference, the largest differences and the logarithms of how many windows
+reach some are the inputs of a logistic calibration, whose score at 0.5 separates
+the classes.
 
 Learning uses at most ``TOXIC_SAMPLE`` + ``ORDINARY_SAMPLE`` labelled rows, the
 first by a hash of their id; equal texts count once. Toxic training text is
-those words of the toxic sample that are over-represented there (a
-two-proportion test at one level of significance for every size of sample),
-ordinary text the other words; words are counted in Spark and at most
-``VOCABULARY`` of each kind reach the driver. The toxic dictionary is as long as
-it takes to hold every toxic word, the ordinary one as long as the toxic one. A quarter of the
+those words of the toxic sample that are over-represented there by a
+two-proportion test, ordinary text the other words; words are counted in Spark
+and at most ``VOCABULARY`` of each kind reach the driver. With many labels,
+near copies of toxic texts make chance words look certain, so the least z-score
+is chosen among ``LEVELS`` by the cross-validated loss of the calibration. The
+toxic dictionary is as long as it takes to hold every toxic word at that level,
+the ordinary one as long as the toxic one. A quarter of the
 sample, apart from the words, fits the calibration; only its window shares reach
 the driver. All documents are scored whole, without a shuffle.
 
@@ -43,12 +46,14 @@ TOXIC_SAMPLE, ORDINARY_SAMPLE = 3_000, 9_000
 VOCABULARY = 20_000
 TRAINING_WORDS = 60_000
 FOLDS = 5                   # rows whose CRC leaves 0 are held out
-WINDOW, OVERLAP = 128, 12   # bytes
+WINDOW, OVERLAP = 64, 16    # bytes
 TOXIC_BYTES, BASE_BYTES = 1024, 16384
 LEVEL = 12
-# Least z-score and ratio of a toxic word.
-LEAST_Z, LEAST_RATIO = 4.0, 4.0
+# Least z-scores to choose from, and the least ratio of a toxic word.
+LEVELS, LEAST_RATIO = (4.0, 5.0, 6.0, 8.0, 10.0, 13.0), 4.0
 LEAST, MOST = -6, 12        # differences beyond are counted at the ends
+REACHED = (2, 3, 4, 5, 6, 8)
+PARTS = 4                   # of the calibration rows, to choose the level
 SEED = 7
 
 
@@ -79,11 +84,15 @@ class Distance:
         self.ordinary, self.toxic = under(ordinary), under(toxic)
 
     def shares(self, text: str) -> np.ndarray:
-        """Shares of the windows at each difference, and their mean."""
+        """Shares of the windows at each difference, their mean, the largest, the
+        means of the two and four largest, logarithms of the numbers of windows
+        that reach a difference and of all."""
         a, b = self.ordinary, self.toxic
-        diff = np.array([len(a(w)) - len(b(w)) for w in windows(text)])
+        diff = np.sort(np.array([len(a(w)) - len(b(w)) for w in windows(text)]))[::-1]
         counts = np.bincount(np.clip(diff, LEAST, MOST) - LEAST, minlength=MOST - LEAST + 1)
-        return np.append(counts / len(diff), diff.mean())
+        top = [diff[:k].mean() for k in (1, 2, 4)]
+        reached = np.log1p([(diff >= k).sum() for k in REACHED])
+        return np.concatenate([counts / len(diff), [diff.mean()], top, reached, [math.log(len(diff))]])
 
 
 def distance(dictionaries: tuple[bytes, bytes]) -> Distance:
@@ -141,7 +150,9 @@ def with_all(words: list[str], dictionary: bytes) -> bytes:
     return (" " + " ".join(missed) + " ").encode() + dictionary if missed else dictionary
 
 
-def dictionaries(sample: DataFrame) -> tuple[bytes, bytes] | None:
+def ranked_words(sample: DataFrame) -> tuple[list[tuple], list[tuple]] | None:
+    """Words that may be toxic, most certain first, as (word, n_toxic, n_ordinary,
+    z), and the others, most frequent first, as (word, n_ordinary)."""
     learn = sample.filter(~F.col("fit"))
     n_ordinary, n_toxic = (learn.filter(F.col("toxic") == k).count() for k in (0, 1))
     if not n_toxic or not n_ordinary:
@@ -150,14 +161,27 @@ def dictionaries(sample: DataFrame) -> tuple[bytes, bytes] | None:
     a, b = F.col("n_toxic") / n_toxic, F.col("n_ordinary") / n_ordinary
     p = (F.col("n_toxic") + F.col("n_ordinary")) / (n_toxic + n_ordinary)
     z = (a - b) / F.sqrt(p * (1 - p) * (1 / n_toxic + 1 / n_ordinary) + 1e-12)
-    counts = counts.withColumn("z", z).withColumn("over", (F.col("z") > LEAST_Z) & (a > LEAST_RATIO * b))
-    over = counts.filter("over").orderBy(F.desc("z"), "word").limit(VOCABULARY).collect()
-    rest = counts.filter(~F.col("over")).orderBy(F.desc("n_ordinary"), "word").limit(VOCABULARY).collect()
-    plain = [(r["word"], r["n_ordinary"]) for r in rest if r["n_ordinary"]]
+    counts = counts.withColumn("z", z).withColumn("over", (F.col("z") > LEVELS[0]) & (a > LEAST_RATIO * b))
+    over = counts.filter("over").orderBy(F.desc("z"), "word").limit(VOCABULARY)
+    rest = counts.filter(~F.col("over")).orderBy(F.desc("n_ordinary"), "word").limit(VOCABULARY)
+    return ([tuple(r) for r in over.select("word", "n_toxic", "n_ordinary", "z").collect()],
+            [tuple(r) for r in rest.select("word", "n_ordinary").collect()])
+
+
+def pair_at(ranked: tuple[list[tuple], list[tuple]], least: float) -> tuple[bytes, bytes]:
+    """The two dictionaries with toxic words of a z-score above ``least``."""
+    over, rest = ranked
+    toxic = [(w, n) for w, n, _, z in over if z > least]
+    plain = sorted([*rest, *((w, n) for w, _, n, z in over if z <= least)], key=lambda x: (-x[1], x[0]))
+    plain = [x for x in plain if x[1]]
     base = train_dictionary(plain, BASE_BYTES, SEED + 1)
-    toxic = with_all([r["word"] for r in over],
-                     train_dictionary([(r["word"], r["n_toxic"]) for r in over], TOXIC_BYTES))
-    return train_dictionary(plain, max(TOXIC_BYTES, len(toxic))) + base, toxic + base
+    held = with_all([w for w, _ in toxic], train_dictionary(toxic, TOXIC_BYTES))
+    return train_dictionary(plain, max(TOXIC_BYTES, len(held))) + base, held + base
+
+
+def dictionaries(sample: DataFrame, least: float = LEVELS[0]) -> tuple[bytes, bytes] | None:
+    ranked = ranked_words(sample)
+    return None if ranked is None else pair_at(ranked, least)
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[np.ndarray, float]:
@@ -175,24 +199,44 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[np.n
     return w[:-1] / scale, float(w[-1] - (w[:-1] * mean / scale).sum())
 
 
+def loss_between_parts(x: np.ndarray, y: np.ndarray) -> float:
+    """Mean log loss on each part of the rows, fitted on the others."""
+    part, losses = np.arange(len(y)) % PARTS, []
+    for k in range(PARTS):
+        if len(set(y[part != k])) < 2:
+            continue
+        weights, intercept = fit_logistic(x[part != k], y[part != k])
+        at = np.clip(x[part == k] @ weights + intercept, -30, 30)
+        losses.append(np.logaddexp(0, np.where(y[part == k] > 0, -at, at)))
+    return float(np.concatenate(losses).mean()) if losses else math.inf
+
+
 def train(docs: DataFrame, labels: DataFrame) -> tuple | None:
     """((ordinary, toxic) dictionaries, weights, intercept); None without
     examples of both classes."""
     sample = labelled_sample(docs, labels)
-    found = dictionaries(sample)
-    if found is None:
+    ranked = ranked_words(sample)
+    if ranked is None:
         return None
+    best = max([z for *_, z in ranked[0]], default=0.0)
+    found = [pair_at(ranked, z) for z in LEVELS if z < best or z == LEVELS[0]]
 
     def run(batch: pa.RecordBatch) -> dict:
-        shares = [distance(found).shares(t).tolist() for t in texts_of(batch)]
+        texts = texts_of(batch)
+        shares = [[] for _ in texts]
+        for pair in found:
+            for row, text in zip(shares, texts):
+                row += distance(pair).shares(text).tolist()
         return {"toxic": batch.column("toxic"), "shares": pa.array(shares, pa.list_(pa.float64()))}
 
     rows = map_batches(sample.filter("fit").select("text", "toxic"), run, "toxic int, shares array<double>").collect()
     if len({r["toxic"] for r in rows}) < 2:
         return None
     rows = sorted((r["toxic"], tuple(r["shares"])) for r in rows)
-    weights, intercept = fit_logistic(np.array([r[1] for r in rows]), np.array([r[0] for r in rows], float))
-    return found, weights, intercept
+    x, y = np.array([r[1] for r in rows]), np.array([r[0] for r in rows], float)
+    inputs = np.split(x, len(found), axis=1)
+    chosen = min(range(len(found)), key=lambda k: loss_between_parts(inputs[k], y))
+    return found[chosen], *fit_logistic(inputs[chosen], y)
 
 
 def score_documents(docs: DataFrame, model: tuple | None, id_col: str = "doc_id",

@@ -1,6 +1,11 @@
+import math
+import os
 import random
 import zlib
 
+import numpy as np
+import pytest
+
 from practica.llm import toxicity
 
 from .conftest import SCHEMA, rows, words
@@ -65,3 +70,56 @@ def test_odd_documents(spark, odd_docs, no_docs):
     none = toxicity.train(docs, labels.filter("toxic = 0"))
     assert none is None and toxicity.score_documents(odd_docs, none).filter("score <> 0").count() == 0
     assert toxicity.train(no_docs, labels) is None
+
+
+def test_score_equals_compressing_each_window(spark):
+    import zstandard
+    docs, labels = corpus(spark, 300)
+    (ordinary, toxic), weights, intercept = model = toxicity.train(docs, labels)
+
+    def length(window, dictionary):
+        held = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return len(zstandard.ZstdCompressor(level=toxicity.LEVEL, dict_data=held, write_content_size=False).compress(window))
+    for r in toxicity.score_documents(docs.limit(20), model).join(docs.select("doc_id", "text"), "doc_id").collect():
+        data = f" {' '.join(r.text.lower().split())} ".encode()
+        diff = sorted((length(w, ordinary) - length(w, toxic) for w in (data[i:i + 80] for i in range(0, len(data), 64))),
+                      reverse=True)
+        n = len(diff)
+        inputs = [sum(min(max(d, -6), 12) == k for d in diff) / n for k in range(-6, 13)] + [sum(diff) / n]
+        inputs += [sum(diff[:k]) / len(diff[:k]) for k in (1, 2, 4)]
+        inputs += [math.log(1 + sum(d >= k for d in diff)) for k in (2, 3, 4, 5, 6, 8)] + [math.log(n)]
+        assert r.score == pytest.approx(1 / (1 + math.exp(-(np.dot(inputs, weights) + intercept))), abs=1e-9)
+
+
+def test_chance_words_of_near_copies_are_left_out(spark):
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choice("aeiounrstlm") for _ in range(rng.randrange(2, 9))) for _ in range(3000)]
+
+    def some(rng):
+        return [vocabulary[int(3000 * rng.random() ** 2)] for _ in range(60)]
+    texts = []
+    for i in range(2000):
+        toxic = i % 5 == 0
+        w = some(random.Random(i // 200)) if toxic and i % 20 == 0 else some(rng)
+        texts.append((" ".join(w + ([rng.choice(BAD) for _ in range(4)] if toxic else [])), i))
+    docs = spark.createDataFrame(rows([t for t, _ in texts]), SCHEMA)
+    labels = spark.createDataFrame([(i, 1, int(i % 5 == 0)) for i in range(2000)], "doc_id long, quality int, toxic int")
+    got = [r for r in toxicity.score_documents(docs, toxicity.train(docs, labels)).collect() if r.held_out]
+    assert sum(r.predicted == int(r.doc_id % 5 == 0) for r in got) >= 0.95 * len(got)
+
+
+SF = "/root/testdata/sf0.1"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_held_out_quality_on_the_test_tables(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.train(docs, labels)
+    some = docs.join(labels.filter(toxicity.held_out(labels["doc_id"])).select("doc_id", "toxic"), "doc_id")
+    got = toxicity.score_documents(some.drop("toxic"), model).join(labels.select("doc_id", "toxic"), "doc_id").collect()
+    yes, no = ([r for r in got if r.toxic == k] for k in (1, 0))
+    found = [r for r in got if r.predicted]
+    above = np.mean([(a.score > b.score) + 0.5 * (a.score == b.score) for a in yes for b in no])
+    assert above >= 0.88
+    assert sum(r.predicted for r in yes) >= 0.60 * len(yes)
+    assert sum(r.toxic for r in found) >= 0.80 * len(found)
