@@ -60,7 +60,7 @@ def main(argv: list[str] | None = None) -> int:
         start, end = stored_calendar(spark, root, as_of) if None in given else given
     sem = Semantics(as_of=as_of, calendar_start=given[0] or start, calendar_end=given[1] or end)
     if args.cmd == "build":
-        for name, n in outside_calendar(stage_all(sources), sem).items() if any(given) else ():
+        for name, n in outside_calendar(stage_all(sources), sem).items():
             print(f"OUTSIDE CALENDAR\t{name}\t{n}")
         # the clock, not midnight: a history refuses a second run at one time
         run_ts = dt.datetime.fromisoformat(args.run_ts) if args.run_ts else now

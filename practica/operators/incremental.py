@@ -1,37 +1,54 @@
 """Keyed incremental load: cutoffs, upsert merge, schema sync, safe writes.
 
-A stored fact is a directory of immutable versions ``<root>/v=<n>``; a new
-version is written in full and becomes current only once its ``_SUCCESS``
-marker exists. Readers take the highest complete version, so a job that dies
-mid-write leaves the previous version current, and no plan ever overwrites
-the path it reads.
+A stored table is a directory of immutable versions ``<root>/v=<n>``. Facts and
+histories are made of parts (``practica.operators.parts``): a run writes the
+partitions that it touches and carries the others. Other tables are written in
+full. Readers take the highest complete version, so a job that dies mid-write
+leaves the previous version current, and no plan ever overwrites the path it
+reads.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from practica.operators.parts import MANIFEST, Stored, drop_folder, merge_into, open_table, version_numbers
 from practica.operators.scd2 import assert_unique
 from practica.semantics import WATERMARK_FLOOR
-from practica.session import materialize
 
 
 # ------------------------------------------------------------------ cutoffs
-def month_cutoff(df: DataFrame, date_col: str = "date") -> dt.date | None:
+def _greatest(table: DataFrame | Stored, column: str):
+    """From the manifest of a stored table (no job), else one aggregate."""
+    if isinstance(table, Stored):
+        return table.bounds(column)[1]
+    return table.agg(F.max(column).alias("m")).first()["m"]
+
+
+def month_before(day: dt.date | None) -> dt.date | None:
+    """add_months(day, -1)."""
+    if day is None:
+        return None
+    last = day.replace(day=1) - dt.timedelta(days=1)
+    return last.replace(day=min(day.day, last.day))
+
+
+def month_cutoff(df: DataFrame | Stored, date_col: str = "date") -> dt.date | None:
     """add_months(max(date), -1): the one-month lookback of the monthly facts.
 
-    A single scalar aggregate. An empty relation gives None; what the caller
-    then loads is ``Semantics.empty_target``.
+    An empty relation gives None; what the caller then loads is
+    ``Semantics.empty_target``.
     """
-    return df.agg(F.add_months(F.max(date_col), -1).alias("c")).first()["c"]
+    return month_before(_greatest(df, date_col))
 
 
-def last_update_watermark(target: DataFrame) -> dt.datetime:
+def last_update_watermark(target: DataFrame | Stored) -> dt.datetime:
     """coalesce(max(last_update), 1900-01-01) of the stored project fact."""
-    v = target.agg(F.max("last_update").alias("w")).first()["w"]
+    v = _greatest(target, "last_update")
     return v if v is not None else WATERMARK_FLOOR
 
 
@@ -52,7 +69,7 @@ def merge_upsert(target: DataFrame | None, updates: DataFrame, key: str,
 
     Plan: the stored table anti-joins the update keys (adaptive execution
     broadcasts the key set when the batch is small), then the batch is
-    appended. Writing the result as a version copies the kept rows.
+    appended. ``parts.merge_into`` does this within the touched partitions.
     """
     if validate:
         assert_unique(updates, key, "merge updates")
@@ -63,42 +80,33 @@ def merge_upsert(target: DataFrame | None, updates: DataFrame, key: str,
 
 
 # ------------------------------------------------------- versioned storage
-def _fs(spark: SparkSession, root: str):
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
-
-
 def list_versions(spark: SparkSession, root: str) -> list[int]:
-    fs, path = _fs(spark, root)
-    if not fs.exists(path):
-        return []
-    out = []
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
-            try:
-                out.append(int(name[2:]))
-            except ValueError:
-                pass
-    return sorted(out)
+    """Complete versions: those with a manifest, for a table without any those
+    whose job succeeded."""
+    return version_numbers(spark, root, MANIFEST) or version_numbers(spark, root, "_SUCCESS")
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame | None:
+    stored = open_table(spark, root)
+    if stored is not None:
+        return stored.frame()
     vs = list_versions(spark, root)
     return spark.read.parquet(f"{root}/v={vs[-1]}") if vs else None
 
 
+def keep_last(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Delete versions of a table written in full but the last ``keep`` complete
+    ones (and any after them). Returns the paths deleted."""
+    gone = [n for n in version_numbers(spark, root) if n < min(list_versions(spark, root)[-keep:], default=0)]
+    for n in gone:
+        drop_folder(spark, f"{root}/v={n}")
+    return [f"{root}/v={n}" for n in gone]
+
+
 def write_version(df: DataFrame, root: str, partition_by: list[str] | None = None) -> str:
     """Write ``df`` as the next version of ``root``; returns its path."""
     spark = df.sparkSession
-    fs, path = _fs(spark, root)
-    n = 0
-    if fs.exists(path):
-        names = [s.getPath().getName() for s in fs.listStatus(path)]
-        nums = [int(x[2:]) for x in names if x.startswith("v=") and x[2:].isdigit()]
-        n = max(nums, default=0)
-    out = f"{root}/v={n + 1}"
+    out = f"{root}/v={max(version_numbers(spark, root), default=0) + 1}"
     if partition_by:    # a partition's rows together: few files for each
         df = df.repartition(*partition_by)
     w = df.write.mode("errorifexists")
@@ -108,11 +116,16 @@ def write_version(df: DataFrame, root: str, partition_by: list[str] | None = Non
     return out
 
 
-def incremental_refresh(spark: SparkSession, root: str, build, key: str,
-                        partition_by: list[str] | None = None) -> str:
-    """Read the current version, build the batch against it, merge, write the
-    next version. ``build(target_or_None)`` returns the rows to merge."""
-    target = read_current(spark, root)
-    # the batch is checked, joined and appended: written once, read three times
-    updates = materialize(build(target), "batches")
-    return write_version(merge_upsert(target, updates, key), root, partition_by)
+def incremental_refresh(spark: SparkSession, root: str, build, key: str, partition_by: list[str],
+                        statistics: tuple[str, ...] = ()) -> Stored:
+    """Build the batch against the current version (``build(stored or None)``),
+    and merge it into the partitions that it touches."""
+    target = open_table(spark, root)
+    # the batch is checked, joined and appended: written once, read several times
+    batch = f"{root}/_batches/{uuid.uuid4().hex}"
+    build(target).write.parquet(batch)
+    updates = spark.read.parquet(batch)
+    assert_unique(updates, key, "merge updates")
+    new = merge_into(target, updates, root, key, partition_by, statistics)
+    drop_folder(spark, batch)
+    return new

@@ -13,7 +13,8 @@ returns the next history:
 One full outer join of the *open* rows with the input on the key (both sides
 shuffle by key once), then every joined row emits at most two versions
 through one ``inline`` -- no second pass over the join. Closed history is
-appended without a shuffle.
+appended without a shuffle; a stored history (``snapshot_parts``) leaves it where
+it is.
 """
 
 from __future__ import annotations
@@ -22,13 +23,15 @@ import datetime as dt
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from practica.functions.keys import ntz
+from practica.operators.parts import Stored, open_table, same_types, write_parts
 
 VALID_FROM, VALID_TO = "valid_from", "valid_to"
 OPEN_END = dt.datetime(9999, 12, 31)
+PART, OPEN = "part", "open"     # of a stored history
 
 
 @dataclass(frozen=True)
@@ -78,34 +81,28 @@ def assert_unique(df: DataFrame, key: str | list[str], what: str = "input") -> N
         raise DuplicateKeyError(f"{what}: duplicate key {bad[0].asDict()}")
 
 
-def one_row_per_key(incoming: DataFrame, spec: SnapshotSpec, cols: list[str]) -> DataFrame:
-    """The incoming rows, grouped by their key; a NULL or duplicate key fails
-    the run. The join that follows is by the same key and shuffles no more."""
-    rest = [c for c in cols if c != spec.key]
-    key = F.col(spec.key)
-    grouped = incoming.groupBy(spec.key).agg(F.count("*").alias("_n"), F.first(F.struct(*rest)).alias("_r"))
-    refused = F.when(key.isNull(), F.raise_error(F.lit(f"snapshot: NULL key {spec.key}"))).when(
-        F.col("_n") > 1, F.raise_error(F.concat(F.lit(f"snapshot: duplicate key {spec.key} = "),
-                                                key.cast("string"))))
-    checked = F.coalesce(refused.cast(incoming.schema[spec.key].dataType), key)
-    return grouped.select(*[checked.alias(c) if c == spec.key else F.col(f"_r.{c}").alias(c) for c in cols])
+def refuse_bad_keys(incoming: DataFrame, key: str) -> DataFrame:
+    """``incoming``, failing when run on a NULL or duplicate key. A subquery
+    counts the key column alone; the rows are neither grouped nor moved."""
+    value = F.col(key)
+    said = (F.when(value.isNull(), F.lit(f"snapshot: NULL key {key}"))
+            .otherwise(F.concat(F.lit(f"snapshot: duplicate key {key} = "), value.cast("string"))))
+    bad = (incoming.groupBy(key).agg(F.count("*").alias("_n")).filter(value.isNull() | (F.col("_n") > 1))
+           .agg(F.min(said)).scalar())
+    return incoming.filter(F.coalesce(F.when(bad.isNotNull(), F.raise_error(bad)).cast("boolean"), F.lit(True)))
 
 
-def scd2_snapshot(incoming: DataFrame, spec: SnapshotSpec, run_ts: dt.datetime,
-                  history: DataFrame | None = None) -> DataFrame:
-    """The next history. Running it fails on a NULL or duplicate incoming key,
-    and where ``run_ts`` is not later than every validity in the history."""
+def next_versions(incoming: DataFrame, spec: SnapshotSpec, run_ts: dt.datetime,
+                  opened: DataFrame | None = None) -> DataFrame:
+    """The open rows after the run and those that it closes, from the rows open
+    before it. Fails on a NULL or duplicate incoming key, and where ``run_ts`` is
+    not later than an open row's start."""
     cols = list(spec.columns or incoming.columns)
-    incoming = one_row_per_key(incoming, spec, cols)
+    incoming = refuse_bad_keys(incoming, spec.key)
     ts = _ts(run_ts)
-    if history is None:
+    if opened is None:
         return incoming.select(*cols, ts.alias(VALID_FROM), _ts(None).alias(VALID_TO))
-
-    late = F.when(F.greatest(VALID_FROM, VALID_TO) >= ts, F.raise_error(F.lit(
-        f"snapshot: run at {run_ts} is not later than the history"))).cast("timestamp_ntz")
-    history = history.withColumn(VALID_FROM, F.coalesce(late, F.col(VALID_FROM)))
-    closed = history.filter(F.col(VALID_TO).isNotNull()).select(*cols, VALID_FROM, VALID_TO)
-    opened = history.filter(F.col(VALID_TO).isNull()).select(*cols, VALID_FROM, VALID_TO)
+    opened = opened.select(*cols, VALID_FROM, VALID_TO)
 
     h = opened.select(*[F.col(c).alias(f"h_{c}") for c in opened.columns], F.lit(True).alias("h_"))
     i = incoming.select(*[F.col(c).alias(f"i_{c}") for c in cols], F.lit(True).alias("i_"))
@@ -124,8 +121,49 @@ def scd2_snapshot(incoming: DataFrame, spec: SnapshotSpec, run_ts: dt.datetime,
                    _ts(None).alias(VALID_TO))
     versions = F.filter(F.array(F.when(h_on, old), F.when(i_on & (~h_on | changed), new)),
                         lambda v: v.isNotNull())
-    nxt = j.select(F.inline(versions))
-    return closed.unionByName(nxt)
+    return j.select(F.inline(versions))
+
+
+def scd2_snapshot(incoming: DataFrame, spec: SnapshotSpec, run_ts: dt.datetime,
+                  history: DataFrame | None = None) -> DataFrame:
+    """The next history. Running it fails on a NULL or duplicate incoming key,
+    and where ``run_ts`` is not later than every validity in the history."""
+    if history is None:
+        return next_versions(incoming, spec, run_ts)
+    late = F.when(F.greatest(VALID_FROM, VALID_TO) >= _ts(run_ts), F.raise_error(F.lit(
+        f"snapshot: run at {run_ts} is not later than the history"))).cast("timestamp_ntz")
+    history = history.withColumn(VALID_FROM, F.coalesce(late, F.col(VALID_FROM)))
+    cols = list(spec.columns or incoming.columns)
+    closed = history.filter(F.col(VALID_TO).isNotNull()).select(*cols, VALID_FROM, VALID_TO)
+    return closed.unionByName(next_versions(incoming, spec, run_ts, history.filter(F.col(VALID_TO).isNull())))
+
+
+def snapshot_parts(incoming: DataFrame, spec: SnapshotSpec, run_ts: dt.datetime, root: str) -> Stored:
+    """The next version of a stored history in two parts: open rows are written
+    anew, rows that the run closes are a part of their own, and parts closed by
+    earlier runs are carried without being read."""
+    spark = incoming.sparkSession
+    stored = open_table(spark, root)
+    if stored is None:
+        rows, carried, version = next_versions(incoming, spec, run_ts), {}, 1
+    else:
+        latest = max((t for c in (VALID_FROM, VALID_TO) for t in stored.bounds(c)[1:] if t), default=None)
+        if latest is not None and latest >= run_ts:
+            raise ValueError(f"snapshot: run at {run_ts} is not later than the history")
+        opened, version = stored.frame(stored.folders(lambda v: v[PART] == OPEN)), stored.version + 1
+        rows = next_versions(incoming, spec, run_ts, opened.drop(PART))
+        closed = stored.folders(lambda v: v[PART] != OPEN)
+        carried = {f: stored.parts[f] for f in closed}
+        if closed and not same_types(stored, rows.schema):
+            old = stored.frame(closed).drop(PART)
+            rows, carried = rows.unionByName(old.select(*[F.col(f.name).cast(f.dataType) for f in rows.schema.fields])), {}
+    part = F.when(F.col(VALID_TO).isNull(), F.lit(OPEN)).otherwise(F.lit(f"closed-{version}"))
+    return write_parts(rows.withColumn(PART, part), root, [PART], carried, [VALID_FROM, VALID_TO])
+
+
+def read_history(spark: SparkSession, root: str) -> DataFrame | None:
+    stored = open_table(spark, root)
+    return None if stored is None else stored.frame().drop(PART)
 
 
 def intersect_validity(from_a: Column, to_a: Column, from_b: Column, to_b: Column) -> tuple[Column, Column]:

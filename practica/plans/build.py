@@ -1,16 +1,16 @@
-"""End-to-end build in a fixed order: staging -> snapshots -> dimensions ->
-facts -> checks.
+"""End-to-end build in a fixed order: staging -> snapshots -> reductions ->
+dimensions -> facts -> checks.
 
-Every layer is written as a new immutable version under ``root`` (a shared
-folder: by default ``<spark.checkpoint.dir>/practica``) and read back before
-the next layer uses it. That cuts the lineage at each layer, so a lost
-executor recomputes at most one layer from stored files, and no job ever
-overwrites the table it reads (the snapshot and the merge read version n and
-write version n+1).
+Every layer is written as a new version under ``root`` (a shared folder: by
+default ``<spark.checkpoint.dir>/practica``) and read back before the next layer
+uses it. That cuts the lineage at each layer, so a lost executor recomputes at
+most one layer from stored files, and no job ever overwrites the table it reads.
+Histories, reductions and facts are made of parts: a run writes what it changes
+and refers to the rest. What no kept version refers to is deleted at the end.
 
 Layout::
 
-    <root>/snapshots/<name>/v=<n>     SCD2 histories
+    <root>/snapshots/<name>/v=<n>     SCD2 histories (part=open, part=closed-<n>)
     <root>/reduced/<name>/v=<n>       monthly time entries and expenses (shared by facts)
     <root>/dims/<name>/v=<n>          mart dimensions
     <root>/facts/<name>/v=<n>         facts (partitioned by month)
@@ -23,12 +23,13 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from practica.functions.keys import month_start
-from practica.operators.incremental import incremental_refresh, read_current, write_version
-from practica.operators.scd2 import SNAPSHOTS, scd2_snapshot
+from practica.operators.incremental import incremental_refresh, keep_last, read_current, write_version
+from practica.operators.parts import Stored, prune
+from practica.operators.reductions import REDUCTIONS, as_events, maintain
+from practica.operators.scd2 import SNAPSHOTS, read_history, snapshot_parts
 from practica.operators.staging import stage_all
 from practica.plans import facts
 from practica.plans.marts import Marts, build_marts
@@ -36,14 +37,18 @@ from practica.semantics import Semantics
 from practica.session import shared_dir
 from practica.sources.tables import Sources, Staged
 
+KEEP = 2                    # versions of each table that stay readable
+# Dates outside are stand-ins for an unknown or open date.
+FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1), dt.date(2199, 12, 31)
+
 DIMENSIONS = ("business_unit", "client", "consultant", "project", "deliverable", "title_history")
 
-# fact name -> (builder, merge key, partition column)
+# fact name -> (builder, merge key, month column that the key is made of, cutoff column)
 FACTS = {
-    "finance": (facts.finance_fact, "row_key", "date"),
-    "business_dev": (facts.business_dev_fact, "client_feedback_key", "date"),
-    "project": (facts.project_fact, "row_key", None),
-    "hr_utilization": (facts.hr_utilization, "HR_record_key", None),
+    "finance": (facts.finance_fact, "row_key", "date", "date"),
+    "business_dev": (facts.business_dev_fact, "client_feedback_key", "date", "date"),
+    "project": (facts.project_fact, "row_key", "date", "last_update"),
+    "hr_utilization": (facts.hr_utilization, "HR_record_key", "snapshot_month", "date"),
 }
 BRIDGES = {
     "hr_deliverable_bridge": facts.hr_deliverable_bridge,
@@ -62,30 +67,16 @@ def default_root(spark: SparkSession) -> str:
     return f"{shared_dir(spark).rstrip('/')}/practica"
 
 
-def reduce_events(spark: SparkSession, st: Staged, root: str) -> Staged:
-    """Shared measure inputs, written once per run (SURVEY §4 'common work').
-
-    Every measure over time entries and expenses is a sum by month, so the two
-    largest tables are reduced once -- time entries to (consultant,
-    deliverable, month, sum hours), expenses to (project, billable, month,
-    sum amount) -- with map-side partial aggregation, written to the shared
-    folder and read back. Each fact then scans these instead of the raw
-    events. Exact: sums of sums, NULL only where every input is NULL; the
-    month stands in for the date, which the measures only ever truncate.
-    """
-    te = (st.time_entry.groupBy("consultant_id", "deliverable_id",
-                                month_start("work_date").alias("work_date"))
-          .agg(F.sum("hours").alias("hours"))
-          .select("consultant_id", "deliverable_id", F.lit(None).cast("long").alias("record_id"),
-                  "hours", "work_date"))
-    pe = (st.project_expense.groupBy("project_id", "is_billable",
-                                     month_start("expense_date").alias("expense_date"))
-          .agg(F.sum("amount").alias("amount"))
-          .select(F.lit(None).cast("long").alias("record_id"), "project_id", "amount", "expense_date",
-                  "is_billable"))
-    te_path = write_version(te, f"{root}/reduced/time_entry")
-    pe_path = write_version(pe, f"{root}/reduced/project_expense")
-    return st.replace(time_entry=spark.read.parquet(te_path), project_expense=spark.read.parquet(pe_path))
+def reduce_events(spark: SparkSession, st: Staged, root: str, full: bool = False) -> tuple[Staged, dict[str, Stored]]:
+    """Shared measure inputs (SURVEY §4 'common work'): the monthly sums of time
+    entries and expenses, brought up to date (``operators.reductions``). Each fact
+    reads them instead of the raw events. Exact: sums of sums, NULL only where
+    every input is NULL; the month stands in for the date, which the measures
+    only ever truncate."""
+    kept = {name: maintain(spark, getattr(st, name), r, f"{root}/reduced/{name}", full)
+            for name, r in REDUCTIONS.items()}
+    return st.replace(**{name: as_events(kept[name].frame(), r, getattr(st, name))
+                         for name, r in REDUCTIONS.items()}), kept
 
 
 # Staged dates that a fact's rows are dated by.
@@ -100,12 +91,25 @@ def _whole_years(bounds: list, as_of: dt.date) -> tuple[dt.date, dt.date]:
     return dt.date(min(days).year, 1, 1), dt.date(max(days).year, 12, 31)
 
 
+def _plausible(day: Column) -> Column:
+    """Not a stand-in for an unknown or open date (such as 9999-12-31)."""
+    return day.between(F.lit(FIRST_DAY), F.lit(LAST_DAY))
+
+
+def _dates_of() -> dict[str, list[str]]:
+    out: dict[str, list[str]] = {}
+    for name, col in FACT_DATES:
+        out.setdefault(name, []).append(col)
+    return out
+
+
 def calendar_of(st: Staged, as_of: dt.date) -> tuple[dt.date, dt.date]:
-    """Whole years around ``as_of`` and every date in ``FACT_DATES``."""
+    """Whole years around ``as_of`` and every plausible date in ``FACT_DATES``:
+    one job for each relation."""
     found = []
-    for name, col in FACT_DATES:
-        day = F.to_date(col)
-        found += getattr(st, name).agg(F.min(day), F.max(day)).first()
+    for name, cols in _dates_of().items():
+        days = [F.when(_plausible(F.to_date(c)), F.to_date(c)) for c in cols]
+        found += getattr(st, name).agg(*[f(d) for d in days for f in (F.min, F.max)]).first()
     return _whole_years(found, as_of)
 
 
@@ -119,44 +123,53 @@ def stored_calendar(spark: SparkSession, root: str, as_of: dt.date) -> tuple[dt.
 
 
 def outside_calendar(st: Staged, sem: Semantics) -> dict[str, int]:
-    """How many dates of each column in ``FACT_DATES`` the calendar leaves out."""
+    """How many dates of each column in ``FACT_DATES`` the calendar leaves out,
+    stand-in dates included: one job for each relation."""
     out = {}
-    for name, col in FACT_DATES:
-        day = F.to_date(col)
-        n = getattr(st, name).agg(F.count_if(~day.between(F.lit(sem.calendar_start), F.lit(sem.calendar_end)))).first()[0]
-        if n:
-            out[f"{name}.{col}"] = n
+    for name, cols in _dates_of().items():
+        days = [~F.to_date(c).between(F.lit(sem.calendar_start), F.lit(sem.calendar_end)) for c in cols]
+        counts = getattr(st, name).agg(*[F.count_if(d) for d in days]).first()
+        out.update({f"{name}.{c}": n for c, n in zip(cols, counts) if n})
     return out
 
 
 def snapshot_layer(spark: SparkSession, st: Staged, root: str, run_ts: dt.datetime) -> dict[str, str]:
-    paths = {}
-    for name, spec in SNAPSHOTS.items():
-        table = f"{root}/snapshots/{name}"
-        paths[name] = write_version(
-            scd2_snapshot(getattr(st, name), spec, run_ts, read_current(spark, table)), table)
-    return paths
+    return {name: snapshot_parts(getattr(st, name), spec, run_ts, f"{root}/snapshots/{name}").path
+            for name, spec in SNAPSHOTS.items()}
 
 
 def dimension_layer(spark: SparkSession, root: str, sem: Semantics) -> tuple[Marts, dict[str, str]]:
-    histories = {n: read_current(spark, f"{root}/snapshots/{n}") for n in SNAPSHOTS}
+    histories = {n: read_history(spark, f"{root}/snapshots/{n}") for n in SNAPSHOTS}
     marts = build_marts(histories, sem)
     paths = {n: write_version(getattr(marts, n), f"{root}/dims/{n}") for n in DIMENSIONS}
     stored = {n: read_current(spark, f"{root}/dims/{n}") for n in DIMENSIONS}
     return Marts(histories=histories, **stored), paths
 
 
-def fact_layer(spark: SparkSession, st: Staged, marts: Marts, root: str,
-               sem: Semantics) -> dict[str, str]:
+def fact_layer(spark: SparkSession, st: Staged, marts: Marts, root: str, sem: Semantics,
+               reduced: dict[str, Stored] | None = None) -> dict[str, str]:
+    """Each fact merged from its own cutoff on. Cutoffs are read from manifests:
+    the facts' own, and the expense reduction's months for I4."""
     paths = {}
-    for name, (builder, key, part) in FACTS.items():
+    for name, (builder, key, month, cutoff) in FACTS.items():
+        known = {}
+        if name == "finance" and reduced is not None:
+            known["latest_expense"] = latest_month(reduced["project_expense"], sem)
         paths[name] = incremental_refresh(
             spark, f"{root}/facts/{name}",
-            lambda target, b=builder: b(st, marts, sem, target=target),
-            key, [part] if part else None)
+            lambda target, b=builder, known=known: b(st, marts, sem, target=target, **known),
+            key, [month], [cutoff] if cutoff != month else []).path
     return paths
 
 
+def latest_month(reduced: Stored, sem: Semantics) -> dt.date | None:
+    """The latest stored month in the calendar; no job."""
+    date = reduced.partition_by[0]
+    first, last = sem.month_bounds()
+    inside = reduced.folders(lambda v: v[date] is not None and first <= v[date] <= last)
+    return reduced.bounds(date, inside)[1]
+
+
 def bridge_layer(spark: SparkSession, st: Staged, marts: Marts, root: str,
                  sem: Semantics) -> dict[str, str]:
     """The HR many-to-many links, rebuilt in full each run (no unique key)."""
@@ -189,16 +202,32 @@ def check_layer(spark: SparkSession, root: str, sem: Semantics) -> DataFrame:
     return read_current(spark, f"{root}/checks")
 
 
-def run_build(spark: SparkSession, sources: Sources, run_ts: dt.datetime,
-              sem: Semantics = Semantics(), root: str | None = None) -> BuildResult:
-    """One scheduled run: snapshot the sources at ``run_ts``, rebuild the
-    dimensions, merge the facts incrementally, run the checks."""
+def prune_layers(spark: SparkSession, root: str, keep: int = KEEP) -> list[str]:
+    """Retention: what none of the last ``keep`` versions of a table refers to."""
+    made_of_parts = [f"snapshots/{n}" for n in SNAPSHOTS] + [f"reduced/{n}" for n in REDUCTIONS] + [f"facts/{n}" for n in FACTS]
+    in_full = [f"dims/{n}" for n in DIMENSIONS] + [f"facts/{n}" for n in BRIDGES] + ["checks"]
+    return [p for n in made_of_parts for p in prune(spark, f"{root}/{n}", keep)] + [
+        p for n in in_full for p in keep_last(spark, f"{root}/{n}", keep)]
+
+
+def run_build(spark: SparkSession, sources: Sources, run_ts: dt.datetime, sem: Semantics | None = None,
+              root: str | None = None, full: bool = False, keep: int = KEEP) -> BuildResult:
+    """One scheduled run: snapshot the sources at ``run_ts``, bring the reductions
+    up to date (``full``: from all events), rebuild the dimensions, merge the
+    facts incrementally, run the checks, delete what the last ``keep`` versions
+    don't need. Without ``sem`` the calendar is taken from the data."""
     root = root or default_root(spark)
     st = stage_all(sources)
+    if sem is None:
+        start, end = calendar_of(st, run_ts.date())
+        sem = Semantics(as_of=run_ts.date(), calendar_start=start, calendar_end=end)
     paths = {f"snapshot/{k}": v for k, v in snapshot_layer(spark, st, root, run_ts).items()}
     marts, dim_paths = dimension_layer(spark, root, sem)
     paths.update({f"dim/{k}": v for k, v in dim_paths.items()})
-    reduced = reduce_events(spark, st, root)
-    paths.update({f"fact/{k}": v for k, v in fact_layer(spark, reduced, marts, root, sem).items()})
-    paths.update({f"fact/{k}": v for k, v in bridge_layer(spark, reduced, marts, root, sem).items()})
-    return BuildResult(root, paths, check_layer(spark, root, sem))
+    events, reduced = reduce_events(spark, st, root, full)
+    paths.update({f"reduced/{k}": v.path for k, v in reduced.items()})
+    paths.update({f"fact/{k}": v for k, v in fact_layer(spark, events, marts, root, sem, reduced).items()})
+    paths.update({f"fact/{k}": v for k, v in bridge_layer(spark, events, marts, root, sem).items()})
+    checks = check_layer(spark, root, sem)
+    prune_layers(spark, root, keep)
+    return BuildResult(root, paths, checks)

@@ -10,11 +10,12 @@ in [start, end] once, so the join adds nothing but membership.
 
 Incremental runs: pass ``target`` (the stored fact). The builder applies the
 fact's cutoff and returns only the rows to merge; ``merge_upsert`` does the
-rest. Cutoffs are one scalar each, read with a single aggregate.
+rest. A cutoff is one scalar, read from the manifest of a stored table.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,7 +24,8 @@ from pyspark.sql import functions as F
 from practica.functions.keys import month_start, ntz, project_row_key, surrogate_key, ts_to_key
 from practica.operators import measures as m
 from practica.operators.dims import versions
-from practica.operators.incremental import last_update_watermark, month_cutoff
+from practica.operators.incremental import last_update_watermark, month_before, month_cutoff
+from practica.operators.parts import Stored
 from practica.plans.marts import Marts, calendar_date, in_calendar
 from practica.semantics import TYPE_FIXED, TYPE_TM, Semantics
 from practica.sources.tables import Staged
@@ -76,7 +78,7 @@ def latest_expense_cutoff(st: Staged, sem: Semantics):
 
 
 def finance_fact(st: Staged, marts: Marts, sem: Semantics = Semantics(),
-                 target: DataFrame | None = None) -> DataFrame:
+                 target: DataFrame | Stored | None = None, latest_expense: dt.date | None = None) -> DataFrame:
     """M4-M6: monthly unit profit and loss.
 
     Rows are unit-months with project expense (``anchor='expense'``) whose
@@ -89,7 +91,8 @@ def finance_fact(st: Staged, marts: Marts, sem: Semantics = Semantics(),
     if target is not None and sem.anchor == "expense":
         # I4: one-month lookback from this batch's latest month, which is the
         # latest month with expense in the calendar: one pruned column
-        cutoff = latest_expense_cutoff(st, sem)
+        # (given by the build, which knows it from the reduction's manifest)
+        cutoff = month_before(latest_expense) if latest_expense else latest_expense_cutoff(st, sem)
         bounds = sem.month_bounds(cutoff)
     # revenue is dated by planned start but sums a project's whole past
     revenue = m.unit_revenue_month(st, sem).filter(F.col("month").between(*map(F.lit, bounds)))
@@ -136,7 +139,7 @@ def finance_fact(st: Staged, marts: Marts, sem: Semantics = Semantics(),
 
 # ------------------------------------------------------- business development
 def business_dev_fact(st: Staged, marts: Marts, sem: Semantics = Semantics(),
-                      target: DataFrame | None = None) -> DataFrame:
+                      target: DataFrame | Stored | None = None) -> DataFrame:
     """M1-M3 at client-unit-month grain.
 
     The activity spine (U1) is the key set of one merged aggregate over the
@@ -200,7 +203,7 @@ def title_as_of_month(hours: DataFrame, title_history: DataFrame) -> DataFrame:
 
 
 def hr_utilization(st: Staged, marts: Marts, sem: Semantics = Semantics(),
-                   target: DataFrame | None = None) -> DataFrame:
+                   target: DataFrame | Stored | None = None) -> DataFrame:
     """M7/M8 at its real grain, consultant-month (where the declared key is unique).
 
     The source fact also multiplies each row by every deliverable of the
@@ -259,7 +262,7 @@ def hr_client_bridge(st: Staged, marts: Marts, sem: Semantics = Semantics()) ->
 
 # ----------------------------------------------------------------- project
 def project_fact(st: Staged, marts: Marts, sem: Semantics = Semantics(),
-                 target: DataFrame | None = None) -> DataFrame:
+                 target: DataFrame | Stored | None = None) -> DataFrame:
     """One row per project at the month of its latest update.
 
     Incremental (I5): only projects updated after the stored fact's latest

@@ -6,6 +6,7 @@ behaviour, the ``literal`` values reproduce the source SQL as written.
 
 from __future__ import annotations
 
+import calendar
 import datetime as dt
 from dataclasses import dataclass, replace
 
@@ -56,7 +57,7 @@ class Semantics:
         before ``since``): the same test on the raw date, which scans push down."""
         start, end = self.calendar_start, self.calendar_end
         first = start if start.day == 1 else (start.replace(day=1) + dt.timedelta(days=32)).replace(day=1)
-        last = (end.replace(day=1) + dt.timedelta(days=32)).replace(day=1) - dt.timedelta(days=1)
+        last = end.replace(day=calendar.monthrange(end.year, end.month)[1])
         return (max(first, since) if since else first), last
 
     # --- predicates shared by the measures -------------------------------
