@@ -47,8 +47,8 @@ from practica.llm.packed import (bucket_bits, bucket_rows, cut_by_bucket, joined
 from practica.llm.tokens import worker_cache
 from practica.session import materialize
 
-HEAD = 4_000_000            # keys, 16 bytes each in a task
-MARK_BITS = 27              # 16 MB in a task
+HEAD = 3_000_000            # keys, about 20 bytes each in a task
+MARK_BITS = 26              # 8 MB in a task
 BLOCK = 1_000_000           # tokens
 BUCKET_BYTES = 4 << 20      # of text for each bucket of keys
 STEPS = 4                   # classes of counts for each power of two
@@ -120,13 +120,13 @@ def count_keys(rows: DataFrame, words: Vocabulary, bits: int) -> DataFrame:
         held: list[np.ndarray] = []
 
         def out() -> pa.RecordBatch:
-            raw = np.sort(np.concatenate(held)) if held else np.zeros(0, np.uint64)
+            raw = np.concatenate(held) if held else np.zeros(0, np.uint64)
             held.clear()
-            keys = raw & ~np.uint64(1)
-            first = np.nonzero(np.append(True, keys[1:] != keys[:-1]))[0] if len(keys) else np.zeros(0, np.int64)
-            n = np.diff(np.append(first, len(keys)))
-            t = np.add.reduceat(raw & np.uint64(1), first) if len(first) else np.zeros(0)
-            return bucket_rows(keys[first], bits, n=n, t=t)
+            raw.sort()
+            first = np.nonzero(np.append(len(raw) > 0, (raw[1:] ^ raw[:-1]) > np.uint64(1)))[0]
+            n = np.diff(np.append(first, len(raw)))
+            t = np.add.reduceat(raw & np.uint64(1), first) if len(first) else np.zeros(0, np.uint64)
+            return bucket_rows(raw[first] & ~np.uint64(1), bits, n=n, t=t)
         tokens = 0
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS):
@@ -138,6 +138,7 @@ def count_keys(rows: DataFrame, words: Vocabulary, bits: int) -> DataFrame:
                     tokens += len(row)
                     if tokens >= BLOCK:
                         yield out()
+                        release_memory()
                         tokens = 0
             del batch
             release_memory()
@@ -201,13 +202,13 @@ class Head:
     def __init__(self, keys: np.ndarray, n: np.ndarray, t: np.ndarray, marks: np.ndarray, sums: tuple[int, int, int]):
         self.keys, self.n, self.t, self.marks, self.sums = keys, n, t, marks, sums
         # Keys are spread evenly: a cell for each first few bits finds them in a step or two.
-        self.shift = np.uint64(64 - max(1, len(keys).bit_length()))
-        cells = np.arange((1 << (64 - int(self.shift))) + 1, dtype=np.uint64)
-        self.start = np.append(np.searchsorted(keys, cells[:-1] << self.shift), len(keys)).astype(np.int64)
+        self.shift = np.uint64(64 - max(1, len(keys).bit_length() - 1))
+        cells = np.arange(1 << (64 - int(self.shift)), dtype=np.uint64)
+        self.start = np.append(np.searchsorted(keys, cells << self.shift), len(keys)).astype(np.int32)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Place of each key, -1 where it isn't in the head."""
-        cell = (keys >> self.shift).astype(np.int64)
+        cell = (keys >> self.shift).astype(np.int32)
         at, stop = self.start[cell], self.start[cell + 1]
         out = np.full(len(keys), -1)
         left = np.nonzero(at < stop)[0]
