@@ -2,8 +2,8 @@
 
 ``Check.failures()`` returns the failing rows; ``summarize`` turns a list of
 checks into one small DataFrame ``(check, relation, column_name, failures)``.
-Column-wise checks on one relation (not-null, ranges, accepted values) are
-evaluated together in a single aggregate pass over that relation.
+All checks that read a relation, as child or as parent, are evaluated in one pass
+over it.
 """
 
 from __future__ import annotations
@@ -35,16 +35,28 @@ class RowCheck:
 
 @dataclass
 class SetCheck:
-    """A check that needs a grouping or a second relation. ``weight`` names a
-    column holding how many rows each failing row stands for (pre-aggregated)."""
+    """A check that needs a grouping or a second relation: the keys of ``df``
+    are unique, or (with ``parent``) have a row there. NULL keys are not_null's
+    business."""
     name: str
     relation: str
     column: str
-    failing: DataFrame = field(repr=False)
-    weight: str | None = None
+    df: DataFrame = field(repr=False)
+    parent: DataFrame | None = field(default=None, repr=False)
+    parent_column: str | None = None
 
     def failures(self) -> DataFrame:
-        return self.failing
+        """Failing keys and how many rows hold each (``_rows``).
+
+        Child keys are reduced to (key, rows) first, so the anti join sees one
+        row per distinct key however skewed the child is."""
+        keys = (self.df.filter(F.col(self.column).isNotNull()).groupBy(self.column)
+                .agg(F.count(F.lit(1)).alias("_rows")))
+        if self.parent is None:
+            return keys.filter(F.col("_rows") > 1)
+        known = (self.parent.select(F.col(self.parent_column).alias("_pk")).filter(F.col("_pk").isNotNull())
+                 .distinct())
+        return keys.join(known, F.col(self.column) == F.col("_pk"), "left_anti")
 
 
 # ----------------------------------------------------------- row checks
@@ -95,51 +107,61 @@ def email_pattern(rel: str, df: DataFrame, col: str) -> RowCheck:
 
 # ----------------------------------------------------------- set checks
 def unique(rel: str, df: DataFrame, col: str) -> SetCheck:
-    """Keys appearing more than once (NULL keys are not_null's business).
-    Failures are counted per duplicated key value."""
-    bad = (df.filter(F.col(col).isNotNull()).groupBy(col).count().filter(F.col("count") > 1)
-           .select(col))
-    return SetCheck("unique", rel, col, bad)
+    """Failures are counted per duplicated key value."""
+    return SetCheck("unique", rel, col, df)
 
 
 def relationships(rel: str, df: DataFrame, col: str, parent: DataFrame, parent_col: str) -> SetCheck:
-    """Child rows whose non-NULL key has no parent row.
-
-    Child keys are reduced to (key, rows) first, so the anti join sees one
-    row per distinct key however skewed the child is; failures() returns the
-    orphan keys with their row counts."""
-    p = parent.select(F.col(parent_col).alias("_pk")).filter(F.col("_pk").isNotNull()).distinct()
-    keys = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_rows"))
-    bad = keys.join(p, F.col(col) == F.col("_pk"), "left_anti")
-    return SetCheck("relationships", rel, col, bad, weight="_rows")
+    """Failures are child rows whose non-NULL key has no parent row."""
+    return SetCheck("relationships", rel, col, df, parent, parent_col)
 
 
 # -------------------------------------------------------------- runner
+ROW, UNIQUE, RELATED = range(3)
+
+
+def _kind(check: RowCheck | SetCheck) -> int:
+    return ROW if isinstance(check, RowCheck) else UNIQUE if check.parent is None else RELATED
+
+
 def summarize(checks: list) -> DataFrame:
     """One row per check: (check, relation, column_name, failures bigint).
 
-    Row checks on the same DataFrame share one aggregate pass (a conditional
-    count per check); set checks count their failing relation.
-    """
-    parts: list[DataFrame] = []
-    by_df: dict[int, list[RowCheck]] = {}
+    Each relation is read once: a row gives one entry (check, key, rows, whether
+    it is a parent's) for every row check that it fails, every set check whose
+    key it holds and every relationship that it is a parent of. One grouping by
+    (check, key), reduced before the shuffle, then decides all set checks, so a
+    hot key is one entry of a task."""
     frames: dict[int, DataFrame] = {}
-    for ck in checks:
+    entries: dict[int, list[Column]] = {}
+
+    def read(df: DataFrame, when: Column, i: int, key: Column, rows: int, parent: bool) -> None:
+        frames[id(df)] = df
+        entries.setdefault(id(df), []).append(F.when(when, F.struct(
+            F.lit(i).alias("i"), key.cast("string").alias("key"), F.lit(rows).cast("long").alias("n"),
+            F.lit(parent).alias("parent"))))
+
+    for i, ck in enumerate(checks):
         if isinstance(ck, RowCheck):
-            by_df.setdefault(id(ck.df), []).append(ck)
-            frames[id(ck.df)] = ck.df
-    for key, group in by_df.items():
-        aggs = [F.count(F.when(ck.fails, F.lit(1))).alias(f"c{i}") for i, ck in enumerate(group)]
-        counted = frames[key].agg(*aggs)
-        rows = F.array(*[F.struct(F.lit(ck.name).alias("check"), F.lit(ck.relation).alias("relation"),
-                                  F.lit(ck.column).alias("column_name"),
-                                  F.col(f"c{i}").cast("long").alias("failures"))
-                         for i, ck in enumerate(group)])
-        parts.append(counted.select(F.inline(rows)))
-    for ck in checks:
-        if isinstance(ck, SetCheck):
-            n = F.sum(ck.weight) if ck.weight else F.count(F.lit(1))
-            parts.append(ck.failing.agg(F.coalesce(n, F.lit(0)).cast("long").alias("failures")).select(
-                F.lit(ck.name).alias("check"), F.lit(ck.relation).alias("relation"),
-                F.lit(ck.column).alias("column_name"), "failures"))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+            read(ck.df, ck.fails, i, F.lit(None), 1, False)
+            continue
+        key = F.col(ck.column)
+        read(ck.df, key.isNotNull(), i, key, 1, False)
+        if ck.parent is not None:
+            key = F.col(ck.parent_column)
+            read(ck.parent, key.isNotNull(), i, key, 0, True)
+    spark = checks[0].df.sparkSession
+    parts = [spark.range(len(checks)).select(F.col("id").cast("int").alias("i"), F.lit(None).cast("string").alias("key"),
+                                             F.lit(0).cast("long").alias("n"), F.lit(True).alias("parent"))]
+    parts += [frames[k].select(F.inline(F.filter(F.array(*e), lambda x: x.isNotNull()))) for k, e in entries.items()]
+    keys = (reduce(lambda a, b: a.unionByName(b), parts).groupBy("i", "key")
+            .agg(F.sum("n").alias("n"), F.max("parent").alias("parent")))
+
+    def of(values: list) -> Column:
+        return F.element_at(F.array(*[F.lit(v) for v in values]), F.col("i") + 1)
+    kind = of([_kind(ck) for ck in checks])
+    failing = (F.when(kind == ROW, F.col("n")).when(kind == UNIQUE, (F.col("n") > 1).cast("long"))
+               .otherwise(F.when(F.col("parent"), F.lit(0)).otherwise(F.col("n"))))
+    return (keys.groupBy("i").agg(F.sum(failing).alias("failures"))
+            .select(of([ck.name for ck in checks]).alias("check"), of([ck.relation for ck in checks]).alias("relation"),
+                    of([ck.column for ck in checks]).alias("column_name"), F.col("failures").cast("long").alias("failures")))

@@ -78,7 +78,8 @@ def maintain(spark: SparkSession, events: DataFrame, r: Reduction, root: str, fu
     statistics = [LAST, UNNUMBERED]
     if stored is not None and stored.parts:
         since, number = lookback(stored, r), stored.bounds(LAST)[1]
-        if since is not None and number is not None and not stored.bounds(UNNUMBERED)[1]:
+        numbered = not stored.bounds(UNNUMBERED)[1] and events.filter(F.col(r.number).isNull()).isEmpty()
+        if since is not None and number is not None and numbered:
             fresh, late = (reduce(part, r) for part in changes(events, r, since, number))
             batch = f"{root.rstrip('/')}/_late/{stored.version}"
             late.write.mode("overwrite").parquet(batch)

@@ -23,6 +23,11 @@ PHONE = r"^\+?[0-9\s\-\(\)]+(x[0-9]+|ext\.?\s?[0-9]+)?\z"
 EMAIL = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\z"
 
 
+SOURCE_NAMES = ("businessunit", "client", "client_feedback", "consultant", "consultant_deliverable",
+                "consultant_title_history", "deliverable", "indirect_cost", "non_billable_hours", "payroll",
+                "project", "project_billing_rate", "project_expense", "title")
+
+
 def sk(*exprs: str) -> str:
     return "md5(" + " || ".join(
         f"coalesce(lower(trim(CAST({e} AS VARCHAR))), '') || '|'" for e in exprs) + ")"
@@ -569,19 +574,57 @@ def oracle_queries() -> dict[str, str]:
     keys = {"businessunit": "business_unit_id", "client": "client_id", "consultant": "consultant_id",
             "title_assignment": "record_id", "deliverable": "deliverable_id", "project": "project_id",
             "title": "title_id"}
+    # Checked columns of each history; the first named changes.
+    checked = {
+        "businessunit": ("business_unit_name", ["business_unit_name"]),
+        "client": ("phone_number", ["client_name", "phone_number", "email"]),
+        "consultant": ("contact", ["business_unit_id", "first_name", "last_name", "contact"]),
+        "title_assignment": ("title_id", ["consultant_id", "title_id", "start_date", "end_date"]),
+        "deliverable": ("name", ["project_id", "name", "price", "due_date"]),
+        "project": ("project_name", ["client_id", "unit_id", "project_name", "project_type", "price",
+                                     "planned_start_date", "planned_end_date"]),
+        "title": ("title_name", ["title_name"]),
+    }
+
+    def values(name: str, changes: bool) -> str:
+        column, cols = checked[name]
+        new = f"coalesce({column}, 0) + 1" if name == "title_assignment" else f"coalesce({column}, '') || ' x9'"
+        listed = [f"coalesce(CAST({new if changes and c == column else c} AS VARCHAR), '~')" for c in cols]
+        return f"md5(concat_ws('|', {', '.join(listed)}))"
     q["scd2_all_two_runs"] = _wrap({"every": " UNION ALL ".join(
-        f"SELECT '{n}' AS history, CAST({k} AS BIGINT) AS key_id FROM stg_{n}" for n, k in keys.items())}, f"""
+        f"SELECT '{n}' AS history, CAST({k} AS BIGINT) AS key_id, {values(n, False)} AS old, {values(n, True)} AS new "
+        f"FROM stg_{n}" for n, k in keys.items())}, f"""
         SELECT history, key_id, {RUN1_TS} AS valid_from,
-               CASE WHEN key_id % 3 = 0 AND key_id % 11 <> 0 THEN {RUN2_TS} END AS valid_to
+               CASE WHEN key_id % 3 = 0 AND key_id % 11 <> 0 THEN {RUN2_TS} END AS valid_to, old AS versioned
         FROM every WHERE key_id % 13 <> 0
         UNION ALL
-        SELECT history, key_id, {RUN2_TS}, NULL FROM every
+        SELECT history, key_id, {RUN2_TS}, NULL, CASE WHEN key_id % 3 = 0 THEN new ELSE old END FROM every
         WHERE key_id % 11 <> 0 AND (key_id % 13 = 0 OR key_id % 3 = 0)""")
     q["staging_text_dates"] = _wrap({}, """
         SELECT 'time_entry' AS source, record_id AS key_id, work_date AS date FROM stg_time_entry
         UNION ALL SELECT 'deliverable', deliverable_id, due_date FROM stg_deliverable
         UNION ALL SELECT 'project_expense', record_id, expense_date FROM stg_project_expense""")
 
+    # storage: what is read back equals what was computed
+    q["sink_version"] = q["dim_business_unit"]
+    q["sink_snapshot_parts"] = q["scd2_client_two_runs"]
+    q["kept_reductions"] = _wrap({}, f"""
+        SELECT 'time_entry' AS events, CAST(consultant_id AS BIGINT) AS key_0, CAST(deliverable_id AS BIGINT) AS key_1,
+               {month('work_date')} AS month, CAST(sum(hours) AS DECIMAL(38,4)) AS total
+        FROM stg_time_entry GROUP BY ALL
+        UNION ALL
+        SELECT 'project_expense', CAST(project_id AS BIGINT), CAST(is_billable AS BIGINT),
+               {month('expense_date')}, CAST(sum(amount) AS DECIMAL(38,4))
+        FROM stg_project_expense GROUP BY ALL""")
+    q["source_registry"] = _wrap({}, " UNION ALL ".join(
+        f"SELECT '{n}' AS source, count(*) AS n FROM src_{n}" for n in SOURCE_NAMES))
+    q["date_dims"] = _wrap({"cal": CAL}, """
+        SELECT mart, date, CAST(year(date) AS INTEGER) AS year, CAST(quarter(date) AS INTEGER) AS quarter,
+               CAST(month(date) AS INTEGER) AS month, monthname(date) AS month_name, dayname(date) AS day_name,
+               CAST(dayofweek(date) + 1 AS INTEGER) AS day_of_week, CAST(weekofyear(date) AS INTEGER) AS week,
+               CASE WHEN dayofweek(date) IN (0, 6) THEN 'Weekend' ELSE 'Weekday' END AS is_weekend
+        FROM cal, (VALUES ('business_development'), ('financial_report'), ('hr'), ('project_management')) AS m(mart)""")
+
     pf, pd_ = "project_fact", "dim_project"
     q["check_not_null"] = _project_fact_query(_checks_sql(
         [("not_null", "project_fact", c, _cnt(pf, f"{c} IS NULL")) for c in

@@ -9,6 +9,7 @@ snapshot time) are in ``DRIVER_SEMANTICS`` / ``SNAPSHOT_TS``.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import cached_property, reduce
 
@@ -19,15 +20,18 @@ from practica.functions.keys import month_start, ntz, project_row_key, surrogate
 from practica.operators import measures as m
 from practica.operators import quality as q
 from practica.operators.calendar import date_dim_between
-from practica.operators.incremental import merge_upsert
-from practica.operators.scd2 import SNAPSHOTS, scd2_snapshot
+from practica.operators.incremental import incremental_refresh, read_current, write_version
+from practica.operators.parts import write_parts
+from practica.operators.reductions import REDUCTIONS, maintain
+from practica.operators.scd2 import SNAPSHOTS, read_history, scd2_snapshot, snapshot_parts
 from practica.operators.staging import (stage_all, stage_deliverable, stage_project_expense,
                                         stage_time_entry)
 from practica.plans import facts
 from practica.plans.marts import Marts, build_marts, snapshot_all
-from practica.session import materialize
+from practica.session import materialize, shared_dir
 from practica.semantics import DRIVER_SEMANTICS, SNAPSHOT_TS, Semantics
 from practica.sources.driver_tables import read_driver, sources_from_driver
+from practica.sources.schemas import read_sources
 from practica.sources.tables import Staged
 
 # Fixed parameters of the derived test scenarios (shared with the oracle SQL).
@@ -185,7 +189,9 @@ def scd2_all_two_runs(c: Context) -> DataFrame:
         second = rows.filter(key % 11 != 0).withColumn(CHANGED[name], F.when(key % 3 == 0, new).otherwise(col))
         history = scd2_snapshot(rows.filter(key % 13 != 0), spec, CLIENT_RUN1_TS)
         parts.append(scd2_snapshot(second, spec, CLIENT_RUN2_TS, history).select(
-            F.lit(name).alias("history"), key.cast("long").alias("key_id"), "valid_from", "valid_to"))
+            F.lit(name).alias("history"), key.cast("long").alias("key_id"), "valid_from", "valid_to",
+            F.md5(F.concat_ws("|", *[F.coalesce(F.col(x).cast("string"), F.lit("~")) for x in spec.check_cols]))
+            .alias("versioned")))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
@@ -248,12 +254,19 @@ def _staged_with(st: Staged, **repl) -> Staged:
     return st.replace(**repl)
 
 
-def _merged(c: Context, builder, before: Staged, now: Staged, key: str) -> DataFrame:
-    """The fact of ``before``, stored, after an incremental run over ``now``;
-    the batch is stored too, as the build stores both."""
-    target = materialize(builder(before, c.marts, c.sem), "targets")
-    batch = materialize(builder(now, c.marts, c.sem, target=target), "batches")
-    return merge_upsert(target, batch, key, validate=False)
+def _folder(c: Context, name: str) -> str:
+    return f"{shared_dir(c.spark).rstrip('/')}/{name}/{uuid.uuid4().hex}"
+
+
+def _merged(c: Context, builder, before: Staged, now: Staged, key: str, month: str = "date",
+            cutoff: str = "date", stored=lambda fact: fact) -> DataFrame:
+    """The fact of ``before``, stored in parts by month, after an incremental run
+    over ``now``, as the build stores and merges it."""
+    root = _folder(c, "merged")
+    statistics = [cutoff] if cutoff != month else []
+    write_parts(stored(builder(before, c.marts, c.sem)), root, [month], statistics=statistics)
+    return incremental_refresh(c.spark, root, lambda target: builder(now, c.marts, c.sem, target=target),
+                               key, [month], statistics).frame()
 
 
 def merge_upsert_fact(c: Context) -> DataFrame:
@@ -271,7 +284,7 @@ def merge_hr_utilization(c: Context) -> DataFrame:
     incremental run reloads from one month before the stored maximum date."""
     early = _staged_with(c.st, non_billable_hours=c.st.non_billable_hours.filter(
         F.col("month_start_date") < F.lit(MERGE_SPLIT_MONTH)))
-    return _merged(c, facts.hr_utilization, early, c.st, "HR_record_key")
+    return _merged(c, facts.hr_utilization, early, c.st, "HR_record_key", "snapshot_month")
 
 
 def merge_schema_change(c: Context) -> DataFrame:
@@ -279,10 +292,8 @@ def merge_schema_change(c: Context) -> DataFrame:
     that it adds; stored rows lose the first and have NULL in the second."""
     early = _staged_with(c.st, non_billable_hours=c.st.non_billable_hours.filter(
         F.col("month_start_date") < F.lit(MERGE_SPLIT_MONTH)))
-    stored = facts.hr_utilization(early, c.marts, c.sem)
-    target = materialize(stored.drop("billable_hours_percentage").withColumn("legacy_note", F.lit("x")), "targets")
-    batch = materialize(facts.hr_utilization(c.st, c.marts, c.sem, target=target), "batches")
-    return merge_upsert(target, batch, "HR_record_key", validate=False)
+    return _merged(c, facts.hr_utilization, early, c.st, "HR_record_key", "snapshot_month",
+                   stored=lambda f: f.drop("billable_hours_percentage").withColumn("legacy_note", F.lit("x")))
 
 
 def merge_business_dev(c: Context) -> DataFrame:
@@ -306,7 +317,65 @@ def cutoff_last_update(c: Context) -> DataFrame:
         .otherwise(F.col("percent_complete")))
     january = p.filter((at >= ntz(PROJECT_SPLIT_TS)) & (at < ntz(PROJECT_SPLIT_END))
                        & (F.col("project_id") % 2 == 0)).withColumn("last_update", ntz(PROJECT_SPLIT_TS))
-    return _merged(c, facts.project_fact, c.st.replace(project=before.unionByName(january)), c.st, "row_key")
+    return _merged(c, facts.project_fact, c.st.replace(project=before.unionByName(january)), c.st, "row_key",
+                   cutoff="last_update")
+
+
+# ------------------------------------------------------------------ storage
+def sink_version(c: Context) -> DataFrame:
+    """K2: a dimension written as a version twice and read back."""
+    root = _folder(c, "versions")
+    write_version(c.marts.business_unit.limit(0), root)
+    write_version(c.marts.business_unit, root)
+    return read_current(c.spark, root)
+
+
+def sink_snapshot_parts(c: Context) -> DataFrame:
+    """K4: the client history stored in two parts by two runs."""
+    root, spec = _folder(c, "history"), SNAPSHOTS["client"]
+    snapshot_parts(c.st.client.filter(F.col("client_id") % 13 != 0), spec, CLIENT_RUN1_TS, root)
+    snapshot_parts(client_second_state(c.st), spec, CLIENT_RUN2_TS, root)
+    return read_history(c.spark, root)
+
+
+def kept_reductions(c: Context) -> DataFrame:
+    """The monthly sums that the build keeps, after two runs. The first knows the
+    events before the split month but for every seventh record; the second adds
+    those, as late events numbered above all that the first knew, and the months
+    from the split on."""
+    parts = []
+    for name, r in REDUCTIONS.items():
+        events, root = getattr(c.st, name), _folder(c, "reduced")
+        # numbers in the order of arrival: what the first run knows, new months, late events
+        late = F.col(r.number) % 7 == 0
+        new = F.col(r.date) >= F.lit(MERGE_SPLIT_MONTH)
+        shift = F.when(late & ~new, F.lit(2)).when(new, F.lit(1)).otherwise(F.lit(0)) * F.lit(1 << 40)
+        numbered = events.withColumn(r.number, F.col(r.number) + shift)
+        maintain(c.spark, numbered.filter(~new & ~late), r, root)
+        kept = maintain(c.spark, numbered, r, root).frame()
+        parts.append(kept.select(F.lit(name).alias("events"), *[F.col(k).cast("long").alias(f"key_{i}") for i, k in
+                                                                enumerate(r.keys)],
+                                 F.col(r.date).alias("month"), F.col(r.value).cast("decimal(38,4)").alias("total")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def source_registry(c: Context) -> DataFrame:
+    """The 14 sources written under one root and read back by the registry."""
+    root = _folder(c, "sources")
+    for name, df in sources_from_driver(c.spark, c.sf_dir).items():
+        df.write.parquet(f"{root}/{name}")
+    return reduce(lambda a, b: a.unionByName(b), [
+        df.agg(F.count("*").alias("n")).select(F.lit(name).alias("source"), "n")
+        for name, df in read_sources(c.spark, root).items()])
+
+
+def date_dims(c: Context) -> DataFrame:
+    """The date dimensions of the four marts over the calendar."""
+    from practica.operators.calendar import date_dim
+    sem = c.sem
+    return reduce(lambda a, b: a.unionByName(b), [
+        date_dim(c.spark, sem.calendar_start, sem.calendar_end).withColumn("mart", F.lit(mart))
+        for mart in ("business_development", "financial_report", "hr", "project_management")])
 
 
 # ------------------------------------------------------------------ checks
@@ -460,6 +529,11 @@ REGISTRY: dict[str, Callable[[Context], DataFrame]] = {
     "merge_hr_utilization": merge_hr_utilization,
     "merge_schema_change": merge_schema_change,
     "merge_business_dev": merge_business_dev,
+    "sink_version": sink_version,
+    "sink_snapshot_parts": sink_snapshot_parts,
+    "kept_reductions": kept_reductions,
+    "source_registry": source_registry,
+    "date_dims": date_dims,
     "check_not_null": check_not_null,
     "check_unique": check_unique,
     "check_accepted": check_accepted,
