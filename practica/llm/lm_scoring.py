@@ -22,8 +22,11 @@ At most ``HEAD`` of the most frequent keys go to every task, with ``MARK_BITS``
 bits that mark the others of two or more. Tokens whose keys are in the head or
 not marked are scored at once. For the others, a block of documents asks the
 buckets for its distinct marked keys and scores them when the counts are back;
-only keys, counts and the state of those tokens move, never texts. A document's
-first word follows a fixed start context.
+only keys, counts and the state of those tokens move, never texts. Questions and
+states are computed from the documents apart, rather than stored; blocks are
+named by their place and content, and a state whose replies are missing (a source
+that gives other blocks when read again) fails. A document's first word follows a
+fixed start context.
 
 Defined results: a null or empty text has no tokens and score 0. Without target
 documents every score is 0. Repeated rows are counted and scored each. A null
@@ -32,11 +35,13 @@ id is scored and never trusted. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,7 +52,7 @@ from practica.llm.packed import (bucket_bits, bucket_rows, cut_by_bucket, joined
 from practica.llm.tokens import worker_cache
 from practica.session import materialize
 
-HEAD = 3_000_000            # keys, about 20 bytes each in a task
+HEAD = 1_500_000            # keys, about 20 bytes each in a task
 MARK_BITS = 26              # 8 MB in a task
 BLOCK = 1_000_000           # tokens
 BUCKET_BYTES = 4 << 20      # of text for each bucket of keys
@@ -275,13 +280,14 @@ def score_blocks(rows: DataFrame, words: Vocabulary, sent, bits: int) -> DataFra
     """One row for each block of documents: sums of the tokens that can be scored
     (``loss_t``, ``loss_b``), the others' counts so far and the keys to ask for.
     In ``state``, a count of 0 means the key at the place given for t."""
-    def block(part: pa.RecordBatch) -> dict:
-        head = head_of(sent)
+    def block(part: pa.RecordBatch, place: str) -> dict:
+        head, content = head_of(sent), hashlib.blake2b(place.encode(), digest_size=16)
         size = part.num_rows
         trusted = part.column("trusted").to_numpy().astype(np.int64)
         tokens, sums = np.zeros(size, np.int64), np.zeros((2, size))
         rest: list[list[np.ndarray]] = []
         for first, hashes, counts in word_hasher().groups(texts_of(part)):
+            content.update(hashes.tobytes() + counts.tobytes())
             v, w, row = words.bigrams(hashes, counts)
             row = row + first
             tokens[first:first + len(counts)] = counts
@@ -310,14 +316,22 @@ def score_blocks(rows: DataFrame, words: Vocabulary, sent, bits: int) -> DataFra
             state = [pack(x) for x in (row, *n, *t)]
             buckets, edge = cut_by_bucket(asked, bits)
             packed = [pack(asked[a:b]) for a, b in zip(edge[:-1], edge[1:])]
-        return {"block": uuid.uuid4().hex, "doc_id": part.column("doc_id").to_pylist(), "n_tokens": tokens.tolist(),
+        return {"block": content.hexdigest(), "doc_id": part.column("doc_id").to_pylist(), "n_tokens": tokens.tolist(),
                 "trusted": trusted.tolist(), "loss_t": sums[0].tolist(), "loss_b": sums[1].tolist(), "state": state,
                 "buckets": buckets.tolist(), "keys": packed}
 
     kinds = pa.schema([("block", pa.string()), ("doc_id", pa.list_(pa.int64())), ("n_tokens", pa.list_(pa.int64())),
                        ("trusted", pa.list_(pa.int64())), ("loss_t", pa.list_(pa.float64())), ("loss_b", pa.list_(pa.float64())),
                        ("state", pa.list_(pa.binary())), ("buckets", pa.list_(pa.int64())), ("keys", pa.list_(pa.binary()))])
-    return map_batches(rows, lambda part: pa.RecordBatch.from_pylist([block(part)], kinds), BLOCKS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
+        for i, batch in enumerate(batches):
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                yield pa.RecordBatch.from_pylist([block(batch.slice(at, SLICE_ROWS), f"{task}:{i}:{at}")], kinds)
+            del batch
+            release_memory()
+    return rows.mapInArrow(run, BLOCKS)
 
 
 def answers(blocks: DataFrame, table: DataFrame) -> DataFrame:
@@ -347,23 +361,25 @@ SCORES = "doc_id long, n_tokens long, loss_t double, loss_b double"
 
 
 def finished(blocks: DataFrame, replies: DataFrame, sent) -> DataFrame:
-    """Document sums of the blocks that asked, with their replies."""
+    """Document sums of all blocks, with their replies."""
     def finish(block: pa.Table, replied: pa.Table) -> pa.Table:
-        replied = replied.sort_by("bucket")
-        counts = [unpacked(replied.column(c)) for c in ("n", "t")]
         held = block.to_pylist()[0]
-        row, *parts = map(unpack, held["state"])
-        row = row.astype(np.int64)
-        n, t = parts[:3], parts[3:]
-        own = np.array(held["trusted"], np.uint64)[row]
-        for x, y in zip(n, t):
-            late = x == 0
-            found = counts[0][y[late].astype(np.int64)]
-            share = counts[1][y[late].astype(np.int64)]
-            x[late] = np.maximum(found, np.uint64(1))
-            y[late] = np.where(found == 0, own[late], share)
-        losses = head_of(sent).losses(n, t)
-        sums = [np.array(held[c]) + np.bincount(row, loss, len(held["doc_id"])) for c, loss in zip(("loss_t", "loss_b"), losses)]
+        replied = replied.sort_by("bucket")
+        if replied.column("bucket").to_pylist() != held["buckets"]:
+            raise RuntimeError("replies are missing: the documents were read in other blocks")
+        sums = [np.array(held[c]) for c in ("loss_t", "loss_b")]
+        if held["buckets"]:
+            found, share = (unpacked(replied.column(c)) for c in ("n", "t"))
+            row, *parts = map(unpack, held["state"])
+            row = row.astype(np.int64)
+            n, t = parts[:3], parts[3:]
+            own = np.array(held["trusted"], np.uint64)[row]
+            for x, y in zip(n, t):
+                late = x == 0
+                at = y[late].astype(np.int64)
+                x[late] = np.maximum(found[at], np.uint64(1))
+                y[late] = np.where(found[at] == 0, own[late], share[at])
+            sums = [s + np.bincount(row, loss, len(s)) for s, loss in zip(sums, head_of(sent).losses(n, t))]
         return pa.table({"doc_id": pa.array(held["doc_id"], pa.int64()), "n_tokens": pa.array(held["n_tokens"], pa.int64()),
                          "loss_t": pa.array(sums[0]), "loss_b": pa.array(sums[1])})
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(finish, SCORES)
@@ -378,13 +394,11 @@ def score_documents(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id",
     table = materialize(key_table(count_keys(rows, words, bits)), "lm_keys")
     sent, whole, target = broadcast_head(table, head_size, words.size)
     blocks = score_blocks(rows, words, sent, bits)
-    if not whole:
-        blocks = materialize(blocks, "lm_blocks")
-    parts = F.explode(F.arrays_zip("doc_id", "n_tokens", "loss_t", "loss_b")).alias("x")
-    sums = blocks.filter(F.size("buckets") == 0).select(parts).select("x.*")
-    if not whole:
-        asking = blocks.filter(F.size("buckets") > 0)
-        sums = sums.unionByName(finished(asking.drop("buckets", "keys"), answers(asking, table), sent))
+    if whole:
+        parts = F.explode(F.arrays_zip("doc_id", "n_tokens", "loss_t", "loss_b")).alias("x")
+        sums = blocks.select(parts).select("x.*")
+    else:
+        sums = finished(blocks.drop("keys"), answers(blocks, table), sent)
     n = F.greatest(F.col("n_tokens"), F.lit(1))
     out = sums.select("doc_id", "n_tokens", (F.col("loss_t") / n).alias("loss_target"),
                       (F.col("loss_b") / n).alias("loss_background"))
