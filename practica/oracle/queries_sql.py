@@ -619,10 +619,10 @@ def oracle_queries() -> dict[str, str]:
     q["source_registry"] = _wrap({}, " UNION ALL ".join(
         f"SELECT '{n}' AS source, count(*) AS n FROM src_{n}" for n in SOURCE_NAMES))
     q["date_dims"] = _wrap({"cal": CAL}, """
-        SELECT mart, date, CAST(year(date) AS INTEGER) AS year, CAST(quarter(date) AS INTEGER) AS quarter,
+        SELECT date, CAST(year(date) AS INTEGER) AS year, CAST(quarter(date) AS INTEGER) AS quarter,
                CAST(month(date) AS INTEGER) AS month, monthname(date) AS month_name, dayname(date) AS day_name,
                CAST(dayofweek(date) + 1 AS INTEGER) AS day_of_week, CAST(weekofyear(date) AS INTEGER) AS week,
-               CASE WHEN dayofweek(date) IN (0, 6) THEN 'Weekend' ELSE 'Weekday' END AS is_weekend
+               CASE WHEN dayofweek(date) IN (0, 6) THEN 'Weekend' ELSE 'Weekday' END AS is_weekend, mart
         FROM cal, (VALUES ('business_development'), ('financial_report'), ('hr'), ('project_management')) AS m(mart)""")
 
     pf, pd_ = "project_fact", "dim_project"
