@@ -37,13 +37,13 @@ def _merge_measures(keys: list[str], parts: list[tuple[DataFrame, list[str]]],
                     how: dict[str, str] | None = None) -> DataFrame:
     """Outer-merge measures that share ``keys`` with one union + group-by.
 
-    Each part holds unique keys, so ``sum`` over a key returns the part's
-    value (NULL when absent or NULL), exactly what a chain of outer joins
-    would give -- with one shuffle instead of one per join. NULL keys form
-    their own group, as in GROUP BY.
+    Where each part holds unique keys and a column of its own, ``sum`` over a key
+    returns the part's value (NULL when absent or NULL), exactly what a chain of
+    outer joins would give -- with one shuffle instead of one per join; parts may
+    also hold summands. NULL keys form their own group, as in GROUP BY.
     """
     how = how or {}
-    all_cols = [c for _, cols in parts for c in cols]
+    all_cols = list(dict.fromkeys(c for _, cols in parts for c in cols))
     types = {}
     for df, cols in parts:
         for c in cols:
@@ -94,14 +94,20 @@ def finance_fact(st: Staged, marts: Marts, sem: Semantics = Semantics(),
         # (given by the build, which knows it from the reduction's manifest)
         cutoff = month_before(latest_expense) if latest_expense else latest_expense_cutoff(st, sem)
         bounds = sem.month_bounds(cutoff)
-    # revenue is dated by planned start but sums a project's whole past
-    revenue = m.unit_revenue_month(st, sem).filter(F.col("month").between(*map(F.lit, bounds)))
-    merged = _merge_measures(keys, [
-        (m.expense_unit_month(st, bounds).withColumn("_anchor", F.lit(1)), ["monthly_amount", "_anchor"]),
-        (m.direct_cost_unit_month(st, bounds), ["total_billable_consultant_cost"]),
-        (m.indirect_cost_unit_month(st, bounds), ["total_non_proj_labor_costs", "total_other_expense_costs"]),
-        (revenue, ["total_revenue"]),
-    ], how={"_anchor": "max"})
+    if target is None:
+        # each large input read once, giving the summands of every measure
+        parts = [(df.filter(F.col("month").between(*map(F.lit, bounds))), cols)
+                 for df, cols in m.unit_month_parts(st, sem)]
+    else:
+        # costs read from the cutoff on; revenue is dated by planned start but
+        # sums a project's whole past
+        revenue = m.unit_revenue_month(st, sem).filter(F.col("month").between(*map(F.lit, bounds)))
+        parts = [(m.expense_unit_month(st, bounds).withColumn("_anchor", F.lit(1)), ["monthly_amount", "_anchor"]),
+                 (m.direct_cost_unit_month(st, bounds), ["total_billable_consultant_cost"]),
+                 (revenue, ["total_revenue"])]
+    merged = _merge_measures(keys, [*parts, (
+        m.indirect_cost_unit_month(st, bounds), ["total_non_proj_labor_costs", "total_other_expense_costs"])],
+        how={"_anchor": "max"})
     if sem.anchor == "expense":
         # USING joins never match a NULL unit: the other measures are blank there
         blank = F.col("unit_id").isNull()

@@ -52,3 +52,32 @@ def test_merge_measures_share_one_aggregate(plans):
     plan = plans["fact_finance"]
     assert "Union" in plan
     assert "FullOuter" not in plan
+
+
+def scans(plan, table):
+    return sum("Scan parquet" in node and f"/{table}.parquet" in node for node in plan.split("\n\n"))
+
+
+def test_large_inputs_are_scanned_few_times(plans):
+    """Several grains come from one scan: entries, expenses, deliverables twice."""
+    assert scans(plans["fact_finance"], "lineitem") <= 4
+    assert scans(plans["fact_finance_any_anchor"], "lineitem") <= 4
+    assert scans(plans["fact_project"], "lineitem") <= 4
+
+
+def test_all_data_tests_of_a_relation_share_one_scan(spark, tmp_path):
+    from practica.operators import quality as q
+    for name in ("child", "parent"):
+        spark.range(5).selectExpr("id AS k", "id % 2 AS flag", "id AS other").write.parquet(f"{tmp_path}/{name}.parquet")
+    child, parent = (spark.read.parquet(f"{tmp_path}/{n}.parquet") for n in ("child", "parent"))
+    checks = [q.unique("child", child, "k"), q.unique("child", child, "flag"), q.not_null("child", child, "k"),
+              q.relationships("child", child, "k", parent, "k"), q.relationships("child", child, "other", parent, "flag"),
+              q.unique("parent", parent, "k")]
+    df = q.summarize(checks)
+    mode = spark.sparkContext._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    plan = df._jdf.queryExecution().explainString(mode)
+    assert scans(plan, "child") == scans(plan, "parent") == 1
+    got = {(r.check, r.relation, r.column_name): r.failures for r in df.collect()}
+    assert got == {("unique", "child", "k"): 0, ("unique", "child", "flag"): 2, ("not_null", "child", "k"): 0,
+                   ("relationships", "child", "k"): 0, ("relationships", "child", "other"): 3, ("unique", "parent", "k"): 0}
+    assert checks[1].failures().count() == 2 and checks[4].failures().count() == 3
