@@ -278,23 +278,24 @@ def unit_revenue_month(st: Staged, sem: Semantics = Semantics()) -> DataFrame:
 
 
 def unit_month_parts(st: Staged, sem: Semantics = Semantics()) -> list[tuple[DataFrame, list[str]]]:
-    """A7, A8 and A13 as summands by (unit_id, month), each large input read once.
+    """A7, A8 and A13 as summands by (unit_id, month, project_id), each large
+    input read once; costs have no project_id.
 
     An expense counts in its month (A7) and, if billable on a time-and-material
     project, in the revenue of the project's planned month (A11); an entry costs
     its consultant's unit in its month (A8) and earns for its project (A12). Both
     are reduced to their finest grain, joined to what prices them, and give both
-    summands from one row. A13 sums project revenues, so its summands (A10 to A12
-    and 0 for each project) add up to it.
+    summands from one row. A project's revenue is the sum of its summands (A10 to
+    A12, and 0 for each project) in cents.
     """
     p = st.project.select("project_id", F.col("unit_id").alias("p_unit"), "project_type", "status",
                           month_start("planned_start_date").alias("p_month"))
     by_type = F.col("project_type") == TYPE_TM
 
     def summands(df: DataFrame, *rows: tuple) -> DataFrame:
-        """One row for each (condition or None, unit, month, values)."""
-        made = [F.struct(unit.alias("unit_id"), at.alias("month"), *[v.alias(n) for n, v in values.items()])
-                for _, unit, at, values in rows]
+        """One row for each (condition or None, unit, month, project, values)."""
+        made = [F.struct(unit.alias("unit_id"), at.alias("month"), project.cast("long").alias("project_id"),
+                         *[v.alias(n) for n, v in values.items()]) for _, unit, at, project, values in rows]
         kept = [s if when is None else F.when(when, s) for (when, *_), s in zip(rows, made)]
         return df.select(F.inline(F.filter(F.array(*kept), lambda x: x.isNotNull())))
 
@@ -303,13 +304,13 @@ def unit_month_parts(st: Staged, sem: Semantics = Semantics()) -> list[tuple[Dat
              .agg(_sum("amount", "amount")).join(p, "project_id", "left"))
     amount = F.col("amount").cast(AMOUNT)
     expenses = summands(spent,
-                        (None, F.col("p_unit"), F.col("month"),
+                        (None, F.col("p_unit"), F.col("month"), F.lit(None),
                          {"monthly_amount": amount, "_anchor": F.lit(1), "total_revenue": none}),
-                        (by_type & (F.col("is_billable") == 1), F.col("p_unit"), F.col("p_month"),
+                        (by_type & (F.col("is_billable") == 1), F.col("p_unit"), F.col("p_month"), F.col("project_id"),
                          {"monthly_amount": none, "_anchor": F.lit(None).cast("int"), "total_revenue": amount}))
 
     priced = (st.deliverable.select("deliverable_id", "project_id").join(p, "project_id")
-              .join(rate_by_project(st), "project_id", "left").select("deliverable_id", "p_unit", "p_month", "project_type", "rate_sum"))
+              .join(rate_by_project(st), "project_id", "left").select("deliverable_id", "project_id", "p_unit", "p_month", "project_type", "rate_sum"))
     paid = (st.consultant.select("consultant_id", F.col("business_unit_id").alias("c_unit"))
             .join(payroll_by_consultant(st), "consultant_id", "left"))
     worked = (hours_by_deliverable_month(st, "consultant_id").join(priced, "deliverable_id", "left")
@@ -317,15 +318,17 @@ def unit_month_parts(st: Staged, sem: Semantics = Semantics()) -> list[tuple[Dat
     cost = (F.col("hours") * F.col("amount_sum")).cast(AMOUNT)
     earned = (F.col("hours") * F.col("rate_sum")).cast(AMOUNT)
     entries = summands(worked,
-                       (None, F.col("c_unit"), F.col("month"),
+                       (None, F.col("c_unit"), F.col("month"), F.lit(None),
                         {"total_billable_consultant_cost": cost, "total_revenue": none}),
-                       (by_type, F.col("p_unit"), F.col("p_month"),
+                       (by_type, F.col("p_unit"), F.col("p_month"), F.col("project_id"),
                         {"total_billable_consultant_cost": none, "total_revenue": earned}))
 
     fixed = (st.deliverable.groupBy("project_id").agg(_sum("price", "price"))
              .join(p.filter(sem.completed(F.col("status")) & (F.col("project_type") == TYPE_FIXED)), "project_id")
-             .select(F.col("p_unit").alias("unit_id"), F.col("p_month").alias("month"), F.col("price").cast(AMOUNT).alias("total_revenue")))
-    every = p.select(F.col("p_unit").alias("unit_id"), F.col("p_month").alias("month"), F.lit(0).cast(AMOUNT).alias("total_revenue"))
+             .select(F.col("p_unit").alias("unit_id"), F.col("p_month").alias("month"), "project_id",
+                     F.col("price").cast(AMOUNT).alias("total_revenue")))
+    every = p.select(F.col("p_unit").alias("unit_id"), F.col("p_month").alias("month"), "project_id",
+                     F.lit(0).cast(AMOUNT).alias("total_revenue"))
     return [(expenses, ["monthly_amount", "_anchor", "total_revenue"]),
             (entries, ["total_billable_consultant_cost", "total_revenue"]),
             (fixed.unionByName(every), ["total_revenue"])]

@@ -96,8 +96,10 @@ def finance_fact(st: Staged, marts: Marts, sem: Semantics = Semantics(),
         bounds = sem.month_bounds(cutoff)
     if target is None:
         # each large input read once, giving the summands of every measure
-        parts = [(df.filter(F.col("month").between(*map(F.lit, bounds))), cols)
-                 for df, cols in m.unit_month_parts(st, sem)]
+        summands = _merge_measures([*keys, "project_id"], m.unit_month_parts(st, sem), how={"_anchor": "max"})
+        summands = (summands.filter(F.col("month").between(*map(F.lit, bounds)))
+                    .withColumn("total_revenue", F.round("total_revenue", 2)).drop("project_id"))
+        parts = [(summands, [c for c in summands.columns if c not in keys])]
     else:
         # costs read from the cutoff on; revenue is dated by planned start but
         # sums a project's whole past
