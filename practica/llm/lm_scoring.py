@@ -226,6 +226,14 @@ class Head:
             left = left[at[left] < stop[left]]
         return out
 
+    def counts(self, at: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(n, t) of the keys at these places, for -1 those of a key that stands
+        once, in a document that is trusted or not (``own``)."""
+        n, t = np.ones(len(at), np.uint64), own.astype(np.uint64)
+        known = at >= 0
+        n[known], t[known] = self.n[at[known]], self.t[at[known]]
+        return n, t
+
     def losses(self, n: list[np.ndarray], t: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """(target, background) of tokens from the counts of their three keys."""
         size, total_n, total_t = self.sums
@@ -278,8 +286,9 @@ BLOCKS = ("block string, doc_id array<long>, n_tokens array<long>, trusted array
 
 def score_blocks(rows: DataFrame, words: Vocabulary, sent, bits: int) -> DataFrame:
     """One row for each block of documents: sums of the tokens that can be scored
-    (``loss_t``, ``loss_b``), the others' counts so far and the keys to ask for.
-    In ``state``, a count of 0 means the key at the place given for t."""
+    (``loss_t``, ``loss_b``), the keys to ask for, and in ``state`` the others' row
+    and, for each of their three keys, 0 for one that stands once, else 1 + its
+    place in the head, behind that in the keys asked for."""
     def block(part: pa.RecordBatch, place: str) -> dict:
         head, content = head_of(sent), hashlib.blake2b(place.encode(), digest_size=16)
         size = part.num_rows
@@ -292,28 +301,23 @@ def score_blocks(rows: DataFrame, words: Vocabulary, sent, bits: int) -> DataFra
             row = row + first
             tokens[first:first + len(counts)] = counts
             keys = keys_of(v, w)
-            n, t, ask = [], [], []
-            for k in keys:
-                at = head.find(k)
-                known = at >= 0
-                n.append(np.ones(len(k), np.uint64))
-                t.append(trusted[row].astype(np.uint64))
-                n[-1][known], t[-1][known] = head.n[at[known]], head.t[at[known]]
-                ask.append(~known & marked(k, head.marks))
+            places = [head.find(k) for k in keys]
+            ask = [(at < 0) & marked(k, head.marks) for k, at in zip(keys, places)]
             late = ask[0] | ask[1] | ask[2]
             done = ~late
-            for side, loss in enumerate(head.losses([x[done] for x in n], [x[done] for x in t])):
+            counts_of = [head.counts(at[done], trusted[row[done]]) for at in places]
+            for side, loss in enumerate(head.losses(*zip(*counts_of))):
                 sums[side] += np.bincount(row[done], loss, size)
             if late.any():
-                rest.append([row[late], *(x[late] for x in (*n, *t, *ask, *keys))])
+                rest.append([row[late], *(x[late] for x in (*places, *ask, *keys))])
         state, buckets, packed = [], np.zeros(0, np.int64), []
         if rest:
             row, *columns = (np.concatenate(c) for c in zip(*rest))
-            n, t, ask, keys = (columns[i:i + 3] for i in (0, 3, 6, 9))
+            places, ask, keys = (columns[i:i + 3] for i in (0, 3, 6))
             asked = np.unique(np.concatenate([k[a] for k, a in zip(keys, ask)]))
-            for k, a, x, y in zip(keys, ask, n, t):
-                x[a], y[a] = 0, np.searchsorted(asked, k[a])
-            state = [pack(x) for x in (row, *n, *t)]
+            for k, a, at in zip(keys, ask, places):
+                at[a] = len(head.keys) + np.searchsorted(asked, k[a])
+            state = [pack(x) for x in (row, *(at + 1 for at in places))]
             buckets, edge = cut_by_bucket(asked, bits)
             packed = [pack(asked[a:b]) for a, b in zip(edge[:-1], edge[1:])]
         return {"block": content.hexdigest(), "doc_id": part.column("doc_id").to_pylist(), "n_tokens": tokens.tolist(),
@@ -369,17 +373,18 @@ def finished(blocks: DataFrame, replies: DataFrame, sent) -> DataFrame:
             raise RuntimeError("replies are missing: the documents were read in other blocks")
         sums = [np.array(held[c]) for c in ("loss_t", "loss_b")]
         if held["buckets"]:
+            head, row, *places = head_of(sent), *(unpack(x).astype(np.int64) for x in held["state"])
             found, share = (unpacked(replied.column(c)) for c in ("n", "t"))
-            row, *parts = map(unpack, held["state"])
-            row = row.astype(np.int64)
-            n, t = parts[:3], parts[3:]
-            own = np.array(held["trusted"], np.uint64)[row]
-            for x, y in zip(n, t):
-                late = x == 0
-                at = y[late].astype(np.int64)
-                x[late] = np.maximum(found[at], np.uint64(1))
-                y[late] = np.where(found[at] == 0, own[late], share[at])
-            sums = [s + np.bincount(row, loss, len(s)) for s, loss in zip(sums, head_of(sent).losses(n, t))]
+            own, many = np.array(held["trusted"], np.int64)[row], len(head.keys)
+            counts = []
+            for at in places:
+                n, t = head.counts(np.where(at > many, 0, at) - 1, own)
+                late = at > many
+                asked = at[late] - many - 1
+                n[late] = np.maximum(found[asked], np.uint64(1))
+                t[late] = np.where(found[asked] == 0, own[late].astype(np.uint64), share[asked])
+                counts.append((n, t))
+            sums = [s + np.bincount(row, loss, len(s)) for s, loss in zip(sums, head.losses(*zip(*counts)))]
         return pa.table({"doc_id": pa.array(held["doc_id"], pa.int64()), "n_tokens": pa.array(held["n_tokens"], pa.int64()),
                          "loss_t": pa.array(sums[0]), "loss_b": pa.array(sums[1])})
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(finish, SCORES)
