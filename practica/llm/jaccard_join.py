@@ -4,16 +4,20 @@ Similarity is the Jaccard similarity of the sets of five-word shingles (a text
 of one to four words is one shingle); texts of at least ``SIMILARITY`` are
 linked. Every link between different texts is verified on the whole sets.
 
-Forest: ``TREES`` sorted tries over MinHash signatures. Texts that share a
-prefix of length d in one of l trees become candidates with probability
-1 - (1 - s^d)^l at similarity s; the matched prefix starts at ``DEPTH`` and is
-shortened until that reaches ``RECALL`` at the threshold, so any link at or
-above it is missed with a probability of at most 1 - ``RECALL``.
+Forest: ``TREES`` prefix tries over MinHash signatures of ``DEPTH`` values each.
+Texts meet in a node if their values agree as far as the node is deep. Matching
+starts with whole signatures (depth ``DEPTH``) and shortens the prefixes level by
+level; of each level only nodes whose texts come from two or more nodes below are
+looked at, and in them only pairs that met neither in a deeper node nor in the
+same depth of an earlier tree. All these pairs are verified. A link of similarity
+s is found at depth d or below with probability p = 1 - (1 - s^d)^l for l trees,
+so the similarities of the verified links tell how many were missed, n / p - n
+for each similarity. Shortening ends when that is at most 1 - ``RECALL`` of all, or at the depth
+where it would be even if all links were at the threshold (4 here).
 
 Equal texts are one class from the start (they share a digest), so copies are
-never paired. A trie node with more than ``TILE`` texts is divided into tiles;
-each pair of tiles is one unit of work, so no task holds a node. A pair that
-meets in several trees is verified in the first of them only, and shingle sets
+never paired. A node with more than ``TILE`` texts is divided into tiles;
+each pair of tiles is one unit of work, so no task holds a node, and shingle sets
 travel only to units that verify with them. Units give, for each text, how many
 rows it is linked to and the smallest text of its local component; no table of
 pairs is made. Components are joined by alternating stars.
@@ -41,21 +45,37 @@ from practica.session import materialize
 
 WORDS = 5
 SIMILARITY = 0.8
-TREES, DEPTH = 16, 8
-RECALL = 0.9995
+TREES, DEPTH = 32, 6
+RECALL = 1 - 1e-7
+BINS = 20                   # classes of similarity of verified links
 TILE = 256
 SEED = 5
+NODE_BYTES = 40             # of a node that is broadcast
+BROADCAST_BYTES = 32 << 20
 UNIT = ["tree", "prefix", "i", "j"]
 
 
-def matched_depth(similarity: float = SIMILARITY, trees: int = TREES, depth: int = DEPTH,
-                  recall: float = RECALL) -> int:
-    """Longest prefix at which the forest finds ``recall`` of the links."""
-    while depth > 1 and 1 - (1 - similarity ** depth) ** trees < recall:
+def chance(similarity: float | np.ndarray, depth: int, trees: int = TREES):
+    """Probability that a pair meets in a node of this depth or below."""
+    return 1 - (1 - similarity ** depth) ** trees
+
+
+def least_depth(similarity: float = SIMILARITY, recall: float = RECALL) -> int:
+    """The depth at which links at the threshold alone would reach the recall."""
+    depth = DEPTH
+    while depth > 1 and chance(similarity, depth) < recall:
         depth -= 1
     return depth
 
 
+def missed_share(found: np.ndarray, depth: int, similarity: float = SIMILARITY) -> float:
+    """Expected share of links missed so far, from the numbers found in each
+    class of similarity (taken at its lower end) and one more at the threshold."""
+    found = found + np.eye(1, BINS)[0]
+    p = chance(similarity + (1 - similarity) * np.arange(BINS) / BINS, depth)
+    return float(((found / p) * (1 - p)).sum() / (found / p).sum())
+
+
 def _constants(n: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).integers(1, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -79,33 +99,42 @@ def shingles(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
     return mix(total), n
 
 
-def signatures(h: np.ndarray, n: np.ndarray, trees: int, depth: int) -> np.ndarray:
-    """One prefix hash for each text with shingles and each tree."""
-    full = n > 0
-    starts = (np.cumsum(n) - n)[full]
-    factor, shift = _constants(trees * depth, SEED + 1), _constants(trees * depth, SEED + 2)
-    join = _constants(depth, SEED + 3)
-    out = np.zeros((len(starts), trees), np.uint64)
-    for t in range(trees):
-        for d in range(depth):
-            k = t * depth + d
-            low = np.minimum.reduceat(h * factor[k] + shift[k], starts)
-            out[:, t] += mix(low) * join[d]
-        out[:, t] = mix(out[:, t])
-    return out.view(np.int64)
-
-
-def sign(docs: DataFrame, trees: int, depth: int) -> DataFrame:
-    """(doc_id, digest, trees): the prefixes; null without words."""
+def signatures(h: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """MinHash values of 16 bits, ``TREES`` * ``DEPTH`` for each text with shingles."""
+    starts = (np.cumsum(n) - n)[n > 0]
+    factor, shift = _constants(TREES * DEPTH, SEED + 1), _constants(TREES * DEPTH, SEED + 2)
+    out = np.zeros((len(starts), TREES * DEPTH), np.uint16)
+    for k in range(TREES * DEPTH):
+        out[:, k] = mix(np.minimum.reduceat(h * factor[k] + shift[k], starts)) >> np.uint64(48)
+    return out
+
+
+def prefixes(signature: np.ndarray) -> np.ndarray:
+    """(texts, trees, depth): the hash of each prefix, with its tree."""
+    values = signature.reshape(-1, TREES, DEPTH).astype(np.uint64)
+    h = np.broadcast_to(_constants(TREES, SEED + 3), values.shape[:2])
+    out = np.zeros(values.shape, np.uint64)
+    for d in range(DEPTH):
+        h = out[:, :, d] = mix(h * np.uint64(3) + (values[:, :, d] + np.uint64(1)) * _constants(1, SEED + 4)[0])
+    return out
+
+
+def signature_of(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """(texts, values) of a column of signatures without nulls."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, TREES * DEPTH)
+
+
+def sign(docs: DataFrame) -> DataFrame:
+    """(doc_id, digest, signature): null without words."""
     def run(batch: pa.RecordBatch) -> dict:
         found: list = []
         for _, hashes, counts in word_hasher().groups(texts_of(batch)):
             h, n = shingles(hashes, counts)
-            rows = iter(signatures(h, n, trees, depth).tolist() if n.any() else [])
-            found += [next(rows) if k else None for k in n]
+            rows = iter(signatures(h, n) if n.any() else [])
+            found += [next(rows).tobytes() if k else None for k in n]
         return {"doc_id": batch.column("doc_id"), "digest": batch.column("digest"),
-                "trees": pa.array(found, pa.list_(pa.int64()))}
-    return map_batches(docs, run, "doc_id long, digest string, trees array<long>")
+                "signature": pa.array(found, pa.binary())}
+    return map_batches(docs, run, "doc_id long, digest string, signature binary")
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
@@ -127,33 +156,56 @@ def _lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return c.flatten().to_numpy(), np.concatenate([[0], np.cumsum(sizes)])
 
 
-def first_meetings(prefixes: np.ndarray, tree: int) -> np.ndarray:
-    """Which pairs of these texts, all in one node of ``tree``, share no node of
-    an earlier tree (a symmetric table without the diagonal)."""
-    earlier = np.zeros((len(prefixes),) * 2, bool)
+def first_meetings(hashes: np.ndarray, tree: int, depth: int) -> np.ndarray:
+    """Which pairs of these texts meet at this depth of ``tree`` but in no deeper
+    node and in no earlier tree (a symmetric table without the diagonal)."""
+    def same(t: int, d: int) -> np.ndarray:
+        column = hashes[:, t, d - 1]
+        return column[:, None] == column[None, :]
+    earlier = ~same(tree, depth)
     for t in range(tree):
-        column = prefixes[:, t]
-        earlier |= column[:, None] == column[None, :]
+        earlier |= same(t, depth)
+    for t in range(TREES if depth < DEPTH else 0):
+        earlier |= same(t, depth + 1)
     np.fill_diagonal(earlier, True)
     return ~earlier
 
 
-def _pairs(table: pa.Table, a: int, b: int, prefixes: np.ndarray) -> np.ndarray:
+def _pairs(table: pa.Table, a: int, b: int, hashes: np.ndarray, depth: int) -> np.ndarray:
     """Pairs that the unit in rows a..b verifies: each pair of a node once."""
     tree, i, j = (table.column(c)[a].as_py() for c in ("tree", "i", "j"))
-    meet = first_meetings(prefixes[a:b], tree)
+    meet = first_meetings(hashes[a:b], tree, depth)
     if i != j:
         tile = table.column("tile").slice(a, b - a).to_numpy()
         meet &= tile[:, None] != tile[None, :]
     return meet
 
 
-def units(classes: DataFrame, tile: int) -> DataFrame:
-    """(tree, prefix, i, j, tile, digest): texts of every node with two or more,
-    in each pair of tiles that holds theirs."""
-    members = classes.filter("trees is not null").select("digest", F.posexplode("trees").alias("tree", "prefix"))
-    nodes = members.groupBy("tree", "prefix").agg(F.count("*").alias("n")).filter("n > 1")
-    both = (members.join(nodes, ["tree", "prefix"])
+def nodes_of(classes: DataFrame, depth: int) -> DataFrame:
+    """(tree, prefix, child, digest): the nodes of this depth that hold each text,
+    and the node below, or at the deepest level the text itself."""
+    def run(batch: pa.RecordBatch) -> dict:
+        h = prefixes(signature_of(batch.column("signature")))
+        n = len(h)
+        child = (h[:, :, depth] if depth < DEPTH else
+                 np.repeat(batch.column("text_hash").to_numpy().view(np.uint64), TREES).reshape(n, TREES))
+        return {"tree": pa.array(np.tile(np.arange(TREES, dtype=np.int32), n)),
+                "prefix": pa.array(h[:, :, depth - 1].ravel().view(np.int64)),
+                "child": pa.array(child.ravel().view(np.int64)),
+                "digest": batch.column("digest").take(pa.array(np.repeat(np.arange(n), TREES)))}
+    signed = classes.filter("signature is not null").select("digest", "signature", F.xxhash64("digest").alias("text_hash"))
+    return map_batches(signed, run, "tree int, prefix long, child long, digest string")
+
+
+def units(classes: DataFrame, depth: int, tile: int) -> DataFrame:
+    """(tree, prefix, i, j, tile, digest): texts of every node that joins two or
+    more below it, in each pair of tiles that holds theirs."""
+    members = nodes_of(classes, depth)
+    nodes = materialize(members.groupBy("tree", "prefix")
+                        .agg(F.count("*").alias("n"), F.min("child").alias("a"), F.max("child").alias("b"))
+                        .filter("a <> b").select("tree", "prefix", "n"), "join_nodes")
+    few = nodes.count() * NODE_BYTES <= BROADCAST_BYTES
+    both = (members.drop("child").join(F.broadcast(nodes) if few else nodes, ["tree", "prefix"])
             .withColumn("tiles", F.ceil(F.col("n") / tile).cast("int"))
             .withColumn("tile", F.pmod(F.xxhash64("digest"), "tiles").cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))))
@@ -161,18 +213,17 @@ def units(classes: DataFrame, tile: int) -> DataFrame:
                        "tile", "digest")
 
 
-def needed(placed: DataFrame) -> DataFrame:
+def needed(placed: DataFrame, depth: int) -> DataFrame:
     """The rows of units that verify at least one pair with them."""
-    def run(table: pa.Table, starts: list[int]) -> dict:
-        values, _ = _lists(table.column("trees"))
-        prefixes = values.reshape(table.num_rows, -1)
+    def run(table: pa.Table, starts: list[int]) -> pa.Table:
+        hashes = prefixes(signature_of(table.column("signature")))
         keep = np.zeros(table.num_rows, bool)
         for a, b in zip(starts, starts[1:]):
             if b - a > 1:
-                keep[a:b] = _pairs(table, a, b, prefixes).any(axis=1)
+                keep[a:b] = _pairs(table, a, b, hashes, depth).any(axis=1)
         return table.filter(pa.array(keep))
     return map_sorted_groups(placed, UNIT, run, "tree int, prefix long, i int, j int, tile int, "
-                             "digest string, copies long, trees array<long>")
+                             "digest string, copies long, signature binary")
 
 
 def common_shingles(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -213,23 +264,28 @@ def _roots(links: np.ndarray) -> np.ndarray:
         root = new
 
 
-def verify(work: DataFrame, similarity: float) -> DataFrame:
-    """(digest, links, root): linked rows found in a unit, and the smallest
-    text of the local component."""
+def verify(work: DataFrame, similarity: float, depth: int) -> DataFrame:
+    """(digest, links, root, found): linked rows found in a unit, and the smallest
+    text of the local component; beside the unit's first text, its links between
+    texts in each class of similarity."""
     def run(table: pa.Table, starts: list[int]) -> dict:
-        prefixes = _lists(table.column("trees"))[0].reshape(table.num_rows, -1)
+        hashes = prefixes(signature_of(table.column("signature")))
         values, offsets = _lists(table.column("shingles"))
         digest, copies = table.column("digest").to_pylist(), table.column("copies").to_numpy()
-        out: dict[str, list] = {"digest": [], "links": [], "root": []}
+        out: dict[str, list] = {"digest": [], "links": [], "root": [], "found": []}
         for a, b in zip(starts, starts[1:]):
             if b - a < 2:
                 continue
-            meet = _pairs(table, a, b, prefixes)
+            meet = _pairs(table, a, b, hashes, depth)
             inter = common_shingles(values[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
             size = np.diag(inter)
-            links = meet & (inter >= similarity * (size[:, None] + size[None, :] - inter) - 1e-9)
+            union = size[:, None] + size[None, :] - inter
+            links = meet & (inter >= similarity * union - 1e-9)
             if not links.any():
                 continue
+            at = np.nonzero(np.triu(links))
+            level = (inter[at] / union[at] - similarity) / max(1 - similarity, 1e-9) * BINS
+            found = np.bincount(np.clip(level.astype(np.int64), 0, BINS - 1), minlength=BINS).tolist()
             names = digest[a:b]
             order = sorted(range(b - a), key=names.__getitem__)
             root = _roots(links[np.ix_(order, order)])
@@ -239,9 +295,39 @@ def verify(work: DataFrame, similarity: float) -> DataFrame:
                     out["digest"].append(names[k])
                     out["links"].append(int(weight[k]))
                     out["root"].append(names[order[root[place]]])
+                    out["found"].append(found)
+                    found = None
         return {"digest": pa.array(out["digest"], pa.string()), "links": pa.array(out["links"], pa.int64()),
-                "root": pa.array(out["root"], pa.string())}
-    return map_sorted_groups(work, UNIT, run, "digest string, links long, root string")
+                "root": pa.array(out["root"], pa.string()), "found": pa.array(out["found"], pa.list_(pa.int64()))}
+    return map_sorted_groups(work, UNIT, run, "digest string, links long, root string, found array<long>")
+
+
+def links_at(texts: DataFrame, classes: DataFrame, depth: int, similarity: float, tile: int) -> tuple[DataFrame, np.ndarray]:
+    """(verified links of one level, their number in each class of similarity)."""
+    placed = units(classes, depth, tile).join(classes.select("digest", "copies", "signature"), "digest")
+    work = materialize(needed(placed.select(*UNIT, "tile", "digest", "copies", "signature"), depth), "join_units")
+    # Shingle sets of the texts that some unit verifies, from one row of each.
+    wanted = materialize(work.select("digest").distinct(), "join_wanted")
+    chosen = texts.join(small_side(wanted, wanted.count()), "digest", "left_semi")
+    sets = materialize(shingle_sets(chosen).dropDuplicates(["digest"]), "join_sets")
+    links = materialize(verify(work.join(sets, "digest"), similarity, depth), "join_links")
+    found = np.zeros(BINS, np.int64)
+    for r in (links.select(F.posexplode("found").alias("k", "n")).groupBy("k").agg(F.sum("n").alias("n")).collect()):
+        found[r["k"]] = r["n"]
+    return links.drop("found"), found
+
+
+def forest_links(texts: DataFrame, classes: DataFrame, similarity: float = SIMILARITY, tile: int = TILE,
+                 recall: float = RECALL) -> tuple[DataFrame, list[tuple[int, int, float]]]:
+    """(links, levels): the levels as (depth, links found, share missed)."""
+    least, links, found, levels = least_depth(similarity, recall), None, np.zeros(BINS, np.int64), []
+    for depth in range(DEPTH, 0, -1):
+        more, n = links_at(texts, classes, depth, similarity, tile)
+        links, found = more if links is None else links.unionByName(more), found + n
+        levels.append((depth, int(n.sum()), missed_share(found, depth, similarity)))
+        if depth <= least or levels[-1][2] <= 1 - recall:
+            break
+    return links, levels
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -278,18 +364,10 @@ def link_documents(docs: DataFrame, similarity: float = SIMILARITY, id_col: str
     """doc_id, class_id, copy_of, n_links, digest for every row."""
     texts = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
              .withColumn("digest", F.md5("text")))
-    depth = matched_depth(similarity)
-    rows = materialize(sign(texts, TREES, depth), "join_rows")
+    rows = materialize(sign(texts), "join_rows")
     classes = materialize(rows.groupBy("digest").agg(F.min("doc_id").alias("copy_of"), F.count("*").alias("copies"),
-                                                     F.first("trees").alias("trees")), "join_classes")
-    placed = units(classes, tile).join(classes.select("digest", "copies", "trees"), "digest")
-    work = materialize(needed(placed.select(*UNIT, "tile", "digest", "copies", "trees")), "join_units")
-
-    # Shingle sets of the texts that some unit verifies, from one row of each.
-    wanted = materialize(work.select("digest").distinct(), "join_wanted")
-    chosen = texts.join(small_side(wanted, wanted.count()), "digest", "left_semi")
-    sets = materialize(shingle_sets(chosen).dropDuplicates(["digest"]), "join_sets")
-    found = materialize(verify(work.join(sets, "digest"), similarity), "join_links")
+                                                     F.first("signature").alias("signature")), "join_classes")
+    found, _ = forest_links(texts, classes, similarity, tile)
 
     links = found.groupBy("digest").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("digest").alias("u"), F.col("root").alias("v")))

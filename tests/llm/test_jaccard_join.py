@@ -2,6 +2,9 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+from pyspark.sql import functions as F
+
 from practica.llm import jaccard_join as join
 
 from .conftest import SCHEMA, rows, words
@@ -64,10 +67,52 @@ def test_tiles_of_a_large_node_give_the_same(spark):
     assert found(join.link_documents(docs, tile=7)) == found(join.link_documents(docs))
 
 
-def test_depth_shortens_until_the_recall_is_reached():
-    depth = join.matched_depth()
-    assert 1 - (1 - 0.8 ** depth) ** join.TREES >= join.RECALL > 1 - (1 - 0.8 ** (depth + 1)) ** join.TREES
-    assert join.matched_depth(similarity=1.0) == join.DEPTH
+def levels(spark, texts, **options):
+    docs = spark.createDataFrame(rows(texts), SCHEMA).select("text", F.md5("text").alias("digest"))
+    classes = join.sign(docs.withColumn("doc_id", F.lit(1).cast("long")).select("doc_id", "digest", "text")).groupBy("digest").agg(
+        F.count("*").alias("copies"), F.first("signature").alias("signature"))
+    links, found = join.forest_links(docs, classes, **options)
+    return links, found
+
+
+def test_prefixes_shorten_only_as_far_as_the_links_found_ask_for(spark):
+    rng = random.Random(2)
+    base = [words(rng, 400, 9000) for _ in range(60)]
+    for edits, recall in ((1, 0.9999), (8, 0.9999)):
+        _, found = levels(spark, base + [edited(rng, t, edits) for t in base], recall=recall)
+        depths = [d for d, _, _ in found]
+        assert depths == list(range(join.DEPTH, join.DEPTH - len(depths), -1))
+        assert found[-1][2] <= 1 - recall or depths[-1] == join.least_depth(recall=recall)
+        assert all(share > 1 - recall for _, _, share in found[:-1])
+        assert sum(n for _, n, _ in found) >= (60 if edits == 1 else 1)
+    close = np.eye(1, join.BINS, join.BINS - 2)[0] * 1e6        # a million links at 0.98, and one at 0.8
+    assert join.missed_share(close, 6) < 1e-9 < join.missed_share(close * 0, 6)
+    assert join.least_depth() == 4 and join.least_depth(1.0) == join.DEPTH
+
+
+def test_each_pair_is_verified_in_one_node_only():
+    rng = np.random.default_rng(4)
+    sig = rng.integers(0, 3, (40, join.TREES * join.DEPTH)).astype(np.uint16)
+    sig[20:] = np.where(rng.random(sig[20:].shape) < 0.9, sig[:20], sig[20:])
+    h, times = join.prefixes(sig), np.zeros((40, 40), int)
+    for depth in range(join.DEPTH, 3, -1):
+        for tree in range(join.TREES):
+            times += join.first_meetings(h, tree, depth)
+    meets = (h[:, None, :, 3] == h[None, :, :, 3]).any(axis=2) & ~np.eye(40, dtype=bool)
+    assert (times == meets).all()
+
+
+def test_no_link_of_60000_pairs_at_the_threshold_is_lost():
+    rng = np.random.default_rng(7)
+    lost, n, depth = 0, 2000, join.least_depth()
+    for _ in range(30):
+        # sets of 45 shingles, 40 of them shared: similarity 40 / 50
+        shared = rng.integers(0, 1 << 63, (n, 40), dtype=np.uint64)
+        pair = [join.prefixes(join.signatures(np.concatenate(
+            [shared, rng.integers(0, 1 << 63, (n, 5), dtype=np.uint64)], axis=1).ravel(), np.full(n, 45)))[:, :, depth - 1]
+            for _ in range(2)]
+        lost += int((~(pair[0] == pair[1]).any(axis=1)).sum())
+    assert lost == 0
 
 
 def test_one_of_each_class_stays(spark, odd_docs):
