@@ -14,8 +14,8 @@ from pyspark.sql.types import StructType
 # Word characters of every word-based operator: all but space and U+0009..U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
-# Rows up to which a keyed side may be broadcast; beyond it the same join shuffles.
-BROADCAST_ROWS = 2_000_000
+# Bytes up to which a keyed side may be broadcast; beyond it the same join shuffles.
+BROADCAST_BYTES = 64 << 20
 # Rows that a Python function holds at a time.
 SLICE_ROWS = 512
 
@@ -28,10 +28,11 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def small_side(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``limit`` rows (``rows``
-    is its counted size); otherwise unchanged, so the join shuffles."""
-    return F.broadcast(df) if rows <= limit else df
+def small_side(df: DataFrame, rows: int, row_bytes: int = 100, limit: int | None = None) -> DataFrame:
+    """``df`` with a broadcast hint if its ``rows`` (counted) of at most
+    ``row_bytes`` are at most ``limit`` bytes; otherwise unchanged, so the join
+    shuffles."""
+    return F.broadcast(df) if rows * row_bytes <= (BROADCAST_BYTES if limit is None else limit) else df
 
 
 def buckets_for(rows: int, per_bucket: int = 50_000, least: int = 64) -> int:

@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-from practica.llm.queries import LISTED_NAMES
+from practica.llm.queries import LINK, MOST_LINKS
 from practica.llm.url_filter import RULES
 
 
 def op8_sql() -> str:
     """Rules by a VALUES table, the list by exact membership."""
     rules = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in RULES)
-    names = "|".join(LISTED_NAMES)
     return rf"""
     WITH cut AS (
-        SELECT page_id, url,
+        SELECT page_id, url, length(html) - length(replace(html, '{LINK}', '')) <= {MOST_LINKS * len(LINK)} AS dead_end,
                CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
         FROM pages),
     part AS (
-        SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        SELECT page_id, dead_end, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                                   'abcdefghijklmnopqrstuvwxyz') AS host,
                regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
                regexp_extract(rest, '^[^?#]*\?([^#]*)', 1) AS query
@@ -29,7 +28,7 @@ def op8_sql() -> str:
                    || regexp_replace(path, '/+$', '')
                    || CASE WHEN asked <> '' THEN '?' || asked ELSE '' END END AS canonical
         FROM plain),
-    listed AS (SELECT DISTINCT canonical FROM named WHERE regexp_matches(host, '(^|\.)({names})\.')),
+    listed AS (SELECT DISTINCT canonical FROM named WHERE dead_end),
     rules(verdict, rule_host, rule_path) AS (VALUES {rules}),
     best AS (
         SELECT page_id, max_by(rule_host || rule_path, length(rule_host || rule_path)) AS rule,

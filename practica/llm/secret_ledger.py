@@ -7,10 +7,11 @@ it, appends findings and pairs, and joins findings back to all paths (rows)
 that hold the blob. A second run over the same texts scans nothing; a new rule
 version scans every blob once more.
 
-The scan reads the texts where they lie: rows that need no scan (further copies
-of a blob, or blobs in the ledger) are removed by their row id. That list is
-broadcast while it has at most ``common.BROADCAST_ROWS`` rows and joined by shuffle
-beyond, so texts move only in the second case.
+The scan reads the texts where they lie: the rows to scan (one for each unseen
+blob) are picked by a list of them, or if that is shorter, those that need no scan
+(further copies, blobs in the ledger) are removed by a list of those. A first run
+over few copies and a later one over few new texts both have a short list. It is
+broadcast while it fits in ``common.BROADCAST_BYTES``; texts move only beyond that.
 
 Findings and ledger of a run are written under a run id of their own and count
 only once the ledger part is complete, so a run that fails midway is redone.
@@ -97,6 +98,19 @@ def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(*sorted(str(s.getPath().getParent()) for s in done))
 
 
+def rows_to_scan(texts: DataFrame, paths: DataFrame, unseen: DataFrame) -> DataFrame:
+    """(blob, text), one row for each unseen blob (equal rows of one id may be
+    scanned each), by the shorter list. ``paths`` and ``unseen`` are stored."""
+    same = [F.col("a.blob") == F.col("b.blob"), F.col("a.doc_id").eqNullSafe(F.col("b.doc_id"))]
+    wanted = unseen.count()
+    if wanted <= paths.count() - wanted:
+        picked = texts.alias("a").join(small_side(unseen, wanted).alias("b"), same, "left_semi")
+    else:
+        settled = materialize(paths.alias("a").join(unseen.alias("b"), same, "left_anti").distinct(), "blob_settled")
+        picked = without_rows(texts, settled, ["blob", "doc_id"])
+    return picked.select("blob", "text")
+
+
 def scan_new(docs: DataFrame, ledger: str, rule_version: str = RULE_VERSION, id_col: str = "doc_id",
              text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Scan the unseen pairs, extend the ledger at ``ledger`` and return (paths
@@ -109,11 +123,7 @@ def scan_new(docs: DataFrame, ledger: str, rule_version: str = RULE_VERSION, id_
     unseen = materialize(paths.groupBy("blob").agg(F.min("doc_id").alias("doc_id"))
                          .join(seen.select("blob").distinct(), "blob", "left_anti"), "blob_unseen")
 
-    # All rows but one for each unseen blob; usually few, so texts stay in place.
-    key = ["blob", "doc_id"]
-    same = [F.col("a.blob") == F.col("b.blob"), F.col("a.doc_id").eqNullSafe(F.col("b.doc_id"))]
-    settled = materialize(paths.alias("a").join(unseen.alias("b"), same, "left_anti").distinct(), "blob_settled")
-    pending = without_rows(texts, settled, key).select("blob", "text")
+    pending = rows_to_scan(texts, paths, unseen)
     run = uuid.uuid4().hex
     found = map_batches(pending, _scan, FINDINGS)
     found.withColumn("rule_version", F.lit(rule_version)).write.parquet(f"{ledger}/findings/run={run}")

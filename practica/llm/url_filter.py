@@ -5,8 +5,9 @@ The filter is a table of blocks, 8 words of 64 bits each; a URL sets one bit in
 each word of its block. It is built with ``bit_or`` by block (partial aggregates
 before the shuffle) and probed by a join on the block. The filter is broadcast
 only while its size, known from the counted list, is at most
-``BROADCAST_FILTER_BYTES``; a larger one is joined by shuffle. URLs that miss
-never enter the exact join.
+``BROADCAST_FILTER_BYTES``; a larger one is joined by shuffle. Pages are read
+once, into a stored table of what is judged; URLs that miss the filter, or have a
+rule, never enter the exact join.
 
 Rules decide before the list: a rule fits its host and all subdomains if the
 path starts with the rule's path; the longest rule wins.
@@ -91,6 +92,22 @@ def bloom_filter(listed: DataFrame, url: str, blocks: int) -> DataFrame:
             .groupBy("block").agg(*[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(WORDS)]))
 
 
+def possible_hits(pages: DataFrame, bloom: DataFrame, blocks: int, rules=RULES, id_col: str = "page_id",
+                  url_col: str = "url") -> DataFrame:
+    """One row per page: page_id, host, path, canonical, rule, verdict, and
+    ``possible``: no rule fits and the filter holds the URL, truly or not."""
+    url = F.col(url_col)
+    rule, verdict = longest_rule(F.col("host"), F.col("path"), rules)
+    judged = (pages.select(F.col(id_col).alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"),
+                           canonical_of(url).alias("canonical"))
+              .withColumns({"rule": rule, "verdict": verdict}))
+    hit = F.col("w0").isNotNull() & F.col("canonical").isNotNull() & F.col("rule").isNull()
+    for i, b in enumerate(_bits(F.col("canonical"))):
+        hit = hit & (F.col(f"w{i}").bitwiseAND(b) == b)
+    return (judged.withColumn("block", _block(F.col("canonical"), blocks)).join(bloom, "block", "left")
+            .select(*judged.columns, F.coalesce(hit, F.lit(False)).alias("possible")))
+
+
 def filter_urls(pages: DataFrame, listed: DataFrame, rules=RULES, id_col: str = "page_id",
                 url_col: str = "url", listed_col: str = "url") -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, and ``listed``
@@ -103,22 +120,11 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules=RULES, id_col: str =
     if blocks * (WORDS + 1) * 8 <= BROADCAST_FILTER_BYTES:
         bloom = F.broadcast(bloom)
 
-    url = F.col(url_col)
-    rule, verdict = longest_rule(F.col("host"), F.col("path"), rules)
-    judged = (pages.select(F.col(id_col).alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"),
-                           canonical_of(url).alias("canonical"))
-              .withColumns({"rule": rule, "verdict": verdict}))
-    by_rule = judged.filter("rule is not null").withColumn("listed", F.lit(False))
-    hit = F.col("w0").isNotNull()
-    for i, b in enumerate(_bits(F.col("canonical"))):
-        hit = hit & (F.col(f"w{i}").bitwiseAND(b) == b)
-    rest = (judged.filter("rule is null").withColumn("block", _block(F.col("canonical"), blocks))
-            .join(bloom, "block", "left")
-            .withColumn("possible", F.coalesce(hit & F.col("canonical").isNotNull(), F.lit(False))))
-    missed = rest.filter(~F.col("possible")).withColumn("listed", F.lit(False))
-    found = (rest.filter("possible").join(known.withColumn("_in", F.lit(True)), "canonical", "left")
+    judged = materialize(possible_hits(pages, bloom, blocks, rules, id_col, url_col), "url_judged")
+    missed = judged.filter(~F.col("possible")).withColumn("listed", F.lit(False))
+    found = (judged.filter("possible").join(known.withColumn("_in", F.lit(True)), "canonical", "left")
              .withColumn("listed", F.col("_in").isNotNull()))
     out = ["page_id", "host", "path", "rule", "verdict", "listed"]
-    every = by_rule.select(*out).unionByName(missed.select(*out)).unionByName(found.select(*out))
+    every = missed.select(*out).unionByName(found.select(*out))
     return every.withColumn("verdict", F.coalesce("verdict", F.when(F.col("listed"), F.lit("block"))
                                                   .otherwise(F.lit("allow"))))

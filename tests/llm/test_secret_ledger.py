@@ -61,6 +61,23 @@ def test_a_second_run_scans_only_what_is_new(spark):
     assert ledger._stored(spark, f"{where}/pairs", ledger.LEDGER).count() == 2 * (before + 1)
 
 
+def test_texts_stay_in_place_on_both_runs(spark, tmp_path):
+    from pyspark.sql import functions as F
+    first = [f"text {i} token=abcdef{i}" for i in range(300)]
+    for texts, seen in ((first + first[:20], []), (first + ["password=brandnew1"], first)):
+        spark.createDataFrame(rows(texts), SCHEMA).write.parquet(f"{tmp_path}/{len(texts)}")
+        docs = spark.read.parquet(f"{tmp_path}/{len(texts)}").select("doc_id", "text", F.sha2("text", 256).alias("blob"))
+        known = [hashlib.sha256(t.encode()).hexdigest() for t in seen]
+        paths = docs.select("doc_id", "blob")
+        unseen = paths.groupBy("blob").agg(F.min("doc_id").alias("doc_id")).filter(~F.col("blob").isin(known or [""]))
+        stored = [x.write.parquet(f"{tmp_path}/{len(texts)}-{n}") or spark.read.parquet(f"{tmp_path}/{len(texts)}-{n}")
+                  for n, x in (("paths", paths), ("unseen", unseen))]
+        pending = ledger.rows_to_scan(docs, *stored)
+        plan = pending._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+        assert ("LeftSemi" in plan) == bool(seen) and pending.count() == (1 if seen else 300)
+
+
 def test_redaction_keeps_rows_and_columns(spark, odd_docs):
     docs = spark.createDataFrame(rows(TEXTS), SCHEMA)
     out = ledger.redact_documents(docs, f"{shared_dir(spark)}/{uuid.uuid4().hex}/redact")

@@ -41,3 +41,31 @@ def test_empty(spark):
     none = pages(spark).filter("false")
     assert urls.filter_urls(none, none.select("url")).count() == 0
     assert urls.filter_urls(pages(spark), none.select("url")).filter("listed").count() == 0
+
+
+def test_without_the_exact_join_other_urls_would_be_blocked(spark, monkeypatch):
+    monkeypatch.setattr(urls, "BITS_PER_URL", 4)
+    every = pages(spark, [f"https://www.h{i}.net:443/{i}/?utm_source=x" for i in range(3000)])
+    listed = spark.createDataFrame([(f"http://h{i}.net/{i}",) for i in range(0, 3000, 3)], "url string")
+    known = listed.select(urls.canonical_of(listed["url"]).alias("canonical"))
+    blocks = -(-1000 * 4 // 512)
+    possible = {r.page_id for r in urls.possible_hits(every, urls.bloom_filter(known, "canonical", blocks), blocks)
+                .filter("possible").collect()}
+    found = {r.page_id for r in urls.filter_urls(every, listed).filter("listed").collect()}
+    assert found == {len(URLS) + i for i in range(0, 3000, 3)}
+    assert found < possible
+
+
+def test_pages_are_read_once(spark, tmp_path):
+    pages(spark).write.parquet(f"{tmp_path}/pages")
+    stored, scanned = spark.read.parquet(f"{tmp_path}/pages"), []
+    listed = spark.createDataFrame([("http://bad.net/a",)], "url string")
+    made = urls.materialize
+    urls.materialize = lambda df, name: (scanned.append(df._jdf.queryExecution().executedPlan().toString().count("/pages]")),
+                                         made(df, name))[1]
+    try:
+        out = urls.filter_urls(stored, listed)
+    finally:
+        urls.materialize = made
+    scanned.append(out._jdf.queryExecution().executedPlan().toString().count("/pages]"))
+    assert sum(scanned) == 1
