@@ -35,6 +35,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,6 +58,7 @@ SALTS = 64
 ENDS = b".,;:!?\n\x0b\x0c\r"
 _BYTES = bytes(10 if c in ENDS else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 _EDGES, _SPACES = re.compile(b" *\n[ \n]*"), re.compile(b"  +")
+_OVERLAPS = re.compile("\t[^\n]*")
 
 
 def plain(texts: list[str]) -> bytes:
@@ -192,6 +194,19 @@ class Layout:
                          "phrase": self.phrases(at, length), "n": pa.array(n[self.chunk[at]])})
 
 
+def by_lang(batch: pa.RecordBatch) -> Iterator[tuple[str, pa.Array, pa.Array]]:
+    """(lang, chunks, n) of the rows of each language."""
+    for lang in batch.column("lang").unique().to_pylist():
+        rows = batch.filter(pc.equal(batch.column("lang"), lang))
+        yield lang, rows.column("chunk"), rows.column("n")
+
+
+def own_words(chunks: pa.Array) -> list[str]:
+    """Words of the chunks' own parts."""
+    text = _OVERLAPS.sub("", "\n".join(chunks.to_pylist()))
+    return text.replace("\n", " ").split(" ") if text else []
+
+
 def count_words(chunks: DataFrame) -> DataFrame:
     """(lang, phrase, n) of all words in the chunks' own parts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,19 +218,17 @@ def count_words(chunks: DataFrame) -> DataFrame:
                 "phrase": pa.array([x for c in seen.values() for x in c], pa.string()),
                 "n": pa.array([n for c in seen.values() for n in c.values()], pa.int64())})
         for batch in batches:
-            alike = defaultdict(list)
-            for lang, chunk, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "chunk", "n"))):
-                alike[lang, n].append(chunk.partition("\t")[0])
-            for (lang, n), some in alike.items():
-                words = " ".join(some).split(" ")
-                if n == 1:
-                    seen[lang].update(words)
-                else:
-                    seen[lang].update({w: n * times for w, times in Counter(words).items()})
+            for lang, chunks, n in by_lang(batch):
+                once = pc.equal(n, 1)
+                seen[lang].update(own_words(chunks.filter(once)))
+                rest = pc.invert(once)
+                for chunk, times in zip(chunks.filter(rest).to_pylist(), n.filter(rest).to_pylist()):
+                    for w in chunk.partition("\t")[0].split(" "):
+                        seen[lang][w] += times
             if sum(map(len, seen.values())) >= HELD:
                 yield out()
                 seen.clear()
-            del batch, alike
+            del batch
         yield out()
         release_memory()
 
@@ -249,34 +262,40 @@ def count_pair_hashes(chunks: DataFrame, words, bits: int) -> DataFrame:
     return chunks.mapInArrow(run, "bucket long, keys binary, n binary")
 
 
-def count_phrases(chunks: DataFrame, length: int, pairs) -> DataFrame:
-    """(lang, phrase, n) of the phrases of two or three words whose pairs are marked."""
+def count_phrases(chunks: DataFrame, pairs) -> DataFrame:
+    """(words, lang, phrase, n) of the phrases of two and three words whose pairs
+    are marked."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.Table] = []
+        held: list[tuple[int, pa.Table]] = []
 
         def out() -> Iterator[pa.RecordBatch]:
-            whole = pa.concat_tables(held).group_by(["lang", "phrase"]).aggregate([("n", "sum")])
+            for length in range(2, MOST_WORDS + 1):
+                whole = (pa.concat_tables([t for k, t in held if k == length]).group_by(["lang", "phrase"])
+                         .aggregate([("n", "sum")]))
+                yield from pa.table({"words": pa.array(np.full(whole.num_rows, length, np.int32)), "lang": whole["lang"],
+                                     "phrase": whole["phrase"].cast(pa.string()),
+                                     "n": whole["n_sum"]}).to_batches(max_chunksize=50_000)
             held.clear()
-            yield from pa.table({"lang": whole["lang"], "phrase": whole["phrase"].cast(pa.string()),
-                                 "n": whole["n_sum"]}).to_batches(max_chunksize=50_000)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            layout = Layout(batch.column("chunk"), batch.column("lang"))
-            at = layout.places(length)
-            for shift in range(length - 1):
-                at = at[marked(layout.pair(at + shift), pairs.value)]
-            held.append(layout.table(at, length, batch.column("n").to_numpy()))
+            layout, n = Layout(batch.column("chunk"), batch.column("lang")), batch.column("n").to_numpy()
+            at = layout.places(2)
+            at = at[marked(layout.pair(at), pairs.value)]
+            held.append((2, layout.table(at, 2, n)))
+            longer = np.intersect1d(layout.places(3), at, assume_unique=True)
+            longer = longer[marked(layout.pair(longer + 1), pairs.value)]
+            held.append((3, layout.table(longer, 3, n)))
             del batch, layout
-            if sum(t.num_rows for t in held) >= BLOCK:
+            if sum(t.num_rows for _, t in held) >= BLOCK:
                 yield from out()
                 release_memory()
         if held:
             yield from out()
         release_memory()
 
-    return (chunks.mapInArrow(run, "lang string, phrase string, n long")
-            .groupBy("lang", "phrase").agg(F.sum("n").alias("n")))
+    return (chunks.mapInArrow(run, "words int, lang string, phrase string, n long")
+            .groupBy("words", "lang", "phrase").agg(F.sum("n").alias("n")))
 
 
 def _sent(rows: DataFrame, mark_bits: int):
@@ -332,8 +351,8 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     often = words.filter(F.col("n") >= least)
     hashes = count_pair_hashes(chunks, mark_words(often, mark_bits), bucket_bits(chunks, "chunk", BUCKET_BYTES))
     likely = mark_pairs(hashes, least, mark_bits)
-    pairs, triples = (materialize(count_phrases(chunks, k, likely).filter(F.col("n") >= least), "phrase_counts")
-                      for k in (2, 3))
+    found = materialize(count_phrases(chunks, likely).filter(F.col("n") >= least), "phrase_counts")
+    pairs, triples = (found.filter(F.col("words") == k).drop("words") for k in (2, 3))
 
     part = F.split("phrase", " ")
     sides = _small(often), _small(pairs)

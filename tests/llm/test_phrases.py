@@ -44,7 +44,7 @@ def brute(docs, least=10, top=2000):
 
 def corpus(spark):
     rng = random.Random(6)
-    vocabulary = [f"w{i}" for i in range(30)] + ["Ünder", "É", "new", "york", "CITY", "x" * 40, "🙂"]
+    vocabulary = [f"w{i}" for i in range(30)] + ["Ünder", "É", "new", "york", "CITY", "x" * 40, "🙂", "no\u00a0break", "\x1c", "a\x85b", "li\u2028ne", "\u3000"]
     stops = [" ", " ", " ", " ", "  ", "\t", ". ", ",", "\n", "!? ", " ; ", "\r\n", "\x0b"]
     texts = ["".join(rng.choice(vocabulary) + rng.choice(stops) for _ in range(rng.randrange(80))) for _ in range(300)]
     texts += ["New York city is New York CITY. new york"] * 40 + ["a a a a a a a a, b b"] * 12 + [None, "", " \n\t. "]
