@@ -6,9 +6,11 @@ table: those, and the ones carried over from earlier versions, which are neither
 read nor copied. The manifest also holds the table's columns, so a carried
 partition shows a changed schema (gone columns dropped, new ones NULL), and for
 each partition its rows and the least and greatest values of a few columns, so a
-cutoff is read without a job. It is written last: a run that dies leaves the
-version before it current. Manifests are one small record for each partition;
-rows never pass the driver.
+cutoff is read without a job. A clustered table is sorted by a key within its
+partitions, and the manifest holds the key range of each file, so a read of some
+keys opens only files that may hold them. It is written last: a run that dies
+leaves the version before it current. Manifests are one small record for each
+file; rows never pass the driver.
 
 Layout::
 
@@ -21,6 +23,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
+from bisect import bisect_left
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
@@ -29,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 MANIFEST = "_manifest.json"
+FILE_ROWS = 2_000_000       # of a file of a clustered table
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"     # fixed value: Spark's folder of a NULL partition
 
 
@@ -128,16 +132,29 @@ class Stored:
         found = [v for v in found if v is not None]
         return (min(found), max(found)) if found else (None, None)
 
-    def frame(self, folders: Iterable[str] | None = None, schema: StructType | None = None) -> DataFrame:
-        """These partitions (all by default) under the table's, or another, schema."""
-        schema = schema or self.schema
+    def paths(self, folders: Iterable[str] | None = None, keys: Iterable[int] | None = None) -> list[str]:
+        """What to read for these partitions: folders, or with ``keys`` the files
+        of a clustered table whose range holds one of them."""
         chosen = list(self.parts if folders is None else folders)
-        if not chosen:
-            return self.spark.createDataFrame([], schema)
-        with_version = StructType([*schema.fields, StructField("v", IntegerType())])
-        paths = [f"{self.root}/{self.parts[f]['path']}" for f in chosen]
+        if keys is None:
+            return [f"{self.root}/{self.parts[f]['path']}" for f in chosen]
+        keys, out = sorted(keys), []
+        for f in chosen:
+            for name, low, high in self.parts[f]["files"]:
+                at = bisect_left(keys, low) if low is not None else len(keys)
+                if at < len(keys) and keys[at] <= high:
+                    out.append(f"{self.root}/{self.parts[f]['path']}/{name}")
+        return out
+
+    def frame(self, folders: Iterable[str] | None = None, keys: Iterable[int] | None = None) -> DataFrame:
+        """These partitions (all by default) in the table's columns; with
+        ``keys``, a superset of their rows (see ``paths``)."""
+        paths = self.paths(folders, keys)
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        with_version = StructType([*self.schema.fields, StructField("v", IntegerType())])
         read = self.spark.read.schema(with_version).option("basePath", self.root).parquet(*paths)
-        return read.select(*schema.names)
+        return read.select(*self.schema.names)
 
 
 def open_table(spark: SparkSession, root: str) -> Stored | None:
@@ -153,36 +170,53 @@ def read_manifest(spark: SparkSession, root: str, version: int) -> Stored:
     return Stored(spark, root, version, StructType.fromJson(held["schema"]), held["partition_by"], held["parts"])
 
 
-def _statistics(spark: SparkSession, root: str, version: int, schema: StructType, columns: Iterable[str]) -> dict[str, dict]:
-    """One small row for each partition written."""
-    columns = list(columns)
+def _statistics(spark: SparkSession, root: str, version: int, schema: StructType, columns: Iterable[str],
+                cluster: str | None) -> dict[str, dict]:
+    """What the manifest says of each partition written: one small row for each file."""
+    columns = list(dict.fromkeys([*columns, *([cluster] if cluster else [])]))
     fs, path = file_system(spark, f"{root}/v={version}")
     if not any(s.isDirectory() for s in fs.listStatus(path)):
         return {}
     written = spark.read.schema(schema).parquet(f"{root}/v={version}")
-    folder = F.regexp_extract(F.col("_metadata.file_path"), rf"/(v={version}/.+)/[^/]+$", 1).alias("path")
-    found = written.select(folder, *columns).groupBy("path").agg(
+    at = F.regexp_extract(F.col("_metadata.file_path"), rf"/(v={version}/.+/[^/]+)$", 1).alias("path")
+    found = written.select(at, *columns).groupBy("path").agg(
         F.count("*").alias("rows"), *[f(c).cast("string").alias(f"{n}_{c}") for c in columns
                                       for n, f in (("low", F.min), ("high", F.max))]).collect()
-    return {r["path"].partition("/")[2]: {
-        "path": r["path"], "rows": r["rows"], "low": {c: r[f"low_{c}"] for c in columns},
-        "high": {c: r[f"high_{c}"] for c in columns}} for r in found}
+    parts: dict[str, dict] = {}
+    for r in sorted(found, key=lambda r: r["path"]):
+        folder, _, name = r["path"].rpartition("/")
+        part = parts.setdefault(folder.partition("/")[2], {"path": folder, "rows": 0, "low": {}, "high": {}})
+        part["rows"] += r["rows"]
+        for c in columns:
+            kind = schema[c].dataType.simpleString()
+            for side, pick in (("low", min), ("high", max)):
+                known = [x for x in (part[side].get(c), r[f"{side}_{c}"]) if x is not None]
+                part[side][c] = pick(known, key=lambda x, kind=kind: _value(x, kind)) if known else None
+        if cluster:
+            part.setdefault("files", []).append([name, *(None if r[f"{s}_{cluster}"] is None else int(r[f"{s}_{cluster}"])
+                                                         for s in ("low", "high"))])
+    return parts
 
 
 def write_parts(rows: DataFrame, root: str, partition_by: list[str], carried: dict[str, dict] | None = None,
-                statistics: Iterable[str] = ()) -> Stored:
+                statistics: Iterable[str] = (), cluster: str | None = None, file_rows: int = FILE_ROWS) -> Stored:
     """The next version: ``rows`` as new partitions, ``carried`` as they are.
 
     Rows of a partition come together, a large partition in several files
-    (rebalanced by size, so no task holds a hot partition)."""
+    (rebalanced by size, so no task holds a hot partition). With ``cluster``, a
+    whole-number column, rows are range-sorted by it within their partition."""
     spark, root = rows.sparkSession, root.rstrip("/")
     if any(c.lower() == "v" for c in rows.columns):
         raise ValueError("the column name v is kept for the version")
     version = max(version_numbers(spark, root), default=0) + 1
     out = f"{root}/v={version}"
-    dealt = rows.hint("rebalance", *[F.col(c) for c in partition_by])
-    dealt.write.mode("errorifexists").partitionBy(*partition_by).parquet(out)
-    parts = {**(carried or {}), **_statistics(spark, root, version, rows.schema, statistics)}
+    if cluster:
+        dealt = rows.repartitionByRange(*partition_by, cluster).sortWithinPartitions(*partition_by, cluster)
+    else:
+        dealt = rows.hint("rebalance", *[F.col(c) for c in partition_by])
+    writer = dealt.write.mode("errorifexists").partitionBy(*partition_by)
+    (writer.option("maxRecordsPerFile", file_rows) if cluster else writer).parquet(out)
+    parts = {**(carried or {}), **_statistics(spark, root, version, rows.schema, statistics, cluster)}
     stored = Stored(spark, root, version, rows.schema, partition_by, parts)
     fs, path = file_system(spark, f"{out}/{MANIFEST}")
     _write_text(fs, path, json.dumps({"schema": json.loads(rows.schema.json()), "partition_by": partition_by,

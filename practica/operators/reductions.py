@@ -35,12 +35,13 @@ class Reduction:
     date: str
     number: str
     value: str
+    cluster: str            # the key that few files are read by
 
 
 # Staged relation -> its reduction.
 REDUCTIONS = {
-    "time_entry": Reduction(("consultant_id", "deliverable_id"), "work_date", "record_id", "hours"),
-    "project_expense": Reduction(("project_id", "is_billable"), "expense_date", "record_id", "amount"),
+    "time_entry": Reduction(("consultant_id", "deliverable_id"), "work_date", "record_id", "hours", "deliverable_id"),
+    "project_expense": Reduction(("project_id", "is_billable"), "expense_date", "record_id", "amount", "project_id"),
 }
 LAST, UNNUMBERED = "last_number", "unnumbered"
 
@@ -89,10 +90,10 @@ def maintain(spark: SparkSession, events: DataFrame, r: Reduction, root: str, fu
             kept = stored.folders(lambda v: v[r.date] not in months and (v[r.date] is None or v[r.date] < since))
             added = _resum(stored.frame(touched).unionByName(late), r, stored.frame([]))
             rows = added.unionByName(fresh.select(*[F.col(f.name).cast(f.dataType) for f in stored.schema.fields]))
-            new = parts.write_parts(rows, root, [r.date], {f: stored.parts[f] for f in kept}, statistics)
+            new = parts.write_parts(rows, root, [r.date], {f: stored.parts[f] for f in kept}, statistics, r.cluster)
             parts.drop_folder(spark, batch)
             return new
-    return parts.write_parts(reduce(events, r), root, [r.date], statistics=statistics)
+    return parts.write_parts(reduce(events, r), root, [r.date], statistics=statistics, cluster=r.cluster)
 
 
 def as_events(reduced: DataFrame, r: Reduction, like: DataFrame) -> DataFrame:

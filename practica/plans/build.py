@@ -26,8 +26,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from practica.operators.incremental import incremental_refresh, keep_last, read_current, write_version
-from practica.operators.parts import Stored, prune
+from practica.functions.keys import ntz
+from practica.operators.incremental import incremental_refresh, keep_last, last_update_watermark, read_current, write_version
+from practica.operators.parts import Stored, open_table, prune
 from practica.operators.reductions import REDUCTIONS, as_events, maintain
 from practica.operators.scd2 import SNAPSHOTS, read_history, snapshot_parts
 from practica.operators.staging import stage_all
@@ -37,6 +38,7 @@ from practica.semantics import Semantics
 from practica.session import shared_dir
 from practica.sources.tables import Sources, Staged
 
+DELTA_KEYS = 10_000         # updated projects (or their deliverables) that are read by key
 KEEP = 2                    # versions of each table that stay readable
 # Dates outside are stand-ins for an unknown or open date.
 FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1), dt.date(2199, 12, 31)
@@ -152,16 +154,39 @@ def fact_layer(spark: SparkSession, st: Staged, marts: Marts, root: str, sem: Se
     the facts' own, and the expense reduction's months for I4."""
     paths = {}
     for name, (builder, key, month, cutoff) in FACTS.items():
-        known = {}
+        known, inputs = {}, st
         if name == "finance" and reduced is not None:
             known["latest_expense"] = latest_month(reduced["project_expense"], sem)
+        if name == "project" and reduced is not None:
+            inputs = inputs_of_updated(st, reduced, open_table(spark, f"{root}/facts/{name}"))
         paths[name] = incremental_refresh(
             spark, f"{root}/facts/{name}",
-            lambda target, b=builder, known=known: b(st, marts, sem, target=target, **known),
+            lambda target, b=builder, st=inputs, known=known: b(st, marts, sem, target=target, **known),
             key, [month], [cutoff] if cutoff != month else []).path
     return paths
 
 
+def inputs_of_updated(st: Staged, reduced: dict[str, Stored], target: Stored | None) -> Staged:
+    """The reductions narrowed to the files that may hold entries and expenses
+    of projects updated since the stored fact. With more than ``DELTA_KEYS``
+    projects or deliverables updated (or no fact yet) all files are read."""
+    if target is None:
+        return st
+    updated = (st.project.filter(F.col("last_update") > ntz(last_update_watermark(target)))
+               .select("project_id").filter("project_id is not null").distinct())
+    projects = [r[0] for r in updated.limit(DELTA_KEYS + 1).collect()]
+    if len(projects) > DELTA_KEYS:
+        return st
+    own = st.deliverable.filter(F.col("project_id").isin(projects)) if projects else st.deliverable.limit(0)
+    deliverables = [r[0] for r in own.select("deliverable_id").filter("deliverable_id is not null").distinct()
+                    .limit(DELTA_KEYS + 1).collect()]
+    if len(deliverables) > DELTA_KEYS:
+        return st
+    keys = {"time_entry": deliverables, "project_expense": projects}
+    return st.replace(**{name: as_events(reduced[name].frame(keys=keys[name]), r, getattr(st, name))
+                         for name, r in REDUCTIONS.items()})
+
+
 def latest_month(reduced: Stored, sem: Semantics) -> dt.date | None:
     """The latest stored month in the calendar; no job."""
     date = reduced.partition_by[0]

@@ -269,3 +269,43 @@ def test_the_calendar_of_a_build_comes_from_its_data(spark, tmp_path):
     assert far.month_bounds() == (dt.date(2023, 1, 1), dt.date(9999, 12, 31))
     marts = build.build_marts({n: read_history(spark, f"{tmp_path}/marts/snapshots/{n}") for n in SNAPSHOTS}, far)
     assert facts.finance_fact(st, marts, far).count() >= len(dates)
+
+
+def test_updated_projects_read_a_small_share_of_files(spark, tmp_path):
+    """I5 by key: ten of a thousand projects, each with five deliverables."""
+    r = REDUCTIONS["time_entry"]
+    rows = spark.range(60_000).select((F.col("id") % 7).alias("consultant_id"), (F.col("id") % 5000).alias("deliverable_id"),
+                                      F.col("id").alias("record_id"), F.lit(1).cast("decimal(10,2)").alias("hours"),
+                                      F.expr("date_add(DATE'2023-01-01', cast(id % 360 as int))").alias("work_date"))
+    stored = parts.write_parts(reduce(rows, r), str(tmp_path / "reduced"), ["work_date"], cluster=r.cluster, file_rows=200)
+    files = [f for p in stored.parts.values() for f in p["files"]]
+    assert len(files) > 150 and all(low <= high for _, low, high in files)
+    again = parts.open_table(spark, stored.root)
+    wanted = [p * 5 + k for p in range(300, 310) for k in range(5)]
+    read = again.frame(keys=wanted)
+    assert 0 < len(read.inputFiles()) <= 0.1 * len(files)
+    found, every = (df.filter(F.col("deliverable_id").isin(wanted)) for df in (read, again.frame()))
+    assert rows_of(found.collect()) == rows_of(every.collect()) and every.count()
+    assert again.frame(keys=[10**9]).count() == again.frame(keys=[]).count() == 0
+    # a table with one file for each partition and NULL keys
+    null = parts.write_parts(rows.limit(3).withColumn("deliverable_id", F.lit(None).cast("long")), str(tmp_path / "null"),
+                             ["work_date"], cluster="deliverable_id")
+    assert null.frame(keys=[1]).count() == 0 and null.frame().count() == 3
+
+
+def test_a_build_reads_updated_projects_by_key(spark, tmp_path, monkeypatch):
+    sem, rows, root = Semantics(as_of=dt.date(2024, 6, 30)), tiny.rows(), str(tmp_path / "marts")
+    run_build(spark, tiny.sources(spark), dt.datetime(2024, 3, 1), sem, root)
+    rows["project"] = [(*r[:14], tiny.D("75.00"), "2024-04-05 00:00:00") if r[0] == 101 else r for r in rows["project"]]
+    asked = []
+    frame = parts.Stored.frame
+    monkeypatch.setattr(parts.Stored, "frame", lambda self, folders=None, keys=None: (
+        asked.append((self.root.rpartition("/")[2], keys)) if keys is not None else None, frame(self, folders, keys))[1])
+    run_build(spark, tiny.sources(spark, rows), dt.datetime(2024, 4, 6), sem, root)
+    assert asked == [("time_entry", [1002]), ("project_expense", [101])]
+    monkeypatch.undo()
+    st = build.stage_all(tiny.sources(spark, rows))
+    marts = build.build_marts({n: read_history(spark, f"{root}/snapshots/{n}") for n in SNAPSHOTS}, sem)
+    want = facts.project_fact(st, marts, sem).filter("project_id = 101")
+    got = incremental.read_current(spark, f"{root}/facts/project").filter("project_id = 101 and date = '2024-04-01'")
+    assert rows_of(got.select(*want.columns).collect()) == rows_of(want.collect())
