@@ -16,9 +16,9 @@ for each similarity. Shortening ends when that is at most 1 - ``RECALL`` of all,
 where it would be even if all links were at the threshold (4 here).
 
 Equal texts are one class from the start (they share a digest), so copies are
-never paired. A node with more than ``TILE`` texts is divided into tiles;
-each pair of tiles is one unit of work, so no task holds a node, and shingle sets
-travel only to units that verify with them. Units give, for each text, how many
+never paired. A node with more than ``TILE`` texts or ``TILE_SHINGLES`` shingles
+is divided into tiles; each pair of tiles is one unit of work, so no task holds a
+node, and shingle sets travel only to units that verify with them. Units give, for each text, how many
 rows it is linked to and the smallest text of its local component; no table of
 pairs is made. Components are joined by alternating stars.
 
@@ -34,6 +34,8 @@ empty result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -48,7 +50,8 @@ SIMILARITY = 0.8
 TREES, DEPTH = 32, 6
 RECALL = 1 - 1e-7
 BINS = 20                   # classes of similarity of verified links
-TILE = 256
+TILE, TILE_SHINGLES = 2048, 2_000_000
+BLOCK = 512                 # texts compared with all of their unit at a time
 SEED = 5
 NODE_BYTES = 40             # of a node that is broadcast
 BROADCAST_BYTES = 32 << 20
@@ -125,16 +128,19 @@ def signature_of(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
 
 
 def sign(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, signature): null without words."""
+    """(doc_id, digest, signature, size): null without words; shingles, repeated
+    ones too."""
     def run(batch: pa.RecordBatch) -> dict:
         found: list = []
+        sizes: list = []
         for _, hashes, counts in word_hasher().groups(texts_of(batch)):
             h, n = shingles(hashes, counts)
             rows = iter(signatures(h, n) if n.any() else [])
             found += [next(rows).tobytes() if k else None for k in n]
+            sizes += n.tolist()
         return {"doc_id": batch.column("doc_id"), "digest": batch.column("digest"),
-                "signature": pa.array(found, pa.binary())}
-    return map_batches(docs, run, "doc_id long, digest string, signature binary")
+                "signature": pa.array(found, pa.binary()), "size": pa.array(sizes, pa.int64())}
+    return map_batches(docs, run, "doc_id long, digest string, signature binary, size long")
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
@@ -182,8 +188,8 @@ def _pairs(table: pa.Table, a: int, b: int, hashes: np.ndarray, depth: int) -> n
 
 
 def nodes_of(classes: DataFrame, depth: int) -> DataFrame:
-    """(tree, prefix, child, digest): the nodes of this depth that hold each text,
-    and the node below, or at the deepest level the text itself."""
+    """(tree, prefix, child, digest, size): the nodes of this depth that hold each
+    text, and the node below, or at the deepest level the text itself."""
     def run(batch: pa.RecordBatch) -> dict:
         h = prefixes(signature_of(batch.column("signature")))
         n = len(h)
@@ -192,9 +198,9 @@ def nodes_of(classes: DataFrame, depth: int) -> DataFrame:
         return {"tree": pa.array(np.tile(np.arange(TREES, dtype=np.int32), n)),
                 "prefix": pa.array(h[:, :, depth - 1].ravel().view(np.int64)),
                 "child": pa.array(child.ravel().view(np.int64)),
-                "digest": batch.column("digest").take(pa.array(np.repeat(np.arange(n), TREES)))}
-    signed = classes.filter("signature is not null").select("digest", "signature", F.xxhash64("digest").alias("text_hash"))
-    return map_batches(signed, run, "tree int, prefix long, child long, digest string")
+                **{c: batch.column(c).take(pa.array(np.repeat(np.arange(n), TREES))) for c in ("digest", "size")}}
+    signed = classes.filter("signature is not null").select("digest", "size", "signature", F.xxhash64("digest").alias("text_hash"))
+    return map_batches(signed, run, "tree int, prefix long, child long, digest string, size long")
 
 
 def units(classes: DataFrame, depth: int, tile: int) -> DataFrame:
@@ -202,11 +208,13 @@ def units(classes: DataFrame, depth: int, tile: int) -> DataFrame:
     more below it, in each pair of tiles that holds theirs."""
     members = nodes_of(classes, depth)
     nodes = materialize(members.groupBy("tree", "prefix")
-                        .agg(F.count("*").alias("n"), F.min("child").alias("a"), F.max("child").alias("b"))
-                        .filter("a <> b").select("tree", "prefix", "n"), "join_nodes")
+                        .agg(F.count("*").alias("n"), F.sum("size").alias("size"), F.min("child").alias("a"),
+                             F.max("child").alias("b"))
+                        .filter("a <> b").select("tree", "prefix", F.greatest(
+                            F.ceil(F.col("n") / tile), F.ceil(F.col("size") / TILE_SHINGLES)).cast("int").alias("tiles")),
+                        "join_nodes")
     few = nodes.count() * NODE_BYTES <= BROADCAST_BYTES
-    both = (members.drop("child").join(F.broadcast(nodes) if few else nodes, ["tree", "prefix"])
-            .withColumn("tiles", F.ceil(F.col("n") / tile).cast("int"))
+    both = (members.drop("child", "size").join(F.broadcast(nodes) if few else nodes, ["tree", "prefix"])
             .withColumn("tile", F.pmod(F.xxhash64("digest"), "tiles").cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))))
     return both.select("tree", "prefix", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"),
@@ -226,30 +234,33 @@ def needed(placed: DataFrame, depth: int) -> DataFrame:
                              "digest string, copies long, signature binary")
 
 
-def common_shingles(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Sizes of all pairwise intersections of these sets."""
-    m = len(offsets) - 1
+def common_shingles(values: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Sizes of all pairwise intersections of these sets: (first row, rows of the
+    table), ``BLOCK`` rows at a time."""
+    m, width = len(offsets) - 1, 4096
+    size = np.diff(offsets)
     if m == 2:
         n = len(np.intersect1d(values[:offsets[1]], values[offsets[1]:], assume_unique=True))
-        a, b = np.diff(offsets)
-        return np.array([[a, n], [n, b]])
-    owner = np.repeat(np.arange(m), np.diff(offsets))
+        yield 0, np.array([[size[0], n], [n, size[1]]])
+        return
+    owner = np.repeat(np.arange(m), size)
     _, code, count = np.unique(values, return_inverse=True, return_counts=True)
     # Shingles of one text alone are in no intersection.
     shared = count[code] > 1
     owner, code = owner[shared], (np.cumsum(count > 1) - 1)[code[shared]]
-    out = np.zeros((m, m), np.float32)
-    width = 4096
     order = np.argsort(code, kind="stable")
     owner, code = owner[order], code[order]
-    for first in range(0, int(code[-1]) + 1 if len(code) else 0, width):
-        a, b = np.searchsorted(code, [first, first + width])
-        table = np.zeros((m, width), np.float32)
-        table[owner[a:b], code[a:b] - first] = 1
-        out += table @ table.T
-    out = out.astype(np.int64)
-    np.fill_diagonal(out, np.diff(offsets))
-    return out
+    for begin in range(0, m, BLOCK):
+        end = min(begin + BLOCK, m)
+        out = np.zeros((end - begin, m), np.float32)
+        for first in range(0, int(code[-1]) + 1 if len(code) else 0, width):
+            a, b = np.searchsorted(code, [first, first + width])
+            table = np.zeros((m, width), np.float32)
+            table[owner[a:b], code[a:b] - first] = 1
+            out += table[begin:end] @ table.T
+        out = out.astype(np.int64)
+        out[np.arange(end - begin), np.arange(begin, end)] = size[begin:end]
+        yield begin, out
 
 
 def _roots(links: np.ndarray) -> np.ndarray:
@@ -277,15 +288,18 @@ def verify(work: DataFrame, similarity: float, depth: int) -> DataFrame:
             if b - a < 2:
                 continue
             meet = _pairs(table, a, b, hashes, depth)
-            inter = common_shingles(values[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
-            size = np.diag(inter)
-            union = size[:, None] + size[None, :] - inter
-            links = meet & (inter >= similarity * union - 1e-9)
+            size = np.diff(offsets[a:b + 1])
+            found = np.zeros(BINS, np.int64)
+            for first, inter in common_shingles(values[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]):
+                rows = slice(first, first + len(inter))
+                union = size[rows, None] + size[None, :] - inter
+                meet[rows] &= inter >= similarity * union - 1e-9
+                at = np.nonzero(np.triu(meet[rows], first + 1))
+                level = (inter[at] / union[at] - similarity) / max(1 - similarity, 1e-9) * BINS
+                found += np.bincount(np.clip(level.astype(np.int64), 0, BINS - 1), minlength=BINS)
+            links, found = meet, found.tolist()
             if not links.any():
                 continue
-            at = np.nonzero(np.triu(links))
-            level = (inter[at] / union[at] - similarity) / max(1 - similarity, 1e-9) * BINS
-            found = np.bincount(np.clip(level.astype(np.int64), 0, BINS - 1), minlength=BINS).tolist()
             names = digest[a:b]
             order = sorted(range(b - a), key=names.__getitem__)
             root = _roots(links[np.ix_(order, order)])
@@ -366,7 +380,8 @@ def link_documents(docs: DataFrame, similarity: float = SIMILARITY, id_col: str
              .withColumn("digest", F.md5("text")))
     rows = materialize(sign(texts), "join_rows")
     classes = materialize(rows.groupBy("digest").agg(F.min("doc_id").alias("copy_of"), F.count("*").alias("copies"),
-                                                     F.first("signature").alias("signature")), "join_classes")
+                                                     F.first("signature").alias("signature"),
+                                                     F.first("size").alias("size")), "join_classes")
     found, _ = forest_links(texts, classes, similarity, tile)
 
     links = found.groupBy("digest").agg(F.sum("links").alias("links"))

@@ -62,15 +62,28 @@ def test_links_and_classes_against_all_pairs(spark, odd_docs):
         assert found(join.link_documents(docs)) == brute(data)
 
 
-def test_tiles_of_a_large_node_give_the_same(spark):
+def test_tiles_of_a_large_node_give_the_same(spark, monkeypatch):
     docs = near_docs(spark)
-    assert found(join.link_documents(docs, tile=7)) == found(join.link_documents(docs))
+    whole = found(join.link_documents(docs))
+    assert found(join.link_documents(docs, tile=7)) == whole
+    monkeypatch.setattr(join, "TILE_SHINGLES", 3000)
+    assert found(join.link_documents(docs)) == whole
+
+
+def test_intersections_by_blocks(monkeypatch):
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 40))) for _ in range(23)]
+    values, offsets = np.concatenate(sets), np.cumsum([0, *map(len, sets)])
+    want = np.array([[len(np.intersect1d(a, b)) for b in sets] for a in sets])
+    for block in (1, 7, 512):
+        monkeypatch.setattr(join, "BLOCK", block)
+        assert (np.concatenate([rows for _, rows in join.common_shingles(values, offsets)]) == want).all()
 
 
 def levels(spark, texts, **options):
     docs = spark.createDataFrame(rows(texts), SCHEMA).select("text", F.md5("text").alias("digest"))
     classes = join.sign(docs.withColumn("doc_id", F.lit(1).cast("long")).select("doc_id", "digest", "text")).groupBy("digest").agg(
-        F.count("*").alias("copies"), F.first("signature").alias("signature"))
+        F.count("*").alias("copies"), F.first("signature").alias("signature"), F.first("size").alias("size"))
     links, found = join.forest_links(docs, classes, **options)
     return links, found
 
