@@ -3,6 +3,7 @@
 Each stage takes (session, documents, input directory) and returns documents,
 the last one packed pieces; what it returns is written as Parquet in the shared
 folder and read again by the next, so a lost executor costs one stage's tasks.
+A stage's table is deleted once the next one's is written.
 """
 
 from __future__ import annotations
@@ -13,7 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from practica.llm import jaccard_join, mixing, packing, secret_ledger, toxicity
 from practica.llm.common import read_table
-from practica.session import materialize, shared_dir
+from practica.operators.parts import drop_folder
+from practica.session import shared_dir
+
+
+LEDGER = "secret_ledger/pipeline"   # below the shared folder
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,8 +32,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, found secrets replaced; a ledger of this run."""
-    return secret_ledger.redact_documents(docs, f"{shared_dir(spark).rstrip('/')}/secret_ledger/{uuid.uuid4().hex}")
+    """All documents, found secrets replaced. The ledger outlives a run: texts
+    that an earlier one has scanned are not scanned again."""
+    return secret_ledger.redact_documents(docs, f"{shared_dir(spark).rstrip('/')}/{LEDGER}")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,13 +55,18 @@ STAGES = [
     ("best-fit packing", pack_sequences),
 ]
 
-# The classifier, the forest and the packing have no SQL form; tests compare
-# each stage with a brute-force version.
+# The classifier, the forest and the packing have no SQL form; tests compare the
+# operators of the stages with brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), "pipeline")
+    docs, before = read_table(spark, sf_dir, "documents"), None
+    root = f"{shared_dir(spark).rstrip('/')}/pipeline/{uuid.uuid4().hex}"
+    for i, (_, stage) in enumerate(STAGES):
+        stage(spark, docs, sf_dir).write.parquet(f"{root}/{i}")
+        docs = spark.read.parquet(f"{root}/{i}")
+        if before is not None:
+            drop_folder(spark, before)
+        before = f"{root}/{i}"
     return docs
