@@ -68,5 +68,39 @@ def op3_sql() -> str:
     """
 
 
+def op12_sql() -> str:
+    """All words, pairs and triples of all pieces, counted; scores in 128 bits."""
+    return r"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents),
+    worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+    counted AS (
+        SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+        FROM worded, unnest([1, 2, 3]) AS size(k), unnest(range(1, greatest(len(w) - k + 2, 1))) AS place(i)
+        GROUP BY ALL),
+    total AS (SELECT lang, sum(f) AS n FROM counted WHERE k = 1 GROUP BY lang),
+    candidate AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM counted WHERE k > 1 AND f >= 10),
+    inside AS (
+        SELECT lang, phrase, max(a) AS longer FROM (
+            SELECT lang, w[1] || ' ' || w[2] AS phrase, a FROM candidate WHERE k = 3
+            UNION ALL SELECT lang, w[2] || ' ' || w[3], a FROM candidate WHERE k = 3) GROUP BY ALL),
+    cut AS (
+        SELECT c.lang, c.phrase, c.a, cut, x.f AS l, y.f AS r,
+               (1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f) AS score
+        FROM candidate c, unnest(range(1, c.k)) AS places(cut)
+        JOIN counted x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:cut], ' ')
+        JOIN counted y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[cut + 1:], ' ')
+        LEFT JOIN inside i ON i.lang = c.lang AND i.phrase = c.phrase
+        WHERE i.longer IS NULL OR c.k = 3 OR 100 * i.longer < 50 * c.a),
+    lowest AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+    SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+    FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+    """
+
+
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op3_lsh_forest": op3_sql(), "op8_url_bloom": op8_sql()}
+    return {"op3_lsh_forest": op3_sql(), "op8_url_bloom": op8_sql(), "op12_phrase_parse": op12_sql()}
