@@ -24,6 +24,9 @@ import sys
 from pyspark.sql import SparkSession
 
 
+SHUFFLED_PART = 8       # of the sources' bytes, the largest expected shuffle
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="practica")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -43,11 +46,17 @@ def main(argv: list[str] | None = None) -> int:
     from practica.operators.staging import stage_all
     from practica.plans.build import calendar_of, default_root, outside_calendar, run_build, stored_calendar
     from practica.semantics import Semantics
-    from practica.session import SCALE_CONF
+    from practica.operators.parts import file_system
+    from practica.session import SCALE_CONF, cluster_conf
     from practica.sources.schemas import read_sources
 
     spark = SparkSession.builder.appName("practica").getOrCreate()
-    for k, v in SCALE_CONF.items():
+    settings = SCALE_CONF
+    if args.cmd == "build" and not spark.sparkContext.master.startswith("local"):
+        # the measures shuffle partial aggregates, a small part of the sources
+        fs, path = file_system(spark, args.sources)
+        settings = cluster_conf(fs.getContentSummary(path).getLength() // SHUFFLED_PART)
+    for k, v in settings.items():
         spark.conf.set(k, v)
     now = dt.datetime.now().replace(microsecond=0)
     as_of = dt.date.fromisoformat(args.as_of) if args.as_of else now.date()
