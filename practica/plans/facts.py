@@ -244,17 +244,23 @@ def hr_utilization(st: Staged, marts: Marts, sem: Semantics = Semantics(),
 def hr_deliverable_bridge(st: Staged, marts: Marts, sem: Semantics = Semantics()) -> DataFrame:
     """M9, consultant -> deliverables worked (all time), for consultants with
     hours. A consultant with no time entry keeps one row with NULL deliverable."""
-    who = st.non_billable_hours.select("consultant_id").distinct()
-    worked = st.time_entry.select("consultant_id", "deliverable_id").distinct()
-    # who ⟕ worked, written as a semi join (the big, possibly skewed side is
-    # the probe side, which adaptive execution may split) plus the consultants
-    # with no entry at all (a small anti join).
-    linked = worked.join(who, "consultant_id", "left_semi")
-    idle = (who.join(worked.select("consultant_id").distinct(), "consultant_id", "left_anti")
-            .select("consultant_id", F.lit(None).cast("long").alias("deliverable_id")))
+    # who ⟕ worked from one reading of each: both give (consultant, deliverable)
+    # rows, reduced to distinct ones before anything joins. The two uses of the
+    # pairs share their exchange, and the join back has the pairs, possibly skewed,
+    # on the side that adaptive execution may split.
+    one, none = F.lit(1), F.lit(0)
+    pairs = (st.time_entry.select("consultant_id", "deliverable_id", one.alias("worked"), none.alias("listed"))
+             .unionByName(st.non_billable_hours.select("consultant_id", F.lit(None).cast("long").alias("deliverable_id"),
+                                                       none.alias("worked"), one.alias("listed")))
+             .groupBy("consultant_id", "deliverable_id").agg(F.max("worked").alias("worked"), F.max("listed").alias("listed")))
+    who = (pairs.groupBy(F.col("consultant_id").alias("w_id")).agg(F.max("listed").alias("_listed"), F.max("worked").alias("_worked"))
+           .filter("_listed = 1"))
+    known = F.col("consultant_id").isNotNull()
+    links = (pairs.join(who, F.col("consultant_id").eqNullSafe(F.col("w_id")))
+             .filter(((F.col("worked") == 1) & known) | ((F.col("listed") == 1) & ((F.col("_worked") == 0) | ~known)))
+             .select("consultant_id", F.when(known, F.col("deliverable_id")).alias("deliverable_id")))
     dd = versions(marts.deliverable, sem).select(F.col("deliverable_id").alias("d_id"), "deliverable_key")
-    return (linked.unionByName(idle)
-            .join(dd, F.col("deliverable_id") == F.col("d_id"), "left")
+    return (links.join(dd, F.col("deliverable_id") == F.col("d_id"), "left")
             .select("consultant_id", "deliverable_id", "deliverable_key"))
 
 
