@@ -282,11 +282,11 @@ def unit_month_parts(st: Staged, sem: Semantics = Semantics()) -> list[tuple[Dat
     input read once; costs have no project_id.
 
     An expense counts in its month (A7) and, if billable on a time-and-material
-    project, in the revenue of the project's planned month (A11); an entry costs
-    its consultant's unit in its month (A8) and earns for its project (A12). Both
-    are reduced to their finest grain, joined to what prices them, and give both
-    summands from one row. A project's revenue is the sum of its summands (A10 to
-    A12, and 0 for each project) in cents.
+    project, in the revenue of the project's planned month (A11). An entry counts
+    twice in one reduction: by consultant and month for its cost (A8), by
+    deliverable for what it earns (A12); both are priced by one join on (kind, id).
+    A project's revenue is the sum of its summands (A10 to A12, and 0 for each
+    project) in cents.
     """
     p = st.project.select("project_id", F.col("unit_id").alias("p_unit"), "project_type", "status",
                           month_start("planned_start_date").alias("p_month"))
@@ -309,19 +309,27 @@ def unit_month_parts(st: Staged, sem: Semantics = Semantics()) -> list[tuple[Dat
                         (by_type & (F.col("is_billable") == 1), F.col("p_unit"), F.col("p_month"), F.col("project_id"),
                          {"monthly_amount": none, "_anchor": F.lit(None).cast("int"), "total_revenue": amount}))
 
-    priced = (st.deliverable.select("deliverable_id", "project_id").join(p, "project_id")
-              .join(rate_by_project(st), "project_id", "left").select("deliverable_id", "project_id", "p_unit", "p_month", "project_type", "rate_sum"))
-    paid = (st.consultant.select("consultant_id", F.col("business_unit_id").alias("c_unit"))
-            .join(payroll_by_consultant(st), "consultant_id", "left"))
-    worked = (hours_by_deliverable_month(st, "consultant_id").join(priced, "deliverable_id", "left")
-              .join(paid, "consultant_id", "left"))
-    cost = (F.col("hours") * F.col("amount_sum")).cast(AMOUNT)
-    earned = (F.col("hours") * F.col("rate_sum")).cast(AMOUNT)
-    entries = summands(worked,
-                       (None, F.col("c_unit"), F.col("month"), F.lit(None),
-                        {"total_billable_consultant_cost": cost, "total_revenue": none}),
-                       (by_type, F.col("p_unit"), F.col("p_month"), F.col("project_id"),
-                        {"total_billable_consultant_cost": none, "total_revenue": earned}))
+    by_consultant, by_deliverable = F.lit(0), F.lit(1)
+    worked = (st.time_entry.select("hours", F.inline(F.array(
+        F.struct(by_consultant.alias("kind"), F.col("consultant_id").cast("long").alias("id"), month_start("work_date").alias("month")),
+        F.struct(by_deliverable.alias("kind"), F.col("deliverable_id").cast("long").alias("id"), F.lit(None).cast("date").alias("month")))))
+        .groupBy("kind", "id", "month").agg(_sum("hours", "hours")))
+    unit = st.consultant.select(F.col("consultant_id").alias("id"), F.col("business_unit_id").alias("x_unit"))
+    paid = (unit.join(payroll_by_consultant(st).withColumnRenamed("consultant_id", "id"), "id", "full_outer")
+            .select(by_consultant.alias("x_kind"), F.col("id").cast("long").alias("x_id"), "x_unit",
+                    F.lit(None).cast("date").alias("x_month"), F.lit(None).cast("long").alias("project_id"),
+                    F.col("amount_sum").alias("price")))
+    earning = (st.deliverable.select("deliverable_id", "project_id").join(p.filter(by_type), "project_id")
+               .join(rate_by_project(st), "project_id", "left")
+               .select(by_deliverable.alias("x_kind"), F.col("deliverable_id").cast("long").alias("x_id"), F.col("p_unit").alias("x_unit"),
+                       F.col("p_month").alias("x_month"), "project_id", F.col("rate_sum").alias("price")))
+    prices = paid.unionByName(earning)
+    value, cost = (F.col("hours") * F.col("price")).cast(AMOUNT), F.col("kind") == by_consultant
+    entries = (worked.join(prices, (F.col("kind") == F.col("x_kind")) & (F.col("id") == F.col("x_id")), "left")
+               .filter(cost | F.col("x_kind").isNotNull())
+               .select(F.col("x_unit").alias("unit_id"), F.when(cost, F.col("month")).otherwise(F.col("x_month")).alias("month"),
+                       "project_id", F.when(cost, value).alias("total_billable_consultant_cost"),
+                       F.when(~cost, value).alias("total_revenue")))
 
     fixed = (st.deliverable.groupBy("project_id").agg(_sum("price", "price"))
              .join(p.filter(sem.completed(F.col("status")) & (F.col("project_type") == TYPE_FIXED)), "project_id")

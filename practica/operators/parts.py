@@ -5,8 +5,8 @@ partitions that its run wrote, and a manifest that names every partition of the
 table: those, and the ones carried over from earlier versions, which are neither
 read nor copied. The manifest also holds the table's columns, so a carried
 partition shows a changed schema (gone columns dropped, new ones NULL), and for
-each partition its rows and the least and greatest values of a few columns, so a
-cutoff is read without a job. A clustered table is sorted by a key within its
+each partition the least and greatest values of a few columns, so a cutoff is read
+without a job. A clustered table is sorted by a key within its
 partitions, and the manifest holds the key range of each file, so a read of some
 keys opens only files that may hold them. It is written last: a run that dies
 leaves the version before it current. Manifests are one small record for each
@@ -88,8 +88,8 @@ def _value(text: str | None, kind: str):
 
 @dataclass
 class Stored:
-    """One version of a table. ``parts``: folder -> path below the root, rows,
-    least and greatest values as text."""
+    """One version of a table. ``parts``: folder -> path below the root, least and
+    greatest values as text, key ranges of files."""
     spark: SparkSession
     root: str
     version: int
@@ -101,10 +101,6 @@ class Stored:
     def path(self) -> str:
         return f"{self.root}/v={self.version}"
 
-    @property
-    def rows(self) -> int:
-        return sum(p["rows"] for p in self.parts.values())
-
     def folders(self, wanted: Callable[[dict], bool]) -> list[str]:
         """Partitions whose values (column -> value, None for NULL) are wanted."""
         return [f for f in self.parts if wanted(self.values(f))]
@@ -170,23 +166,34 @@ def read_manifest(spark: SparkSession, root: str, version: int) -> Stored:
     return Stored(spark, root, version, StructType.fromJson(held["schema"]), held["partition_by"], held["parts"])
 
 
+def _leaf_folders(fs, path, below: str) -> list[str]:
+    """Partition folders, relative to the version's."""
+    found = []
+    for s in fs.listStatus(path):
+        name = s.getPath().getName()
+        if s.isDirectory() and "=" in name:
+            at = f"{below}/{name}" if below else name
+            found += _leaf_folders(fs, s.getPath(), at) or [at]
+    return found
+
+
 def _statistics(spark: SparkSession, root: str, version: int, schema: StructType, columns: Iterable[str],
                 cluster: str | None) -> dict[str, dict]:
-    """What the manifest says of each partition written: one small row for each file."""
+    """What the manifest says of each partition written; with statistics from one
+    small row for each file, else from the folders alone."""
     columns = list(dict.fromkeys([*columns, *([cluster] if cluster else [])]))
     fs, path = file_system(spark, f"{root}/v={version}")
-    if not any(s.isDirectory() for s in fs.listStatus(path)):
-        return {}
+    folders = _leaf_folders(fs, path, "")
+    if not columns or not folders:
+        return {f: {"path": f"v={version}/{f}", "low": {}, "high": {}} for f in folders}
     written = spark.read.schema(schema).parquet(f"{root}/v={version}")
     at = F.regexp_extract(F.col("_metadata.file_path"), rf"/(v={version}/.+/[^/]+)$", 1).alias("path")
     found = written.select(at, *columns).groupBy("path").agg(
-        F.count("*").alias("rows"), *[f(c).cast("string").alias(f"{n}_{c}") for c in columns
-                                      for n, f in (("low", F.min), ("high", F.max))]).collect()
+        *[f(c).cast("string").alias(f"{n}_{c}") for c in columns for n, f in (("low", F.min), ("high", F.max))]).collect()
     parts: dict[str, dict] = {}
     for r in sorted(found, key=lambda r: r["path"]):
         folder, _, name = r["path"].rpartition("/")
-        part = parts.setdefault(folder.partition("/")[2], {"path": folder, "rows": 0, "low": {}, "high": {}})
-        part["rows"] += r["rows"]
+        part = parts.setdefault(folder.partition("/")[2], {"path": folder, "low": {}, "high": {}})
         for c in columns:
             kind = schema[c].dataType.simpleString()
             for side, pick in (("low", min), ("high", max)):

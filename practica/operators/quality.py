@@ -141,9 +141,15 @@ def summarize(checks: list) -> DataFrame:
             F.lit(i).alias("i"), key.cast("string").alias("key"), F.lit(rows).cast("long").alias("n"),
             F.lit(parent).alias("parent"))))
 
+    grouped = {id(df) for ck in checks if isinstance(ck, SetCheck) for df in (ck.df, ck.parent)}
+    counted: dict[int, list[int]] = {}      # relations of row checks alone: counts need no grouping
     for i, ck in enumerate(checks):
         if isinstance(ck, RowCheck):
-            read(ck.df, ck.fails, i, F.lit(None), 1, False)
+            if id(ck.df) in grouped:
+                read(ck.df, ck.fails, i, F.lit(None), 1, False)
+            else:
+                frames[id(ck.df)] = ck.df
+                counted.setdefault(id(ck.df), []).append(i)
             continue
         key = F.col(ck.column)
         read(ck.df, key.isNotNull(), i, key, 1, False)
@@ -153,6 +159,11 @@ def summarize(checks: list) -> DataFrame:
     spark = checks[0].df.sparkSession
     parts = [spark.range(len(checks)).select(F.col("id").cast("int").alias("i"), F.lit(None).cast("string").alias("key"),
                                              F.lit(0).cast("long").alias("n"), F.lit(True).alias("parent"))]
+    for k, some in counted.items():
+        sums = frames[k].agg(*[F.count_if(checks[i].fails).alias(f"c{i}") for i in some])
+        parts.append(sums.select(F.inline(F.array(*[F.struct(
+            F.lit(i).alias("i"), F.lit(None).cast("string").alias("key"), F.col(f"c{i}").alias("n"), F.lit(False).alias("parent"))
+            for i in some]))))
     parts += [frames[k].select(F.inline(F.filter(F.array(*e), lambda x: x.isNotNull()))) for k, e in entries.items()]
     keys = (reduce(lambda a, b: a.unionByName(b), parts).groupBy("i", "key")
             .agg(F.sum("n").alias("n"), F.max("parent").alias("parent")))
