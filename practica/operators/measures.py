@@ -314,11 +314,15 @@ def unit_month_parts(st: Staged, sem: Semantics = Semantics()) -> list[tuple[Dat
         F.struct(by_consultant.alias("kind"), F.col("consultant_id").cast("long").alias("id"), month_start("work_date").alias("month")),
         F.struct(by_deliverable.alias("kind"), F.col("deliverable_id").cast("long").alias("id"), F.lit(None).cast("date").alias("month")))))
         .groupBy("kind", "id", "month").agg(_sum("hours", "hours")))
-    unit = st.consultant.select(F.col("consultant_id").alias("id"), F.col("business_unit_id").alias("x_unit"))
-    paid = (unit.join(payroll_by_consultant(st).withColumnRenamed("consultant_id", "id"), "id", "full_outer")
-            .select(by_consultant.alias("x_kind"), F.col("id").cast("long").alias("x_id"), "x_unit",
-                    F.lit(None).cast("date").alias("x_month"), F.lit(None).cast("long").alias("project_id"),
-                    F.col("amount_sum").alias("price")))
+    # every consultant of either relation, with unit and payroll sum side by side
+    paid = (st.consultant.select(F.col("consultant_id").cast("long").alias("x_id"), F.col("business_unit_id").alias("x_unit"),
+                                 F.lit(None).cast("decimal(38,2)").alias("price"))
+            .unionByName(payroll_by_consultant(st).select(F.col("consultant_id").cast("long").alias("x_id"),
+                                                          F.lit(None).cast("long").alias("x_unit"),
+                                                          F.col("amount_sum").cast("decimal(38,2)").alias("price")))
+            .groupBy("x_id").agg(F.max("x_unit").alias("x_unit"), F.max("price").alias("price"))
+            .select(by_consultant.alias("x_kind"), "x_id", "x_unit", F.lit(None).cast("date").alias("x_month"),
+                    F.lit(None).cast("long").alias("project_id"), "price"))
     earning = (st.deliverable.select("deliverable_id", "project_id").join(p.filter(by_type), "project_id")
                .join(rate_by_project(st), "project_id", "left")
                .select(by_deliverable.alias("x_kind"), F.col("deliverable_id").cast("long").alias("x_id"), F.col("p_unit").alias("x_unit"),
