@@ -28,7 +28,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from practica.functions.keys import month_start
+from practica.functions.keys import month_start, ntz
 from practica.semantics import TYPE_FIXED, TYPE_TM, Semantics
 from practica.sources.tables import Staged
 
@@ -381,37 +381,54 @@ def consultant_cost_month(st: Staged, only: DataFrame | None = None) -> DataFram
             .agg(F.sum(F.col("hours") * F.col("amount_sum")).alias("consultant_hour_costs_per_month")))
 
 
-def project_history(st: Staged, latest: DataFrame, sem: Semantics = Semantics()) -> DataFrame:
-    """A10-A12 and A15-A17 of the projects in ``latest`` (project_id, month),
-    one row for each project.
+def with_history(latest: DataFrame, st: Staged, sem: Semantics = Semantics(), since: dt.datetime | None = None) -> DataFrame:
+    """``latest`` (one row for each project, or with ``since`` for each updated
+    after it) with A10-A12 and A15-A17 as further columns.
 
-    Time entries are scanned and joined to deliverables once, expenses and
-    deliverable prices once each: every input is reduced to (project, month)
-    and then, beside the project's latest month, to all-time sums and sums of
-    that month. Inputs of other projects are removed before they are reduced.
+    A project's latest month (of the row that ``latest_project`` takes) is one
+    aggregate of its updates. Deliverables carry it to the entries, so one
+    grouping reduces these to a project's hours outside that month and, by
+    consultant, in it; only what is left is priced by payroll. Expenses meet it
+    once. Entries and expenses of other projects are removed before they are reduced.
     """
-    at = latest.select("project_id", F.col("month").alias("_at"))
-    ids = at.select("project_id")
-    now = F.col("month") == F.col("_at")
-    part_of = st.deliverable.select("deliverable_id", "project_id").join(ids, "project_id", "left_semi")
-    worked = (hours_by_deliverable_month(st, "consultant_id").join(part_of, "deliverable_id")
-              .groupBy("project_id", "consultant_id", "month").agg(_sum("hours", "hours"))
-              .join(payroll_by_consultant(st), "consultant_id", "left").join(at, "project_id")
+    last = F.col("last_update")
+    taken = F.lit(True) if since is None else F.coalesce(last > ntz(since), F.lit(False))
+    at = (st.project.filter(F.col("project_id").isNotNull()).groupBy("project_id")
+          .agg(F.max(F.when(taken, last)).alias("_last"), F.count_if(taken).alias("_taken"),
+               F.count_if(taken & last.isNull()).alias("_undated"))
+          .filter("_taken > 0"))
+    month = month_start("_last")
+    if sem.latest_nulls == "first":
+        month = F.when(F.col("_undated") == 0, month)
+    at = at.select("project_id", month.alias("_at"))
+    now = F.coalesce(F.col("month") == F.col("_at"), F.lit(False))
+
+    part_of = st.deliverable.select("deliverable_id", "project_id").join(at, "project_id")
+    worked = (st.time_entry.select("deliverable_id", "consultant_id", month_start("work_date").alias("month"), "hours")
+              .join(part_of, "deliverable_id")
+              .select("project_id", now.alias("_now"), F.when(now, F.col("consultant_id")).alias("consultant_id"), "hours")
+              .groupBy("project_id", "_now", "consultant_id").agg(_sum("hours", "hours")))
+    # hours outside the month have no consultant: their project spreads them over the tasks
+    spread = F.when(~F.col("_now"), F.col("project_id"))
+    paid = payroll_by_consultant(st).select(F.col("consultant_id").alias("p_id"), "amount_sum",
+                                            F.lit(None).cast("long").alias("p_spread"))
+    worked = (worked.withColumn("_spread", spread)
+              .join(paid, (F.col("consultant_id") == F.col("p_id")) & F.col("_spread").eqNullSafe(F.col("p_spread")), "left")
               .groupBy("project_id")
-              .agg(_sum("hours", "_hours"), F.sum(F.when(now, F.col("hours"))).alias("hours_spent"),
-                   F.sum(F.when(now, F.col("hours") * F.col("amount_sum")))
+              .agg(_sum("hours", "_hours"), F.sum(F.when(F.col("_now"), F.col("hours"))).alias("hours_spent"),
+                   F.sum(F.when(F.col("_now"), F.col("hours") * F.col("amount_sum")))
                    .alias("consultant_hour_costs_per_month")))
-    billed = F.col("is_billable") == 1
-    spent = (st.project_expense.join(ids, "project_id", "left_semi")
-             .groupBy("project_id", month_start("expense_date").alias("month"))
-             .agg(_sum("amount", "_all"), F.sum(F.when(billed, F.col("amount"))).alias("_billed"))
+    spent = (st.project_expense.select("project_id", month_start("expense_date").alias("month"), "is_billable", "amount")
              .join(at, "project_id").groupBy("project_id")
-             .agg(F.sum("_billed").alias("total_tm_expense_revenue"),
-                  F.sum(F.when(now, F.col("_all"))).cast(AMOUNT).alias("project_expenses_per_month")))
-    priced = fixed_revenue_by_project(st.replace(deliverable=st.deliverable.join(ids, "project_id", "left_semi")), sem)
-    return (ids.join(worked, "project_id", "left").join(spent, "project_id", "left")
-            .join(priced, "project_id", "left").join(rate_by_project(st), "project_id", "left")
-            .withColumn("total_tm_consultant_revenue", F.col("_hours") * F.col("rate_sum"))
+             .agg(F.sum(F.when(F.col("is_billable") == 1, F.col("amount"))).alias("total_tm_expense_revenue"),
+                  F.sum(F.when(now, F.col("amount"))).cast(AMOUNT).alias("project_expenses_per_month")))
+    prices = st.deliverable
+    if since is not None:
+        prices = prices.join(at, "project_id", "left_semi")
+    priced = fixed_revenue_by_project(st.replace(deliverable=prices), sem)
+    for past in (worked, spent, priced, rate_by_project(st)):
+        latest = latest.join(past, "project_id", "left")
+    return (latest.withColumn("total_tm_consultant_revenue", F.col("_hours") * F.col("rate_sum"))
             .drop("_hours", "rate_sum"))
 
 

@@ -282,13 +282,13 @@ def project_fact(st: Staged, marts: Marts, sem: Semantics = Semantics(),
     Incremental (I5): only projects updated after the stored fact's latest
     ``last_update`` (kept as a column for exactly this purpose).
     """
-    src = st.project
+    src, since = st.project, None
     if target is not None:
-        src = src.filter(F.col("last_update") > ntz(last_update_watermark(target)))
+        since = last_update_watermark(target)
+        src = src.filter(F.col("last_update") > ntz(since))
     l = m.latest_project(src, sem).withColumn("month", month_start("last_update"))
 
-    # the measures read only these projects' entries, expenses and prices
-    past = m.project_history(st, l, sem).withColumnRenamed("project_id", "r_id")
+    l = m.with_history(l, st, sem, since)
 
     pd_ = versions(marts.project, sem).select(F.col("project_id").alias("pd_id"), "project_key")
     cd = versions(marts.client, sem).select(F.col("client_id").alias("cd_id"), "client_key")
@@ -296,8 +296,7 @@ def project_fact(st: Staged, marts: Marts, sem: Semantics = Semantics(),
 
     j = (l.join(pd_, l.project_id == pd_.pd_id, "left")
          .join(cd, F.col("client_id") == F.col("cd_id"), "left")
-         .join(bu, F.col("unit_id") == F.col("unitid"), "left")
-         .join(past, F.col("project_id") == F.col("r_id"), "left"))
+         .join(bu, F.col("unit_id") == F.col("unitid"), "left"))
 
     pct = F.col("percent_complete")
     div = sem.percent_divisor(pct)

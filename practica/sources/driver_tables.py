@@ -41,7 +41,7 @@ def _d(c) -> F.Column:
 
 def _txt_date(c) -> F.Column:
     """date -> 'yyyy-MM-dd' text, the form the sources carry."""
-    return F.date_format(c, "yyyy-MM-dd")
+    return c.cast("string")
 
 
 def _yearmonth(c) -> F.Column:
@@ -151,7 +151,8 @@ def project(orders: DataFrame, customer: DataFrame) -> DataFrame:
 
 
 def deliverable(lineitem: DataFrame) -> DataFrame:
-    agg = lineitem.groupBy("l_orderkey", "l_linenumber").agg(
+    # dealt by order, so neither this grouping nor one or a join by project moves rows again
+    agg = lineitem.repartition("l_orderkey").groupBy("l_orderkey", "l_linenumber").agg(
         F.sum(F.col("l_extendedprice").cast(MONEY)).alias("price"),
         F.max("l_shipdate").alias("due"))
     did = _deliverable_id(F.col("l_orderkey"), F.col("l_linenumber"))
