@@ -66,11 +66,14 @@ def lookback(stored: parts.Stored, r: Reduction) -> dt.date | None:
     return None if latest is None else (latest.replace(day=1) - dt.timedelta(days=1)).replace(day=1)
 
 
+def _late(r: Reduction, since: dt.date, number: int) -> Column:
+    day: Column = F.col(r.date)
+    return (F.col(r.number) > F.lit(number)) & ((day < F.lit(since)) | day.isNull())
+
+
 def changes(events: DataFrame, r: Reduction, since: dt.date, number: int) -> tuple[DataFrame, DataFrame]:
     """(events from ``since`` on, late ones before it)."""
-    day: Column = F.col(r.date)
-    return (events.filter(day >= F.lit(since)),
-            events.filter((F.col(r.number) > F.lit(number)) & ((day < F.lit(since)) | day.isNull())))
+    return events.filter(F.col(r.date) >= F.lit(since)), events.filter(_late(r, since, number))
 
 
 def maintain(spark: SparkSession, events: DataFrame, r: Reduction, root: str, full: bool = False) -> parts.Stored:
@@ -79,20 +82,23 @@ def maintain(spark: SparkSession, events: DataFrame, r: Reduction, root: str, fu
     statistics = [LAST, UNNUMBERED]
     if stored is not None and stored.parts:
         since, number = lookback(stored, r), stored.bounds(LAST)[1]
-        numbered = not stored.bounds(UNNUMBERED)[1] and events.filter(F.col(r.number).isNull()).isEmpty()
-        if since is not None and number is not None and numbered:
-            fresh, late = (reduce(part, r) for part in changes(events, r, since, number))
+        if since is not None and number is not None and not stored.bounds(UNNUMBERED)[1]:
+            # events without a number come along: one reading finds them and the late ones
             batch = f"{root.rstrip('/')}/_late/{stored.version}"
-            late.write.mode("overwrite").parquet(batch)
+            reduce(events.filter(F.col(r.number).isNull() | _late(r, since, number)), r).write.mode("overwrite").parquet(batch)
             late = spark.read.parquet(batch)
-            months = {row[0] for row in late.select(r.date).distinct().collect()}
-            touched = stored.folders(lambda v: v[r.date] in months)
-            kept = stored.folders(lambda v: v[r.date] not in months and (v[r.date] is None or v[r.date] < since))
-            added = _resum(stored.frame(touched).unionByName(late), r, stored.frame([]))
-            rows = added.unionByName(fresh.select(*[F.col(f.name).cast(f.dataType) for f in stored.schema.fields]))
-            new = parts.write_parts(rows, root, [r.date], {f: stored.parts[f] for f in kept}, statistics, r.cluster)
+            found = late.groupBy(r.date).agg(F.max(UNNUMBERED).alias("n")).collect()
+            if not any(row["n"] for row in found):
+                months = {row[0] for row in found}
+                fresh = reduce(changes(events, r, since, number)[0], r)
+                touched = stored.folders(lambda v: v[r.date] in months)
+                kept = stored.folders(lambda v: v[r.date] not in months and (v[r.date] is None or v[r.date] < since))
+                added = _resum(stored.frame(touched).unionByName(late), r, stored.frame([]))
+                rows = added.unionByName(fresh.select(*[F.col(f.name).cast(f.dataType) for f in stored.schema.fields]))
+                new = parts.write_parts(rows, root, [r.date], {f: stored.parts[f] for f in kept}, statistics, r.cluster)
+                parts.drop_folder(spark, batch)
+                return new
             parts.drop_folder(spark, batch)
-            return new
     return parts.write_parts(reduce(events, r), root, [r.date], statistics=statistics, cluster=r.cluster)
 
 
