@@ -57,3 +57,47 @@ def test_latest_month_of_undated_and_repeated_projects(spark):
     assert last[100][:2] == (tiny.D("4.50"), tiny.D("20.0000"))
     assert first[101][:2] == last[101][:2] == (tiny.D("4.00"), tiny.D("7.5000"))
     assert set(of(Semantics(), dt.datetime(2024, 2, 1))) == {100}
+
+
+def test_entries_move_to_their_project_once(shuffled):
+    """12 exchanges before: entries were also reduced by deliverable and month."""
+    assert count(shuffled, "consultant_revenue_month", "Exchange") <= 11
+
+
+def test_day_key_is_the_timestamp_key_of_a_date(spark):
+    from pyspark.sql import functions as F
+
+    from practica.functions import keys
+    days = spark.sql("select explode(array(date'2024-02-29', date'1899-12-31', cast(null as date))) as d")
+    assert all(r.a == r.b for r in days.select(keys.day_to_key("d").alias("a"), keys.ts_to_key(F.col("d")).alias("b")).collect())
+
+
+def test_checks_call_no_function_of_each_entry(spark):
+    """Entries were filtered by a lambda, interpreted for each of a row's entries."""
+    from practica.operators import quality as q
+    df = spark.sql("select explode(array(1, 1, 2, null)) as k").withColumnRenamed("k", "key")
+    summary = q.summarize([q.unique("r", df, "key"), q.not_null("r", df, "key"), q.accepted_values("r", df, "key", [1])])
+    assert "lambdafunction" not in summary._jdf.queryExecution().toString()
+    assert {r.check: r.failures for r in summary.collect()} == {"unique": 1, "not_null": 1, "accepted_values": 1}
+
+
+def test_reductions_read_numbers_with_late_events(spark, tmp_path, monkeypatch):
+    """A second run read all events once more to see whether any has no number,
+    and cut the file's path out of each stored row."""
+    import datetime as dt
+
+    from practica.operators import parts, reductions
+    r = reductions.Reduction(("k",), "day", "number", "value", "k")
+
+    def events(*rows):
+        return spark.createDataFrame(rows, "k long, day date, number long, value long")
+    first = [(1, dt.date(2024, m, 5), m, 10) for m in range(1, 7)]
+    monkeypatch.setattr(parts.F, "regexp_extract", None)
+    monkeypatch.setattr(type(spark.range(1)), "isEmpty", None)
+    reductions.maintain(spark, events(*first), r, f"{tmp_path}/a")
+    late = [*first, (1, dt.date(2024, 1, 9), 7, 5)]
+    got = reductions.maintain(spark, events(*late), r, f"{tmp_path}/a").frame().collect()
+    assert sorted((x.day.month, x.value) for x in got) == [(1, 15), *[(m, 10) for m in range(2, 7)]]
+    unnumbered = [*late, (1, dt.date(2024, 2, 9), None, 1)]       # a full run
+    got = reductions.maintain(spark, events(*unnumbered), r, f"{tmp_path}/a").frame().collect()
+    assert sorted((x.day.month, x.value) for x in got) == [(1, 15), (2, 11), *[(m, 10) for m in range(3, 7)]]
