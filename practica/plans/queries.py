@@ -30,7 +30,7 @@ from practica.plans import facts
 from practica.plans.marts import Marts, build_marts, snapshot_all
 from practica.session import materialize, shared_dir
 from practica.semantics import DRIVER_SEMANTICS, SNAPSHOT_TS, Semantics
-from practica.sources.driver_tables import read_driver, sources_from_driver
+from practica.sources.driver_tables import deliverable, read_driver, sources_from_driver
 from practica.sources.schemas import read_sources
 from practica.sources.tables import Staged
 
@@ -56,9 +56,15 @@ class Context:
     def st(self) -> Staged:
         return stage_all(sources_from_driver(self.spark, self.sf_dir))
 
+    @cached_property
+    def keyed(self) -> Staged:
+        """The staged relations as histories take them."""
+        lineitem = read_driver(self.spark, self.sf_dir, "lineitem")
+        return self.st.replace(deliverable=lambda: stage_deliverable(deliverable(lineitem, keyed=True)))
+
     @cached_property
     def marts(self) -> Marts:
-        return build_marts(snapshot_all(self.st, SNAPSHOT_TS), self.sem)
+        return build_marts(snapshot_all(self.keyed, SNAPSHOT_TS), self.sem)
 
     def fact(self, builder, sem: Semantics | None = None) -> DataFrame:
         """A full-refresh fact plan, built once per (builder, semantics)."""
@@ -214,11 +220,11 @@ def staging_text_dates(c: Context) -> DataFrame:
 def two_snapshot_marts(c: Context) -> Marts:
     """Histories from two runs: every seventh project's price changes at the
     second run, so its history (and the pairs built on it) has two versions."""
-    h1 = snapshot_all(c.st, CLIENT_RUN1_TS)
+    h1 = snapshot_all(c.keyed, CLIENT_RUN1_TS)
     p = c.st.project
     changed = p.withColumn("price", F.when(F.col("project_id") % 7 == 0, F.col("price") + 1)
                            .otherwise(F.col("price")).cast("decimal(18,2)"))
-    return build_marts(snapshot_all(c.st.replace(project=changed), CLIENT_RUN2_TS, h1), c.sem)
+    return build_marts(snapshot_all(c.keyed.replace(project=changed), CLIENT_RUN2_TS, h1), c.sem)
 
 
 def dim_deliverable_two_versions(c):

@@ -150,9 +150,20 @@ def project(orders: DataFrame, customer: DataFrame) -> DataFrame:
     return conform("project", df)
 
 
-def deliverable(lineitem: DataFrame) -> DataFrame:
-    # dealt by order, so neither this grouping nor one or a join by project moves rows again
-    agg = lineitem.repartition("l_orderkey").groupBy("l_orderkey", "l_linenumber").agg(
+KEYED_PARTS = 8     # of deliverables whose keys a task holds, for each split of their scan
+
+
+def deliverable(lineitem: DataFrame, keyed: bool = False) -> DataFrame:
+    """Dealt by order, so neither this grouping nor one or a join by project moves
+    rows again. ``keyed``: for histories, dimensions and checks, whose tasks hold
+    every deliverable's key. Adaptive execution joins parts by their packed bytes,
+    which such narrow rows have few of, into tasks of millions of keys; a number of
+    parts that grows with the splits of the scan keeps a task's keys few."""
+    if keyed:
+        dealt = lineitem.repartition(KEYED_PARTS * lineitem.rdd.getNumPartitions(), "l_orderkey")
+    else:
+        dealt = lineitem.repartition("l_orderkey")
+    agg = dealt.groupBy("l_orderkey", "l_linenumber").agg(
         F.sum(F.col("l_extendedprice").cast(MONEY)).alias("price"),
         F.max("l_shipdate").alias("due"))
     did = _deliverable_id(F.col("l_orderkey"), F.col("l_linenumber"))

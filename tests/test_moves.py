@@ -101,3 +101,16 @@ def test_reductions_read_numbers_with_late_events(spark, tmp_path, monkeypatch):
     unnumbered = [*late, (1, dt.date(2024, 2, 9), None, 1)]       # a full run
     got = reductions.maintain(spark, events(*unnumbered), r, f"{tmp_path}/a").frame().collect()
     assert sorted((x.day.month, x.value) for x in got) == [(1, 15), (2, 11), *[(m, 10) for m in range(3, 7)]]
+
+
+def test_keys_of_deliverables_are_dealt_by_the_splits_of_their_scan(spark, tmp_path):
+    """Adaptive execution joined them into tasks of millions of keys: as many
+    parts as cores, whatever the input."""
+    from practica.plans.queries import Context
+    from practica.sources import driver_tables as d
+    lineitem = spark.read.parquet(f"{SF}/lineitem.parquet")
+    few, many = d.deliverable(lineitem, keyed=True), d.deliverable(lineitem.union(lineitem), keyed=True)
+    splits = lineitem.rdd.getNumPartitions()
+    assert few.rdd.getNumPartitions() == 8 * splits and many.rdd.getNumPartitions() == 16 * splits
+    assert few.exceptAll(d.deliverable(lineitem)).isEmpty()
+    assert Context(spark, SF).marts.deliverable.rdd.getNumPartitions() == 8 * splits
