@@ -231,7 +231,7 @@ def indirect_cost_unit_month(st: Staged, bounds: Bounds | None = None) -> DataFr
 # ------------------------------------------------------------- per project
 def fixed_revenue_by_project(st: Staged, sem: Semantics = Semantics()) -> DataFrame:
     """A10: deliverable price of completed fixed-price projects."""
-    p = (st.project.filter(sem.completed(F.col("status")) & (F.col("project_type") == TYPE_FIXED))
+    p = (st.project.filter((F.col("project_type") == TYPE_FIXED) & sem.completed(F.col("status")))
          .select("project_id"))
     d = st.deliverable.groupBy("project_id").agg(_sum("price", "price"))
     return d.join(p, "project_id", "inner").groupBy("project_id").agg(_sum("price", "total_fp_revenue"))
@@ -389,10 +389,10 @@ def with_history(latest: DataFrame, st: Staged, sem: Semantics = Semantics(), si
     after it) with A10-A12 and A15-A17 as further columns.
 
     A project's latest month (of the row that ``latest_project`` takes) is one
-    aggregate of its updates. Deliverables carry it to the entries, so one
-    grouping reduces these to a project's hours outside that month and, by
-    consultant, in it; only what is left is priced by payroll. Expenses meet it
-    once. Entries and expenses of other projects are removed before they are reduced.
+    aggregate of its updates. Deliverables carry it to the entries; those of that
+    month are priced by payroll where they stand, and one grouping sums the hours
+    and costs of a project. Expenses meet it once. Entries and expenses of other
+    projects are removed before they are reduced.
     """
     last = F.col("last_update")
     taken = F.lit(True) if since is None else F.coalesce(last > ntz(since), F.lit(False))
@@ -407,15 +407,14 @@ def with_history(latest: DataFrame, st: Staged, sem: Semantics = Semantics(), si
     now = F.coalesce(F.col("month") == F.col("_at"), F.lit(False))
 
     part_of = st.deliverable.select("deliverable_id", "project_id").join(at, "project_id")
-    worked = (st.time_entry.select("deliverable_id", "consultant_id", month_start("work_date").alias("month"), "hours")
-              .join(part_of, "deliverable_id")
-              .select("project_id", now.alias("_now"), F.when(now, F.col("consultant_id")).alias("consultant_id"), "hours")
-              .groupBy("project_id", "_now", "consultant_id").agg(_sum("hours", "hours")))
     # hours outside the month have no consultant: their project spreads them over the tasks
-    spread = F.when(~F.col("_now"), F.col("project_id"))
+    spread = F.when(~now, F.col("project_id"))
     paid = payroll_by_consultant(st).select(F.col("consultant_id").alias("p_id"), "amount_sum",
                                             F.lit(None).cast("long").alias("p_spread"))
-    worked = (worked.withColumn("_spread", spread)
+    worked = (st.time_entry.select("deliverable_id", "consultant_id", month_start("work_date").alias("month"), "hours")
+              .join(part_of, "deliverable_id")
+              .select("project_id", now.alias("_now"), F.when(now, F.col("consultant_id")).alias("consultant_id"), "hours",
+                      spread.alias("_spread"))
               .join(paid, (F.col("consultant_id") == F.col("p_id")) & F.col("_spread").eqNullSafe(F.col("p_spread")), "left")
               .groupBy("project_id")
               .agg(_sum("hours", "_hours"), F.sum(F.when(F.col("_now"), F.col("hours"))).alias("hours_spent"),

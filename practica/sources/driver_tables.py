@@ -206,11 +206,11 @@ def payroll(supplier: DataFrame) -> DataFrame:
 def project_billing_rate(orders: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
     rated = orders.select("o_orderkey").filter(k % 17 != 0)
-    first = rated.select((F.lit(50) + k % 50).cast(MONEY).alias("RATE"), (k % 5).alias("TITLEID"),
-                         k.alias("PROJECTID"))
-    second = rated.filter(k % 3 == 0).select(F.lit(75).cast(MONEY).alias("RATE"),
-                                             ((k + 1) % 5).alias("TITLEID"), k.alias("PROJECTID"))
-    return conform("project_billing_rate", first.unionByName(second))
+    first = F.struct((F.lit(50) + k % 50).cast(MONEY).alias("RATE"), (k % 5).alias("TITLEID"))
+    second = F.struct(F.lit(75).cast(MONEY).alias("RATE"), ((k + 1) % 5).alias("TITLEID"))
+    # one reading of the orders gives both rates
+    rates = rated.select(k.alias("PROJECTID"), F.inline(F.when(k % 3 == 0, F.array(first, second)).otherwise(F.array(first))))
+    return conform("project_billing_rate", rates)
 
 
 def non_billable_hours(lineitem: DataFrame) -> DataFrame:

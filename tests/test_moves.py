@@ -114,3 +114,15 @@ def test_keys_of_deliverables_are_dealt_by_the_splits_of_their_scan(spark, tmp_p
     assert few.rdd.getNumPartitions() == 8 * splits and many.rdd.getNumPartitions() == 16 * splits
     assert few.exceptAll(d.deliverable(lineitem)).isEmpty()
     assert Context(spark, SF).marts.deliverable.rdd.getNumPartitions() == 8 * splits
+
+
+def test_entries_are_grouped_by_project_once(shuffled):
+    """45 exchanges before, one of entries by project, month and consultant."""
+    assert count(shuffled, "fact_project", "Exchange", "_now") <= 1
+    assert count(shuffled, "fact_project", "Exchange") <= 44
+
+
+def test_both_rates_come_from_one_reading(shuffled):
+    from practica.plans.queries import spark_queries
+    rates = spark_queries()["staging_billing_rate"](shuffled, SF)
+    assert rates._jdf.queryExecution().toString().count("orders.parquet") == 1
