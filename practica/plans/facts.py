@@ -21,11 +21,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from practica.functions.keys import day_to_key, month_start, ntz, project_row_key, surrogate_key
+from practica.functions.keys import day_to_key, month_start, ntz, project_row_key, surrogate_key, ts_to_key
 from practica.operators import measures as m
 from practica.operators.dims import versions
 from practica.operators.incremental import last_update_watermark, month_before, month_cutoff
 from practica.operators.parts import Stored
+from practica.operators.scd2 import VALID_FROM
 from practica.plans.marts import Marts, calendar_date, in_calendar
 from practica.semantics import TYPE_FIXED, TYPE_TM, Semantics
 from practica.sources.tables import Staged
@@ -290,9 +291,11 @@ def project_fact(st: Staged, marts: Marts, sem: Semantics = Semantics(),
 
     l = m.with_history(l, st, sem, since)
 
-    pd_ = versions(marts.project, sem).select(F.col("project_id").alias("pd_id"), "project_key")
+    # a version's key is its id and start: these move to the join, not the 32 characters made of them
+    pd_ = versions(marts.project, sem).select(F.col("project_id").alias("pd_id"), F.col(VALID_FROM).alias("pd_from"))
     cd = versions(marts.client, sem).select(F.col("client_id").alias("cd_id"), "client_key")
     bu = versions(marts.business_unit, sem).select("unitid", F.col("unitkey").alias("business_unit_key"))
+    project_key = F.when(F.col("pd_id").isNotNull(), surrogate_key(F.col("pd_id"), ts_to_key(F.col("pd_from"))))
 
     j = (l.join(pd_, l.project_id == pd_.pd_id, "left")
          .join(cd, F.col("client_id") == F.col("cd_id"), "left")
@@ -333,7 +336,7 @@ def project_fact(st: Staged, marts: Marts, sem: Semantics = Semantics(),
     )
     return base.select(
         project_row_key(F.col("project_id"), F.col("month")).alias("row_key"),
-        "project_id", "project_key", "client_key", "business_unit_key",
+        "project_id", project_key.alias("project_key"), "client_key", "business_unit_key",
         F.col("month").alias("date"),
         calendar_date(a_start, sem).alias("actual_start_date_key"),
         calendar_date(a_end, sem).alias("actual_end_date_key"),

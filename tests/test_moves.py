@@ -116,6 +116,12 @@ def test_keys_of_deliverables_are_dealt_by_the_splits_of_their_scan(spark, tmp_p
     assert Context(spark, SF).marts.deliverable.rdd.getNumPartitions() == 8 * splits
 
 
+def test_keys_of_versions_are_made_where_they_are_joined(shuffled):
+    """Each version moved to its project with the 32 characters of its key."""
+    for query in ("fact_project_all_versions", "fact_project"):
+        assert count(shuffled, query, "Exchange", "project_key") == 0
+
+
 def test_entries_are_grouped_by_project_once(shuffled):
     """45 exchanges before, one of entries by project, month and consultant."""
     assert count(shuffled, "fact_project", "Exchange", "_now") <= 1
