@@ -318,12 +318,14 @@ def cutoff_last_update(c: Context) -> DataFrame:
     January 1999 was stored as of the first of that month: the batch, everything
     updated after the stored maximum, replaces its row."""
     p, at = c.st.project, F.col("last_update")
-    before = p.filter((at < ntz(PROJECT_SPLIT_TS)) | at.isNull()).withColumn(
-        "percent_complete", F.when(F.col("project_id") % 10 == 0, F.lit(50).cast("decimal(5,2)"))
-        .otherwise(F.col("percent_complete")))
-    january = p.filter((at >= ntz(PROJECT_SPLIT_TS)) & (at < ntz(PROJECT_SPLIT_END))
-                       & (F.col("project_id") % 2 == 0)).withColumn("last_update", ntz(PROJECT_SPLIT_TS))
-    return _merged(c, facts.project_fact, c.st.replace(project=before.unionByName(january)), c.st, "row_key",
+    early = F.coalesce(at < ntz(PROJECT_SPLIT_TS), F.lit(True))
+    january = ~early & (at < ntz(PROJECT_SPLIT_END)) & (F.col("project_id") % 2 == 0)
+    was = {"percent_complete": F.when(early & (F.col("project_id") % 10 == 0), F.lit(50).cast("decimal(5,2)"))
+           .otherwise(F.col("percent_complete")),
+           "last_update": F.when(early, at).otherwise(ntz(PROJECT_SPLIT_TS))}
+    # one reading gives both kinds of stored projects
+    before = p.filter(early | january).select(*[was.get(x, F.col(x)).alias(x) for x in p.columns])
+    return _merged(c, facts.project_fact, c.st.replace(project=before), c.st, "row_key",
                    cutoff="last_update")
 
 

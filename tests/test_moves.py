@@ -132,3 +132,15 @@ def test_both_rates_come_from_one_reading(shuffled):
     from practica.plans.queries import spark_queries
     rates = spark_queries()["staging_billing_rate"](shuffled, SF)
     assert rates._jdf.queryExecution().toString().count("orders.parquet") == 1
+
+
+def test_stored_projects_come_from_one_reading(shuffled, monkeypatch):
+    """Early and January projects were read apart, in each use of the projects."""
+    from practica.plans import queries as pq
+    seen = []
+    monkeypatch.setattr(pq, "_merged", lambda c, builder, before, now, *a, **k: seen.append(before.project) or before.project)
+    stored = pq.spark_queries()["cutoff_last_update"](shuffled, SF)
+    assert len(seen) == 1 and stored._jdf.queryExecution().toString().count("orders.parquet") <= 1
+    p = pq.Context(shuffled, SF).st.project
+    assert stored.count() == p.filter("last_update is null or last_update < timestamp_ntz'1999-01-01' or "
+                                      "(last_update < timestamp_ntz'1999-02-01' and project_id % 2 = 0)").count()
