@@ -144,3 +144,38 @@ def test_stored_projects_come_from_one_reading(shuffled, monkeypatch):
     p = pq.Context(shuffled, SF).st.project
     assert stored.count() == p.filter("last_update is null or last_update < timestamp_ntz'1999-01-01' or "
                                       "(last_update < timestamp_ntz'1999-02-01' and project_id % 2 = 0)").count()
+
+
+def test_checks_move_a_key_once_as_bytes(spark):
+    """A key moved as 32 characters, once for every check that asks for it."""
+    from pyspark.sql import functions as F
+
+    from practica.operators import quality as q
+    parent = spark.range(3).select(F.md5(F.col("id").cast("string")).alias("pk"))
+    child = parent.select(F.col("pk").alias("ck")).union(spark.sql(
+        "select explode(array(md5('7'), upper(md5('1')), '', null, md5('7')))"))
+    checks = [q.unique("parent", parent, "pk"), q.relationships("child", child, "ck", parent, "pk"),
+              q.unique("child", child, "ck"), q.relationships("back", parent, "pk", child, "ck"),
+              q.not_null("child", child, "ck"), q.unique("other", spark.range(1), "id")]
+    summary = q.summarize(checks)
+    found = {(r.check, r.relation): r.failures for r in summary.collect()}
+    assert found == {("unique", "parent"): 0, ("relationships", "child"): 4, ("unique", "child"): 1,
+                     ("relationships", "back"): 0, ("not_null", "child"): 1, ("unique", "other"): 0}
+    assert all(found[ck.name, ck.relation] == (ck.failures().count() if ck.name != "relationships" else
+               ck.failures().agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]) for ck in checks)
+    exchanged = [p for p in summary._jdf.queryExecution().sparkPlan().toString().split("\n") if "Generate" in p]
+    assert sum(p.count("unhex(") for p in exchanged) == 3      # parent.pk, child.ck and other.id
+
+
+def test_unequal_keys_are_unequal_bytes(spark):
+    from pyspark.sql import functions as F
+
+    from practica.operators.quality import packed
+    texts = ["0" * 32, "a" * 32, "A" * 32, "a" * 32 + "\n", "a" * 31, "", "\0", "1", "01", "é"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(packed(F.col("t")).alias("p")).collect()
+    assert len({bytes(r.p) for r in got}) == len(texts) and len(got[0].p) == 16
+
+
+def test_bridge_joins_versions_by_their_start(shuffled):
+    """Each deliverable moved with the 32 characters of its key."""
+    assert count(shuffled, "hr_deliverable_bridge", "Exchange", "deliverable_key") == 0
