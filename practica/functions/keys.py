@@ -59,3 +59,20 @@ def ntz(value) -> Column:
 def month_start(c) -> Column:
     """date_trunc('month', c)::date"""
     return F.trunc(_c(c), "month")
+
+
+HEX, PAD = r"^[0-9a-f]{32}\z", b"\0" * 17      # fixed values: see packed
+
+
+def packed(key) -> Column:
+    """A key's text as bytes, unequal texts as unequal bytes: the 32 digits of a
+    surrogate key are 16 bytes, any other text is 17 bytes longer than it is."""
+    text = _c(key).cast("string")
+    return F.when(text.rlike(HEX), F.unhex(text)).otherwise(F.concat(text.cast("binary"), F.lit(PAD)))
+
+
+def unpacked(key) -> Column:
+    """The text of ``packed`` bytes."""
+    held = _c(key)
+    return F.when(F.octet_length(held) == 16, F.lower(F.hex(held))).otherwise(
+        F.substring(held, F.lit(1), F.octet_length(held) - len(PAD)).cast("string"))

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from practica.operators.parts import MANIFEST, Stored, drop_folder, merge_into, open_table, version_numbers
 from practica.operators.scd2 import assert_unique
 from practica.semantics import WATERMARK_FLOOR
+from practica.session import CODEC, free_shuffles
 
 
 # ------------------------------------------------------------------ cutoffs
@@ -123,7 +124,8 @@ def incremental_refresh(spark: SparkSession, root: str, build, key: str, partiti
     target = open_table(spark, root)
     # the batch is checked, joined and appended: written once, read several times
     batch = f"{root}/_batches/{uuid.uuid4().hex}"
-    build(target).write.parquet(batch)
+    build(target).write.parquet(batch, compression=CODEC)
+    free_shuffles(spark)
     updates = spark.read.parquet(batch)
     assert_unique(updates, key, "merge updates")
     new = merge_into(target, updates, root, key, partition_by, statistics)

@@ -107,13 +107,20 @@ def _fixed_price_deliverables(st: Staged, bounds: Bounds | None = None) -> DataF
     return _deliverable_price_by_project_month(st, bounds).join(p, "project_id", "inner")
 
 
-def fixed_price_month(st: Staged, sem: Semantics = Semantics(), bounds: Bounds | None = None) -> DataFrame:
+def _by_client_month(rows: DataFrame, summands: bool, *aggs: F.Column) -> DataFrame:
+    """``rows`` reduced to (client, unit, month), or with ``summands`` as they are:
+    the caller adds up several measures in one grouping."""
+    return rows if summands else rows.groupBy("client_id", "unit_id", "month").agg(*aggs)
+
+
+def fixed_price_month(st: Staged, sem: Semantics = Semantics(), bounds: Bounds | None = None,
+                      summands: bool = False) -> DataFrame:
     """A1 and A5 side by side: one join, one group-by, two conditional sums."""
     done, open_ = sem.completed(F.col("status")), sem.not_completed(F.col("status"))
-    return (_fixed_price_deliverables(st, bounds).filter(done | open_)
-            .groupBy("client_id", "unit_id", "month")
-            .agg(F.sum(F.when(done, F.col("price"))).alias("total_fp_revenue"),
-                 F.sum(F.when(open_, F.col("price"))).alias("incomplete_fp_revenue")))
+    rows = (_fixed_price_deliverables(st, bounds).filter(done | open_)
+            .select("client_id", "unit_id", "month", F.when(done, F.col("price")).alias("total_fp_revenue"),
+                    F.when(open_, F.col("price")).alias("incomplete_fp_revenue")))
+    return _by_client_month(rows, summands, *[_sum(c, c) for c in ("total_fp_revenue", "incomplete_fp_revenue")])
 
 
 def fixed_revenue_month(st: Staged, sem: Semantics = Semantics()) -> DataFrame:
@@ -128,57 +135,74 @@ def fixed_incomplete_month(st: Staged, sem: Semantics = Semantics()) -> DataFram
             .groupBy("client_id", "unit_id", "month").agg(_sum("price", "incomplete_fp_revenue")))
 
 
-def expense_revenue_month(st: Staged, bounds: Bounds | None = None) -> DataFrame:
-    """A2: billable project expense by client, unit, expense month."""
-    pe = (_within(st.project_expense, "expense_date", bounds).filter(F.col("is_billable") == 1)
-          .groupBy("project_id", month_start("expense_date").alias("month"))
-          .agg(_sum("amount", "amount")))
-    return (pe.join(_projects(st, "client_id", "unit_id"), "project_id", "left")
-            .groupBy("client_id", "unit_id", "month").agg(_sum("amount", "total_tm_expense_revenue")))
+def expense_revenue_month(st: Staged, bounds: Bounds | None = None, summands: bool = False) -> DataFrame:
+    """A2: billable project expense by client, unit, expense month.
 
+    Expenses meet their project unreduced (few share a project and month), so they
+    move by project once; a hot project is split by adaptive execution."""
+    rows = (_within(st.project_expense, "expense_date", bounds).filter(F.col("is_billable") == 1)
+            .select("project_id", month_start("expense_date").alias("month"), F.col("amount").alias("total_tm_expense_revenue"))
+            .join(_projects(st, "client_id", "unit_id"), "project_id", "left").drop("project_id"))
+    return _by_client_month(rows, summands, _sum("total_tm_expense_revenue", "total_tm_expense_revenue"))
 
-def consultant_revenue_month(st: Staged, bounds: Bounds | None = None) -> DataFrame:
+
+def consultant_revenue_month(st: Staged, bounds: Bounds | None = None, summands: bool = False) -> DataFrame:
     """A3: hours x billing rate by client, unit, work month.
 
     The project is taken through the *rate's* project id (the source joins
     ``USING(project_id)`` after the rate), so hours without a rate fall into
-    the NULL client/unit group with a NULL value.
+    the NULL client/unit group with a NULL value. Deliverables carry rate, client
+    and unit to their entries, which so are priced where they meet them and never
+    move by project.
     """
-    hp = hours_by_project_month(st, bounds=bounds)
     r = rate_by_project(st).withColumnRenamed("project_id", "rate_project_id")
     p = _projects(st, "client_id", "unit_id").withColumnRenamed("project_id", "p_project_id")
-    return (hp.join(r, hp.project_id == r.rate_project_id, "left")
-            .join(p, F.col("rate_project_id") == F.col("p_project_id"), "left")
-            .groupBy("client_id", "unit_id", "month")
-            .agg(F.sum(F.col("hours") * F.col("rate_sum")).alias("total_tm_consultant_revenue")))
+    d = (st.deliverable.select("deliverable_id", "project_id")
+         .join(r, F.col("project_id") == F.col("rate_project_id"), "left")
+         .join(p, F.col("rate_project_id") == F.col("p_project_id"), "left")
+         .select("deliverable_id", "client_id", "unit_id", "rate_sum"))
+    rows = (_within(st.time_entry, "work_date", bounds).select("deliverable_id", month_start("work_date").alias("month"), "hours")
+            .join(d, "deliverable_id", "left")
+            .select("client_id", "unit_id", "month", (F.col("hours") * F.col("rate_sum")).alias("total_tm_consultant_revenue")))
+    return _by_client_month(rows, summands, _sum("total_tm_consultant_revenue", "total_tm_consultant_revenue"))
 
 
-def satisfaction_month(st: Staged, bounds: Bounds | None = None) -> DataFrame:
-    """A4: average feedback score by feedback client, project unit, start month."""
+def average_satisfaction() -> F.Column:
+    """sum of sums / sum of counts (NULL scores are skipped by both), in a grouping."""
+    return F.sum("s").cast("double") / F.nullif(F.sum("n"), F.lit(0))
+
+
+def satisfaction_month(st: Staged, bounds: Bounds | None = None, summands: bool = False) -> DataFrame:
+    """A4: average feedback score by feedback client, project unit, start month
+    (summands: sums ``s`` and counts ``n``)."""
     p = _within(st.project, F.coalesce("actual_start_date", "planned_start_date"), bounds).select("project_id", "unit_id",
                           month_start(F.coalesce("actual_start_date", "planned_start_date")).alias("month"))
-    # feedback reduced to (project, client) sums and counts before the join;
-    # avg = sum of sums / sum of counts (NULL scores are skipped by both)
+    # feedback reduced to (project, client) sums and counts before the join
     cf = (st.client_feedback.groupBy("project_id", "client_id")
           .agg(F.sum("overall_satisfaction").alias("s"), F.count("overall_satisfaction").alias("n")))
-    return (p.join(cf, "project_id", "inner").groupBy("client_id", "unit_id", "month")
-            .agg((F.sum("s").cast("double") / F.nullif(F.sum("n"), F.lit(0)))
-                 .alias("average_satisfaction")))
+    rows = p.join(cf, "project_id", "inner").select("client_id", "unit_id", "month", "s", "n")
+    return _by_client_month(rows, summands, average_satisfaction().alias("average_satisfaction"))
+
+
+def incomplete_tm_revenue() -> F.Column:
+    """The remaining value in cents, in a grouping."""
+    return F.round(F.sum("remaining"), 2).cast(MONEY_OUT)
 
 
-def tm_incomplete_month(st: Staged, sem: Semantics = Semantics(), bounds: Bounds | None = None) -> DataFrame:
+def tm_incomplete_month(st: Staged, sem: Semantics = Semantics(), bounds: Bounds | None = None,
+                        summands: bool = False) -> DataFrame:
     """Remaining value of open time-and-material projects.
 
     round(sum(coalesce(price, 0) * (1 - pct/100)), 2), written with a
-    decimal 0.01 factor so it stays exact.
+    decimal 0.01 factor so it stays exact (summands: ``remaining``, not rounded).
     """
     p = _within(st.project, F.coalesce("actual_start_date", "planned_start_date"), bounds)
     p = p.filter(sem.not_completed(F.col("status")) & (F.col("project_type") == TYPE_TM))
     remaining = (F.coalesce(F.col("price"), F.lit(0)) * (F.lit(100) - F.col("percent_complete"))
                  * F.lit(Decimal("0.01")))
-    return (p.groupBy("client_id", "unit_id",
-                      month_start(F.coalesce("actual_start_date", "planned_start_date")).alias("month"))
-            .agg(F.round(F.sum(remaining), 2).cast(MONEY_OUT).alias("incomplete_tm_revenue")))
+    rows = p.select("client_id", "unit_id", month_start(F.coalesce("actual_start_date", "planned_start_date")).alias("month"),
+                    remaining.alias("remaining"))
+    return _by_client_month(rows, summands, incomplete_tm_revenue().alias("incomplete_tm_revenue"))
 
 
 def activity_spine(st: Staged, sem: Semantics = Semantics()) -> DataFrame:

@@ -30,7 +30,10 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+
+from practica.functions.keys import packed, unpacked
+from practica.session import CODEC, free_shuffles
 
 MANIFEST = "_manifest.json"
 FILE_ROWS = 2_000_000       # of a file of a clustered table
@@ -206,24 +209,37 @@ def _statistics(spark: SparkSession, root: str, version: int, schema: StructType
     return parts
 
 
+def dealt_by(rows: DataFrame, *partition_by: str) -> DataFrame:
+    """Rows of a partition together, a large partition in several parts (rebalanced
+    by size, so no task holds a hot partition)."""
+    return rows.hint("rebalance", *[F.col(c) for c in partition_by])
+
+
 def write_parts(rows: DataFrame, root: str, partition_by: list[str], carried: dict[str, dict] | None = None,
-                statistics: Iterable[str] = (), cluster: str | None = None, file_rows: int = FILE_ROWS) -> Stored:
+                statistics: Iterable[str] = (), cluster: str | None = None, file_rows: int = FILE_ROWS,
+                dealt: bool = False) -> Stored:
     """The next version: ``rows`` as new partitions, ``carried`` as they are.
 
-    Rows of a partition come together, a large partition in several files
-    (rebalanced by size, so no task holds a hot partition). With ``cluster``, a
-    whole-number column, rows are range-sorted by it within their partition."""
+    Rows of a partition come together (``dealt_by``; ``dealt``: they do already),
+    keys moved as bytes. With ``cluster``, a whole-number column, rows are
+    range-sorted by it within their partition."""
     spark, root = rows.sparkSession, root.rstrip("/")
     if any(c.lower() == "v" for c in rows.columns):
         raise ValueError("the column name v is kept for the version")
     version = max(version_numbers(spark, root), default=0) + 1
     out = f"{root}/v={version}"
     if cluster:
-        dealt = rows.repartitionByRange(*partition_by, cluster).sortWithinPartitions(*partition_by, cluster)
+        placed = rows.repartitionByRange(*partition_by, cluster).sortWithinPartitions(*partition_by, cluster)
+    elif dealt:
+        placed = rows
     else:
-        dealt = rows.hint("rebalance", *[F.col(c) for c in partition_by])
-    writer = dealt.write.mode("errorifexists").partitionBy(*partition_by)
-    (writer.option("maxRecordsPerFile", file_rows) if cluster else writer).parquet(out)
+        keys = [f.name for f in rows.schema.fields if isinstance(f.dataType, StringType)
+                and f.name.lower().endswith("key") and f.name not in partition_by]
+        placed = dealt_by(rows.withColumns({k: packed(k) for k in keys}), *partition_by).withColumns(
+            {k: unpacked(k) for k in keys})
+    writer = placed.write.mode("errorifexists").partitionBy(*partition_by)
+    (writer.option("maxRecordsPerFile", file_rows) if cluster else writer).parquet(out, compression=CODEC)
+    free_shuffles(spark)
     parts = {**(carried or {}), **_statistics(spark, root, version, rows.schema, statistics, cluster)}
     stored = Stored(spark, root, version, rows.schema, partition_by, parts)
     fs, path = file_system(spark, f"{out}/{MANIFEST}")

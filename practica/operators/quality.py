@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from practica.functions.keys import packed
+
 # Fixed patterns of the singular tests (phone/contact and e-mail). The end
 # anchor is \z: Spark's $ would also accept a final newline.
 PHONE_PATTERN = r"^\+?[0-9\s\-\(\)]+(x[0-9]+|ext\.?\s?[0-9]+)?\z"
@@ -117,16 +119,6 @@ def relationships(rel: str, df: DataFrame, col: str, parent: DataFrame, parent_c
 
 
 # -------------------------------------------------------------- runner
-HEX, PAD = r"^[0-9a-f]{32}\z", b"\0" * 17      # fixed values: see packed
-
-
-def packed(key: Column) -> Column:
-    """A key's text as bytes, unequal texts as unequal bytes: the 32 digits of a
-    surrogate key are 16 bytes, any other text is 17 bytes longer than it is."""
-    text = key.cast("string")
-    return F.when(text.rlike(HEX), F.unhex(text)).otherwise(F.concat(text.cast("binary"), F.lit(PAD)))
-
-
 def _key_sets(checks: list) -> list[dict[tuple[int, str], int]]:
     """Columns whose keys meet in some relationship, and those of unique checks:
     (relation, column) -> its place among them."""

@@ -11,11 +11,15 @@ in [start, end] once, so the join adds nothing but membership.
 Incremental runs: pass ``target`` (the stored fact). The builder applies the
 fact's cutoff and returns only the rows to merge; ``merge_upsert`` does the
 rest. A cutoff is one scalar, read from the manifest of a stored table.
+
+``dealt`` moves the rows (of one ``month`` each) as they will be stored, before
+their keys are made of them: ids and dates move, not 32 characters for each key.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -79,7 +83,8 @@ def latest_expense_cutoff(st: Staged, sem: Semantics):
 
 
 def finance_fact(st: Staged, marts: Marts, sem: Semantics = Semantics(),
-                 target: DataFrame | Stored | None = None, latest_expense: dt.date | None = None) -> DataFrame:
+                 target: DataFrame | Stored | None = None, latest_expense: dt.date | None = None,
+                 dealt: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
     """M4-M6: monthly unit profit and loss.
 
     Rows are unit-months with project expense (``anchor='expense'``) whose
@@ -125,7 +130,7 @@ def finance_fact(st: Staged, marts: Marts, sem: Semantics = Semantics(),
         rows = _cut(rows, month_cutoff(rows, "month") if sem.anchor != "expense" else cutoff, "month", sem)
 
     bu = versions(marts.business_unit, sem).select("unitid", F.col("unitkey").alias("unit_key"))
-    j = rows.join(bu, rows.unit_id == bu.unitid, "left")
+    j = dealt(rows.join(bu, rows.unit_id == bu.unitid, "left"))
 
     pe, dc = F.col("monthly_amount"), F.col("total_billable_consultant_cost")
     lab, oth = F.col("total_non_proj_labor_costs"), F.col("total_other_expense_costs")
@@ -148,7 +153,8 @@ def finance_fact(st: Staged, marts: Marts, sem: Semantics = Semantics(),
 
 # ------------------------------------------------------- business development
 def business_dev_fact(st: Staged, marts: Marts, sem: Semantics = Semantics(),
-                      target: DataFrame | Stored | None = None) -> DataFrame:
+                      target: DataFrame | Stored | None = None,
+                      dealt: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
     """M1-M3 at client-unit-month grain.
 
     The activity spine (U1) is the key set of one merged aggregate over the
@@ -160,32 +166,38 @@ def business_dev_fact(st: Staged, marts: Marts, sem: Semantics = Semantics(),
     # One-month lookback from the stored fact; each measure reads from there
     cutoff = month_cutoff(target, "date") if target is not None else None
     bounds = sem.month_bounds(cutoff)
-    g = _merge_measures(keys, [
-        (m.fixed_price_month(st, sem, bounds), ["total_fp_revenue", "incomplete_fp_revenue"]),
-        (m.expense_revenue_month(st, bounds), ["total_tm_expense_revenue"]),
-        (m.consultant_revenue_month(st, bounds), ["total_tm_consultant_revenue"]),
-        (m.satisfaction_month(st, bounds), ["average_satisfaction"]),
-        (m.tm_incomplete_month(st, sem, bounds), ["incomplete_tm_revenue"]),
-    ])
-    g = g.filter(F.col("client_id").isNotNull() & in_calendar(F.col("month"), sem))
+    # the summands of all measures meet in one grouping
+    parts = [
+        (m.fixed_price_month(st, sem, bounds, summands=True), {"revenue": "total_fp_revenue", "incomplete": "incomplete_fp_revenue"}),
+        (m.expense_revenue_month(st, bounds, summands=True), {"revenue": "total_tm_expense_revenue"}),
+        (m.consultant_revenue_month(st, bounds, summands=True), {"revenue": "total_tm_consultant_revenue"}),
+        (m.satisfaction_month(st, bounds, summands=True), {"s": "s", "n": "n"}),
+        (m.tm_incomplete_month(st, sem, bounds, summands=True), {"remaining": "remaining"}),
+    ]
+    types = {"revenue": AMOUNT, "incomplete": AMOUNT, "s": "bigint", "n": "bigint", "remaining": "decimal(38,6)"}
+    rows = reduce(lambda a, b: a.unionByName(b), [
+        df.select(*keys, *[(F.col(of[c]) if c in of else F.lit(None)).cast(t).alias(c) for c, t in types.items()])
+        for df, of in parts])
+    rows = rows.filter(F.col("client_id").isNotNull() & in_calendar(F.col("month"), sem))
     if target is not None:
-        g = _cut(g, cutoff, "month", sem)
-
-    c = versions(marts.client, sem).select(F.col("client_id").alias("c_client_id"), "client_key")
-    bu = versions(marts.business_unit, sem).select(
-        "unitid", F.col("unitkey").alias("business_unit_key"))
-    j = (g.join(c, g.client_id == c.c_client_id, "inner")
-         .join(bu, F.col("unit_id") == bu.unitid, "left"))
-    revenue = _z("total_fp_revenue") + _z("total_tm_expense_revenue") + _z("total_tm_consultant_revenue")
-    forecast = _z("incomplete_fp_revenue") + _z("incomplete_tm_revenue")
+        rows = _cut(rows, cutoff, "month", sem)
+    g = rows.groupBy(*keys).agg(
+        F.coalesce(F.sum("revenue"), F.lit(0)).cast(AMOUNT).alias("revenue_received"),
+        m.average_satisfaction().alias("average_satisfaction"),
+        (F.coalesce(F.sum("incomplete"), F.lit(0)) + F.coalesce(m.incomplete_tm_revenue(), F.lit(0))).cast(AMOUNT)
+        .alias("forecasted_future_revenue"))
+
+    # a version's key is its id and start: these move to the joins, not the 32 characters made of them
+    c = versions(marts.client, sem).select(F.col("client_id").alias("c_client_id"), F.col(VALID_FROM).alias("c_from"))
+    bu = versions(marts.business_unit, sem).select("unitid", F.col(VALID_FROM).alias("u_from"))
+    j = dealt(g.join(c, g.client_id == c.c_client_id, "inner")
+              .join(bu, F.col("unit_id") == bu.unitid, "left"))
     return j.select(
         surrogate_key(F.col("client_id"), F.col("unit_id"), day_to_key("month"))
         .alias("client_feedback_key"),
-        "client_key", "business_unit_key", F.col("month").alias("date"),
-        revenue.cast(AMOUNT).alias("revenue_received"),
-        F.col("average_satisfaction"),
-        forecast.cast(AMOUNT).alias("forecasted_future_revenue"),
-    )
+        surrogate_key(F.col("c_client_id"), ts_to_key(F.col("c_from"))).alias("client_key"),
+        F.when(F.col("unitid").isNotNull(), surrogate_key(F.col("unitid"), ts_to_key(F.col("u_from")))).alias("business_unit_key"),
+        F.col("month").alias("date"), "revenue_received", "average_satisfaction", "forecasted_future_revenue")
 
 
 # ---------------------------------------------------------------------- HR
@@ -212,7 +224,8 @@ def title_as_of_month(hours: DataFrame, title_history: DataFrame) -> DataFrame:
 
 
 def hr_utilization(st: Staged, marts: Marts, sem: Semantics = Semantics(),
-                   target: DataFrame | Stored | None = None) -> DataFrame:
+                   target: DataFrame | Stored | None = None,
+                   dealt: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
     """M7/M8 at its real grain, consultant-month (where the declared key is unique).
 
     The source fact also multiplies each row by every deliverable of the
@@ -234,6 +247,7 @@ def hr_utilization(st: Staged, marts: Marts, sem: Semantics = Semantics(),
          .join(bu, F.col("business_unit_id") == F.col("unitid"), "left")
          .join(th, (F.col("consultant_id") == F.col("t_id")) & (F.col("month") == F.col("t_month")),
                "left"))
+    j = dealt(j)
     return j.select(
         surrogate_key(F.col("consultant_id"), day_to_key("month")).alias("HR_record_key"),
         "consultant_id", F.col("month").alias("snapshot_month"), "consultant_key",
@@ -279,7 +293,8 @@ def hr_client_bridge(st: Staged, marts: Marts, sem: Semantics = Semantics()) ->
 
 # ----------------------------------------------------------------- project
 def project_fact(st: Staged, marts: Marts, sem: Semantics = Semantics(),
-                 target: DataFrame | Stored | None = None) -> DataFrame:
+                 target: DataFrame | Stored | None = None,
+                 dealt: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
     """One row per project at the month of its latest update.
 
     Incremental (I5): only projects updated after the stored fact's latest

@@ -21,7 +21,7 @@ from practica.operators import measures as m
 from practica.operators import quality as q
 from practica.operators.calendar import date_dim_between
 from practica.operators.incremental import incremental_refresh, read_current, write_version
-from practica.operators.parts import write_parts
+from practica.operators.parts import dealt_by, write_parts
 from practica.operators.reductions import REDUCTIONS, maintain
 from practica.operators.scd2 import SNAPSHOTS, read_history, scd2_snapshot, snapshot_parts
 from practica.operators.staging import (stage_all, stage_deliverable, stage_project_expense,
@@ -270,7 +270,8 @@ def _merged(c: Context, builder, before: Staged, now: Staged, key: str, month: s
     over ``now``, as the build stores and merges it."""
     root = _folder(c, "merged")
     statistics = [cutoff] if cutoff != month else []
-    write_parts(stored(builder(before, c.marts, c.sem)), root, [month], statistics=statistics)
+    early = builder(before, c.marts, c.sem, dealt=lambda rows: dealt_by(rows, "month"))
+    write_parts(stored(early), root, [month], statistics=statistics, dealt=True)
     return incremental_refresh(c.spark, root, lambda target: builder(now, c.marts, c.sem, target=target),
                                key, [month], statistics).frame()
 

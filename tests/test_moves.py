@@ -179,3 +179,27 @@ def test_unequal_keys_are_unequal_bytes(spark):
 def test_bridge_joins_versions_by_their_start(shuffled):
     """Each deliverable moved with the 32 characters of its key."""
     assert count(shuffled, "hr_deliverable_bridge", "Exchange", "deliverable_key") == 0
+
+
+def test_business_measures_meet_in_one_grouping(shuffled):
+    """42 exchanges before: each measure was reduced to (client, unit, month) before
+    all were, entries moved by project twice; clients' keys moved as text."""
+    assert count(shuffled, "fact_business_dev", "Exchange") <= 35
+    assert count(shuffled, "fact_business_dev", "Exchange", "client_key") == 0
+    assert count(shuffled, "consultant_revenue_month", "Exchange") <= 9
+
+
+def test_stored_keys_move_as_bytes_and_read_as_text(spark, tmp_path, monkeypatch):
+    import datetime as dt
+
+    from practica.operators import parts
+    rows = [(k, k, i, dt.date(2024, 1 + i % 2, 1)) for i, k in enumerate(["a" * 32, "A" * 32, "", None, "x\0", "é|"])]
+    df = spark.createDataFrame(rows, "row_key string, note string, n int, date date")
+    moved = []
+    real = parts.dealt_by
+    monkeypatch.setattr(parts, "dealt_by", lambda r, *by: moved.append(dict(r.dtypes)) or real(r, *by))
+    stored = parts.write_parts(df, f"{tmp_path}/t", ["date"])
+    assert moved[0]["row_key"] == "binary" and moved[0]["note"] == "string"
+    assert sorted(map(tuple, stored.frame().collect()), key=lambda r: r[2]) == rows
+    parts.write_parts(df, f"{tmp_path}/t", ["date"], dealt=True)
+    assert len(moved) == 1      # dealt before its keys were made
