@@ -203,3 +203,35 @@ def test_stored_keys_move_as_bytes_and_read_as_text(spark, tmp_path, monkeypatch
     assert sorted(map(tuple, stored.frame().collect()), key=lambda r: r[2]) == rows
     parts.write_parts(df, f"{tmp_path}/t", ["date"], dealt=True)
     assert len(moved) == 1      # dealt before its keys were made
+
+
+def test_projects_do_not_move_by_client_with_their_measures(shuffled):
+    """All that was known of a project moved to its client's key, and to its month
+    with the characters of four keys."""
+    assert count(shuffled, "fact_project", "Exchange", "client_key") == 0
+    assert count(shuffled, "fact_project", "Exchange") <= 43
+
+
+def test_each_version_of_a_client_gives_its_key(spark):
+    import datetime as dt
+
+    from practica.operators.staging import stage_all
+    from practica.plans import facts
+    from practica.plans.marts import build_marts, snapshot_all
+    from practica.semantics import Semantics
+    from pyspark.sql import functions as F
+    from tests import tiny
+    st, sem = stage_all(tiny.sources(spark)), Semantics(dim_version="all")
+    h1 = snapshot_all(st, dt.datetime(2024, 1, 1))
+    again = st.replace(client=st.client.filter("client_id <> 11").withColumn(
+        "phone_number", F.when(F.col("client_id") == 10, "555").otherwise(F.col("phone_number"))))
+    marts = build_marts(snapshot_all(again, dt.datetime(2024, 6, 30), h1), sem)
+    marts = marts.replace(client=marts.client.filter("client_id <> 12"))
+    keys = {}
+    for r in marts.client.collect():
+        keys.setdefault(r.client_id, set()).add(r.client_key)
+    assert len(keys[10]) == 2
+    got = {}
+    for r in facts.project_fact(st, marts, sem).collect():
+        got.setdefault(r.project_id, set()).add(r.client_key)
+    assert got == {100: keys[10], 101: keys[11], 102: {None}, 103: keys[10]}
